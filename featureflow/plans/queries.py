@@ -12,7 +12,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from featureflow.operators import aggregates, classify, columns, evaluate, joins, splits
@@ -218,3 +218,275 @@ def q_argmax_class(spark, sf_dir):
     scored = scored.withColumn("probability", F.transform("probability", lambda x: F.round(x, DIGITS)))
     return evaluate.argmax_class(scored, out="predicted_class", classes=model.labels).select(
         "vec_id", "label", "predicted_class")
+
+
+# ============================================================ labels, ids, names, paths
+
+_LABEL_RECORDS_SQL = """
+SELECT d.doc_id, d.source, l.quality AS emotion, CASE WHEN l.toxic = 1 THEN 'toxic' END AS error
+FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id"""
+
+
+def label_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """documents left join labels as label records: ``emotion`` is the quality
+    class (NULL when the document has no label row), ``error`` is set for toxic
+    documents."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "source")
+    labs = table(spark, sf_dir, "labels")
+    return docs.join(labs, "doc_id", "left").select(
+        "doc_id", "source", F.col("quality").alias("emotion"),
+        F.when(F.col("toxic") == 1, F.lit("toxic")).alias("error"),
+    )
+
+
+@register("valid_labels", f"""
+SELECT doc_id, source, emotion FROM ({_LABEL_RECORDS_SQL}) r
+WHERE error IS NULL AND emotion IS NOT NULL""")
+def q_valid_labels(spark, sf_dir):
+    return columns.valid_labels(label_records(spark, sf_dir)).select("doc_id", "source", "emotion")
+
+
+PAGE_ID_PATTERN = r"/(\d+)(?:\.html)?$"
+
+
+@register("path_ids", rf"""
+SELECT page_id, url, TRY_CAST(regexp_extract(url, '{PAGE_ID_PATTERN}', 1) AS BIGINT) AS image_id
+FROM pages""")
+def q_path_ids(spark, sf_dir):
+    pages = table(spark, sf_dir, "pages").select("page_id", "url")
+    return columns.with_image_id(pages, "url", PAGE_ID_PATTERN)
+
+
+@register("normalize_names", "SELECT p_partkey, replace(p_name, ' ', '_') AS name FROM part")
+def q_normalize_names(spark, sf_dir):
+    part = table(spark, sf_dir, "part")
+    return columns.normalize_name(part.select("p_partkey", "p_name"), "p_name", "name").select("p_partkey", "name")
+
+
+IMAGE_ROOT = "/data/images"
+
+_PATH_PARTS_SQL = r"""
+SELECT page_id, url, parent, base_name, ext,
+       substr(base_name, 1, length(base_name) - length(ext)) AS stem
+FROM (
+  SELECT page_id, url, parent, base_name,
+         regexp_extract(base_name, '^\.*[^.].*(\.[^.]*)$', 1) AS ext
+  FROM (SELECT page_id, url, string_split(url, '/')[-2] AS parent,
+               regexp_extract(url, '[^/]*$') AS base_name
+        FROM pages) a
+) b"""
+
+
+def page_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages").select("page_id", "url")
+    return columns.with_path_parts(pages, "url")
+
+
+@register("path_parts", f"""
+SELECT page_id, parent, base_name, stem, ext,
+       concat_ws('/', '{IMAGE_ROOT}', parent, stem || '.jpg') AS image_path
+FROM ({_PATH_PARTS_SQL}) p""")
+def q_path_parts(spark, sf_dir):
+    parts = page_parts(spark, sf_dir)
+    out = columns.with_image_path(parts, IMAGE_ROOT, "parent", "stem")
+    return out.select("page_id", "parent", "base_name", "stem", "ext", "image_path")
+
+
+@register("filter_files", f"""
+SELECT page_id, base_name FROM ({_PATH_PARTS_SQL}) p
+WHERE NOT (base_name LIKE '.%') AND base_name LIKE '%.html'""")
+def q_filter_files(spark, sf_dir):
+    return columns.filter_files(page_parts(spark, sf_dir), "base_name", [".html"]).select("page_id", "base_name")
+
+
+# ============================================================ bounding boxes and statuses
+
+def lineitem_boxes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Box text built from four lineitem keys; line numbers 1-4 spoil it in
+    four ways (spaces around fields, three fields, a non-number, NULL)."""
+    li = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber")
+    k = [F.col(c).cast("string") for c in ("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber")]
+    ln = F.col("l_linenumber")
+    bbox = (
+        F.when(ln == 1, F.concat(F.lit(" "), k[0], F.lit(", "), k[1], F.lit(","), k[2], F.lit(","), k[3]))
+        .when(ln == 2, F.concat_ws(",", k[0], k[1], k[2]))
+        .when(ln == 3, F.concat_ws(",", k[0], F.concat(F.lit("x"), k[1]), k[2], k[3]))
+        .when(ln == 4, F.lit(None).cast("string"))
+        .otherwise(F.concat_ws(",", *k))
+    )
+    return li.select("l_orderkey", "l_linenumber", bbox.alias("bbox"))
+
+
+_BOXES_SQL = r"""
+WITH b AS (
+  SELECT l_orderkey, l_linenumber,
+    CASE WHEN l_linenumber = 1 THEN concat(' ', CAST(l_orderkey AS VARCHAR), ', ', CAST(l_partkey AS VARCHAR),
+                                           ',', CAST(l_suppkey AS VARCHAR), ',', CAST(l_linenumber AS VARCHAR))
+         WHEN l_linenumber = 2 THEN concat_ws(',', CAST(l_orderkey AS VARCHAR), CAST(l_partkey AS VARCHAR),
+                                              CAST(l_suppkey AS VARCHAR))
+         WHEN l_linenumber = 3 THEN concat_ws(',', CAST(l_orderkey AS VARCHAR), 'x' || CAST(l_partkey AS VARCHAR),
+                                              CAST(l_suppkey AS VARCHAR), CAST(l_linenumber AS VARCHAR))
+         WHEN l_linenumber = 4 THEN NULL
+         ELSE concat_ws(',', CAST(l_orderkey AS VARCHAR), CAST(l_partkey AS VARCHAR),
+                        CAST(l_suppkey AS VARCHAR), CAST(l_linenumber AS VARCHAR)) END AS bbox
+  FROM lineitem
+),
+p AS (
+  SELECT *, list_transform(string_split(bbox, ','),
+              lambda x: CASE WHEN regexp_matches(x, '^ *[+-]?[0-9]+ *$') THEN TRY_CAST(trim(x) AS INTEGER) END) AS parts
+  FROM b
+),
+q AS (
+  SELECT *, coalesce(len(parts) = 4 AND len(list_filter(parts, lambda x: x IS NULL)) = 0, false) AS ok FROM p
+),
+parsed AS (
+  SELECT l_orderkey, l_linenumber, bbox, CASE WHEN ok THEN parts END AS bbox_coords,
+         CASE WHEN ok THEN 'ok' ELSE 'bad_bbox' END AS status
+  FROM q
+)"""
+
+
+def parsed_boxes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return columns.parse_bbox(lineitem_boxes(spark, sf_dir))
+
+
+@register("parse_bbox", _BOXES_SQL + " SELECT * FROM parsed")
+def q_parse_bbox(spark, sf_dir):
+    return parsed_boxes(spark, sf_dir)
+
+
+@register("status_summary", _BOXES_SQL + " SELECT status, count(*) AS n FROM parsed GROUP BY status")
+def q_status_summary(spark, sf_dir):
+    return aggregates.status_summary(parsed_boxes(spark, sf_dir))
+
+
+# ============================================================ label codes
+
+EVENT_CODES = {"view": 0, "click": 1, "purchase": 2, "signup": 3}
+
+
+@register("encode_label", """
+SELECT event_id, event_type, label FROM (
+  SELECT event_id, event_type,
+         CASE event_type WHEN 'view' THEN 0 WHEN 'click' THEN 1 WHEN 'purchase' THEN 2
+                         WHEN 'signup' THEN 3 ELSE -1 END AS label
+  FROM events) e
+WHERE label >= 0""")
+def q_encode_label(spark, sf_dir):
+    ev = table(spark, sf_dir, "events").select("event_id", "event_type")
+    return columns.encode_label(ev, "event_type", EVENT_CODES)
+
+
+@register("encode_label_table", """
+WITH m AS (
+  SELECT event_type AS name, CAST(dense_rank() OVER (ORDER BY event_type) - 1 AS INTEGER) AS code
+  FROM (SELECT DISTINCT event_type FROM events WHERE event_type <> 'error') t
+)
+SELECT e.event_id, e.event_type, m.code AS label FROM events e JOIN m ON e.event_type = m.name""")
+def q_encode_label_table(spark, sf_dir):
+    ev = table(spark, sf_dir, "events").select("event_id", "event_type")
+    # the class table: names seen outside failed records, coded in name order
+    names = ev.filter(F.col("event_type") != "error").select(F.col("event_type").alias("name")).distinct()
+    mapping = names.select("name", (F.dense_rank().over(Window.orderBy("name")) - 1).cast("int").alias("code"))
+    return columns.encode_label(ev, "event_type", mapping)
+
+
+# ============================================================ joins
+
+@register("join_labels", """
+SELECT d.doc_id, d.source, d.lang, l.quality, l.toxic
+FROM documents d JOIN labels l ON d.doc_id = l.doc_id""")
+def q_join_labels(spark, sf_dir):
+    labs = table(spark, sf_dir, "labels")
+    docs = table(spark, sf_dir, "documents").select("doc_id", "source", "lang")
+    return joins.join_labels(labs, docs, "doc_id").select("doc_id", "source", "lang", "quality", "toxic")
+
+
+@register("join_features", f"""
+WITH p AS (SELECT page_id, parent AS person, TRY_CAST(stem AS BIGINT) AS image_id FROM ({_PATH_PARTS_SQL}) x)
+SELECT p.page_id, p.person, p.image_id, d.n_chars
+FROM p JOIN documents d ON p.person = d.lang AND p.image_id = d.doc_id""")
+def q_join_features(spark, sf_dir):
+    recs = page_parts(spark, sf_dir).select(
+        "page_id", F.col("parent").alias("person"), F.col("stem").try_cast("bigint").alias("image_id"))
+    feats = table(spark, sf_dir, "documents").select(
+        F.col("lang").alias("person"), F.col("doc_id").alias("image_id"), "n_chars")
+    return joins.join_features(recs, feats, ["person", "image_id"]).select("page_id", "person", "image_id", "n_chars")
+
+
+@register("presence", """
+SELECT d.doc_id, EXISTS (SELECT 1 FROM labels l WHERE l.doc_id = d.doc_id) AS present FROM documents d""")
+def q_presence(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id")
+    return joins.with_presence(docs, table(spark, sf_dir, "labels"), "doc_id")
+
+
+@register("present_only", """
+SELECT d.doc_id, d.source FROM documents d WHERE EXISTS (SELECT 1 FROM labels l WHERE l.doc_id = d.doc_id)""")
+def q_present_only(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "source")
+    return joins.present_only(docs, table(spark, sf_dir, "labels"), "doc_id")
+
+
+@register("pending", """
+SELECT d.doc_id, d.source FROM documents d WHERE NOT EXISTS (SELECT 1 FROM labels l WHERE l.doc_id = d.doc_id)""")
+def q_pending(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "source")
+    return joins.pending(docs, table(spark, sf_dir, "labels"), "doc_id")
+
+
+@register("attach_names", """
+SELECT o.o_orderkey AS point_id, o.o_custkey AS key, CAST(o.o_totalprice AS DOUBLE) AS x,
+       CAST(date_diff('day', DATE '1992-01-01', CAST(o.o_orderdate AS DATE)) AS DOUBLE) AS y, c.c_name AS name
+FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey""")
+def q_attach_names(spark, sf_dir):
+    orders = table(spark, sf_dir, "orders")
+    points = orders.select(
+        F.col("o_orderkey").alias("point_id"), F.col("o_custkey").alias("key"),
+        F.col("o_totalprice").cast("double").alias("x"),
+        F.datediff(F.to_date("o_orderdate"), F.lit("1992-01-01").cast("date")).cast("double").alias("y"))
+    names = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("key"), F.col("c_name").alias("name"))
+    return joins.attach_names(points, names, "key")
+
+
+@register("union_manifests", """
+SELECT c_name AS name, c_custkey AS id, c_nationkey AS nationkey, c_acctbal AS acctbal,
+       c_mktsegment AS segment, 'customer' AS source FROM customer
+UNION ALL BY NAME
+SELECT s_name AS name, s_suppkey AS id, s_nationkey AS nationkey, s_acctbal AS acctbal,
+       'supplier' AS source FROM supplier""")
+def q_union_manifests(spark, sf_dir):
+    cust = table(spark, sf_dir, "customer").select(
+        F.col("c_name").alias("name"), F.col("c_custkey").alias("id"), F.col("c_nationkey").alias("nationkey"),
+        F.col("c_acctbal").alias("acctbal"), F.col("c_mktsegment").alias("segment"))
+    supp = table(spark, sf_dir, "supplier").select(
+        F.col("s_name").alias("name"), F.col("s_suppkey").alias("id"), F.col("s_nationkey").alias("nationkey"),
+        F.col("s_acctbal").alias("acctbal"))
+    return joins.union_manifests(cust, supp, sources=["customer", "supplier"])
+
+
+# ============================================================ samples, classes, batches
+
+@register("read_samples", "SELECT vec_id AS sample_id, label, embedding AS features FROM embeddings")
+def q_read_samples(spark, sf_dir):
+    from featureflow.sources.samples import read_samples
+
+    return read_samples(spark, f"{sf_dir.rstrip('/')}/embeddings.parquet",
+                        schema="vec_id bigint, label int, embedding array<float>",
+                        rename={"vec_id": "sample_id", "embedding": "features"})
+
+
+@register("num_classes", "SELECT count(DISTINCT label) AS n_classes FROM embeddings")
+def q_num_classes(spark, sf_dir):
+    return aggregates.num_classes(table(spark, sf_dir, "embeddings"))
+
+
+BATCH_SIZE = 50
+
+
+@register("batch_id", f"""
+SELECT vec_id, CAST((row_number() OVER (ORDER BY vec_id) - 1) // {BATCH_SIZE} AS BIGINT) AS batch_id
+FROM embeddings""")
+def q_batch_id(spark, sf_dir):
+    emb = table(spark, sf_dir, "embeddings").select("vec_id")
+    return splits.with_batch_id(emb, "vec_id", BATCH_SIZE)
