@@ -490,3 +490,249 @@ FROM embeddings""")
 def q_batch_id(spark, sf_dir):
     emb = table(spark, sf_dir, "embeddings").select("vec_id")
     return splits.with_batch_id(emb, "vec_id", BATCH_SIZE)
+
+
+# ============================================================ images (an embedding as an 8x8 picture)
+
+SIDE = 8
+
+
+def embedding_images(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``vec_id, label, image``: each 64-float embedding as an 8x8 one-channel
+    32-bit float picture."""
+    from featureflow.operators.images import vectors_to_images
+
+    emb = table(spark, sf_dir, "embeddings")
+    origin = F.concat(F.lit("embedding:"), F.col("vec_id").cast("string"))
+    return vectors_to_images(emb, "embedding", SIDE, SIDE, origin=origin).select("vec_id", "label", "image")
+
+
+def _pixels_out(df: DataFrame) -> DataFrame:
+    from featureflow.operators.images import to_pixels
+
+    px = to_pixels(df)
+    return px.select("vec_id", "status", F.col("image.height").alias("height"),
+                     F.col("image.width").alias("width"), "pixels")
+
+
+def crop_boxes_xyxy(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per-row boxes from the label (0-9 gives several shapes); label 9 runs
+    past the right edge and label 8 is empty."""
+    lab = F.col("label")
+    box = F.array(lab % 4, lab % 3, F.when(lab == 9, F.lit(12)).otherwise(lab % 4 + 4),
+                  F.when(lab == 8, lab % 3).otherwise(lab % 3 + 5)).cast("array<int>")
+    return embedding_images(spark, sf_dir).withColumn("bbox_coords", box)
+
+
+_CROP_XYXY_SQL = """
+WITH b AS (
+  SELECT vec_id, embedding,
+         least(greatest(label % 4, 0), 8) AS x1, least(greatest(label % 3, 0), 8) AS y1,
+         least(greatest(CASE WHEN label = 9 THEN 12 ELSE label % 4 + 4 END, 0), 8) AS x2,
+         least(greatest(CASE WHEN label = 8 THEN label % 3 ELSE label % 3 + 5 END, 0), 8) AS y2
+  FROM embeddings
+),
+crop AS (
+  SELECT vec_id, embedding, x1, y1, x2, y2, (x2 > x1 AND y2 > y1) AS ok,
+         CASE WHEN x2 > x1 AND y2 > y1 THEN
+           flatten(list_transform(range(y1, y2), lambda r: embedding[r * 8 + x1 + 1 : r * 8 + x2])) END AS px
+  FROM b
+)"""
+
+
+@register("crop_xyxy", _CROP_XYXY_SQL + """
+SELECT vec_id, CASE WHEN ok THEN 'ok' ELSE 'empty_crop' END AS status,
+       CASE WHEN ok THEN CAST(y2 - y1 AS INTEGER) END AS height,
+       CASE WHEN ok THEN CAST(x2 - x1 AS INTEGER) END AS width, px AS pixels
+FROM crop""")
+def q_crop_xyxy(spark, sf_dir):
+    from featureflow.operators.images import crop
+
+    return _pixels_out(crop(crop_boxes_xyxy(spark, sf_dir), "bbox_coords", "xyxy"))
+
+
+@register("crop_xywh", """
+WITH b AS (
+  SELECT vec_id, embedding, label % 4 - 1 AS x, label % 3 - 1 AS y,
+         CASE WHEN label = 9 THEN 9 ELSE 5 END AS w, CASE WHEN label = 7 THEN 0 ELSE 6 END AS h
+  FROM embeddings
+)
+SELECT vec_id, CASE WHEN w > 0 AND h > 0 THEN 'ok' ELSE 'empty_crop' END AS status,
+       CASE WHEN w > 0 AND h > 0 THEN CAST(h AS INTEGER) END AS height,
+       CASE WHEN w > 0 AND h > 0 THEN CAST(w AS INTEGER) END AS width,
+       CASE WHEN w > 0 AND h > 0 THEN list_transform(range(h * w), lambda k:
+         CASE WHEN y + k // w BETWEEN 0 AND 7 AND x + k % w BETWEEN 0 AND 7
+              THEN embedding[(y + k // w) * 8 + x + k % w + 1] ELSE CAST(0 AS FLOAT) END) END AS pixels
+FROM b""")
+def q_crop_xywh(spark, sf_dir):
+    from featureflow.operators.images import crop
+
+    lab = F.col("label")
+    box = F.array(lab % 4 - 1, lab % 3 - 1, F.when(lab == 9, F.lit(9)).otherwise(F.lit(5)),
+                  F.when(lab == 7, F.lit(0)).otherwise(F.lit(6))).cast("array<int>")
+    imgs = embedding_images(spark, sf_dir).withColumn("bbox_coords", box)
+    return _pixels_out(crop(imgs, "bbox_coords", "xywh"))
+
+
+RESIZE_TO = (5, 12)
+
+
+@register("resize_nearest", f"""
+SELECT vec_id, 'ok' AS status, CAST({RESIZE_TO[0]} AS INTEGER) AS height, CAST({RESIZE_TO[1]} AS INTEGER) AS width,
+       list_transform(range({RESIZE_TO[0] * RESIZE_TO[1]}), lambda k:
+         embedding[((2 * (k // {RESIZE_TO[1]}) + 1) * 8 // {2 * RESIZE_TO[0]}) * 8
+                   + ((2 * (k % {RESIZE_TO[1]}) + 1) * 8 // {2 * RESIZE_TO[1]}) + 1]) AS pixels
+FROM embeddings""")
+def q_resize_nearest(spark, sf_dir):
+    from featureflow.operators.images import resize
+
+    return _pixels_out(resize(embedding_images(spark, sf_dir), RESIZE_TO, "nearest"))
+
+
+@register("pixels", """
+SELECT vec_id, 'ok' AS status, CAST(8 AS INTEGER) AS height, CAST(8 AS INTEGER) AS width,
+       flatten(list_transform(embedding, lambda v: [v, v, v])) AS pixels
+FROM embeddings""")
+def q_pixels(spark, sf_dir):
+    from featureflow.operators.images import to_gray
+
+    return _pixels_out(to_gray(embedding_images(spark, sf_dir), channels=3))
+
+
+GRID = 4
+
+
+@register("block_mean", f"""
+SELECT vec_id, list(m ORDER BY cell) AS features FROM (
+  SELECT vec_id, (i // 8 // {SIDE // GRID}) * {GRID} + (i % 8 // {SIDE // GRID}) AS cell,
+         round(avg(CAST(x AS DOUBLE)), 9) AS m
+  FROM (SELECT vec_id, unnest(range(0, 64)) AS i, unnest(embedding) AS x FROM embeddings) u
+  GROUP BY vec_id, cell
+) c GROUP BY vec_id""")
+def q_block_mean(spark, sf_dir):
+    from featureflow.operators.inference import block_mean
+
+    feats = block_mean(embedding_images(spark, sf_dir), grid=GRID, dtype="double")
+    return feats.select("vec_id", F.transform("features", lambda x: F.round(x, DIGITS)).alias("features"))
+
+
+FUSED_SIZE = 4
+
+
+@register("image_features", _CROP_XYXY_SQL + f""",
+rs AS (
+  SELECT vec_id, ok, list_transform(range({FUSED_SIZE * FUSED_SIZE}), lambda k:
+           px[((2 * (k // {FUSED_SIZE}) + 1) * (y2 - y1) // {2 * FUSED_SIZE}) * (x2 - x1)
+              + ((2 * (k % {FUSED_SIZE}) + 1) * (x2 - x1) // {2 * FUSED_SIZE}) + 1]) AS r
+  FROM crop WHERE ok
+),
+cells AS (
+  SELECT vec_id, (k // {FUSED_SIZE} // 2) * 2 + (k % {FUSED_SIZE} // 2) AS cell, round(avg(CAST(v AS DOUBLE)), 9) AS m
+  FROM (SELECT vec_id, unnest(range(0, {FUSED_SIZE * FUSED_SIZE})) AS k, unnest(r) AS v FROM rs) u
+  GROUP BY vec_id, cell
+)
+SELECT crop.vec_id, CASE WHEN crop.ok THEN 'ok' ELSE 'empty_crop' END AS status, f.features
+FROM crop LEFT JOIN (SELECT vec_id, list(m ORDER BY cell) AS features FROM cells GROUP BY vec_id) f
+  ON crop.vec_id = f.vec_id""")
+def q_image_features(spark, sf_dir):
+    """Crop -> nearest resize to 4x4 -> 2x2 block means, fused in one stage."""
+    from featureflow.operators.images import block_means
+    from featureflow.operators.inference import image_features
+
+    feats = image_features(crop_boxes_xyxy(spark, sf_dir), "bbox_coords", "xyxy", FUSED_SIZE, "nearest",
+                           extractor=lambda a: block_means(a, 2), dtype="double")
+    return feats.select("vec_id", "status",
+                        F.transform("features", lambda x: F.round(x, DIGITS)).alias("features"))
+
+
+# ============================================================ clustering
+
+K = 5
+
+
+def _init_model(spark, sf_dir):
+    from featureflow.operators.cluster import init_centroids
+
+    emb = table(spark, sf_dir, "embeddings")
+    return emb, init_centroids(emb, K, "vec_id", "embedding")
+
+
+_ASSIGN_SQL = f"""
+WITH init AS (
+  SELECT row_number() OVER (ORDER BY vec_id) - 1 AS cluster, embedding FROM embeddings ORDER BY vec_id LIMIT {K}
+),
+c AS (SELECT cluster, unnest(range(0, len(embedding))) AS i, CAST(unnest(embedding) AS DOUBLE) AS m FROM init),
+e AS (SELECT vec_id, unnest(range(0, len(embedding))) AS i, CAST(unnest(embedding) AS DOUBLE) AS x FROM embeddings),
+d AS (
+  SELECT e.vec_id, c.cluster, round(sum((e.x - c.m) * (e.x - c.m)), 9) AS dist
+  FROM e JOIN c ON e.i = c.i GROUP BY e.vec_id, c.cluster
+),
+r AS (SELECT *, row_number() OVER (PARTITION BY vec_id ORDER BY dist, cluster) AS rn FROM d),
+assigned AS (SELECT vec_id, CAST(cluster AS INTEGER) AS cluster, dist AS distance FROM r WHERE rn = 1)"""
+
+
+@register("assign_centroids", _ASSIGN_SQL + " SELECT * FROM assigned")
+def q_assign_centroids(spark, sf_dir):
+    from featureflow.operators.cluster import assign_centroids
+
+    emb, model = _init_model(spark, sf_dir)
+    return assign_centroids(emb, model, "embedding").select("vec_id", "cluster", "distance")
+
+
+@register("lloyd_step", _ASSIGN_SQL + """,
+ex AS (SELECT a.cluster, unnest(range(0, len(e.embedding))) AS i, CAST(unnest(e.embedding) AS DOUBLE) AS x
+       FROM assigned a JOIN embeddings e ON a.vec_id = e.vec_id),
+m AS (SELECT cluster, i, round(avg(x), 9) AS v FROM ex GROUP BY cluster, i)
+SELECT m.cluster, list(v ORDER BY i) AS center, n.n
+FROM m JOIN (SELECT cluster, count(*) AS n FROM assigned GROUP BY cluster) n ON m.cluster = n.cluster
+GROUP BY m.cluster, n.n""")
+def q_lloyd_step(spark, sf_dir):
+    from featureflow.operators.cluster import assign_centroids, lloyd_step
+
+    emb, model = _init_model(spark, sf_dir)
+    step = lloyd_step(assign_centroids(emb, model, "embedding"), "embedding", "cluster")
+    return step.select("cluster", F.transform("center", lambda x: F.round(x, DIGITS)).alias("center"), "n")
+
+
+@register("kmeans")
+def q_kmeans(spark, sf_dir):
+    from featureflow.operators.cluster import kmeans
+
+    out, _ = kmeans(table(spark, sf_dir, "embeddings"), K, 42, "embedding")
+    return out.select("vec_id", "cluster")
+
+
+# ============================================================ Spark ML models (rows-only checks)
+
+@register("project_2d")
+def q_project_2d(spark, sf_dir):
+    from featureflow.operators.project import project_2d
+
+    return project_2d(table(spark, sf_dir, "embeddings"), "embedding").select("vec_id", "x", "y")
+
+
+def _forest_predictions(spark, sf_dir):
+    s = split_embeddings(spark, sf_dir)
+    model = classify.train_forest(s.filter(F.col("split") == "train"), "embedding", "label")
+    return classify.predict(model, s, "embedding", "label")
+
+
+@register("forest")
+def q_forest(spark, sf_dir):
+    return _forest_predictions(spark, sf_dir).select("vec_id", "split", "label", "prediction")
+
+
+MLP_HIDDEN = (1024, 128, 64)
+
+
+@register("mlp")
+def q_mlp(spark, sf_dir):
+    s = split_embeddings(spark, sf_dir)
+    model = classify.train_mlp(s.filter(F.col("split") == "train"), "embedding", "label", hidden=MLP_HIDDEN,
+                               max_iter=50)
+    return classify.predict(model, s, "embedding", "label").select("vec_id", "split", "label", "prediction")
+
+
+@register("evaluate_splits")
+def q_evaluate_splits(spark, sf_dir):
+    return evaluate.evaluate_splits(_forest_predictions(spark, sf_dir), run_id="forest", step=0)
