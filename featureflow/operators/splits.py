@@ -15,7 +15,7 @@ SPLIT_70_15_15 = {"train": 0.70, "val": 0.15, "test": 0.15}
 
 def hash_split(
     df: DataFrame,
-    key: str,
+    key: str | list[str],
     weights: dict[str, float] | None = None,
     seed: int = 0,
     out: str = "split",
@@ -28,7 +28,11 @@ def hash_split(
     shuffle is needed. A NULL key raises.
     """
     weights = weights or SPLIT_75_15_10
-    return df.withColumn(out, split_label(split_bucket(F.col(key), seed, buckets), weights, buckets))
+    if isinstance(key, str):
+        k = F.col(key)
+    else:  # composite key: its parts joined by '/' (NULL if any part is NULL)
+        k = F.concat(*[p for c in key for p in (F.lit("/"), F.col(c).cast("string"))][1:])
+    return df.withColumn(out, split_label(split_bucket(k, seed, buckets), weights, buckets))
 
 
 def split_frames(df: DataFrame, split_col: str = "split", names: list[str] | None = None) -> dict[str, DataFrame]:

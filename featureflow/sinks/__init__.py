@@ -1 +1,99 @@
-"""Writers: tables, sample folders, models, metric history."""
+"""Writers: tables, sample folders, models, metric history.
+
+Every writer is one Spark job with Spark's commit protocol: output appears
+only when the job succeeded, so an interrupted run never leaves a folder that
+looks finished (the weakness of a "folder exists" resume test).
+"""
+
+from __future__ import annotations
+
+from collections.abc import Sequence
+
+import numpy as np
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+
+def write_table(
+    df: DataFrame, path: str, fmt: str = "parquet", columns: Sequence[str] | None = None,
+    mode: str = "overwrite", header: bool = True, partition_by: Sequence[str] | None = None,
+) -> None:
+    """Parquet (default), CSV with header, or JSON lines; optional projection."""
+    if columns:
+        df = df.select(*columns)
+    w = df.write.mode(mode)
+    if partition_by:
+        w = w.partitionBy(*partition_by)
+    if fmt == "csv":
+        w.option("header", header).csv(path)
+    elif fmt == "json":
+        w.json(path)
+    elif fmt == "parquet":
+        w.parquet(path)
+    else:
+        raise ValueError(f"unknown format {fmt!r}")
+
+
+def write_samples(
+    df: DataFrame, path: str, partition_by: Sequence[str] | None = ("split",),
+    max_records: int | None = None, mode: str = "overwrite",
+) -> None:
+    """Sample table as Parquet in one job, one folder per split value
+    (``split=train/``...), at most ``max_records`` rows per file. The rows are
+    clustered by the partition column first so each task writes few files."""
+    parts = [c for c in (partition_by or []) if c in df.columns]
+    out = df.repartition(*parts) if parts else df
+    w = out.write.mode(mode)
+    if max_records:
+        w = w.option("maxRecordsPerFile", int(max_records))
+    if parts:
+        w = w.partitionBy(*parts)
+    w.parquet(path)
+
+
+def append_metrics(metrics: DataFrame, path: str) -> None:
+    """Append metric history rows (``run_id, step, split, metric, value``)."""
+    metrics.write.mode("append").parquet(path)
+
+
+def save_model(model, path: str, overwrite: bool = True) -> None:
+    """Spark ML model, or a centroid model (stored as a small Parquet table)."""
+    from featureflow.operators.classify import CentroidModel
+
+    if isinstance(model, CentroidModel):
+        spark = SparkSession.getActiveSession()
+        rows = [(lab, [float(x) for x in c], n) for lab, c, n in
+                zip(model.labels, model.centers, model.counts or [0] * len(model.labels))]
+        df = spark.createDataFrame(rows, f"label {model.label_type}, center array<double>, n bigint")
+        df.coalesce(1).write.mode("overwrite" if overwrite else "errorifexists").parquet(path)
+        return
+    w = model.write()
+    if overwrite:
+        w = w.overwrite()
+    w.save(path)
+
+
+def load_model(kind, path: str, spark: SparkSession | None = None, max_classes: int = 10_000):
+    """``kind`` is a Spark ML model class (e.g. ``RandomForestClassificationModel``)
+    or ``"centroids"``."""
+    if kind == "centroids":
+        from featureflow.operators.classify import CentroidModel
+
+        spark = spark or SparkSession.getActiveSession()
+        df = spark.read.parquet(path)
+        rows = df.limit(max_classes + 1).collect()
+        if len(rows) > max_classes:
+            raise ValueError("centroid table too large")
+        rows = sorted(rows, key=lambda r: r["label"])
+        return CentroidModel(labels=[r["label"] for r in rows],
+                             centers=np.array([r["center"] for r in rows], dtype=np.float64),
+                             label_type=dict(df.dtypes)["label"], counts=[r["n"] for r in rows])
+    return kind.load(path)
+
+
+def first_rows(df: DataFrame, n: int = 5) -> DataFrame:
+    """Preview: the first ``n`` rows (a limit, no full scan)."""
+    return df.limit(n)
+
+
+__all__ = ["append_metrics", "first_rows", "load_model", "save_model", "write_samples", "write_table", "F"]
