@@ -96,10 +96,11 @@ def attach_names(
     """Coordinates + names by key, with the length guard of the original as a
     per-key guard: a point without a name, or with two, raises at run time."""
     keys = _keys(on)
-    value_cols = [c for c in names.columns if c not in keys]
-    agg = [F.count(F.lit(1)).alias("__n")] + [F.first(c).alias(c) for c in value_cols]
-    once = names.groupBy(*keys).agg(*agg)
-    joined = points.join(once, keys, "left")
+    # rows per name key (a fixed-width hash aggregate, partial on the map side);
+    # joined back on the key, so the name side keeps its key partitioning and
+    # the points join needs no further shuffle of it
+    counts = names.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))
+    joined = points.join(names.join(counts, keys), keys, "left")
     # a filter (not a dropped column) so the optimizer cannot prune the guard
     guard = (
         F.when(F.col("__n").isNull(), F.raise_error(F.lit("point without a name")))

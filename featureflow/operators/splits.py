@@ -32,7 +32,10 @@ def hash_split(
         k = F.col(key)
     else:  # composite key: its parts joined by '/' (NULL if any part is NULL)
         k = F.concat(*[p for c in key for p in (F.lit("/"), F.col(c).cast("string"))][1:])
-    return df.withColumn(out, split_label(split_bucket(k, seed, buckets), weights, buckets))
+    # the bucket is its own column so the md5 is computed once per row, not
+    # once per CASE branch
+    tagged = df.withColumn("__bucket", split_bucket(k, seed, buckets))
+    return tagged.withColumn(out, split_label(F.col("__bucket"), weights, buckets)).drop("__bucket")
 
 
 def split_frames(df: DataFrame, split_col: str = "split", names: list[str] | None = None) -> dict[str, DataFrame]:
