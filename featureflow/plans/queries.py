@@ -736,3 +736,19 @@ def q_mlp(spark, sf_dir):
 @register("evaluate_splits")
 def q_evaluate_splits(spark, sf_dir):
     return evaluate.evaluate_splits(_forest_predictions(spark, sf_dir), run_id="forest", step=0)
+
+
+# ============================================================ streaming form of the label join
+
+@register("stream_join_labels", """
+SELECT d.doc_id, d.source, d.lang, l.quality, l.toxic
+FROM documents d JOIN labels l ON d.doc_id = l.doc_id""")
+def q_stream_join_labels(spark, sf_dir):
+    """``join_labels`` with the label table arriving as a file stream (stream-
+    static join, checkpointed append), read back once the stream is drained."""
+    from featureflow.streaming.ingest import join_stream, parquet_stream, run_to_table
+
+    labs = parquet_stream(spark, sf_dir, "doc_id bigint, quality int, toxic int", glob="labels.parquet")
+    docs = table(spark, sf_dir, "documents").select("doc_id", "source", "lang")
+    out = run_to_table(spark, join_stream(labs, docs, "doc_id"))
+    return out.select("doc_id", "source", "lang", "quality", "toxic")
