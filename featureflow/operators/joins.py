@@ -72,7 +72,7 @@ def with_presence(
     before the shuffle), so repeated keys there never duplicate left rows.
     """
     keys = _keys(on)
-    marks = files.select(*keys).dropDuplicates(keys).withColumn("__hit", F.lit(True))
+    marks = _distinct_keys(files, keys).withColumn("__hit", F.lit(True))
     return (
         df.join(marks, keys, "left")
         .withColumn(out, F.coalesce(F.col("__hit"), F.lit(False)))
@@ -80,14 +80,22 @@ def with_presence(
     )
 
 
+def _distinct_keys(df: DataFrame, keys: list[str]) -> DataFrame:
+    # partial aggregation before the shuffle: a key repeated in a third of the
+    # rows reaches the join as one row per map task, not as a third of the data
+    return df.select(*keys).dropDuplicates(keys)
+
+
 def present_only(df: DataFrame, files: DataFrame, on: str | Sequence[str]) -> DataFrame:
     """Rows of ``df`` whose key exists in ``files`` (``EXISTS``, left-semi)."""
-    return df.join(files.select(*_keys(on)), _keys(on), "left_semi")
+    keys = _keys(on)
+    return df.join(_distinct_keys(files, keys), keys, "left_semi")
 
 
 def pending(todo: DataFrame, done: DataFrame, on: str | Sequence[str]) -> DataFrame:
     """Rows of ``todo`` not done yet (``NOT EXISTS``, left-anti)."""
-    return todo.join(done.select(*_keys(on)), _keys(on), "left_anti")
+    keys = _keys(on)
+    return todo.join(_distinct_keys(done, keys), keys, "left_anti")
 
 
 def attach_names(

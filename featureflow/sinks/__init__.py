@@ -39,11 +39,13 @@ def write_samples(
     max_records: int | None = None, mode: str = "overwrite",
 ) -> None:
     """Sample table as Parquet in one job, one folder per split value
-    (``split=train/``...), at most ``max_records`` rows per file. The rows are
-    clustered by the partition column first so each task writes few files."""
+    (``split=train/``...), at most ``max_records`` rows per file.
+
+    No shuffle by the split column first: that would send a whole split (the
+    train split is most of the data) through one task. Each task writes at
+    most one file per split value it holds (more when ``max_records`` cuts)."""
     parts = [c for c in (partition_by or []) if c in df.columns]
-    out = df.repartition(*parts) if parts else df
-    w = out.write.mode(mode)
+    w = df.write.mode(mode)
     if max_records:
         w = w.option("maxRecordsPerFile", int(max_records))
     if parts:

@@ -29,6 +29,9 @@ def test_manifest_fixed_schema_and_missing_file(spark, tmp):
     with pytest.raises(FileNotFoundError):
         read_manifest(spark, [os.path.join(tmp, "missing.txt")], missing="error")
     assert read_manifest(spark, [os.path.join(tmp, "missing.txt")]).count() == 0
+    flagged = {r.face_id: r.status for r in read_manifest(spark, a, malformed="flag").collect()}
+    assert flagged == {"7": "ok", "8": "ok", "9": "ok", None: "malformed"}
+    assert read_manifest(spark, a, malformed="drop").count() == 3
 
 
 def test_labels_without_error_key(spark, tmp):
