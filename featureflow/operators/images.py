@@ -184,6 +184,19 @@ def _struct_from_flat() -> Column:
     return F.when(F.col("__img_data").isNull(), F.lit(None).cast(IMAGE_TYPE)).otherwise(s)
 
 
+def _row_args(pdf: pd.DataFrame, names: Sequence[str]) -> list:
+    """Per-row ``{name: value}`` for the columns a kernel needs (read once per
+    batch as numpy arrays, not row by row through pandas indexing)."""
+    if not names:
+        return [None] * len(pdf)
+    cols = {a: pdf[a].to_numpy(dtype=object) for a in names}
+    return [{a: cols[a][i] for a in names} for i in range(len(pdf))]
+
+
+def _image_columns(pdf: pd.DataFrame) -> list[np.ndarray]:
+    return [pdf[f"__img_{f}"].to_numpy(dtype=object).copy() for f in IMAGE_FIELDS[1:]]
+
+
 def _status_in(pdf: pd.DataFrame, status_col: str) -> np.ndarray:
     if status_col in pdf.columns:
         return pdf[status_col].fillna(OK).to_numpy(dtype=object)
@@ -192,7 +205,7 @@ def _status_in(pdf: pd.DataFrame, status_col: str) -> np.ndarray:
 
 def map_images(
     df: DataFrame,
-    fn: Callable[[np.ndarray, pd.Series], np.ndarray],
+    fn: Callable[[np.ndarray, dict | None], np.ndarray],
     image_col: str = "image",
     out: str | None = None,
     args: Sequence[str] = (),
@@ -216,18 +229,15 @@ def map_images(
         for pdf in batches:
             n = len(pdf)
             status = _status_in(pdf, status_col)
-            hh = pdf["__img_height"].to_numpy(dtype=object).copy()
-            ww = pdf["__img_width"].to_numpy(dtype=object).copy()
-            cc = pdf["__img_nChannels"].to_numpy(dtype=object).copy()
-            mm = pdf["__img_mode"].to_numpy(dtype=object).copy()
-            dd = pdf["__img_data"].to_numpy(dtype=object).copy()
+            hh, ww, cc, mm, dd = _image_columns(pdf)
+            rows = _row_args(pdf, arg_names)
             for i in range(n):
                 if status[i] != OK:
                     hh[i] = ww[i] = cc[i] = mm[i] = dd[i] = None
                     continue
                 try:
                     arr = decode(hh[i], ww[i], cc[i], mm[i], dd[i])
-                    res = fn(arr, pdf.iloc[i][arg_names] if arg_names else None)
+                    res = fn(arr, rows[i])
                     hh[i], ww[i], cc[i], mm[i], dd[i] = encode(res)
                 except StageError as e:
                     status[i] = str(e)
@@ -248,7 +258,7 @@ def map_images(
 
 def map_image_values(
     df: DataFrame,
-    fn: Callable[[np.ndarray, pd.Series], np.ndarray],
+    fn: Callable[[np.ndarray, dict | None], np.ndarray],
     out: str,
     out_type: T.DataType = T.ArrayType(T.FloatType()),
     image_col: str = "image",
@@ -274,15 +284,14 @@ def map_image_values(
             n = len(pdf)
             status = _status_in(pdf, status_col)
             vals = np.empty(n, dtype=object)
+            hh, ww, cc, mm, dd = _image_columns(pdf)
+            rows = _row_args(pdf, arg_names)
             for i in range(n):
                 if status[i] != OK:
                     continue
                 try:
-                    arr = decode(pdf["__img_height"].iat[i], pdf["__img_width"].iat[i],
-                                 pdf["__img_nChannels"].iat[i], pdf["__img_mode"].iat[i],
-                                 pdf["__img_data"].iat[i])
-                    vals[i] = np.asarray(fn(arr, pdf.iloc[i][arg_names] if arg_names else None),
-                                         dtype=np_type).ravel()
+                    arr = decode(hh[i], ww[i], cc[i], mm[i], dd[i])
+                    vals[i] = np.asarray(fn(arr, rows[i]), dtype=np_type).ravel()
                 except StageError as e:
                     status[i] = str(e)
                 except Exception as e:  # noqa: BLE001

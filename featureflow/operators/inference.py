@@ -135,11 +135,10 @@ def label_images(
             labels = np.empty(n, dtype=object)
             errors = np.empty(n, dtype=object)
             arrays, idx = [], []
+            hh, ww, cc, mm, dd = img._image_columns(pdf)
             for i in range(n):
                 try:
-                    arrays.append(img.decode(pdf["__img_height"].iat[i], pdf["__img_width"].iat[i],
-                                             pdf["__img_nChannels"].iat[i], pdf["__img_mode"].iat[i],
-                                             pdf["__img_data"].iat[i]))
+                    arrays.append(img.decode(hh[i], ww[i], cc[i], mm[i], dd[i]))
                     idx.append(i)
                 except img.StageError as e:
                     errors[i] = str(e)
