@@ -141,3 +141,31 @@ def train(
     sinks.append_metrics(hist, f"{out_dir}/metrics")
     sinks.save_model(fitted, f"{out_dir}/model")
     return spark.read.parquet(f"{out_dir}/metrics").filter(F.col("run_id") == run_id)
+
+
+def cluster_vectors(
+    spark: SparkSession, features_dir: str, out_path: str, k: int = 5, seed: int = 42, fmt: str = "csv",
+) -> DataFrame:
+    """Vector files -> k-means -> ``filename, cluster`` table (CSV with header by
+    default). Files that do not parse are left out of the fit and reported in
+    the returned status summary."""
+    from featureflow.operators.cluster import kmeans
+    from featureflow.sources.vectors import read_vector_files
+
+    vecs = read_vector_files(spark, features_dir)
+    ok = vecs.filter(F.col("status") == "ok")
+    clustered, _ = kmeans(ok, k, seed, "features")
+    sinks.write_table(clustered, out_path, fmt, columns=["person", "filename", "cluster"])
+    return aggregates.status_summary(vecs)
+
+
+def project_vectors(spark: SparkSession, features_dir: str, out_path: str) -> DataFrame:
+    """Vector files -> one global 2-D projection -> ``person, filename, x, y``
+    (Parquet); names travel with their row, so no positional re-join is needed."""
+    from featureflow.operators.project import project_2d
+    from featureflow.sources.vectors import read_vector_files
+
+    vecs = read_vector_files(spark, features_dir).filter(F.col("status") == "ok")
+    pts = project_2d(vecs, "features").select("person", "filename", "x", "y")
+    sinks.write_table(pts, out_path)
+    return spark.read.parquet(out_path)

@@ -97,3 +97,22 @@ def test_streaming_ingest_resumes(spark, tmp):
     q = stream_samples(spark, inbox, feats, out, ckpt)
     q.awaitTermination(120)
     assert sorted(r.image_id for r in spark.read.parquet(out).collect()) == [0, 1, 2, 4, 5]
+
+
+def test_cluster_and_project_vector_files(spark, tmp):
+    rng = np.random.default_rng(3)
+    root = os.path.join(tmp, "features")
+    for person, centre in [("Ann", 0.0), ("Bob", 5.0), ("Cy", 10.0)]:
+        os.makedirs(os.path.join(root, person))
+        for i in range(8):
+            np.save(os.path.join(root, person, f"{i}.npy"), (centre + rng.normal(0, 0.1, 16)).astype(np.float32))
+    np.save(os.path.join(root, "Cy", "bad.npy"), np.array(["x"]))
+    summary = {r.status: r.n for r in workflows.cluster_vectors(
+        spark, root, os.path.join(tmp, "clusters"), k=3).collect()}
+    assert summary == {"ok": 24, "not_numeric": 1}
+    cl = spark.read.option("header", True).csv(os.path.join(tmp, "clusters"))
+    assert cl.columns == ["person", "filename", "cluster"]
+    # each person's vectors form one cluster
+    assert cl.groupBy("person").agg(F.countDistinct("cluster").alias("c")).filter("c > 1").count() == 0
+    pts = workflows.project_vectors(spark, root, os.path.join(tmp, "points"))
+    assert pts.count() == 24 and set(pts.columns) == {"person", "filename", "x", "y"}
