@@ -78,6 +78,17 @@ def mapping_from_frame(mapping: DataFrame, max_classes: int = 10_000) -> dict[st
     return out
 
 
+def class_codes(df: DataFrame, name_col: str, max_classes: int = 10_000) -> dict[str, int]:
+    """Codes ``0..k-1`` for the distinct non-NULL names of ``name_col``, in name
+    order. The distinct names come from a partial (map-side) aggregate and are
+    read with a row bound, so numbering them needs no single-task sort."""
+    rows = (df.select(F.col(name_col).alias("name")).filter(F.col("name").isNotNull())
+            .distinct().limit(max_classes + 1).collect())
+    if len(rows) > max_classes:
+        raise ValueError(f"{name_col} has more than {max_classes} distinct values")
+    return {name: i for i, name in enumerate(sorted(r.name for r in rows))}
+
+
 # ---------------------------------------------------------------- ids, names, paths
 
 def with_image_id(

@@ -41,19 +41,29 @@ def class_stats(
     """Per class: ``[by...], class, tp, support, predicted`` (classes = true
     labels union predicted labels)."""
     g = _by(by)
-    conf = confusion(pred, label_col, prediction_col, g)
+    return _class_stats(confusion(pred, label_col, prediction_col, g), label_col, prediction_col, g)
+
+
+def _class_stats(
+    conf: DataFrame, label_col: str, prediction_col: str, g: list[str], carry: str | None = None,
+) -> DataFrame:
+    """Per-class sums from confusion counts ``n``. A ``carry`` column (a sum per
+    confusion cell) is added up on the true-label side only."""
     ltype = dict(conf.dtypes)[label_col]
     lab, prd, n = F.col(label_col), F.col(prediction_col).cast(ltype), F.col("n")
     zero = F.lit(0).cast("bigint")
+    extra_true = [F.col(carry).alias(carry)] if carry else []
+    extra_pred = [F.lit(None).cast(dict(conf.dtypes)[carry]).alias(carry)] if carry else []
     both = F.array(
         F.struct(lab.alias("cls"), n.alias("support"), zero.alias("predicted"),
-                 F.when(lab == prd, n).otherwise(zero).alias("tp")),
-        F.struct(prd.alias("cls"), zero.alias("support"), n.alias("predicted"), zero.alias("tp")),
+                 F.when(lab == prd, n).otherwise(zero).alias("tp"), *extra_true),
+        F.struct(prd.alias("cls"), zero.alias("support"), n.alias("predicted"), zero.alias("tp"), *extra_pred),
     )
     rows = conf.select(*g, F.explode(both).alias("r")).select(*g, "r.*")
-    return rows.groupBy(*g, "cls").agg(
-        F.sum("tp").alias("tp"), F.sum("support").alias("support"), F.sum("predicted").alias("predicted")
-    )
+    sums = [F.sum("tp").alias("tp"), F.sum("support").alias("support"), F.sum("predicted").alias("predicted")]
+    if carry:
+        sums.append(F.sum(carry).alias(carry))
+    return rows.groupBy(*g, "cls").agg(*sums)
 
 
 def _prf(stats: DataFrame) -> DataFrame:
@@ -176,19 +186,30 @@ def evaluate_splits(
     run_id: str = "run", step: int = 0, on_zero: str = "clip",
 ) -> DataFrame:
     """Metric history rows ``run_id, step, split, metric, value`` for every split
-    at once: accuracy, weighted F1 and (with probabilities) log loss."""
-    acc = accuracy_f1(pred, label_col, prediction_col, by=split_col)
-    parts = [
-        acc.select(split_col, F.lit("accuracy").alias("metric"), F.col("accuracy").alias("value")),
-        acc.select(split_col, F.lit("f1").alias("metric"), F.col("weighted_f1").alias("value")),
-    ]
+    at once: accuracy, weighted F1 and (with probabilities) log loss.
+
+    One pass over the predictions: a single grouped aggregate per (split,
+    label, prediction) carries the row count and the log-loss sum, and every
+    later step works on that table of at most splits x classes^2 rows."""
+    g = [split_col]
+    sums = [F.count(F.lit(1)).alias("n")]
     if probability_col:
-        ll = log_loss(pred, probability_col, label_col, by=split_col, on_zero=on_zero)
-        parts.append(ll.select(split_col, F.lit("loss").alias("metric"), F.col("log_loss").alias("value")))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
+        pred = with_log_loss(pred, probability_col, label_col, "__ll", on_zero)
+        sums.append(F.sum("__ll").alias("ll"))
+    conf = pred.groupBy(*g, label_col, prediction_col).agg(*sums)
+    if not probability_col:
+        conf = conf.withColumn("ll", F.lit(None).cast("double"))
+    per = _prf(_class_stats(conf, label_col, prediction_col, g, carry="ll"))
+    total = F.sum("support")
+    by_split = per.groupBy(*g).agg(
+        (F.sum("tp") / total).alias("accuracy"),
+        (F.sum(F.col("f1") * F.col("support")) / total).alias("f1"),
+        (F.sum("ll") / total).alias("loss"),
+    )
+    metrics = ["accuracy", "f1"] + (["loss"] if probability_col else [])
+    kinds = F.array(*[F.struct(F.lit(m).alias("metric"), F.col(m).cast("double").alias("value")) for m in metrics])
+    out = by_split.select(split_col, F.explode(kinds).alias("k"))
     return out.select(
         F.lit(run_id).alias("run_id"), F.lit(int(step)).alias("step"),
-        F.col(split_col).alias("split"), "metric", F.col("value").cast("double").alias("value"),
+        F.col(split_col).alias("split"), F.col("k.metric").alias("metric"), F.col("k.value").alias("value"),
     )

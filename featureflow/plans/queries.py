@@ -12,7 +12,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from featureflow.operators import aggregates, classify, columns, evaluate, joins, splits
@@ -386,8 +386,7 @@ SELECT e.event_id, e.event_type, m.code AS label FROM events e JOIN m ON e.event
 def q_encode_label_table(spark, sf_dir):
     ev = table(spark, sf_dir, "events").select("event_id", "event_type")
     # the class table: names seen outside failed records, coded in name order
-    names = ev.filter(F.col("event_type") != "error").select(F.col("event_type").alias("name")).distinct()
-    mapping = names.select("name", (F.dense_rank().over(Window.orderBy("name")) - 1).cast("int").alias("code"))
+    mapping = columns.class_codes(ev.filter(F.col("event_type") != "error"), "event_type")
     return columns.encode_label(ev, "event_type", mapping)
 
 

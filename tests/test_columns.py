@@ -19,6 +19,13 @@ def test_valid_labels_and_encode(spark):
     assert sorted(r.label for r in keep.collect()) == [-1, 1, 3, 5]
 
 
+def test_class_codes_in_name_order(spark):
+    df = spark.createDataFrame([("b",), ("a",), (None,), ("b",), ("c",)], "c string")
+    assert columns.class_codes(df, "c") == {"a": 0, "b": 1, "c": 2}
+    with pytest.raises(ValueError):
+        columns.class_codes(df, "c", max_classes=2)
+
+
 def test_encode_label_from_table(spark):
     df = spark.createDataFrame([("x",), ("y",), ("z",)], "c string")
     mapping = spark.createDataFrame([("x", 0), ("y", 1)], "name string, code int")

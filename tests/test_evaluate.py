@@ -85,3 +85,33 @@ def test_evaluate_splits_history(spark):
     rows = {(r.split, r.metric): r.value for r in evaluate.evaluate_splits(df, run_id="r1").collect()}
     assert rows[("train", "accuracy")] == 0.5 and rows[("test", "accuracy")] == 1.0
     assert math.isclose(rows[("test", "loss")], -math.log(0.8))
+
+
+def test_evaluate_splits_matches_separate_metrics(spark):
+    import random
+
+    rnd = random.Random(7)
+    rows = []
+    for i in range(300):
+        lab = rnd.choice([0, 1, 2, 3, None])  # 3 lies outside the vector, None has no class
+        p = [rnd.random() for _ in range(3)]
+        p = [x / sum(p) for x in p]
+        rows.append((rnd.choice(["train", "val", "test"]), lab, rnd.randrange(3), p))
+    df = spark.createDataFrame(rows, "split string, label int, prediction int, probability array<double>")
+    for rule in ("clip", "zero"):
+        got = {(r.split, r.metric): r.value for r in evaluate.evaluate_splits(df, on_zero=rule).collect()}
+        acc = {r.split: r for r in evaluate.accuracy_f1(df, by="split").collect()}
+        ll = {r.split: r.log_loss for r in evaluate.log_loss(df, by="split", on_zero=rule).collect()}
+        assert len(got) == 9
+        for s in ("train", "val", "test"):
+            assert math.isclose(got[(s, "accuracy")], acc[s].accuracy, rel_tol=1e-12)
+            assert math.isclose(got[(s, "f1")], acc[s].weighted_f1, rel_tol=1e-12)
+            assert math.isclose(got[(s, "loss")], ll[s], rel_tol=1e-12)
+    no_prob = evaluate.evaluate_splits(df.drop("probability"), probability_col=None)
+    assert {r.metric for r in no_prob.collect()} == {"accuracy", "f1"}
+
+
+def test_evaluate_splits_reads_predictions_once(spark):
+    df = spark.createDataFrame([("train", 0, 0, [0.9, 0.1])], "split string, label int, prediction int, probability array<double>")
+    plan = evaluate.evaluate_splits(df)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Scan ExistingRDD") + plan.count("LocalTableScan") == 1
