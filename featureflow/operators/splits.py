@@ -66,6 +66,11 @@ def with_batch_id(
     partition) plus the row's place inside the partition. The explicit
     partition count keeps AQE from re-coalescing the range partitions, so both
     reads of the partitioned data see the same partition ids.
+
+    Both reads must see one range shuffle (the bounds come from a random
+    sample). Spark reuses the identical exchange; when exchange reuse is
+    switched off, the ranged rows are checkpointed once to the shared
+    checkpoint folder instead.
     """
     if size <= 0:
         raise ValueError("batch size must be positive")
@@ -78,6 +83,12 @@ def with_batch_id(
         # monotonically_increasing_id = (partition id << 33) + row number in partition
         .withColumn("__local", F.monotonically_increasing_id() - F.shiftleft(F.col("__pid").cast("bigint"), 33))
     )
+    spark = df.sparkSession
+    if spark.conf.get("spark.sql.exchange.reuse", "true").lower() != "true":
+        from featureflow.session import checkpoint_dir
+
+        checkpoint_dir(spark)
+        ranged = ranged.checkpoint(eager=True)
     counts = ranged.groupBy("__pid").agg(F.count(F.lit(1)).alias("__n"))
     offsets = counts.select(
         "__pid",

@@ -46,3 +46,24 @@ def test_batch_id_plan_has_no_single_partition_window_on_rows(spark):
     df = spark.range(0, 100).withColumnRenamed("id", "k")
     plan = splits.with_batch_id(df, "k", 10)._jdf.queryExecution().executedPlan().toString()
     assert "rangepartitioning" in plan.lower()
+
+
+def test_batch_id_reads_one_range_shuffle(spark):
+    # more rows than the range sampler keeps, so two separate shuffles could
+    # draw different bounds; the plan must reuse the one exchange
+    df = spark.range(0, 200_000, numPartitions=6).withColumnRenamed("id", "k")
+    out = splits.with_batch_id(df, "k", 1000, index_col="pos", num_partitions=8)
+    bad = out.filter((F.col("pos") != F.col("k")) | (F.col("batch_id") != F.expr("k div 1000")))
+    assert bad.count() == 0
+    out.collect()
+    assert "ReusedExchange" in out._jdf.queryExecution().executedPlan().toString()
+
+
+def test_batch_id_exact_without_exchange_reuse(spark):
+    spark.conf.set("spark.sql.exchange.reuse", "false")
+    try:
+        df = spark.range(0, 200_000, numPartitions=6).withColumnRenamed("id", "k")
+        out = splits.with_batch_id(df, "k", 1000, index_col="pos", num_partitions=8)
+        assert out.filter((F.col("pos") != F.col("k")) | (F.col("batch_id") != F.expr("k div 1000"))).count() == 0
+    finally:
+        spark.conf.unset("spark.sql.exchange.reuse")
