@@ -183,10 +183,11 @@ def argmax_class(
 def evaluate_splits(
     pred: DataFrame, split_col: str = "split", label_col: str = "label",
     prediction_col: str = "prediction", probability_col: str | None = "probability",
-    run_id: str = "run", step: int = 0, on_zero: str = "clip",
+    run_id: str = "run", step: int = 0, on_zero: str = "clip", classes: Sequence | None = None,
 ) -> DataFrame:
     """Metric history rows ``run_id, step, split, metric, value`` for every split
-    at once: accuracy, weighted F1 and (with probabilities) log loss.
+    at once: accuracy, weighted F1 and (with probabilities) log loss;
+    ``classes`` is the model's class order for the probability vector.
 
     One pass over the predictions: a single grouped aggregate per (split,
     label, prediction) carries the row count and the log-loss sum, and every
@@ -194,7 +195,7 @@ def evaluate_splits(
     g = [split_col]
     sums = [F.count(F.lit(1)).alias("n")]
     if probability_col:
-        pred = with_log_loss(pred, probability_col, label_col, "__ll", on_zero)
+        pred = with_log_loss(pred, probability_col, label_col, "__ll", on_zero, classes)
         sums.append(F.sum("__ll").alias("ll"))
     conf = pred.groupBy(*g, label_col, prediction_col).agg(*sums)
     if not probability_col:

@@ -21,6 +21,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from featureflow import sinks
+from featureflow.session import materialize
 from featureflow.operators import aggregates, classify, columns, evaluate, images, inference, joins, splits
 from featureflow.sources.images import list_images, read_images
 from featureflow.sources.labels import read_labels
@@ -132,12 +133,7 @@ def train(
     else:
         raise ValueError(f"unknown model {model!r}")
     classes = fitted.labels if model == "centroid" else None
-    acc = evaluate.accuracy_f1(pred, by="split")
-    ll = evaluate.log_loss(pred, by="split", classes=classes)
-    hist = acc.select("split", F.lit("accuracy").alias("metric"), F.col("accuracy").alias("value")).unionByName(
-        acc.select("split", F.lit("f1").alias("metric"), F.col("weighted_f1").alias("value"))).unionByName(
-        ll.select("split", F.lit("loss").alias("metric"), F.col("log_loss").alias("value")))
-    hist = hist.select(F.lit(run_id).alias("run_id"), F.lit(0).alias("step"), "split", "metric", "value")
+    hist = evaluate.evaluate_splits(pred, run_id=run_id, step=0, classes=classes)
     sinks.append_metrics(hist, f"{out_dir}/metrics")
     sinks.save_model(fitted, f"{out_dir}/model")
     return spark.read.parquet(f"{out_dir}/metrics").filter(F.col("run_id") == run_id)
@@ -152,7 +148,8 @@ def cluster_vectors(
     from featureflow.operators.cluster import kmeans
     from featureflow.sources.vectors import read_vector_files
 
-    vecs = read_vector_files(spark, features_dir)
+    # the files are parsed once: the fit, the scoring and the summary read the checkpoint
+    vecs = materialize(read_vector_files(spark, features_dir))
     ok = vecs.filter(F.col("status") == "ok")
     clustered, _ = kmeans(ok, k, seed, "features")
     sinks.write_table(clustered, out_path, fmt, columns=["person", "filename", "cluster"])
@@ -165,7 +162,7 @@ def project_vectors(spark: SparkSession, features_dir: str, out_path: str) -> Da
     from featureflow.operators.project import project_2d
     from featureflow.sources.vectors import read_vector_files
 
-    vecs = read_vector_files(spark, features_dir).filter(F.col("status") == "ok")
+    vecs = materialize(read_vector_files(spark, features_dir).filter(F.col("status") == "ok"))
     pts = project_2d(vecs, "features").select("person", "filename", "x", "y")
     sinks.write_table(pts, out_path)
     return spark.read.parquet(out_path)

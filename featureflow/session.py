@@ -76,3 +76,11 @@ def checkpoint_dir(spark: SparkSession) -> str:
         sc.setCheckpointDir(tempfile.mkdtemp(prefix="featureflow-ckpt-"))
         return sc.getCheckpointDir()
     raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/ABFS) before running")
+
+
+def materialize(df):
+    """Write ``df`` once as a reliable checkpoint in the shared checkpoint
+    folder and return the checkpointed frame (lineage cut, so later jobs and
+    task retries read these files instead of redoing the work)."""
+    checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
