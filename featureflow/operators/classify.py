@@ -2,8 +2,8 @@
 multilayer perceptron (Spark ML), and scoring.
 
 The nearest-centroid fit is one grouped aggregate (Spark ML ``Summarizer``,
-partial on the map side); the model is the class-centre matrix, whose size is
-bounded by ``max_classes`` x dimension and checked before it is read. Scoring
+partial on the map side); the model is the class-centre matrix, whose row
+count and byte size are checked before it is read. Scoring
 runs in an Arrow-batched pandas UDF (numpy distances per batch), so there is no
 join between rows and centres and no rows-times-centres intermediate.
 """
@@ -21,6 +21,7 @@ from featureflow.operators.aggregates import require_rows
 from featureflow.operators.columns import with_vector
 
 DIST_DIGITS = 9
+CENTERS_MAX_BYTES = 512 << 20
 
 
 def centroid_means(df: DataFrame, features_col: str = "features", label_col: str = "label") -> DataFrame:
@@ -111,16 +112,25 @@ def fit_centroids(
     features_col: str = "features",
     label_col: str = "label",
     max_classes: int = 10_000,
+    max_bytes: int = CENTERS_MAX_BYTES,
 ) -> CentroidModel:
-    """Nearest-centroid fit: per-label mean vector (one aggregate job; the
-    result, one row per class, is read after checking it has at most
-    ``max_classes`` rows)."""
-    means = centroid_means(train, features_col, label_col)
-    rows = means.limit(max_classes + 1).collect()
-    if not rows:
-        raise ValueError("training input is empty")
-    if len(rows) > max_classes:
-        raise ValueError(f"more than {max_classes} classes")
+    """Nearest-centroid fit: per-label mean vector (one aggregate job over the
+    training rows). The result, one row per class, stays on the executors
+    until its shape is known: at most ``max_classes`` rows and a centre
+    matrix of at most ``max_bytes`` (it is read by the driver and broadcast
+    for scoring)."""
+    means = centroid_means(train, features_col, label_col).cache()
+    try:
+        k, d = means.agg(F.count(F.lit(1)), F.max(F.size("center"))).first()
+        if k == 0:
+            raise ValueError("training input is empty")
+        if k > max_classes:
+            raise ValueError(f"more than {max_classes} classes")
+        if k * d * 8 > max_bytes:
+            raise ValueError(f"centre matrix {k} x {d} exceeds {max_bytes} bytes")
+        rows = means.collect()
+    finally:
+        means.unpersist()
     rows = sorted(rows, key=lambda r: (r[label_col] is None, r[label_col]))
     if rows[-1][label_col] is None:
         raise ValueError("NULL label in training input")

@@ -3,7 +3,7 @@
 Joins are declared on explicit keys and left to Catalyst + AQE: sort-merge by
 default, turned into a broadcast at run time when a side turns out small, and
 skewed partitions split by AQE's skew-join rule. A side is only broadcast by
-hint after its row count was checked against a bound.
+hint after its row count and size were checked against a bound.
 """
 
 from __future__ import annotations
@@ -18,13 +18,43 @@ def _keys(on: str | Sequence[str]) -> list[str]:
     return [on] if isinstance(on, str) else list(on)
 
 
-def sized_broadcast(df: DataFrame, max_rows: int) -> tuple[DataFrame, bool]:
-    """``broadcast(df)`` if it holds at most ``max_rows`` rows, else ``df``.
+BROADCAST_MAX_BYTES = 256 << 20
+_WIDTHS = {"BooleanType": 1, "ByteType": 1, "ShortType": 2, "IntegerType": 4, "FloatType": 4, "DateType": 4,
+           "DecimalType": 16}
 
-    The check is a bounded job (it stops reading after ``max_rows + 1`` rows).
+
+def row_bytes(df: DataFrame):
+    """Estimated bytes of one row: strings and binaries by their length, fixed
+    types by their width, nested values by the length of their JSON text."""
+    from pyspark.sql import types as T
+
+    parts = []
+    for f in df.schema.fields:
+        c = F.col(f"`{f.name}`")
+        if isinstance(f.dataType, (T.StringType, T.BinaryType)):
+            parts.append(F.coalesce(F.octet_length(c), F.lit(0)))
+        elif isinstance(f.dataType, (T.ArrayType, T.MapType, T.StructType)):
+            parts.append(F.coalesce(F.octet_length(F.to_json(F.struct(c))), F.lit(0)))
+        else:
+            parts.append(F.lit(_WIDTHS.get(type(f.dataType).__name__, 8)))
+    total = F.lit(0).cast("bigint")
+    for p in parts:
+        total = total + p.cast("bigint")
+    return total
+
+
+def sized_broadcast(
+    df: DataFrame, max_rows: int, max_bytes: int = BROADCAST_MAX_BYTES,
+) -> tuple[DataFrame, bool]:
+    """``broadcast(df)`` if it holds at most ``max_rows`` rows and about
+    ``max_bytes`` bytes, else ``df`` (the planner and AQE decide).
+
+    The check is one bounded job: it stops reading after ``max_rows + 1`` rows
+    and sums the estimated row sizes of what it read.
     """
-    n = df.limit(max_rows + 1).count()
-    if n <= max_rows:
+    probe = df.limit(max_rows + 1)
+    n, size = probe.agg(F.count(F.lit(1)), F.coalesce(F.sum(row_bytes(probe)), F.lit(0))).first()
+    if n <= max_rows and size <= max_bytes:
         return F.broadcast(df), True
     return df, False
 

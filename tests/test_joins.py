@@ -53,3 +53,18 @@ def test_union_manifests(spark):
     b = spark.createDataFrame([(2, "y", "extra")], "image_id bigint, name string, note string")
     u = joins.union_manifests(a, b, sources=["a", "b"]).orderBy("image_id").collect()
     assert [(r.name, r.image_id, r.note, r.source) for r in u] == [("x", 1, None, "a"), ("y", 2, "extra", "b")]
+
+
+def test_sized_broadcast_checks_rows_and_bytes(spark):
+    from featureflow.operators.joins import row_bytes, sized_broadcast
+
+    df = spark.createDataFrame([(i, "x" * 100, [1.0, 2.0]) for i in range(50)], "k int, s string, v array<double>")
+    assert row_bytes(df) is not None
+    _, ok = sized_broadcast(df, 100)
+    assert ok
+    _, ok = sized_broadcast(df, 49)
+    assert not ok
+    _, ok = sized_broadcast(df, 100, max_bytes=50 * 100)  # 100-byte strings alone exceed it
+    assert not ok
+    b, ok = sized_broadcast(df, 100, max_bytes=50 * 200)
+    assert ok and "broadcast" in b._jdf.queryExecution().analyzed().toString().lower()

@@ -80,3 +80,12 @@ def test_projection_equals_numpy_pca(spark):
     # Spark ML's PCA projects the raw (uncentred) vectors
     want = x @ comp
     assert np.allclose(got[["x", "y"]].to_numpy(), want, atol=1e-6)
+
+
+def test_fit_centroids_checks_matrix_bytes(spark):
+    df = spark.createDataFrame([(i % 3, [float(i)] * 100) for i in range(30)], "label int, features array<float>")
+    assert classify.fit_centroids(df).centers.shape == (3, 100)
+    with pytest.raises(ValueError, match="exceeds"):
+        classify.fit_centroids(df, max_bytes=3 * 100 * 8 - 1)
+    with pytest.raises(ValueError, match="classes"):
+        classify.fit_centroids(df, max_classes=2)
