@@ -86,15 +86,12 @@ def image_features(
     the intermediate crops are never written or shuffled."""
     hw = (size, size) if isinstance(size, int) else tuple(size)
     resizer = img.RESIZERS[method]
-    cropper = {"xyxy": img.crop_xyxy, "xywh": img.crop_xywh}[box]
+    cropper = img.CROPPERS[box]
     feat = extractor or (lambda a: block_features(a, 4, 16))
 
     def fn(arr, row):
         if box_col is not None:
-            b = row[box_col]
-            if b is None or len(b) != 4 or any(v is None for v in b):
-                raise img.StageError("bad_bbox")
-            arr = cropper(arr, b)
+            arr = cropper(arr, img.box_of(row, box_col))
         arr = resizer(arr, hw)
         if gray_channels:
             arr = img.gray(arr, gray_channels)

@@ -63,12 +63,11 @@ def preprocess(
     spark: SparkSession, manifest_paths, image_root: str, out_path: str,
     size: int = 128, box: str = "xyxy", method: str = "bilinear",
 ) -> DataFrame:
-    """Crop + resize every manifest picture; write ``person, image_id, image,
+    """Crop + resize every manifest picture (one fused stage); write ``person, image_id, image,
     status`` as Parquet once; return the status summary (read back from the
     written table, so the pictures are not processed twice)."""
     j = _manifest_pictures(spark, manifest_paths, image_root)
-    cropped = images.crop(j, "bbox_coords", box)
-    resized = images.resize(cropped, size, method)
+    resized = images.crop_resize(j, "bbox_coords", box, size, method)
     sinks.write_table(resized.select(*KEY, "image", "status"), out_path)
     return aggregates.status_summary(spark.read.parquet(out_path))
 

@@ -75,6 +75,26 @@ def test_read_and_transform_pictures(spark, picture_dir):
     assert all(r.pixels is None or len(r.pixels) == 4 * 4 * 3 for r in px)
 
 
+def test_crop_resize_fused_equals_chain(spark, picture_dir):
+    from featureflow.sources.images import read_images
+
+    pics = read_images(spark, picture_dir)
+    box = F.when(F.col("image_id") == 13, F.lit(None).cast("array<int>")).otherwise(
+        F.array(F.lit(1), F.lit(2), F.lit(9), F.lit(7)))
+    boxed = pics.withColumn("bbox_coords", box)
+    for gray_channels in (None, 3):
+        chain = I.resize(I.crop(boxed, "bbox_coords", "xyxy"), (5, 3), "bilinear")
+        if gray_channels:
+            chain = I.to_gray(chain, gray_channels)
+        fused = I.crop_resize(boxed, "bbox_coords", "xyxy", (5, 3), "bilinear", gray_channels)
+        a = {(r.person, r.image_id): (r.status, r.image) for r in chain.collect()}
+        b = {(r.person, r.image_id): (r.status, r.image) for r in fused.collect()}
+        assert a == b
+        assert b[("Ann_Example", 13)][0] == "bad_bbox" and b[("Bob", 8)][0] == "undecodable"
+    plan = I.crop_resize(boxed)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("MapInPandas") == 1
+
+
 def test_crop_matches_numpy_on_decoded_png(spark, picture_dir):
     from featureflow.sources.images import read_images
 
