@@ -48,12 +48,32 @@ def pending_images(spark: SparkSession, manifest_paths, image_root: str, ext: st
     return joins.pending(todo, done, KEY)
 
 
-def _manifest_pictures(spark, manifest_paths, image_root) -> DataFrame:
+MANIFEST_BROADCAST_ROWS = 5_000_000
+
+
+def _manifest_pictures(spark, manifest_paths, image_root, broadcast_max_rows: int = MANIFEST_BROADCAST_ROWS,
+                       ) -> DataFrame:
     """Manifest rows joined to their decoded picture; no picture -> status
-    ``missing_image``."""
+    ``missing_image``.
+
+    The pictures are the big side. When the manifest passes the row and byte
+    bound it is broadcast and the pictures are joined where they are read (no
+    picture bytes are shuffled); manifest rows without a picture come from an
+    anti join against the file listing, which carries keys only. Above the
+    bound it is a plain left join that the planner shuffles on the key.
+    """
     rows = manifest_rows(spark, manifest_paths).select(*KEY, "bbox_coords", "status")
     pics = read_images(spark, image_root).select(*KEY, "image", F.col("status").alias("__pic_status"))
-    j = rows.join(pics, KEY, "left")
+    small, fits = joins.sized_broadcast(rows, broadcast_max_rows)
+    if fits:
+        hit = pics.join(small, KEY, "inner").select(*KEY, "bbox_coords", "status", "image", "__pic_status")
+        listed = list_images(spark, image_root, require_any=False).select(*KEY)
+        miss = joins.pending(rows, listed, KEY).select(
+            *KEY, "bbox_coords", "status", F.lit(None).cast(images.IMAGE_TYPE).alias("image"),
+            F.lit(None).cast("string").alias("__pic_status"))
+        j = hit.unionByName(miss)
+    else:
+        j = rows.join(pics, KEY, "left")
     j = columns.with_status(j, F.col("__pic_status").isNull(), "missing_image")
     j = columns.with_status(j, F.col("__pic_status") != "ok", "undecodable")
     return j.drop("__pic_status")

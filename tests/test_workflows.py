@@ -67,6 +67,18 @@ def test_pending_preprocess_features_train(spark, layout):
     assert samples.count() == 30  # unknown class, error record and missing features are dropped
 
 
+def test_manifest_pictures_broadcast_and_shuffle_paths_agree(spark, layout):
+    def rows(df):
+        return sorted((r.person, r.image_id, r.status, r.bbox_coords and tuple(r.bbox_coords),
+                       r.image and (r.image.height, r.image.width, bytes(r.image.data))) for r in df.collect())
+
+    small = workflows._manifest_pictures(spark, layout["manifest"], layout["images"])
+    big = workflows._manifest_pictures(spark, layout["manifest"], layout["images"], broadcast_max_rows=0)
+    assert rows(small) == rows(big)
+    assert len(rows(small)) == 37
+    assert "BroadcastHashJoin" in small._jdf.queryExecution().executedPlan().toString()
+
+
 def test_train_on_empty_raises(spark, layout):
     feats_path = os.path.join(layout["tmp"], "nofeatures")
     spark.createDataFrame([], "person string, image_id bigint, features array<float>, status string") \
