@@ -184,6 +184,7 @@ def evaluate_splits(
     pred: DataFrame, split_col: str = "split", label_col: str = "label",
     prediction_col: str = "prediction", probability_col: str | None = "probability",
     run_id: str = "run", step: int = 0, on_zero: str = "clip", classes: Sequence | None = None,
+    digits: int | None = None,
 ) -> DataFrame:
     """Metric history rows ``run_id, step, split, metric, value`` for every split
     at once: accuracy, weighted F1 and (with probabilities) log loss;
@@ -208,7 +209,8 @@ def evaluate_splits(
         (F.sum("ll") / total).alias("loss"),
     )
     metrics = ["accuracy", "f1"] + (["loss"] if probability_col else [])
-    kinds = F.array(*[F.struct(F.lit(m).alias("metric"), F.col(m).cast("double").alias("value")) for m in metrics])
+    kinds = F.array(*[F.struct(F.lit(m).alias("metric"), _round(F.col(m).cast("double"), digits).alias("value"))
+                      for m in metrics])
     out = by_split.select(split_col, F.explode(kinds).alias("k"))
     return out.select(
         F.lit(run_id).alias("run_id"), F.lit(int(step)).alias("step"),

@@ -737,6 +737,48 @@ def q_evaluate_splits(spark, sf_dir):
     return evaluate.evaluate_splits(_forest_predictions(spark, sf_dir), run_id="forest", step=0)
 
 
+@register("evaluate_splits_centroid", "WITH " + _NC_SQL + """,
+conf AS (SELECT split, label, prediction, count(*) AS n FROM pred GROUP BY split, label, prediction),
+st AS (
+  SELECT split, cls, sum(tp) AS tp, sum(support) AS support, sum(predicted) AS predicted
+  FROM (SELECT split, label AS cls, CASE WHEN label = prediction THEN n ELSE 0 END AS tp,
+               n AS support, 0 AS predicted FROM conf
+        UNION ALL
+        SELECT split, prediction AS cls, 0 AS tp, 0 AS support, n AS predicted FROM conf) u
+  GROUP BY split, cls
+),
+prf AS (
+  SELECT *, CASE WHEN predicted > 0 THEN tp / predicted ELSE 0.0 END AS precision,
+            CASE WHEN support > 0 THEN tp / support ELSE 0.0 END AS recall
+  FROM st
+),
+prf2 AS (
+  SELECT *, CASE WHEN precision + recall > 0 THEN 2 * precision * recall / (precision + recall)
+                 ELSE 0.0 END AS f1
+  FROM prf
+),
+acc AS (
+  SELECT split, sum(tp) / sum(support) AS accuracy, sum(f1 * support) / sum(support) AS f1
+  FROM prf2 GROUP BY split
+),
+ll AS (
+  SELECT s.split, avg(-ln(greatest(coalesce(probs.p, 0.0), 1e-15))) AS loss
+  FROM s LEFT JOIN probs ON s.vec_id = probs.vec_id AND s.label = probs.c_label
+  GROUP BY s.split
+)
+SELECT 'centroid' AS run_id, 0 AS step, split, metric, value FROM (
+  SELECT split, 'accuracy' AS metric, round(accuracy, 9) AS value FROM acc
+  UNION ALL SELECT split, 'f1', round(f1, 9) FROM acc
+  UNION ALL SELECT split, 'loss', round(loss, 9) FROM ll
+) m""")
+def q_evaluate_splits_centroid(spark, sf_dir):
+    """Metric history (E5) of the nearest-centroid model: one pass over its
+    predictions, checkable against SQL."""
+    s, model = _nc_model(spark, sf_dir)
+    return evaluate.evaluate_splits(model.transform(s, "embedding"), run_id="centroid", step=0,
+                                    classes=model.labels, digits=DIGITS)
+
+
 # ============================================================ streaming form of the label join
 
 @register("stream_join_labels", """
