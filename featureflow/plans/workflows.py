@@ -112,16 +112,27 @@ SAMPLE_SCHEMA = "person string, image_id bigint, label int, features array<float
 def build_samples(
     spark: SparkSession, labels_path: str, features_path: str, out_path: str,
     mapping: Mapping[str, int] | None = None, weights: Mapping[str, float] | None = None, seed: int = 0,
-    max_records: int | None = None,
+    max_records: int | None = None, features_format: str = "parquet",
 ) -> DataFrame:
     """Labels x features -> split -> one Parquet write (folders per split).
-    Returns the written samples (read back with a fixed schema)."""
+    Returns the written samples (read back with a fixed schema).
+
+    ``features_path`` is the table written by ``features`` (``parquet``) or a
+    folder of ``<person>/<id>.npy`` vector files (``npy``)."""
     labs = columns.valid_labels(read_labels(spark, labels_path))
     labs = columns.with_path_parts(labs, "image_path")
     labs = labs.select(F.col("parent").alias("person"), F.col("stem").try_cast("bigint").alias("image_id"),
                        "emotion")
     labs = columns.encode_label(labs, "emotion", mapping)
-    feats = spark.read.parquet(features_path).filter(F.col("status") == "ok").select(*KEY, "features")
+    if features_format == "parquet":
+        feats = spark.read.parquet(features_path)
+    elif features_format == "npy":
+        from featureflow.sources.vectors import read_vector_files
+
+        feats = read_vector_files(spark, features_path)
+    else:
+        raise ValueError(f"features_format must be 'parquet' or 'npy', not {features_format!r}")
+    feats = feats.filter(F.col("status") == "ok").select(*KEY, "features")
     samples = joins.join_features(labs, feats, KEY).select(*KEY, "label", "features")
     samples = splits.hash_split(samples, KEY, dict(weights) if weights else None, seed)
     sinks.write_samples(samples, out_path, max_records=max_records)
@@ -131,13 +142,15 @@ def build_samples(
 def train(
     spark: SparkSession, labels_path: str, features_path: str, out_dir: str,
     model: str = "forest", mapping: Mapping[str, int] | None = None,
-    weights: Mapping[str, float] | None = None, run_id: str = "run", **params,
+    weights: Mapping[str, float] | None = None, run_id: str = "run", features_format: str = "parquet",
+    **params,
 ) -> DataFrame:
     """Build samples, fit on ``train``, score every split and append the metric
     history (``run_id, step, split, metric, value``). Raises on an empty
     training set. ``model``: ``forest``, ``mlp`` or ``centroid``."""
     out_dir = out_dir.rstrip("/")
-    s = build_samples(spark, labels_path, features_path, f"{out_dir}/samples", mapping, weights)
+    s = build_samples(spark, labels_path, features_path, f"{out_dir}/samples", mapping, weights,
+                      features_format=features_format)
     tr = s.filter(F.col("split") == "train")
     aggregates.require_rows(tr, "training split")
     if model == "forest":

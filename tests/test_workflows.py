@@ -128,3 +128,24 @@ def test_cluster_and_project_vector_files(spark, tmp):
     assert cl.groupBy("person").agg(F.countDistinct("cluster").alias("c")).filter("c > 1").count() == 0
     pts = workflows.project_vectors(spark, root, os.path.join(tmp, "points"))
     assert pts.count() == 24 and set(pts.columns) == {"person", "filename", "x", "y"}
+
+
+def test_train_from_vector_files(spark, tmp):
+    rng = np.random.default_rng(5)
+    root = os.path.join(tmp, "vectors")
+    labels = []
+    for person in ["Ann", "Bob"]:
+        os.makedirs(os.path.join(root, person))
+        for i in range(20):
+            cls = i % 2
+            np.save(os.path.join(root, person, f"{i}.npy"), (cls * 4.0 + rng.normal(0, 0.1, 8)).astype(np.float32))
+            labels.append({"image_path": f"data/raw/images/{person}/{i}.jpg", "emotion": ["happy", "sad"][cls]})
+    labels.append({"image_path": "data/raw/images/Ann/99.jpg", "emotion": "happy"})  # no vector file
+    labels_path = os.path.join(tmp, "labels.json")
+    with open(labels_path, "w") as f:
+        json.dump(labels, f)
+    hist = workflows.train(spark, labels_path, root, os.path.join(tmp, "run"), model="centroid",
+                           features_format="npy")
+    rows = {(r.split, r.metric): r.value for r in hist.collect()}
+    assert rows[("train", "accuracy")] == 1.0
+    assert spark.read.parquet(os.path.join(tmp, "run", "samples")).count() == 40
