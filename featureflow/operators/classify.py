@@ -3,9 +3,11 @@ multilayer perceptron (Spark ML), and scoring.
 
 The nearest-centroid fit is one grouped aggregate (Spark ML ``Summarizer``,
 partial on the map side); the model is the class-centre matrix, whose row
-count and byte size are checked before it is read. Scoring
-runs in an Arrow-batched pandas UDF (numpy distances per batch), so there is no
-join between rows and centres and no rows-times-centres intermediate.
+count and byte size are checked before it is read. Scoring runs as an Arrow
+UDF: each batch's vectors are read from the Arrow list buffers as one matrix
+(no per-row Python objects) and numpy computes the distances to the broadcast
+centres, so there is no join between rows and centres and no
+rows-times-centres intermediate.
 """
 
 from __future__ import annotations
@@ -13,7 +15,7 @@ from __future__ import annotations
 from dataclasses import dataclass, field
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -74,35 +76,60 @@ class CentroidModel:
         return res.select(*[c for c in df.columns], *cols)
 
 
+def _rows_matrix(col, d: int):
+    """``(valid, x)``: which rows hold a vector of length ``d``, and those
+    vectors as an ``n_valid x d`` float64 matrix, read straight from the Arrow
+    list buffers (no per-row Python objects)."""
+    import pyarrow.compute as pc
+
+    if isinstance(col, pa.ChunkedArray):
+        col = col.combine_chunks()
+    lens = pc.fill_null(pc.list_value_length(col), -1).to_numpy(zero_copy_only=False)
+    valid = lens == d
+    starts = col.offsets.to_numpy(zero_copy_only=False)[:-1][valid]
+    vals = col.values.to_numpy(zero_copy_only=False).astype(np.float64, copy=False)
+    if len(starts) == 0:
+        return valid, np.empty((0, d))
+    if np.all(np.diff(starts) == d):  # contiguous: one slice, one reshape
+        return valid, vals[starts[0]: starts[0] + len(starts) * d].reshape(-1, d)
+    return valid, vals[starts[:, None] + np.arange(d)[None, :]]
+
+
 def _make_scorer(spark: SparkSession, labels, centers: np.ndarray, digits: int, out_type: str):
+    """Arrow UDF: the feature column arrives as an Arrow list array and the
+    struct result is built as Arrow arrays; numpy does the distances."""
+    from pyspark.sql.pandas.types import to_arrow_type
+    from pyspark.sql.types import _parse_datatype_string
+
     bc = spark.sparkContext.broadcast(np.ascontiguousarray(centers, dtype=np.float64))
-    label_arr = list(labels)
+    label_type = to_arrow_type(_parse_datatype_string(out_type)["prediction"].dataType)
+    label_arr = pa.array(list(labels), type=label_type)
 
-    @F.pandas_udf(out_type)
-    def score(feats: pd.Series) -> pd.DataFrame:
+    @F.arrow_udf(out_type)
+    def score(feats: pa.Array) -> pa.Array:
         c = bc.value
         k, d = c.shape
-        n = len(feats)
-        pred = np.empty(n, dtype=object)
-        prob = np.empty(n, dtype=object)
-        dist = np.full(n, np.nan)
-        ok = np.fromiter((v is not None and len(v) == d for v in feats), dtype=bool, count=n)
-        if ok.any():
-            x = np.stack([np.asarray(v, dtype=np.float64) for v in feats[ok]])
-            dd = np.empty((x.shape[0], k))
-            for j in range(k):
-                diff = x - c[j]
-                dd[:, j] = np.einsum("ij,ij->i", diff, diff)
-            best = np.argmin(np.round(dd, digits), axis=1)
-            shifted = np.exp(-(dd - dd.min(axis=1, keepdims=True)))
-            p = shifted / shifted.sum(axis=1, keepdims=True)
-            idx = np.flatnonzero(ok)
-            for r, i in enumerate(idx):
-                pred[i] = label_arr[best[r]]
-                prob[i] = p[r]
-            dist[idx] = np.round(dd[np.arange(len(idx)), best], digits)
-        dist_s = pd.Series(dist).astype(object).where(~np.isnan(dist), None)
-        return pd.DataFrame({"prediction": pred, "probability": prob, "distance": dist_s})
+        valid, x = _rows_matrix(feats, d)
+        m = x.shape[0]
+        dd = np.empty((m, k))
+        for j in range(k):
+            diff = x - c[j]
+            dd[:, j] = np.einsum("ij,ij->i", diff, diff)
+        best = np.argmin(np.round(dd, digits), axis=1)
+        p = np.exp(-(dd - dd.min(axis=1, keepdims=True))) if m else dd
+        p = p / p.sum(axis=1, keepdims=True) if m else p
+        # rows without a usable vector take slot 0 and are masked to NULL
+        slot = np.zeros(len(valid), dtype=np.int64)
+        slot[valid] = best
+        dist = np.zeros(len(valid))
+        dist[valid] = np.round(dd[np.arange(m), best], digits)
+        offsets = np.concatenate([[0], np.cumsum(np.where(valid, k, 0))]).astype(np.int32)
+        null = pa.array(~valid)
+        prob = pa.ListArray.from_arrays(pa.array(offsets), pa.array(p.ravel(), type=pa.float64()), mask=null)
+        pred = label_arr.take(pa.array(slot)).to_numpy(zero_copy_only=False)
+        pred = pa.array(pred, type=label_type, mask=~valid)
+        return pa.StructArray.from_arrays([pred, prob, pa.array(dist, mask=~valid)],
+                                          names=["prediction", "probability", "distance"])
 
     return score
 

@@ -89,3 +89,28 @@ def test_fit_centroids_checks_matrix_bytes(spark):
         classify.fit_centroids(df, max_bytes=3 * 100 * 8 - 1)
     with pytest.raises(ValueError, match="classes"):
         classify.fit_centroids(df, max_classes=2)
+
+
+def test_rows_matrix_reads_arrow_lists():
+    import pyarrow as pa
+
+    from featureflow.operators.classify import _rows_matrix
+
+    arr = pa.array([[1.0, 2.0], None, [3.0], [4.0, 5.0], [6.0, None]], type=pa.list_(pa.float32()))
+    valid, x = _rows_matrix(arr, 2)
+    assert valid.tolist() == [True, False, False, True, True]
+    assert np.allclose(x[:2], [[1, 2], [4, 5]]) and x[2, 0] == 6 and np.isnan(x[2, 1])
+    valid, x = _rows_matrix(arr.slice(3, 2), 2)  # a slice keeps its offsets into the full child array
+    assert valid.tolist() == [True, True] and x[0].tolist() == [4.0, 5.0]
+    valid, x = _rows_matrix(pa.array([None], type=pa.list_(pa.float64())), 3)
+    assert valid.tolist() == [False] and x.shape == (0, 3)
+
+
+def test_centroid_scores_odd_rows_as_null(spark):
+    df = spark.createDataFrame([(0, [0.0, 0.0]), (1, [4.0, 4.0])], "label int, features array<double>")
+    model = classify.fit_centroids(df)
+    odd = spark.createDataFrame([(1, None), (2, [1.0]), (3, [3.5, 3.0])], "id int, features array<double>")
+    rows = {r.id: r for r in model.transform(odd, distance_col="distance").collect()}
+    assert rows[1].prediction is None and rows[1].probability is None and rows[1].distance is None
+    assert rows[2].prediction is None
+    assert rows[3].prediction == 1 and abs(sum(rows[3].probability) - 1) < 1e-12 and rows[3].distance == 1.25
