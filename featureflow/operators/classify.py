@@ -20,6 +20,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from featureflow.operators.aggregates import require_rows
+from featureflow.operators.arrow import rows_matrix
 from featureflow.operators.columns import with_vector
 
 DIST_DIGITS = 9
@@ -76,25 +77,6 @@ class CentroidModel:
         return res.select(*[c for c in df.columns], *cols)
 
 
-def _rows_matrix(col, d: int):
-    """``(valid, x)``: which rows hold a vector of length ``d``, and those
-    vectors as an ``n_valid x d`` float64 matrix, read straight from the Arrow
-    list buffers (no per-row Python objects)."""
-    import pyarrow.compute as pc
-
-    if isinstance(col, pa.ChunkedArray):
-        col = col.combine_chunks()
-    lens = pc.fill_null(pc.list_value_length(col), -1).to_numpy(zero_copy_only=False)
-    valid = lens == d
-    starts = col.offsets.to_numpy(zero_copy_only=False)[:-1][valid]
-    vals = col.values.to_numpy(zero_copy_only=False).astype(np.float64, copy=False)
-    if len(starts) == 0:
-        return valid, np.empty((0, d))
-    if np.all(np.diff(starts) == d):  # contiguous: one slice, one reshape
-        return valid, vals[starts[0]: starts[0] + len(starts) * d].reshape(-1, d)
-    return valid, vals[starts[:, None] + np.arange(d)[None, :]]
-
-
 def _make_scorer(spark: SparkSession, labels, centers: np.ndarray, digits: int, out_type: str):
     """Arrow UDF: the feature column arrives as an Arrow list array and the
     struct result is built as Arrow arrays; numpy does the distances."""
@@ -109,7 +91,7 @@ def _make_scorer(spark: SparkSession, labels, centers: np.ndarray, digits: int,
     def score(feats: pa.Array) -> pa.Array:
         c = bc.value
         k, d = c.shape
-        valid, x = _rows_matrix(feats, d)
+        valid, x = rows_matrix(feats, d)
         m = x.shape[0]
         dd = np.empty((m, k))
         for j in range(k):

@@ -18,10 +18,12 @@ from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from featureflow.operators.arrow import binary_rows, rows_matrix
 from featureflow.operators.columns import OK
 
 IMAGE_FIELDS = ["origin", "height", "width", "nChannels", "mode", "data"]
@@ -378,9 +380,10 @@ def vectors_to_images(df: DataFrame, vector_col: str, height: int, width: int, c
     another length gives a NULL image)."""
     size = height * width * channels
 
-    @F.pandas_udf(T.BinaryType())
-    def to_bytes(v: pd.Series) -> pd.Series:
-        return v.map(lambda a: None if a is None or len(a) != size else np.asarray(a, dtype="<f4").tobytes())
+    @F.arrow_udf(T.BinaryType())
+    def to_bytes(v: pa.Array) -> pa.Array:
+        valid, x = rows_matrix(v, size)
+        return binary_rows(valid, x.astype("<f4"))
 
     data = to_bytes(F.col(vector_col))
     img = F.struct(

@@ -134,3 +134,17 @@ def test_predict_batch_extractor(spark):
     row = out.orderBy("vec_id").first()
     a = np.asarray(row.embedding, np.float64).reshape(8, 8, 1)
     assert np.allclose(row.features, I.block_means(a, 2), atol=1e-6)
+
+
+def test_binary_rows_and_vectors_to_images(spark):
+    from featureflow.operators.arrow import binary_rows
+
+    valid = np.array([True, False, True])
+    rows = np.array([[1, 2], [3, 4]], dtype="<f4")
+    out = binary_rows(valid, rows)
+    assert out.to_pylist() == [rows[0].tobytes(), None, rows[1].tobytes()]
+    df = spark.createDataFrame([(1, [float(i) for i in range(6)]), (2, None), (3, [1.0, 2.0])],
+                               "id int, v array<float>")
+    imgs = {r.id: r.image for r in I.vectors_to_images(df, "v", 2, 3).collect()}
+    assert np.frombuffer(imgs[1].data, dtype="<f4").tolist() == [0.0, 1.0, 2.0, 3.0, 4.0, 5.0]
+    assert imgs[2].data is None and imgs[3].data is None

@@ -94,7 +94,7 @@ def test_fit_centroids_checks_matrix_bytes(spark):
 def test_rows_matrix_reads_arrow_lists():
     import pyarrow as pa
 
-    from featureflow.operators.classify import _rows_matrix
+    from featureflow.operators.arrow import rows_matrix as _rows_matrix
 
     arr = pa.array([[1.0, 2.0], None, [3.0], [4.0, 5.0], [6.0, None]], type=pa.list_(pa.float32()))
     valid, x = _rows_matrix(arr, 2)
