@@ -134,18 +134,23 @@ def attach_names(
     """Coordinates + names by key, with the length guard of the original as a
     per-key guard: a point without a name, or with two, raises at run time."""
     keys = _keys(on)
-    # rows per name key (a fixed-width hash aggregate, partial on the map side);
-    # joined back on the key, so the name side keeps its key partitioning and
-    # the points join needs no further shuffle of it
+    # rows per name key: a fixed-width hash aggregate, partial on the map side,
+    # so a repeated key is one partial row per map task
     counts = names.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))
-    joined = points.join(names.join(counts, keys), keys, "left")
     # a filter (not a dropped column) so the optimizer cannot prune the guard
     guard = (
         F.when(F.col("__n").isNull(), F.raise_error(F.lit("point without a name")))
         .when(F.col("__n") > 1, F.raise_error(F.lit("name key repeated")))
         .otherwise(F.lit(True))
     )
-    return joined.filter(guard).drop("__n")
+    # the guard runs on points x counts (one row per key, so nothing fans out);
+    # names are joined only behind it, so a repeated key raises before any
+    # task gathers its rows, and past the guard every key has exactly one name.
+    # Both joins are left joins: an inner join would let the optimizer infer
+    # filters of the names side onto the points and drop unnamed points
+    # before the guard sees them.
+    checked = points.join(counts, keys, "left").filter(guard).drop("__n")
+    return checked.join(names, keys, "left")
 
 
 def union_manifests(*dfs: DataFrame, sources: Sequence[str] | None = None, source_col: str = "source") -> DataFrame:

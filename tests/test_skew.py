@@ -68,3 +68,16 @@ def test_split_and_batches_under_skew(spark, skewed):
     order = sorted(rows, key=lambda r: (r.k, r.row))
     assert [r.pos for r in order] == list(range(30000))
     assert all(r.batch_id == r.pos // 1000 for r in rows)
+
+
+def test_attach_names_hot_repeated_key_raises(spark):
+    n = 30_000
+    pts = spark.range(0, n).select(F.col("id").alias("sample_id"), F.rand(1).alias("x"))
+    # a third of the name rows share key 0
+    names = spark.range(0, n).select(
+        F.when(F.col("id") < n // 3, F.lit(0)).otherwise(F.col("id")).alias("sample_id"),
+        F.concat(F.lit("n"), F.col("id").cast("string")).alias("name"))
+    with pytest.raises(Exception, match="name key repeated"):
+        joins.attach_names(pts, names).collect()
+    ok = spark.range(0, n).select(F.col("id").alias("sample_id"), F.col("id").cast("string").alias("name"))
+    assert joins.attach_names(pts, ok).filter(F.col("name") != F.col("sample_id").cast("string")).count() == 0
