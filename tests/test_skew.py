@@ -73,9 +73,9 @@ def test_split_and_batches_under_skew(spark, skewed):
 def test_attach_names_hot_repeated_key_raises(spark):
     n = 30_000
     pts = spark.range(0, n).select(F.col("id").alias("sample_id"), F.rand(1).alias("x"))
-    # a third of the name rows share key 0
-    names = spark.range(0, n).select(
-        F.when(F.col("id") < n // 3, F.lit(0)).otherwise(F.col("id")).alias("sample_id"),
+    # every point has a name, and key 0 also holds n // 2 more rows (a third of all name rows)
+    names = spark.range(0, n + n // 2).select(
+        F.when(F.col("id") >= n, F.lit(0)).otherwise(F.col("id")).alias("sample_id"),
         F.concat(F.lit("n"), F.col("id").cast("string")).alias("name"))
     with pytest.raises(Exception, match="name key repeated"):
         joins.attach_names(pts, names).collect()
