@@ -18,13 +18,24 @@ def duck(sf_dir: str) -> duckdb.DuckDBPyConnection:
     return con
 
 
+# Spark type names -> DuckDB type names, for the schema check
+_TYPES = {"int": "INTEGER", "bigint": "BIGINT", "double": "DOUBLE", "float": "FLOAT", "string": "VARCHAR",
+          "boolean": "BOOLEAN", "smallint": "SMALLINT", "tinyint": "TINYINT", "date": "DATE"}
+
+
+def duck_type(spark_type: str) -> str:
+    if spark_type.startswith("array<") and spark_type.endswith(">"):
+        return duck_type(spark_type[6:-1]) + "[]"
+    return _TYPES.get(spark_type, spark_type.upper())
+
+
 def _norm(v, digits=6):
     if v is None:
         return None
     if isinstance(v, float):
         if math.isnan(v):
             return "nan"
-        return round(v, digits) + 0.0
+        return (v if digits is None else round(v, digits)) + 0.0
     if isinstance(v, (list, tuple)):
         return tuple(_norm(x, digits) for x in v)
     if hasattr(v, "tolist"):
@@ -43,15 +54,22 @@ def canon(columns, rows, digits=6):
     return cols, sorted(out, key=repr)
 
 
-def compare(spark_df, con, sql, digits=6):
+def compare(spark_df, con, sql, digits=6, types=False):
+    """``digits=None`` compares doubles exactly; ``types=True`` also checks
+    that every column has the DuckDB type matching its Spark type."""
     srows = [tuple(r) for r in spark_df.collect()]
     scols, srows = canon(spark_df.columns, srows, digits)
     res = con.execute(sql)
     dcols_raw = [d[0] for d in res.description]
+    dtypes = {d[0]: str(d[1]) for d in res.description}
     dcols, drows = canon(dcols_raw, res.fetchall(), digits)
     problems = []
     if scols != dcols:
         problems.append(f"columns differ: spark={scols} duckdb={dcols}")
+    elif types:
+        bad = {c: (duck_type(t), dtypes[c]) for c, t in spark_df.dtypes if duck_type(t) != dtypes[c]}
+        if bad:
+            problems.append(f"types differ (spark, duckdb): {bad}")
     if len(srows) != len(drows):
         problems.append(f"row count differs: spark={len(srows)} duckdb={len(drows)}")
     elif srows != drows:
