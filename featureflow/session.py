@@ -87,3 +87,51 @@ def materialize(df):
     task retries read these files instead of redoing the work)."""
     checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+PARTITION_BYTES = 256 << 20
+
+
+def input_bytes(spark: SparkSession, paths) -> int:
+    """Total size of the files under ``paths``, from file-system metadata
+    (no data is read)."""
+    paths = [paths] if isinstance(paths, str) else list(paths)
+    jvm, hconf = spark._jvm, spark._jsc.hadoopConfiguration()
+    total = 0
+    for p in paths:
+        path = jvm.org.apache.hadoop.fs.Path(p)
+        fs = path.getFileSystem(hconf)
+        if fs.exists(path):
+            total += fs.getContentSummary(path).getLength()
+    return int(total)
+
+
+MAX_SHUFFLE_PARTITIONS = 100_000
+
+
+def scale_conf(total_bytes: int, partition_bytes: int = PARTITION_BYTES,
+               max_partitions: int = MAX_SHUFFLE_PARTITIONS) -> dict[str, str]:
+    """Settings that keep every task near ``partition_bytes``: file splits of
+    that size, and a starting shuffle width of input / ``partition_bytes``
+    that AQE then coalesces toward the same advisory size. The width is
+    capped (shuffle bookkeeping grows with map tasks x reduce partitions), so
+    past ``max_partitions x partition_bytes`` partitions grow and spill
+    instead."""
+    n = min(max_partitions, max(1, -(-int(total_bytes) // int(partition_bytes))))
+    return {
+        "spark.sql.files.maxPartitionBytes": str(partition_bytes),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(partition_bytes),
+        "spark.sql.shuffle.partitions": str(n),
+    }
+
+
+def size_for_input(spark: SparkSession, paths, partition_bytes: int = PARTITION_BYTES,
+                   max_partitions: int = MAX_SHUFFLE_PARTITIONS) -> dict[str, str]:
+    """Apply ``scale_conf`` for the inputs under ``paths`` to every key the
+    session leaves unset; returns what was set."""
+    applied = {}
+    for k, v in scale_conf(input_bytes(spark, paths), partition_bytes, max_partitions).items():
+        if spark.conf.get(k, None) is None:
+            spark.conf.set(k, v)
+            applied[k] = v
+    return applied
