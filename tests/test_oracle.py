@@ -6,9 +6,10 @@ from conftest import SF01
 from oracle import compare, duck
 
 import __spark_entry__ as entry
+from featureflow.plans import queries as plans
 
-QUERIES = entry.queries()
-SQL = entry.oracle_sql()
+QUERIES = plans.queries()
+SQL = plans.oracle_sql()
 
 
 @pytest.fixture(scope="module")

@@ -7,6 +7,7 @@ from conftest import SF01
 from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
+from featureflow.plans import queries as plans
 from featureflow.operators import columns, joins, splits
 from featureflow.plans import queries as Q
 
