@@ -100,18 +100,19 @@ class WordBpe:
                 self.word_counts[word] = n
         return n
 
+    def split_words(self, piece: str) -> list[str] | None:
+        """The words of a text, normalised; None if it holds a special string."""
+        if self.specials is not None and self.specials.search(piece):
+            return None
+        # NFC, then lower case letter by letter
+        return self.words.findall(unicodedata.normalize("NFC", piece).translate(LOWER).lower())
+
     def piece(self, piece: str) -> int:
         """Tokens of a text without blanks: special strings count one each."""
-        n = 0
-        if self.specials is not None and (found := self.specials.findall(piece)):
-            n, parts = len(found), self.specials.split(piece)
-        else:
-            parts = [piece]
-        for part in parts:
-            # NFC, then lower case letter by letter (no final-sigma rule)
-            plain = unicodedata.normalize("NFC", part).translate(LOWER).lower()
-            n += sum(map(self.word, self.words.findall(plain)))
-        return n
+        words = self.split_words(piece)
+        if words is None:
+            return len(self.specials.findall(piece)) + sum(map(self.piece, self.specials.split(piece)))
+        return sum(map(self.word, words))
 
     def count(self, text: str | None) -> int:
         if not text:

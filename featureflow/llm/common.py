@@ -146,8 +146,8 @@ def spread_blocks(cuts: Cuts, rows: DataFrame, bucket: list[str], member: str, b
         lambda j: F.struct(F.least(F.col("own"), j).alias("cell_i"), F.greatest(F.col("own"), j).alias("cell_j")))
     one = F.array(F.struct(F.lit(0).alias("cell_i"), F.lit(0).alias("cell_j")))
     rows = rows.withColumn("own", F.when(F.col("n_blocks").isNull(), 0).otherwise(own))
-    rows = rows.withColumn("cell", F.explode(F.when(F.col("n_blocks").isNull(), one).otherwise(cells)))
-    rows = rows.select(*[c for c in rows.columns if c not in ("cell", "n_blocks")], "cell.cell_i", "cell.cell_j")
+    rows = rows.withColumn("meet", F.explode(F.when(F.col("n_blocks").isNull(), one).otherwise(cells)))
+    rows = rows.select(*[c for c in rows.columns if c not in ("meet", "n_blocks")], "meet.cell_i", "meet.cell_j")
     keys = [*bucket, "cell_i", "cell_j"]
     return rows.repartition(*keys).sortWithinPartitions(*keys)
 

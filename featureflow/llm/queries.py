@@ -51,3 +51,22 @@ def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select(
         "doc_id", "text", F.coalesce(F.octet_length("text"), F.lit(0)).cast("long").alias("n_bytes"))
     return count_tokens(docs).select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > 2048).alias("over_limit"))
+
+
+@register("op5_simhash_near_dedup")
+def op5_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate groups of documents: 4-word shingles, up to 4 differing bits."""
+    from featureflow.llm.simhash import near_duplicates
+
+    with Cuts(spark) as cuts:
+        found = near_duplicates(table(spark, sf_dir, "documents"), cuts, shingle=4, max_bits=4)
+    return found.select(F.col("id").alias("doc_id"), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"),
+                        "component_id")
+
+
+@register("op7_pack_sequences")
+def op7_pack_sequences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's ids in sequences of up to 4096."""
+    from featureflow.llm.packing import pack_texts
+
+    return pack_texts(table(spark, sf_dir, "documents"))
