@@ -70,3 +70,11 @@ def op7_pack_sequences(spark: SparkSession, sf_dir: str) -> DataFrame:
     from featureflow.llm.packing import pack_texts
 
     return pack_texts(table(spark, sf_dir, "documents"))
+
+
+@register("op10_license_scan")
+def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """License phrases and notices in every document."""
+    from featureflow.llm.licenses import label_documents
+
+    return label_documents(table(spark, sf_dir, "documents"))
