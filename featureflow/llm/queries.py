@@ -78,3 +78,23 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     from featureflow.llm.licenses import label_documents
 
     return label_documents(table(spark, sf_dir, "documents"))
+
+
+@register("op4_embedding_near_dedup")
+def op4_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate vectors within a label, at cosine 0.98."""
+    from featureflow.llm.embed_dedup import near_vectors
+
+    with Cuts(spark) as cuts:
+        found = near_vectors(table(spark, sf_dir, "embeddings"), cuts)
+    return found.select(F.col("id").alias("vec_id"), "n_links", "component_id", "kept")
+
+
+@register("op6_exact_top_k")
+def op6_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The five best inner products of every fiftieth vector."""
+    from featureflow.llm.kdtree import top_k
+
+    vectors = table(spark, sf_dir, "embeddings")
+    with Cuts(spark) as cuts:
+        return top_k(vectors, vectors.filter(F.col("vec_id") % 50 == 0), cuts)
