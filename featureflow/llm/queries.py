@@ -98,3 +98,13 @@ def op6_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = table(spark, sf_dir, "embeddings")
     with Cuts(spark) as cuts:
         return top_k(vectors, vectors.filter(F.col("vec_id") % 50 == 0), cuts)
+
+
+@register("op1_language_id")
+def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every document, learnt from those not held out."""
+    from featureflow.llm.langid import is_held_out, train, with_language
+
+    docs = table(spark, sf_dir, "documents")
+    texts = docs.select("doc_id", is_held_out("doc_id").alias("held_out"), "text")
+    return with_language(texts, train(docs), score_out="score").drop("text")
