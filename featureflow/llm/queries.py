@@ -108,3 +108,13 @@ def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     texts = docs.select("doc_id", is_held_out("doc_id").alias("held_out"), "text")
     return with_language(texts, train(docs), score_out="score").drop("text")
+
+
+@register("op9_main_text")
+def op9_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page."""
+    from featureflow.llm.html_text import extract
+
+    with Cuts(spark) as cuts:
+        found = extract(table(spark, sf_dir, "pages"), cuts)
+    return found.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
