@@ -108,7 +108,7 @@ class Page(HTMLParser):
         self.parts = []
 
     def handle_starttag(self, tag, attrs):
-        if tag == "br":
+        if tag == "br" and self.parts:
             self.parts.append(" ")
         if tag in BLOCKS:
             self.flush()
@@ -133,7 +133,6 @@ class Page(HTMLParser):
             self.styles.setdefault(path, []).append(node)
         if tag not in VOID:
             self.stack.append(node)
-            self.at = node
 
     def handle_startendtag(self, tag, attrs):
         self.handle_starttag(tag, attrs)
@@ -155,16 +154,19 @@ class Page(HTMLParser):
                 if tag in BLOCKS:
                     self.flush()
                 del self.stack[i:]
-                self.at = self.stack[-1]
                 return
             if self.stack[i].tag in scope:
                 return
 
     def handle_data(self, data):
         node = self.stack[-1]
-        if node.furniture != self.at.furniture or not self.parts:
-            self.flush()
-        self.at = node if not self.parts else self.at
+        if node.furniture:
+            return
+        if not self.parts:
+            data = data.lstrip()
+            if not data:
+                return
+            self.at = node  # a block belongs to the element of its first words
         self.parts.append(data)
 
     def handle_comment(self, data):
@@ -189,7 +191,7 @@ def site_counts(pages: DataFrame) -> DataFrame:
                 for path, nodes in page.styles.items():
                     seen.add((path, 0, 0))
                     seen.update((path, 1, xxhash.xxh64_intdigest(" ".join(n.children)) >> 1) for n in nodes)
-                seen.update((n.path, 2, xxhash.xxh64_intdigest(t) >> 1) for n, t in page.blocks if not n.furniture)
+                seen.update((n.path, 2, xxhash.xxh64_intdigest(t) >> 1) for n, t in page.blocks)
                 rows += [(host, *s) for s in seen]
             if rows:
                 host, path, kind, value = zip(*rows, strict=True)
@@ -236,7 +238,7 @@ def host_of(url: Column) -> Column:
 def main_text(html: str | None, low: set[str]) -> str:
     """The blocks left in a page: in its articles if it has any, else in its
     main element, else in the page; without furniture and low branches."""
-    blocks = [(n, t) for n, t in Page(html or "").blocks if not n.furniture]
+    blocks = Page(html or "").blocks
     if low:
         blocks = [(n, t) for n, t in blocks if not any(p in low for p in prefixes(n.path))]
     for inside in ("in_article", "in_main"):
