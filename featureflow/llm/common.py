@@ -4,6 +4,7 @@ components, distributed ranks."""
 
 from __future__ import annotations
 
+import gc
 import uuid
 from collections.abc import Iterator
 
@@ -48,6 +49,12 @@ class Cuts:
             path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
         self._drop = []
 
+    def free(self) -> None:
+        """Let the driver notice the shuffles that nothing refers to any more, so
+        that executors delete their files."""
+        gc.collect()
+        self.spark._jvm.System.gc()
+
     def __enter__(self) -> Cuts:
         return self
 

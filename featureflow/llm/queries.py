@@ -118,3 +118,16 @@ def op9_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     with Cuts(spark) as cuts:
         found = extract(table(spark, sf_dir, "pages"), cuts)
     return found.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
+@register("op8_suffix_dedup")
+def op8_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bytes of every document that repeat 50 bytes of an earlier one, removed."""
+    from featureflow.llm.suffix_dedup import cut_repeats
+
+    with Cuts(spark) as cuts:
+        found = cut_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"), cuts)
+    return found.select(
+        "doc_id", F.coalesce(F.octet_length("text"), F.lit(0)).cast("long").alias("n_bytes"),
+        F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["end"] - s["start"]).alias("n_removed"),
+        F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
