@@ -63,7 +63,8 @@ def source_targets(sizes: DataFrame, cuts: Cuts, weights=WEIGHTS, max_repeat: fl
 
 def mix(docs: DataFrame, cuts: Cuts, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
         weights=WEIGHTS, max_repeat: float = MAX_REPEAT, seed: int = 7) -> DataFrame:
-    """One row per input row: ``doc_id, source, size, source_size, target, copies``.
+    """One row per input row: ``doc_id, text_key, source, size, source_size, target,
+    copies`` (``text_key``: a hash that tells texts under one id apart).
 
     ``copies`` is how often the mix takes the document. Null or blank text has
     size 0; such rows are taken like others and add no words. A null source is
@@ -97,10 +98,10 @@ def mix(docs: DataFrame, cuts: Cuts, id_col: str = "doc_id", text_col: str = "te
     rows = rows.withColumn("place", place)
     on = [F.col(f"r.{k}").eqNullSafe(F.col(f"c.{k}")) for k in cell]
     r = rows.alias("r").join(starts.alias("c"), on).select(
-        "r.doc_id", "r.source", "r.size", "source_size", "target",
+        "r.doc_id", "r.text_key", "r.source", "r.size", "source_size", "target",
         (F.col("place") + F.col("rows_before")).alias("place"))
     rate = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0)
     offset = unit(seed, F.col("source"))
     upto = F.floor(F.col("place") * rate + offset)
-    return r.select("doc_id", "source", "size", "source_size", "target",
+    return r.select("doc_id", "text_key", "source", "size", "source_size", "target",
                     (upto - F.floor((F.col("place") - 1) * rate + offset)).cast("long").alias("copies"))

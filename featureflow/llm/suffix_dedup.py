@@ -392,9 +392,10 @@ def removed_spans(n: int, starts: list[int], counts: list[int], length: int) ->
 
 
 def cut_repeats(docs: DataFrame, cuts: Cuts, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH,
-                kept_col: str = "kept", spans_col: str = "spans") -> DataFrame:
-    """``docs`` with the bytes kept of each text (binary) and the spans removed
-    (array of start, end). Null texts keep b''. Other columns pass through;
+                kept_col: str = "kept", spans_col: str = "spans", as_text: bool = False) -> DataFrame:
+    """``docs`` with the bytes kept of each text and the spans removed (array of
+    start, end). Null texts keep b''. ``as_text``: the kept bytes as a string;
+    what a cut leaves of a character goes too. Other columns pass through;
     columns already called ``kept_col`` or ``spans_col`` are replaced. One row
     per input row; an empty table gives an empty table."""
     docs = docs.drop(kept_col, spans_col)
@@ -405,7 +406,8 @@ def cut_repeats(docs: DataFrame, cuts: Cuts, id_col: str = "doc_id", text_col: s
     joined = docs.join(found, (docs[id_col].cast("long") == found.found_id_) & (
         F.xxhash64(docs[text_col]) == found.found_key_), "left").select(*[docs[c] for c in docs.columns], a, b)
     spans = T.ArrayType(T.StructType([T.StructField("start", T.LongType()), T.StructField("end", T.LongType())]))
-    schema = T.StructType([*docs.schema.fields, T.StructField(kept_col, T.BinaryType()), T.StructField(spans_col, spans)])
+    schema = T.StructType([*docs.schema.fields, T.StructField(kept_col, T.StringType() if as_text else T.BinaryType()),
+                           T.StructField(spans_col, spans)])
     at, width = docs.columns.index(text_col), len(docs.columns)
     span_type = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
 
@@ -417,9 +419,10 @@ def cut_repeats(docs: DataFrame, cuts: Cuts, id_col: str = "doc_id", text_col: s
                 data = t.as_py() or b""
                 cut = removed_spans(len(data), s.as_py(), c.as_py(), length) if s.is_valid else []
                 edges = [0, *[e for span in cut for e in span], len(data)]
-                kept.append(b"".join(data[x:y] for x, y in zip(edges[::2], edges[1::2], strict=True)))
+                rest = b"".join(data[x:y] for x, y in zip(edges[::2], edges[1::2], strict=True))
+                kept.append(rest.decode("utf-8", "ignore") if as_text else rest)
                 gone.append([{"start": x, "end": y} for x, y in cut])
             yield pa.RecordBatch.from_arrays(
-                [*batch.columns[:width], pa.array(kept, pa.binary()), pa.array(gone, span_type)], names=schema.names)
+                [*batch.columns[:width], pa.array(kept, pa.string() if as_text else pa.binary()), pa.array(gone, span_type)], names=schema.names)
 
     return joined.mapInArrow(run, schema)
