@@ -99,8 +99,11 @@ class ByteCnn:
             np.add.at(g["embed"], x[rows, best + i], ds[:, :, i * EMBED:(i + 1) * EMBED])
         return g
 
-    def fit(self, x: np.ndarray, y: np.ndarray, epochs: int = 8, batch: int = 128, rate: float = 4e-3, seed: int = 6):
+    def fit(self, x: np.ndarray, y: np.ndarray, epochs: int = 8, steps: int = 800, batch: int = 128, rate: float = 4e-3,
+            seed: int = 6):
+        """Adam over ``epochs`` passes, or more of them on a small sample: at least ``steps`` batches."""
         rng = np.random.default_rng(seed)
+        epochs = max(epochs, -(-steps * batch // max(len(x), batch)))
         m = {k: np.zeros_like(v) for k, v in self.p.items()}
         v = {k: np.zeros_like(w) for k, w in self.p.items()}
         t = 0
@@ -166,7 +169,7 @@ def is_held_out(id_col: str) -> Column:
 
 def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "lang",
           per_label: int = 400, windows_per_text: int = 8, max_labels: int = 200, epochs: int = 8,
-          seed: int = 5) -> ByteCnn:
+          steps: int = 800, seed: int = 5) -> ByteCnn:
     """Fit on about ``per_label`` rows of each label that aren't held out.
 
     The sample is drawn by a hash of the id at a rate from the label's count,
@@ -201,7 +204,7 @@ def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", label
         return ByteCnn([])
     x = np.frombuffer(b"".join(s[1] for s in sample), np.uint8).reshape(len(sample), LENGTH)
     at = {c: i for i, c in enumerate(labels)}
-    return ByteCnn(labels, seed).fit(x, np.array([at[s[0]] for s in sample]), epochs)
+    return ByteCnn(labels, seed).fit(x, np.array([at[s[0]] for s in sample]), epochs, steps)
 
 
 def with_language(docs: DataFrame, model: ByteCnn, text_col: str = "text", label_out: str = "lang_pred",

@@ -24,9 +24,9 @@ MAX_REPEAT = 3.0
 CELL_ROWS = 20_000
 
 
-def word_count(text: str) -> Column:
+def word_count(text: Column) -> Column:
     """Number of runs of non-blank characters (null: 0)."""
-    return F.coalesce(F.expr(f"regexp_count({text}, '{WORD}')"), F.lit(0)).cast("long")
+    return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")
 
 
 def unit(*parts) -> Column:
@@ -74,7 +74,7 @@ def mix(docs: DataFrame, cuts: Cuts, id_col: str = "doc_id", text_col: str = "te
     offset come from hashes, not from the partitioning.
     """
     rows = cuts.save(docs.select(F.col(id_col).alias("doc_id"), F.col(source_col).alias("source"),
-                                 word_count(f"`{text_col}`").alias("size"),
+                                 word_count(F.col(text_col)).alias("size"),
                                  F.xxhash64(F.col(text_col)).alias("text_key")))
     # 16 size classes an octave; the hash slices only bound how many rows one window holds
     rows = rows.withColumn("size_class", F.floor(F.log2(F.col("size") + 1.0) * 16).cast("int"))
