@@ -27,14 +27,19 @@ def split_bucket(key: Column, seed: int = 0, buckets: int = BUCKETS) -> Column:
 
 
 def cut_points(weights: dict[str, float], buckets: int = BUCKETS) -> list[tuple[str, int]]:
-    """Running sums of normalised weights, as bucket bounds (exclusive)."""
+    """Running sums of normalised weights, as bucket bounds (exclusive). A split
+    too small for its own bucket raises; use more ``buckets`` (up to 2**28)."""
     total = float(sum(weights.values()))
     if total <= 0 or any(w < 0 for w in weights.values()):
         raise ValueError(f"bad split weights {weights}")
-    out, run = [], 0.0
+    out, run, last = [], 0.0, 0
     for name, w in weights.items():
         run += w / total
-        out.append((name, int(round(run * buckets))))
+        bound = int(round(run * buckets))
+        if w > 0 and bound == last:
+            raise ValueError(f"split {name!r} gets none of {buckets} buckets")
+        out.append((name, bound))
+        last = bound
     out[-1] = (out[-1][0], buckets)
     return out
 

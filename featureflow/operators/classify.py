@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 
 from featureflow.operators.aggregates import require_rows
 from featureflow.operators.arrow import rows_matrix
-from featureflow.operators.columns import with_vector
+from featureflow.operators.columns import usable_vector, vector_dim, with_vector
 
 DIST_DIGITS = 9
 CENTERS_MAX_BYTES = 512 << 20
@@ -65,7 +65,8 @@ class CentroidModel:
         ``digits``, ties to the lower label), softmax(-distance) over the
         labels in model order, and optionally the distance. Rows with a NULL
         vector or another dimension get NULLs, never a failed task."""
-        out_type = f"struct<prediction:{self.label_type},probability:array<double>,distance:double>"
+        out_type = f"struct<prediction:{self.label_type}{',probability:array<double>' if probability_col else ''}" \
+                   f"{',distance:double' if distance_col else ''}>"
         scorer = _make_scorer(df.sparkSession, self.labels, self.centers, digits, out_type)
         tmp = "__nc"
         res = df.withColumn(tmp, scorer(F.col(features_col)))
@@ -84,7 +85,8 @@ def _make_scorer(spark: SparkSession, labels, centers: np.ndarray, digits: int,
     from pyspark.sql.types import _parse_datatype_string
 
     bc = spark.sparkContext.broadcast(np.ascontiguousarray(centers, dtype=np.float64))
-    label_type = to_arrow_type(_parse_datatype_string(out_type)["prediction"].dataType)
+    fields = _parse_datatype_string(out_type)
+    wanted, label_type = fields.names, to_arrow_type(fields["prediction"].dataType)
     label_arr = pa.array(list(labels), type=label_type)
 
     @F.arrow_udf(out_type)
@@ -92,26 +94,32 @@ def _make_scorer(spark: SparkSession, labels, centers: np.ndarray, digits: int,
         c = bc.value
         k, d = c.shape
         valid, x = rows_matrix(feats, d)
+        finite = np.isfinite(x).all(axis=1)
+        valid = valid.copy()
+        valid[np.flatnonzero(valid)[~finite]] = False
+        x = x[finite]
         m = x.shape[0]
         dd = np.empty((m, k))
         for j in range(k):
             diff = x - c[j]
             dd[:, j] = np.einsum("ij,ij->i", diff, diff)
         best = np.argmin(np.round(dd, digits), axis=1)
-        p = np.exp(-(dd - dd.min(axis=1, keepdims=True))) if m else dd
-        p = p / p.sum(axis=1, keepdims=True) if m else p
         # rows without a usable vector take slot 0 and are masked to NULL
         slot = np.zeros(len(valid), dtype=np.int64)
         slot[valid] = best
-        dist = np.zeros(len(valid))
-        dist[valid] = np.round(dd[np.arange(m), best], digits)
-        offsets = np.concatenate([[0], np.cumsum(np.where(valid, k, 0))]).astype(np.int32)
-        null = pa.array(~valid)
-        prob = pa.ListArray.from_arrays(pa.array(offsets), pa.array(p.ravel(), type=pa.float64()), mask=null)
         pred = label_arr.take(pa.array(slot)).to_numpy(zero_copy_only=False)
-        pred = pa.array(pred, type=label_type, mask=~valid)
-        return pa.StructArray.from_arrays([pred, prob, pa.array(dist, mask=~valid)],
-                                          names=["prediction", "probability", "distance"])
+        parts = {"prediction": pa.array(pred, type=label_type, mask=~valid)}
+        if "probability" in wanted:  # k numbers a row: only when asked for
+            p = np.exp(-(dd - dd.min(axis=1, keepdims=True))) if m else dd
+            p = p / p.sum(axis=1, keepdims=True) if m else p
+            offsets = np.concatenate([[0], np.cumsum(np.where(valid, k, 0))]).astype(np.int32)
+            parts["probability"] = pa.ListArray.from_arrays(
+                pa.array(offsets), pa.array(p.ravel(), type=pa.float64()), mask=pa.array(~valid))
+        if "distance" in wanted:
+            dist = np.zeros(len(valid))
+            dist[valid] = np.round(dd[np.arange(m), best], digits)
+            parts["distance"] = pa.array(dist, mask=~valid)
+        return pa.StructArray.from_arrays(list(parts.values()), names=list(parts))
 
     return score
 
@@ -120,21 +128,23 @@ def fit_centroids(
     train: DataFrame,
     features_col: str = "features",
     label_col: str = "label",
-    max_classes: int = 10_000,
     max_bytes: int = CENTERS_MAX_BYTES,
 ) -> CentroidModel:
     """Nearest-centroid fit: per-label mean vector (one aggregate job over the
     training rows). The result, one row per class, stays on the executors
-    until its shape is known: at most ``max_classes`` rows and a centre
-    matrix of at most ``max_bytes`` (it is read by the driver and broadcast
-    for scoring)."""
-    means = centroid_means(train, features_col, label_col).cache()
+    until its shape is known. The centre matrix is read by the driver and
+    broadcast for scoring, so one over ``max_bytes`` raises; vectors that are
+    NULL, of another length than most or not finite are left out."""
+    try:
+        dim = vector_dim(train, features_col)
+    except ValueError:
+        raise ValueError("training input is empty") from None
+    usable = train.filter(usable_vector(features_col, dim))
+    means = centroid_means(usable, features_col, label_col).cache()
     try:
         k, d = means.agg(F.count(F.lit(1)), F.max(F.size("center"))).first()
         if k == 0:
             raise ValueError("training input is empty")
-        if k > max_classes:
-            raise ValueError(f"more than {max_classes} classes")
         if k * d * 8 > max_bytes:
             raise ValueError(f"centre matrix {k} x {d} exceeds {max_bytes} bytes")
         rows = means.collect()
@@ -163,27 +173,27 @@ def nearest_centroid(
 # ---------------------------------------------------------------- Spark ML classifiers
 
 def _dims(df: DataFrame, features_col: str, label_col: str) -> tuple[int, int]:
-    """(vector size, number of classes = max label + 1) in one aggregate job."""
-    row = df.agg(F.max(F.size(features_col)).alias("d"), F.max(label_col).alias("k"),
-                 F.min(F.size(features_col)).alias("d0"), F.min(label_col).alias("k0")).first()
-    if row["d"] is None:
+    """(most frequent vector size, number of classes = max label + 1 over usable rows)."""
+    d = vector_dim(df, features_col)
+    row = df.filter(usable_vector(features_col, d)).agg(F.max(label_col).alias("k"), F.min(label_col).alias("k0")).first()
+    if row["k"] is None:
         raise ValueError("training input is empty")
-    if row["d"] != row["d0"]:
-        raise ValueError(f"feature vectors differ in size ({row['d0']}..{row['d']})")
     if row["k0"] < 0:
         raise ValueError("labels must be >= 0")
-    return int(row["d"]), int(row["k"]) + 1
+    return d, int(row["k"]) + 1
 
 
 def train_forest(
     df: DataFrame, features_col: str = "features", label_col: str = "label",
     max_depth: int = 5, num_trees: int = 20, seed: int = 42, **params,
 ):
-    """Random forest (defaults: depth 5, 20 trees). Raises on empty input."""
+    """Random forest (defaults: depth 5, 20 trees). Raises on empty input; rows
+    without a usable vector or label are left out."""
     from pyspark.ml.classification import RandomForestClassifier
 
     require_rows(df)
-    data = with_vector(df, features_col, "__fv").select("__fv", F.col(label_col).cast("double").alias("__y"))
+    usable = df.filter(usable_vector(features_col, vector_dim(df, features_col)) & F.col(label_col).isNotNull())
+    data = with_vector(usable, features_col, "__fv").select("__fv", F.col(label_col).cast("double").alias("__y"))
     rf = RandomForestClassifier(featuresCol="__fv", labelCol="__y", maxDepth=max_depth,
                                 numTrees=num_trees, seed=seed, **params)
     return rf.fit(data)
@@ -196,11 +206,12 @@ def train_mlp(
 ):
     """Multilayer perceptron ``d -> hidden... -> classes`` (sigmoid hidden
     layers, softmax output). Input size and class count come from the data
-    in one aggregate; raises on empty input or mixed vector sizes."""
+    (rows without a usable vector or label are left out); raises on empty input."""
     from pyspark.ml.classification import MultilayerPerceptronClassifier
 
     d, k = _dims(df, features_col, label_col)
-    data = with_vector(df, features_col, "__fv").select("__fv", F.col(label_col).cast("double").alias("__y"))
+    usable = df.filter(usable_vector(features_col, d) & F.col(label_col).isNotNull())
+    data = with_vector(usable, features_col, "__fv").select("__fv", F.col(label_col).cast("double").alias("__y"))
     mlp = MultilayerPerceptronClassifier(
         featuresCol="__fv", labelCol="__y", layers=[d, *hidden, k], maxIter=max_iter,
         blockSize=block_size, seed=seed, stepSize=step_size, solver=solver,
@@ -211,13 +222,15 @@ def train_mlp(
 def predict(model, df: DataFrame, features_col: str = "features", label_col: str | None = "label",
             prediction_col: str = "prediction", probability_col: str = "probability") -> DataFrame:
     """Score with a fitted Spark ML classifier: adds ``prediction`` (as the
-    label's type) and ``probability`` (array<double>)."""
+    label's type) and ``probability`` (array<double>), NULL for rows without a
+    usable vector."""
     from pyspark.ml.functions import vector_to_array
 
-    vec = with_vector(df, features_col, "__fv")
+    vec = with_vector(df, features_col, "__fv", model.numFeatures)
+    ok = usable_vector(features_col, model.numFeatures)
     out = model.setFeaturesCol("__fv").setPredictionCol("__pred").transform(vec)
     ptype = dict(df.dtypes).get(label_col, "int") if label_col else "int"
-    cols = [c for c in df.columns] + [F.col("__pred").cast(ptype).alias(prediction_col)]
+    cols = [c for c in df.columns] + [F.when(ok, F.col("__pred")).cast(ptype).alias(prediction_col)]
     if "probability" in out.columns:
-        cols.append(vector_to_array(F.col("probability")).alias(probability_col))
+        cols.append(F.when(ok, vector_to_array(F.col("probability"))).alias(probability_col))
     return out.select(*cols)

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from featureflow.operators.classify import CentroidModel, centroid_means
-from featureflow.operators.columns import with_vector
+from featureflow.operators.columns import usable_vector, vector_dim, with_vector
 
 
 def kmeans(
@@ -22,13 +22,17 @@ def kmeans(
 ):
     """Spark ML k-means (k-means|| start). Returns ``(df + cluster, model)``.
     The array column is converted to a vector in the JVM; the estimator caches
-    its own input while it iterates."""
+    its own input while it iterates. Rows without a usable vector (NULL, another
+    length than most, not finite) are left out of the fit and get NULL."""
     from pyspark.ml.clustering import KMeans
 
-    vec = with_vector(df, features_col, "__fv")
+    dim = vector_dim(df, features_col)
+    vec = with_vector(df, features_col, "__fv", dim)
+    ok = usable_vector(features_col, dim)
     model = KMeans(k=k, seed=seed, featuresCol="__fv", predictionCol=prediction_col,
-                   maxIter=max_iter, tol=tol).fit(vec)
-    return model.transform(vec).drop("__fv"), model
+                   maxIter=max_iter, tol=tol).fit(vec.filter(ok))
+    out = model.transform(vec).drop("__fv")
+    return out.withColumn(prediction_col, F.when(ok, F.col(prediction_col))), model
 
 
 def init_centroids(df: DataFrame, k: int, order_by: str | list[str], features_col: str = "features") -> CentroidModel:
@@ -56,3 +60,21 @@ def lloyd_step(assigned: DataFrame, features_col: str = "features", cluster_col:
     """New centres from an assignment: ``cluster, center, n`` (mean per cluster,
     partial aggregation on the map side, so a huge cluster is not one task)."""
     return centroid_means(assigned.filter(F.col(cluster_col).isNotNull()), features_col, cluster_col)
+
+
+def lloyd(df: DataFrame, k: int = 5, order_by: str | list[str] = "vec_id", rounds: int = 5,
+          features_col: str = "features", out: str = "cluster", distance_col: str | None = "distance",
+          digits: int = 9) -> DataFrame:
+    """K-means that any engine reproduces: the first ``k`` usable rows in
+    ``order_by`` order start, then ``rounds`` Lloyd steps with centres rounded to
+    ``digits``; a cluster that loses all rows keeps its centre. Only k centres
+    reach the driver in a round."""
+    dim = vector_dim(df, features_col)
+    model = init_centroids(df.filter(usable_vector(features_col, dim)), k, order_by, features_col)
+    for _ in range(rounds):
+        step = lloyd_step(assign_centroids(df, model, features_col, "__c", None), features_col, "__c").collect()
+        centers = model.centers.copy()
+        for r in step:
+            centers[r["__c"]] = np.round(np.asarray(r["center"]), digits)
+        model = CentroidModel(labels=model.labels, centers=centers, label_type="int")
+    return assign_centroids(df, model, features_col, out, distance_col)

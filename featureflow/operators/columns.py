@@ -47,46 +47,47 @@ def encode_label(
     mapping: Mapping[str, int] | DataFrame | None = None,
     out: str = "label",
     keep_unknown: bool = False,
-    max_classes: int = 10_000,
 ) -> DataFrame:
     """Class name -> code; NULL or unmapped names get -1 and are dropped
     unless ``keep_unknown``.
 
-    ``mapping`` is a dict or a two-column DataFrame ``(name, code)``. A
-    DataFrame mapping is read once with a row bound (``max_classes``) and then
-    inlined as a literal map, so no join and no shuffle is added to the plan.
+    ``mapping`` is a dict (a literal map in the plan) or a two-column DataFrame
+    ``(name, code)`` of any size, which is joined. A name with two codes raises.
     """
     if mapping is None:
         mapping = _labels.EMOTION_CODES
     if isinstance(mapping, DataFrame):
-        mapping = mapping_from_frame(mapping, max_classes)
+        codes = mapping_table(mapping)
+        joined = df.join(codes, F.col(label_col) == F.col("__map_name"), "left" if keep_unknown else "inner")
+        code = F.coalesce(F.col("__map_code"), F.lit(_labels.UNKNOWN_CODE))
+        return joined.withColumn(out, code).drop("__map_name", "__map_code")
     out_df = df.withColumn(out, _labels.label_code(F.col(label_col), mapping))
     return out_df if keep_unknown else out_df.filter(F.col(out) >= 0)
 
 
-def mapping_from_frame(mapping: DataFrame, max_classes: int = 10_000) -> dict[str, int]:
-    """Read a small ``(name, code)`` table after checking its size bound."""
-    name_col, code_col = mapping.columns[:2]
-    rows = mapping.select(name_col, code_col).limit(max_classes + 1).collect()
-    if len(rows) > max_classes:
-        raise ValueError(f"label mapping has more than {max_classes} rows")
-    out: dict[str, int] = {}
-    for name, code in rows:
-        if name in out and out[name] != code:
-            raise ValueError(f"label {name!r} maps to both {out[name]} and {code}")
-        out[name] = int(code)
-    return out
+def mapping_table(mapping: DataFrame) -> DataFrame:
+    """``__map_name, __map_code`` of a ``(name, code)`` table, each name once.
+    Repeated rows are merged only if there are any: a join on the raw table is
+    one that AQE can split."""
+    name, code = (F.col(c) for c in mapping.columns[:2])
+    rows = mapping.select(name.alias("__map_name"), code.cast("int").alias("__map_code")).filter(name.isNotNull())
+    each = rows.groupBy("__map_name").agg(
+        F.count(F.lit(1)).alias("n"), F.min("__map_code").alias("lo"), F.max("__map_code").alias("hi"))
+    n, clash = each.agg(F.max("n"), F.max(F.when(F.col("lo") != F.col("hi"), F.col("__map_name")))).first()
+    if clash is not None:
+        raise ValueError(f"label {clash!r} maps to more than one code")
+    return rows.distinct() if (n or 0) > 1 else rows
 
 
-def class_codes(df: DataFrame, name_col: str, max_classes: int = 10_000) -> dict[str, int]:
-    """Codes ``0..k-1`` for the distinct non-NULL names of ``name_col``, in name
-    order. The distinct names come from a partial (map-side) aggregate and are
-    read with a row bound, so numbering them needs no single-task sort."""
-    rows = (df.select(F.col(name_col).alias("name")).filter(F.col("name").isNotNull())
-            .distinct().limit(max_classes + 1).collect())
-    if len(rows) > max_classes:
-        raise ValueError(f"{name_col} has more than {max_classes} distinct values")
-    return {name: i for i, name in enumerate(sorted(r.name for r in rows))}
+def class_codes(df: DataFrame, name_col: str) -> DataFrame:
+    """``name, code``: codes ``0..k-1`` for the distinct non-NULL names of
+    ``name_col``, in name order. The names come from a partial aggregate and
+    are numbered by ranges, so no single task sorts them all."""
+    from featureflow.operators.splits import with_batch_id
+
+    names = df.select(F.col(name_col).alias("name")).filter(F.col("name").isNotNull()).distinct()
+    return with_batch_id(names, "name", 1, out="__batch", index_col="code").select(
+        "name", F.col("code").cast("int").alias("code"))
 
 
 # ---------------------------------------------------------------- ids, names, paths
@@ -148,11 +149,40 @@ def parse_bbox(
 
 # ---------------------------------------------------------------- vectors
 
-def with_vector(df: DataFrame, array_col: str = "features", vector_col: str = "features_vector") -> DataFrame:
+def usable_vector(col: str, dim: int) -> Column:
+    """True for an array of ``dim`` components, none NULL, NaN or infinite."""
+    bad = F.exists(col, lambda x: x.isNull() | F.isnan(x.cast("double")) | (F.abs(x.cast("double")) == float("inf")))
+    return F.coalesce((F.size(col) == dim) & ~bad, F.lit(False))
+
+
+def vector_dim(df: DataFrame, array_col: str = "features") -> int:
+    """The most frequent vector length (the larger of equals); raises without any vector."""
+    row = (df.filter(F.size(array_col) > 0).groupBy(F.size(array_col).alias("d")).agg(F.count(F.lit(1)).alias("n"))
+           .orderBy(F.desc("n"), F.desc("d")).first())
+    if row is None:
+        raise ValueError("input is empty: no vectors")
+    return int(row["d"])
+
+
+def with_vector_status(df: DataFrame, array_col: str = "features", dim: int | None = None,
+                       status_col: str = "status") -> DataFrame:
+    """``bad_vector`` for rows whose vector is NULL, of another length or not finite."""
+    dim = dim or vector_dim(df, array_col)
+    return with_status(df, ~usable_vector(array_col, dim), "bad_vector", status_col)
+
+
+def with_vector(df: DataFrame, array_col: str = "features", vector_col: str = "features_vector",
+                dim: int | None = None) -> DataFrame:
     """``array<float|double>`` -> ML ``DenseVector`` column (JVM function, no
-    Python UDF). Idempotent: an existing ``vector_col`` is kept."""
+    Python UDF). Idempotent: an existing ``vector_col`` is kept. With ``dim`` a
+    vector that isn't usable becomes zeros, as ML models fail on NULL; callers
+    blank the outputs of those rows (``usable_vector``)."""
     from pyspark.ml.functions import array_to_vector
 
     if vector_col in df.columns:
         return df
-    return df.withColumn(vector_col, array_to_vector(F.col(array_col)))
+    col = F.col(array_col)
+    if dim is not None:
+        zero = F.lit(0).cast(df.schema[array_col].dataType.elementType)
+        col = F.when(usable_vector(array_col, dim), col).otherwise(F.array_repeat(zero, dim))
+    return df.withColumn(vector_col, array_to_vector(col))

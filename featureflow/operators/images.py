@@ -245,7 +245,7 @@ def map_images(
                     status[i] = str(e)
                     hh[i] = ww[i] = cc[i] = mm[i] = dd[i] = None
                 except Exception as e:  # noqa: BLE001 - a bad row must not fail the task
-                    status[i] = f"error: {type(e).__name__}"
+                    status[i] = f"error: {type(e).__name__}: {e}"
                     hh[i] = ww[i] = cc[i] = mm[i] = dd[i] = None
             res_pdf = pdf.copy()
             res_pdf["__img_height"], res_pdf["__img_width"] = hh, ww
@@ -267,9 +267,13 @@ def map_image_values(
     args: Sequence[str] = (),
     status_col: str = "status",
     keep_image: bool = False,
+    batch_fn: Callable[[list[np.ndarray]], list] | None = None,
 ) -> DataFrame:
     """Like ``map_images`` but ``fn`` returns a vector (features, flat pixels)
-    stored in ``out``; the picture is dropped unless ``keep_image``."""
+    stored in ``out``; the picture is dropped unless ``keep_image``. With
+    ``batch_fn``, ``fn`` prepares each picture and ``batch_fn`` gets an Arrow
+    batch's prepared pictures together; it returns a vector or an exception for
+    each."""
     keep = [c for c in df.columns if c != image_col]
     flat = _flat(df, image_col, keep)
     base = [T.StructField(f.name, f.dataType, True) for f in flat.schema.fields
@@ -292,12 +296,18 @@ def map_image_values(
                 if status[i] != OK:
                     continue
                 try:
-                    arr = decode(hh[i], ww[i], cc[i], mm[i], dd[i])
-                    vals[i] = np.asarray(fn(arr, rows[i]), dtype=np_type).ravel()
+                    arr = fn(decode(hh[i], ww[i], cc[i], mm[i], dd[i]), rows[i])
+                    vals[i] = np.asarray(arr, dtype=np_type).ravel() if batch_fn is None else arr
                 except StageError as e:
                     status[i] = str(e)
                 except Exception as e:  # noqa: BLE001
-                    status[i] = f"error: {type(e).__name__}"
+                    status[i] = f"error: {type(e).__name__}: {e}"
+            good = [i for i in range(n) if batch_fn is not None and status[i] == OK]
+            for i, got in zip(good, batch_fn([vals[i] for i in good]) if good else []):
+                if isinstance(got, Exception):
+                    status[i], vals[i] = f"error: {type(got).__name__}: {got}", None
+                else:
+                    vals[i] = np.asarray(got, dtype=np_type).ravel()
             res = pdf.copy()
             res[out] = vals
             res[status_col] = status

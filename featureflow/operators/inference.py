@@ -10,6 +10,7 @@ histogram, numpy only) stands in when no model is given.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
@@ -19,7 +20,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from featureflow.operators import images as img
-from featureflow.operators.columns import OK
 
 
 def block_features(arr: np.ndarray, grid: int = 4, bins: int = 0) -> np.ndarray:
@@ -81,28 +81,69 @@ def image_features(
     out: str = "features",
     status_col: str = "status",
     dtype: str = "float",
+    make_predict_fn: Callable[[], Callable[[np.ndarray], np.ndarray]] | None = None,
+    batch_size: int = 64,
 ) -> DataFrame:
     """Crop + resize (+ grey) + features fused into one ``mapInPandas`` stage:
-    the intermediate crops are never written or shuffled."""
+    the intermediate crops are never written or shuffled.
+
+    ``make_predict_fn`` gives the caller's batch model: built once per Python
+    worker, it sees ``(n, height, width, channels)`` arrays of up to
+    ``batch_size`` pictures and returns ``n`` vectors. A batch that raises is
+    retried picture by picture. Else ``extractor`` (one picture at a time) or the
+    built-in block features."""
     hw = (size, size) if isinstance(size, int) else tuple(size)
     resizer = img.RESIZERS[method]
     cropper = img.CROPPERS[box]
     feat = extractor or (lambda a: block_features(a, 4, 16))
 
-    def fn(arr, row):
+    def prepare(arr, row):
         if box_col is not None:
             arr = cropper(arr, img.box_of(row, box_col))
         arr = resizer(arr, hw)
-        if gray_channels:
-            arr = img.gray(arr, gray_channels)
-        return feat(arr)
+        return img.gray(arr, gray_channels) if gray_channels else arr
 
     el = T.FloatType() if dtype == "float" else T.DoubleType()
-    return img.map_image_values(df, fn, out, T.ArrayType(el), image_col,
-                                args=[box_col] if box_col else [], status_col=status_col)
-
-
-_LABELLERS: dict[int, Callable] = {}
+    args = [box_col] if box_col else []
+    if make_predict_fn is None:
+        return img.map_image_values(df, lambda arr, row: feat(prepare(arr, row)), out, T.ArrayType(el), image_col,
+                                    args=args, status_col=status_col)
+    key = uuid.uuid4().hex
+
+    def batch(arrays: list[np.ndarray]) -> list:
+        from featureflow.operators.worker_cache import once
+
+        model = once(key, make_predict_fn)
+        found: list = []
+        for at in range(0, len(arrays), batch_size):
+            part = [a if a.ndim == 3 else a[:, :, None] for a in arrays[at:at + batch_size]]
+            found += _model_rows(model, part)
+        return found
+
+    return img.map_image_values(df, prepare, out, T.ArrayType(el), image_col, args=args, status_col=status_col,
+                                batch_fn=batch)
+
+
+def _model_rows(model, arrays: list[np.ndarray]) -> list:
+    """The model's output for each array, or the exception it raised for it.
+    Arrays of one shape are stacked and go to the model together."""
+    out: list = [None] * len(arrays)
+    shapes: dict[tuple, list[int]] = {}
+    for i, a in enumerate(arrays):
+        shapes.setdefault(a.shape, []).append(i)
+    for rows in shapes.values():
+        try:
+            got = list(model(np.stack([arrays[i] for i in rows])))
+            if len(got) != len(rows):
+                raise ValueError(f"model returned {len(got)} rows for {len(rows)} pictures")
+        except Exception as e:  # noqa: BLE001 - one by one, so that only bad pictures fail
+            if len(rows) == 1:
+                got = [e]
+            else:
+                got = [x for i in rows for x in _model_rows(model, [arrays[i]])]
+        for i, g in zip(rows, got):
+            out[i] = g
+    return out
 
 
 def label_images(
@@ -112,21 +153,33 @@ def label_images(
     label_col: str = "emotion",
     error_col: str = "error",
 ) -> DataFrame:
-    """Class name per picture from the caller's batch labeller. Output keeps the
-    label-record contract: ``label`` xor ``error``. A batch that raises is
-    retried row by row, so one bad picture only fails its own row."""
+    """Class name per picture from the caller's batch labeller, built once per
+    Python worker. Output keeps the label-record contract: ``label`` xor
+    ``error``. A batch that raises, or gives too few or too many labels, is
+    retried picture by picture, so one bad picture only fails its own row; a
+    picture without a label is an error."""
     keep = [c for c in df.columns if c != image_col]
     flat = df.select(*keep, *[F.col(f"{image_col}.{f}").alias(f"__img_{f}") for f in img.IMAGE_FIELDS])
     schema = T.StructType(
         [f for f in flat.schema.fields if not f.name.startswith("__img_")]
         + [T.StructField(label_col, T.StringType()), T.StructField(error_col, T.StringType())]
     )
-    key = id(make_label_fn)
+    key = uuid.uuid4().hex
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        if key not in _LABELLERS:
-            _LABELLERS[key] = make_label_fn()
-        label_fn = _LABELLERS[key]
+        from featureflow.operators.worker_cache import once
+
+        label_fn = once(key, make_label_fn)
+
+        def labels_of(arrays: list) -> list:
+            try:
+                got = list(label_fn(arrays))
+                if len(got) != len(arrays):
+                    raise ValueError(f"labeller returned {len(got)} labels for {len(arrays)} pictures")
+                return got
+            except Exception as e:  # noqa: BLE001
+                return [e] if len(arrays) == 1 else [x for a in arrays for x in labels_of([a])]
+
         for pdf in batches:
             n = len(pdf)
             labels = np.empty(n, dtype=object)
@@ -139,24 +192,16 @@ def label_images(
                     idx.append(i)
                 except img.StageError as e:
                     errors[i] = str(e)
-            if idx:
-                try:
-                    got = list(label_fn(arrays))
-                    for i, g in zip(idx, got):
-                        labels[i] = None if g is None else str(g)
-                except Exception:  # noqa: BLE001 - retry one by one to isolate the bad rows
-                    for i, a in zip(idx, arrays):
-                        try:
-                            labels[i] = str(list(label_fn([a]))[0])
-                        except Exception as e:  # noqa: BLE001
-                            errors[i] = f"{type(e).__name__}: {e}"[:500]
+            for i, g in zip(idx, labels_of(arrays) if idx else []):
+                if isinstance(g, Exception):
+                    errors[i] = f"{type(g).__name__}: {g}"
+                elif g is None:
+                    errors[i] = "labeller gave no label"
+                else:
+                    labels[i] = str(g)
             res = pdf[[f.name for f in schema.fields[:-2]]].copy()
             res[label_col] = labels
             res[error_col] = errors
             yield res
 
     return flat.mapInPandas(run, schema)
-
-
-def features_status_ok(df: DataFrame, status_col: str = "status") -> DataFrame:
-    return df.filter(F.col(status_col) == OK)

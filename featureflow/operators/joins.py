@@ -18,71 +18,29 @@ def _keys(on: str | Sequence[str]) -> list[str]:
     return [on] if isinstance(on, str) else list(on)
 
 
-BROADCAST_MAX_BYTES = 256 << 20
-_WIDTHS = {"BooleanType": 1, "ByteType": 1, "ShortType": 2, "IntegerType": 4, "FloatType": 4, "DateType": 4,
-           "DecimalType": 16}
-
-
-def row_bytes(df: DataFrame):
-    """Estimated bytes of one row: strings and binaries by their length, fixed
-    types by their width, nested values by the length of their JSON text."""
-    from pyspark.sql import types as T
-
-    parts = []
-    for f in df.schema.fields:
-        c = F.col(f"`{f.name}`")
-        if isinstance(f.dataType, (T.StringType, T.BinaryType)):
-            parts.append(F.coalesce(F.octet_length(c), F.lit(0)))
-        elif isinstance(f.dataType, (T.ArrayType, T.MapType, T.StructType)):
-            parts.append(F.coalesce(F.octet_length(F.to_json(F.struct(c))), F.lit(0)))
-        else:
-            parts.append(F.lit(_WIDTHS.get(type(f.dataType).__name__, 8)))
-    total = F.lit(0).cast("bigint")
-    for p in parts:
-        total = total + p.cast("bigint")
-    return total
-
-
-def sized_broadcast(
-    df: DataFrame, max_rows: int, max_bytes: int = BROADCAST_MAX_BYTES,
-) -> tuple[DataFrame, bool]:
-    """``broadcast(df)`` if it holds at most ``max_rows`` rows and about
-    ``max_bytes`` bytes, else ``df`` (the planner and AQE decide).
-
-    The check is one bounded job: it stops reading after ``max_rows + 1`` rows
-    and sums the estimated row sizes of what it read.
-    """
-    probe = df.limit(max_rows + 1)
-    n, size = probe.agg(F.count(F.lit(1)), F.coalesce(F.sum(row_bytes(probe)), F.lit(0))).first()
-    if n <= max_rows and size <= max_bytes:
-        return F.broadcast(df), True
-    return df, False
-
-
 def join_labels(
     labels: DataFrame,
     manifest: DataFrame,
-    on: str | Sequence[str] = "image_id",
+    on: str | Sequence[str] = ("person", "image_id"),
     how: str = "inner",
     unique: bool = False,
-    broadcast_max_rows: int | None = None,
 ) -> DataFrame:
     """Label records x manifest rows on ``on``.
 
-    NULL keys never match. Repeated keys multiply, as in any equi-join; with
-    ``unique=True`` a repeated manifest key raises instead. With
-    ``broadcast_max_rows`` the manifest is broadcast when its size is under
-    the bound, otherwise the planner decides.
+    The default key names the person too: image ids repeat across people. NULL
+    keys never match. Repeated keys multiply, as in any equi-join; with
+    ``unique=True`` a repeated manifest key raises instead.
     """
     keys = _keys(on)
     if unique:
-        dup = manifest.groupBy(*keys).count().filter(F.col("count") > 1).limit(1).collect()
-        if dup:
-            raise ValueError(f"manifest key {dict(zip(keys, dup[0][:-1]))} is repeated")
-    right = manifest
-    if broadcast_max_rows is not None:
-        right, _ = sized_broadcast(manifest, broadcast_max_rows)
-    return labels.join(right, keys, how)
+        _raise_if_repeated(manifest, keys, "manifest key")
+    return labels.join(manifest, keys, how)
+
+
+def _raise_if_repeated(df: DataFrame, keys: list[str], what: str) -> None:
+    dup = df.groupBy(*keys).count().filter(F.col("count") > 1).limit(1).collect()
+    if dup:
+        raise ValueError(f"{what} repeated: {dict(zip(keys, dup[0][:-1]))}")
 
 
 def join_features(
@@ -98,59 +56,46 @@ def with_presence(
 ) -> DataFrame:
     """Adds boolean ``out``: does a row of ``files`` have the same key?
 
-    The right side is reduced to its distinct keys first (partial aggregation
-    before the shuffle), so repeated keys there never duplicate left rows.
+    A semi join and an anti join on the raw keys, put together: repeated keys
+    on the right never multiply rows, and AQE can split a hot key of either
+    join (a join on aggregated keys it can't).
     """
     keys = _keys(on)
-    marks = _distinct_keys(files, keys).withColumn("__hit", F.lit(True))
-    return (
-        df.join(marks, keys, "left")
-        .withColumn(out, F.coalesce(F.col("__hit"), F.lit(False)))
-        .drop("__hit")
-    )
-
-
-def _distinct_keys(df: DataFrame, keys: list[str]) -> DataFrame:
-    # partial aggregation before the shuffle: a key repeated in a third of the
-    # rows reaches the join as one row per map task, not as a third of the data
-    return df.select(*keys).dropDuplicates(keys)
+    marks = files.select(*keys)
+    return (df.join(marks, keys, "left_semi").withColumn(out, F.lit(True))
+            .unionByName(df.join(marks, keys, "left_anti").withColumn(out, F.lit(False))))
 
 
 def present_only(df: DataFrame, files: DataFrame, on: str | Sequence[str]) -> DataFrame:
     """Rows of ``df`` whose key exists in ``files`` (``EXISTS``, left-semi)."""
     keys = _keys(on)
-    return df.join(_distinct_keys(files, keys), keys, "left_semi")
+    return df.join(files.select(*keys), keys, "left_semi")
 
 
 def pending(todo: DataFrame, done: DataFrame, on: str | Sequence[str]) -> DataFrame:
     """Rows of ``todo`` not done yet (``NOT EXISTS``, left-anti)."""
     keys = _keys(on)
-    return todo.join(_distinct_keys(done, keys), keys, "left_anti")
+    return todo.join(done.select(*keys), keys, "left_anti")
 
 
 def attach_names(
     points: DataFrame, names: DataFrame, on: str | Sequence[str] = "sample_id",
 ) -> DataFrame:
     """Coordinates + names by key, with the length guard of the original as a
-    per-key guard: a point without a name, or with two, raises at run time."""
+    per-key guard: a name key that points use twice raises here, a point
+    without a name raises at run time."""
     keys = _keys(on)
-    # rows per name key: a fixed-width hash aggregate, partial on the map side,
-    # so a repeated key is one partial row per map task
-    counts = names.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))
-    # a filter (not a dropped column) so the optimizer cannot prune the guard
-    guard = (
-        F.when(F.col("__n").isNull(), F.raise_error(F.lit("point without a name")))
-        .when(F.col("__n") > 1, F.raise_error(F.lit("name key repeated")))
-        .otherwise(F.lit(True))
-    )
-    # the guard runs on points x counts (one row per key, so nothing fans out);
-    # names are joined only behind it, so a repeated key raises before any
-    # task gathers its rows, and past the guard every key has exactly one name.
-    # Both joins are left joins: an inner join would let the optimizer infer
-    # filters of the names side onto the points and drop unnamed points
-    # before the guard sees them.
-    checked = points.join(counts, keys, "left").filter(guard).drop("__n")
-    return checked.join(names, keys, "left")
+    # repeated keys that some point asks for: grouped counts, so a hot key is one
+    # partial row per task, and only repeated keys meet the points
+    twice = names.groupBy(*keys).count().filter(F.col("count") > 1).select(*keys)
+    asked = points.select(*keys).join(twice, keys, "left_semi").limit(1).collect()
+    if asked:
+        raise ValueError(f"name key repeated: {asked[0].asDict()}")
+    # raw tables on both sides, so AQE can split a hot key; a filter (not a
+    # dropped column) keeps the optimizer from pruning the guard, and a left
+    # join keeps unnamed points until it sees them
+    guard = F.when(F.col("__named").isNull(), F.raise_error(F.lit("point without a name"))).otherwise(F.lit(True))
+    return points.join(names.withColumn("__named", F.lit(True)), keys, "left").filter(guard).drop("__named")
 
 
 def union_manifests(*dfs: DataFrame, sources: Sequence[str] | None = None, source_col: str = "source") -> DataFrame:

@@ -14,13 +14,14 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from featureflow.operators.columns import with_vector
+from featureflow.operators.columns import usable_vector, vector_dim, with_vector
 
 
 def fit_projection(df: DataFrame, features_col: str = "features", k: int = 2):
     from pyspark.ml.feature import PCA
 
-    vec = with_vector(df.filter(F.col(features_col).isNotNull()), features_col, "__fv")
+    usable = df.filter(usable_vector(features_col, vector_dim(df, features_col)))
+    vec = with_vector(usable, features_col, "__fv")
     return PCA(k=k, inputCol="__fv", outputCol="__proj").fit(vec)
 
 
@@ -32,12 +33,14 @@ def component_signs(model) -> np.ndarray:
 
 def project_2d(df: DataFrame, features_col: str = "features", out_x: str = "x", out_y: str = "y",
                model=None) -> DataFrame:
-    """Adds ``x, y``: the first two principal coordinates (one global fit)."""
+    """Adds ``x, y``: the first two principal coordinates (one global fit over
+    the usable vectors; NULL for the rest)."""
     from pyspark.ml.functions import vector_to_array
 
     model = model or fit_projection(df, features_col, 2)
     sx, sy = (float(s) for s in component_signs(model))
-    vec = with_vector(df, features_col, "__fv")
+    dim = int(model.pc.numRows)
+    vec, ok = with_vector(df, features_col, "__fv", dim), usable_vector(features_col, dim)
     out = model.setInputCol("__fv").setOutputCol("__proj").transform(vec)
     arr = vector_to_array(F.col("__proj"))
-    return out.select(*df.columns, (arr[0] * sx).alias(out_x), (arr[1] * sy).alias(out_y))
+    return out.select(*df.columns, F.when(ok, arr[0] * sx).alias(out_x), F.when(ok, arr[1] * sy).alias(out_y))

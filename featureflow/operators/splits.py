@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from featureflow.functions.hashing import BUCKETS, split_bucket, split_label
+from featureflow.session import materialize
 
 # Split presets of the original pipeline.
 SPLIT_75_15_10 = {"train": 0.75, "val": 0.15, "test": 0.10}
@@ -60,44 +61,32 @@ def with_batch_id(
     """``batch_id = floor(position / size)`` where position is the 0-based rank
     of the row in ``order_by`` order (which must be unique per row).
 
-    No single-partition window: rows are range-partitioned on the order key and
-    sorted inside each partition; the position is the partition's start offset
-    (running sum over one count per partition, a table with one row per
-    partition) plus the row's place inside the partition. The explicit
-    partition count keeps AQE from re-coalescing the range partitions, so both
-    reads of the partitioned data see the same partition ids.
-
-    Both reads must see one range shuffle (the bounds come from a random
-    sample). Spark reuses the identical exchange; when exchange reuse is
-    switched off, the ranged rows are checkpointed once to the shared
-    checkpoint folder instead.
+    Only the order keys are range-partitioned and numbered, and that narrow
+    table is written once to the shared checkpoint folder: range bounds come
+    from a random sample, so two reads of a range shuffle need not agree. The
+    position is the place inside a range plus the counts of the ranges before
+    it (one row per range). Full rows are joined to their key's position.
     """
     if size <= 0:
         raise ValueError("batch size must be positive")
     order = [order_by] if isinstance(order_by, str) else list(order_by)
     n = num_partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    ranged = (
-        df.repartitionByRange(n, *order)
-        .sortWithinPartitions(*order)
+    ranged = materialize(
+        df.select(*order).repartitionByRange(n, *order).sortWithinPartitions(*order)
         .withColumn("__pid", F.spark_partition_id())
         # monotonically_increasing_id = (partition id << 33) + row number in partition
-        .withColumn("__local", F.monotonically_increasing_id() - F.shiftleft(F.col("__pid").cast("bigint"), 33))
-    )
-    spark = df.sparkSession
-    if spark.conf.get("spark.sql.exchange.reuse", "true").lower() != "true":
-        from featureflow.session import checkpoint_dir
-
-        checkpoint_dir(spark)
-        ranged = ranged.checkpoint(eager=True)
+        .withColumn("__local", F.monotonically_increasing_id() - F.shiftleft(F.col("__pid").cast("bigint"), 33)))
     counts = ranged.groupBy("__pid").agg(F.count(F.lit(1)).alias("__n"))
     offsets = counts.select(
-        "__pid",
-        (F.sum("__n").over(Window.orderBy("__pid").rowsBetween(Window.unboundedPreceding, -1))).alias("__off"),
-    )
-    # one row per range partition: the broadcast side is bounded by n
-    pos = F.coalesce(F.col("__off"), F.lit(0)) + F.col("__local")
-    res = ranged.join(F.broadcast(offsets), "__pid").withColumn("__pos", pos)
-    res = res.withColumn(out, F.expr(f"__pos div {int(size)}"))
-    if index_col:
-        res = res.withColumnRenamed("__pos", index_col)
-    return res.drop("__pid", "__local", "__off", "__pos")
+        "__pid", F.sum("__n").over(Window.orderBy("__pid").rowsBetween(Window.unboundedPreceding, -1)).alias("__off"))
+    # one row per range: the broadcast side is bounded by n
+    places = ranged.join(F.broadcast(offsets), "__pid").select(
+        *[F.col(c).alias(f"__key_{c}") for c in order],
+        (F.coalesce(F.col("__off"), F.lit(0)) + F.col("__local")).alias("__pos"))
+    same = None
+    for c in order:
+        hit = F.col(c).eqNullSafe(F.col(f"__key_{c}"))
+        same = hit if same is None else same & hit
+    res = df.join(places, same).withColumn(out, F.expr(f"__pos div {int(size)}"))
+    res = res.withColumnRenamed("__pos", index_col) if index_col else res.drop("__pos")
+    return res.drop(*[f"__key_{c}" for c in order])

@@ -484,11 +484,12 @@ BATCH_SIZE = 50
 
 
 @register("batch_id", f"""
-SELECT vec_id, CAST((row_number() OVER (ORDER BY vec_id) - 1) // {BATCH_SIZE} AS BIGINT) AS batch_id
-FROM embeddings""")
+SELECT * REPLACE (CAST(o_orderdate AS DATE) AS o_orderdate),
+       CAST((row_number() OVER (ORDER BY o_orderkey) - 1) // {BATCH_SIZE} AS BIGINT) AS batch_id
+FROM orders""")
 def q_batch_id(spark, sf_dir):
-    emb = table(spark, sf_dir, "embeddings").select("vec_id")
-    return splits.with_batch_id(emb, "vec_id", BATCH_SIZE)
+    orders = table(spark, sf_dir, "orders").withColumn("o_orderdate", F.to_date("o_orderdate"))
+    return splits.with_batch_id(orders, "o_orderkey", BATCH_SIZE)
 
 
 # ============================================================ images (an embedding as an 8x8 picture)
@@ -727,8 +728,7 @@ MLP_HIDDEN = (1024, 128, 64)
 @register("mlp")
 def q_mlp(spark, sf_dir):
     s = split_embeddings(spark, sf_dir)
-    model = classify.train_mlp(s.filter(F.col("split") == "train"), "embedding", "label", hidden=MLP_HIDDEN,
-                               max_iter=50)
+    model = classify.train_mlp(s.filter(F.col("split") == "train"), "embedding", "label", hidden=MLP_HIDDEN)
     return classify.predict(model, s, "embedding", "label").select("vec_id", "split", "label", "prediction")
 
 
@@ -793,3 +793,6 @@ def q_stream_join_labels(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", "source", "lang")
     out = run_to_table(spark, join_stream(labs, docs, "doc_id"))
     return out.select("doc_id", "source", "lang", "quality", "toxic")
+
+
+from featureflow.plans import table_queries  # noqa: E402,F401 - registers its queries

@@ -1,9 +1,11 @@
-"""The four stages of the original command line, as Spark jobs.
+"""The stages of the original command line, as Spark jobs.
 
 ``pending_images``  manifest rows whose picture is not stored yet (the fetch
                     itself is a network client and is not part of this library)
 ``preprocess``      manifest x pictures -> crop -> resize -> Parquet of pictures
 ``features``        manifest x pictures -> crop + resize + features in one stage
+``label``           pictures -> label records from the caller's labeller
+``pixels``          manifest x pictures -> crop + resize + grey -> flat pixels
 ``train``           labels x features -> split -> samples (one write) -> model
                     -> metric history per split
 
@@ -48,32 +50,32 @@ def pending_images(spark: SparkSession, manifest_paths, image_root: str, ext: st
     return joins.pending(todo, done, KEY)
 
 
-MANIFEST_BROADCAST_ROWS = 5_000_000
+def _todo(spark, manifest_paths, out_path: str) -> DataFrame:
+    """Manifest rows whose key is not in the table at ``out_path`` yet."""
+    rows = manifest_rows(spark, manifest_paths).select(*KEY, "bbox_coords", "status")
+    if not path_exists(spark, out_path):
+        return rows
+    return joins.pending(rows, spark.read.parquet(out_path).select(*KEY), KEY)
 
 
-def _manifest_pictures(spark, manifest_paths, image_root, broadcast_max_rows: int = MANIFEST_BROADCAST_ROWS,
-                       ) -> DataFrame:
+def _manifest_pictures(spark, rows: DataFrame, image_root) -> DataFrame:
     """Manifest rows joined to their decoded picture; no picture -> status
     ``missing_image``.
 
-    The pictures are the big side. When the manifest passes the row and byte
-    bound it is broadcast and the pictures are joined where they are read (no
-    picture bytes are shuffled); manifest rows without a picture come from an
-    anti join against the file listing, which carries keys only. Above the
-    bound it is a plain left join that the planner shuffles on the key.
+    One plan at all sizes: the pictures, the big side, are inner-joined to the
+    manifest, and rows without a picture come from an anti join with the file
+    listing, which carries keys only. The planner broadcasts a manifest under
+    ``spark.sql.autoBroadcastJoinThreshold`` and no picture moves; a larger
+    manifest means a shuffle of the decoded pictures (Spark's image source
+    decodes as it reads), so raise that threshold as far as executors allow.
     """
-    rows = manifest_rows(spark, manifest_paths).select(*KEY, "bbox_coords", "status")
     pics = read_images(spark, image_root).select(*KEY, "image", F.col("status").alias("__pic_status"))
-    small, fits = joins.sized_broadcast(rows, broadcast_max_rows)
-    if fits:
-        hit = pics.join(small, KEY, "inner").select(*KEY, "bbox_coords", "status", "image", "__pic_status")
-        listed = list_images(spark, image_root, require_any=False).select(*KEY)
-        miss = joins.pending(rows, listed, KEY).select(
-            *KEY, "bbox_coords", "status", F.lit(None).cast(images.IMAGE_TYPE).alias("image"),
-            F.lit(None).cast("string").alias("__pic_status"))
-        j = hit.unionByName(miss)
-    else:
-        j = rows.join(pics, KEY, "left")
+    hit = pics.join(rows, KEY, "inner").select(*KEY, "bbox_coords", "status", "image", "__pic_status")
+    listed = list_images(spark, image_root, require_any=False).select(*KEY)
+    miss = joins.pending(rows, listed, KEY).select(
+        *KEY, "bbox_coords", "status", F.lit(None).cast(images.IMAGE_TYPE).alias("image"),
+        F.lit(None).cast("string").alias("__pic_status"))
+    j = hit.unionByName(miss)
     j = columns.with_status(j, F.col("__pic_status").isNull(), "missing_image")
     j = columns.with_status(j, F.col("__pic_status") != "ok", "undecodable")
     return j.drop("__pic_status")
@@ -83,12 +85,15 @@ def preprocess(
     spark: SparkSession, manifest_paths, image_root: str, out_path: str,
     size: int = 128, box: str = "xyxy", method: str = "bilinear",
 ) -> DataFrame:
-    """Crop + resize every manifest picture (one fused stage); write ``person, image_id, image,
-    status`` as Parquet once; return the status summary (read back from the
-    written table, so the pictures are not processed twice)."""
-    j = _manifest_pictures(spark, manifest_paths, image_root)
-    resized = images.crop_resize(j, "bbox_coords", box, size, method)
-    sinks.write_table(resized.select(*KEY, "image", "status"), out_path)
+    """Crop + resize every manifest picture that ``out_path`` doesn't hold yet
+    (one fused stage) and append ``image_id, image, status`` as Parquet, a folder
+    per person. Returns the status summary of the whole table. A second run finds
+    nothing to do and reads no picture."""
+    rows = _todo(spark, manifest_paths, out_path)
+    if not rows.isEmpty():
+        j = _manifest_pictures(spark, rows, image_root)
+        resized = images.crop_resize(j, "bbox_coords", box, size, method)
+        sinks.write_table(resized.select(*KEY, "image", "status"), out_path, mode="append", partition_by=["person"])
     return aggregates.status_summary(spark.read.parquet(out_path))
 
 
@@ -96,13 +101,46 @@ def features(
     spark: SparkSession, manifest_paths, image_root: str, out_path: str,
     size: int = 128, box: str = "xyxy", method: str = "bilinear",
     extractor: Callable[[np.ndarray], np.ndarray] | None = None,
+    make_predict_fn: Callable[[], Callable[[np.ndarray], np.ndarray]] | None = None,
 ) -> DataFrame:
-    """Feature vector per manifest picture (crop, resize, extract fused in one
-    stage); writes ``person, image_id, features, status``; returns the status
-    summary."""
-    j = _manifest_pictures(spark, manifest_paths, image_root)
-    f = inference.image_features(j, "bbox_coords", box, size, method, extractor=extractor)
-    sinks.write_table(f.select(*KEY, "features", "status"), out_path)
+    """Feature vector per manifest picture that ``out_path`` doesn't hold yet
+    (crop, resize, extract or the caller's batch model, fused in one stage);
+    appends ``person, image_id, features, status``; returns the status summary
+    of the whole table."""
+    rows = _todo(spark, manifest_paths, out_path)
+    if not rows.isEmpty():
+        j = _manifest_pictures(spark, rows, image_root)
+        f = inference.image_features(j, "bbox_coords", box, size, method, extractor=extractor,
+                                     make_predict_fn=make_predict_fn)
+        sinks.write_table(f.select(*KEY, "features", "status"), out_path, mode="append")
+    return aggregates.status_summary(spark.read.parquet(out_path))
+
+
+def label(
+    spark: SparkSession, image_root: str, out_path: str,
+    make_label_fn: Callable[[], Callable[[list[np.ndarray]], Sequence[str]]],
+) -> DataFrame:
+    """Pictures -> label records ``image_path, emotion, error`` as JSON lines;
+    returns the number of labelled and failed pictures as a status summary."""
+    pics = read_images(spark, image_root).select(F.col("path").alias("image_path"), "image")
+    sinks.write_table(inference.label_images(pics, make_label_fn), out_path, "json")
+    done = read_labels(spark, out_path, multiline=False)
+    return aggregates.status_summary(done.select(F.when(F.col("error").isNull(), "ok").otherwise("failed").alias("status")))
+
+
+def pixels(
+    spark: SparkSession, manifest_paths, image_root: str, out_path: str,
+    size: int = 224, box: str = "xywh", channels: int = 3, method: str = "bilinear",
+) -> DataFrame:
+    """Manifest pictures -> crop -> ``size`` -> grey in ``channels`` equal
+    channels -> flat pixels as ``features``; what ``train`` reads for a
+    classifier on pixels. Returns the status summary of the whole table."""
+    rows = _todo(spark, manifest_paths, out_path)
+    if not rows.isEmpty():
+        j = _manifest_pictures(spark, rows, image_root)
+        f = inference.image_features(j, "bbox_coords", box, size, method, gray_channels=channels,
+                                     extractor=lambda a: a.ravel())
+        sinks.write_table(f.select(*KEY, "features", "status"), out_path, mode="append")
     return aggregates.status_summary(spark.read.parquet(out_path))
 
 
@@ -112,14 +150,16 @@ SAMPLE_SCHEMA = "person string, image_id bigint, label int, features array<float
 def build_samples(
     spark: SparkSession, labels_path: str, features_path: str, out_path: str,
     mapping: Mapping[str, int] | None = None, weights: Mapping[str, float] | None = None, seed: int = 0,
-    max_records: int | None = None, features_format: str = "parquet",
+    max_records: int | None = None, features_format: str = "parquet", labels_multiline: bool = True,
 ) -> DataFrame:
     """Labels x features -> split -> one Parquet write (folders per split).
     Returns the written samples (read back with a fixed schema).
 
     ``features_path`` is the table written by ``features`` (``parquet``) or a
-    folder of ``<person>/<id>.npy`` vector files (``npy``)."""
-    labs = columns.valid_labels(read_labels(spark, labels_path))
+    folder of ``<person>/<id>.npy`` vector files (``npy``). ``labels_multiline``
+    False reads JSON lines, which Spark splits by block; the array form is one
+    task a file."""
+    labs = columns.valid_labels(read_labels(spark, labels_path, labels_multiline))
     labs = columns.with_path_parts(labs, "image_path")
     labs = labs.select(F.col("parent").alias("person"), F.col("stem").try_cast("bigint").alias("image_id"),
                        "emotion")
@@ -143,14 +183,14 @@ def train(
     spark: SparkSession, labels_path: str, features_path: str, out_dir: str,
     model: str = "forest", mapping: Mapping[str, int] | None = None,
     weights: Mapping[str, float] | None = None, run_id: str = "run", features_format: str = "parquet",
-    **params,
+    labels_multiline: bool = True, **params,
 ) -> DataFrame:
     """Build samples, fit on ``train``, score every split and append the metric
     history (``run_id, step, split, metric, value``). Raises on an empty
     training set. ``model``: ``forest``, ``mlp`` or ``centroid``."""
     out_dir = out_dir.rstrip("/")
     s = build_samples(spark, labels_path, features_path, f"{out_dir}/samples", mapping, weights,
-                      features_format=features_format)
+                      features_format=features_format, labels_multiline=labels_multiline)
     tr = s.filter(F.col("split") == "train")
     aggregates.require_rows(tr, "training split")
     if model == "forest":
@@ -166,9 +206,9 @@ def train(
         raise ValueError(f"unknown model {model!r}")
     classes = fitted.labels if model == "centroid" else None
     hist = evaluate.evaluate_splits(pred, run_id=run_id, step=0, classes=classes)
-    sinks.append_metrics(hist, f"{out_dir}/metrics")
     sinks.save_model(fitted, f"{out_dir}/model")
-    return spark.read.parquet(f"{out_dir}/metrics").filter(F.col("run_id") == run_id)
+    sinks.append_metrics(hist, f"{out_dir}/metrics")
+    return sinks.read_metrics(spark, f"{out_dir}/metrics").filter(F.col("run_id") == run_id)
 
 
 def cluster_vectors(

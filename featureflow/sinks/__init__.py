@@ -54,8 +54,19 @@ def write_samples(
 
 
 def append_metrics(metrics: DataFrame, path: str) -> None:
-    """Append metric history rows (``run_id, step, split, metric, value``)."""
-    metrics.write.mode("append").parquet(path)
+    """Add metric history rows (``run_id, step, split, metric, value``). Rows of
+    the same runs and steps are replaced, so a retry leaves no second copy: each
+    (run_id, step) is a folder of its own."""
+    (metrics.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy("run_id", "step").parquet(path))
+
+
+METRICS_SCHEMA = "split string, metric string, value double, run_id string, step int"
+
+
+def read_metrics(spark: SparkSession, path: str) -> DataFrame:
+    """The metric history: ``run_id, step, split, metric, value``."""
+    return spark.read.schema(METRICS_SCHEMA).parquet(path).select("run_id", "step", "split", "metric", "value")
 
 
 def save_model(model, path: str, overwrite: bool = True) -> None:
@@ -75,7 +86,7 @@ def save_model(model, path: str, overwrite: bool = True) -> None:
     w.save(path)
 
 
-def load_model(kind, path: str, spark: SparkSession | None = None, max_classes: int = 10_000):
+def load_model(kind, path: str, spark: SparkSession | None = None):
     """``kind`` is a Spark ML model class (e.g. ``RandomForestClassificationModel``)
     or ``"centroids"``."""
     if kind == "centroids":
@@ -83,10 +94,7 @@ def load_model(kind, path: str, spark: SparkSession | None = None, max_classes:
 
         spark = spark or SparkSession.getActiveSession()
         df = spark.read.parquet(path)
-        rows = df.limit(max_classes + 1).collect()
-        if len(rows) > max_classes:
-            raise ValueError("centroid table too large")
-        rows = sorted(rows, key=lambda r: r["label"])
+        rows = sorted(df.collect(), key=lambda r: r["label"])  # the model itself: it is held by the driver
         return CentroidModel(labels=[r["label"] for r in rows],
                              centers=np.array([r["center"] for r in rows], dtype=np.float64),
                              label_type=dict(df.dtypes)["label"], counts=[r["n"] for r in rows])
@@ -98,4 +106,4 @@ def first_rows(df: DataFrame, n: int = 5) -> DataFrame:
     return df.limit(n)
 
 
-__all__ = ["append_metrics", "first_rows", "load_model", "save_model", "write_samples", "write_table", "F"]
+__all__ = ["append_metrics", "first_rows", "load_model", "read_metrics", "save_model", "write_samples", "write_table"]

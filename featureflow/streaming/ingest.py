@@ -81,15 +81,12 @@ def stream_samples(
     return append_stream(samples.select(*KEY, "label", "features"), out_path, checkpoint, available_now)
 
 
-def run_to_table(spark: SparkSession, stream: DataFrame, timeout_s: float = 3600.0) -> DataFrame:
+def run_to_table(spark: SparkSession, stream: DataFrame) -> DataFrame:
     """Run ``stream`` over everything available into a fresh folder under the
     session's shared checkpoint folder and return the written table."""
     base = f"{checkpoint_dir(spark).rstrip('/')}/streams/{uuid.uuid4().hex}"
     q = append_stream(stream, f"{base}/out", f"{base}/checkpoint")
-    q.awaitTermination(timeout_s)
-    if q.isActive:
-        q.stop()
-        raise TimeoutError("stream did not finish")
+    q.awaitTermination()
     if q.exception() is not None:
         raise RuntimeError(str(q.exception()))
     return spark.read.schema(stream.schema).parquet(f"{base}/out")

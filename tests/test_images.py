@@ -148,3 +148,60 @@ def test_binary_rows_and_vectors_to_images(spark):
     imgs = {r.id: r.image for r in I.vectors_to_images(df, "v", 2, 3).collect()}
     assert np.frombuffer(imgs[1].data, dtype="<f4").tolist() == [0.0, 1.0, 2.0, 3.0, 4.0, 5.0]
     assert imgs[2].data is None and imgs[3].data is None
+
+
+def _pictures(spark, n, parts):
+    df = spark.range(n, numPartitions=parts).select(
+        F.col("id"), F.transform(F.sequence(F.lit(0), F.lit(15)), lambda i: ((F.col("id") + i) % 7).cast("float")).alias("v"))
+    return I.vectors_to_images(df, "v", 4, 4).select("id", "image")
+
+
+def _count_builds(folder, fn):
+    """A model factory that leaves a file for each time it is called."""
+    def make():
+        import os
+        import uuid
+
+        open(os.path.join(folder, f"{os.getpid()}-{uuid.uuid4().hex}"), "w").close()
+        return fn
+    return make
+
+
+def test_batch_model_is_built_once_a_worker(spark, tmp):
+    import os
+
+    pics = _pictures(spark, 320, 16)
+    make = _count_builds(tmp, lambda batch: batch.reshape(len(batch), -1)[:, :2])
+    feats = inference.image_features(pics, None, size=4, method="nearest", make_predict_fn=make, batch_size=7)
+    for _ in range(2):
+        assert sorted((r.id, r.status, r.features) for r in feats.collect())[3] == (3, "ok", [3.0, 4.0])
+    builds = os.listdir(tmp)
+    assert len(builds) == len({b.split("-")[0] for b in builds})
+
+
+def test_batch_model_failures_stay_with_their_pictures(spark):
+    def make():
+        def model(batch):
+            if (batch[:, 0, 0, 0] == 5).any():
+                raise ValueError("a five: " + "x" * 600)
+            return batch.reshape(len(batch), -1)[:, :1]
+        return model
+
+    rows = inference.image_features(_pictures(spark, 70, 3), None, size=4, method="nearest", make_predict_fn=make).collect()
+    assert all((r.features is None) == (r.id % 7 == 5) for r in rows)
+    assert {r.status for r in rows if r.id % 7 == 5} == {"error: ValueError: a five: " + "x" * 600}
+
+
+def test_labeller_once_a_worker_and_whole_outcomes(spark, tmp):
+    import os
+
+    def label(arrays):
+        got = ["happy" if a.ravel()[0] < 3 else None for a in arrays]
+        return got[:-1] if len(got) > 4 else got  # too few for a batch
+    out = inference.label_images(_pictures(spark, 200, 16), _count_builds(tmp, label))
+    for _ in range(2):
+        rows = out.collect()
+        assert len(rows) == 200 and all((r.emotion is None) != (r.error is None) for r in rows)
+        assert all((r.emotion == "happy") == (r.id % 7 < 3) for r in rows)
+    builds = os.listdir(tmp)
+    assert len(builds) == len({b.split("-")[0] for b in builds})

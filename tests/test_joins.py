@@ -14,11 +14,10 @@ def lm(spark):
 
 def test_join_labels_fanout_and_nulls(spark, lm):
     labels, manifest = lm
-    out = joins.join_labels(labels, manifest)
+    out = joins.join_labels(labels, manifest, "image_id")
     assert out.count() == 1 + 2 * 2  # id 1 once; id 2: 2 labels x 2 rows; NULL keys never match
-    assert joins.join_labels(labels, manifest, broadcast_max_rows=10).count() == 5
     with pytest.raises(ValueError):
-        joins.join_labels(labels, manifest, unique=True)
+        joins.join_labels(labels, manifest, "image_id", unique=True)
 
 
 def test_presence_semi_anti(spark, lm):
@@ -55,16 +54,7 @@ def test_union_manifests(spark):
     assert [(r.name, r.image_id, r.note, r.source) for r in u] == [("x", 1, None, "a"), ("y", 2, "extra", "b")]
 
 
-def test_sized_broadcast_checks_rows_and_bytes(spark):
-    from featureflow.operators.joins import row_bytes, sized_broadcast
-
-    df = spark.createDataFrame([(i, "x" * 100, [1.0, 2.0]) for i in range(50)], "k int, s string, v array<double>")
-    assert row_bytes(df) is not None
-    _, ok = sized_broadcast(df, 100)
-    assert ok
-    _, ok = sized_broadcast(df, 49)
-    assert not ok
-    _, ok = sized_broadcast(df, 100, max_bytes=50 * 100)  # 100-byte strings alone exceed it
-    assert not ok
-    b, ok = sized_broadcast(df, 100, max_bytes=50 * 200)
-    assert ok and "broadcast" in b._jdf.queryExecution().analyzed().toString().lower()
+def test_join_labels_default_key_names_the_person(spark):
+    labels = spark.createDataFrame([("A", 1, "happy"), ("B", 1, "sad")], "person string, image_id bigint, emotion string")
+    manifest = spark.createDataFrame([("A", 1, "u1"), ("B", 1, "u2")], "person string, image_id bigint, url string")
+    assert sorted((r.emotion, r.url) for r in joins.join_labels(labels, manifest).collect()) == [("happy", "u1"), ("sad", "u2")]

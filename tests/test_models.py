@@ -2,7 +2,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from featureflow.operators import classify, cluster, evaluate, project, splits
+from featureflow.operators import classify, cluster, columns, evaluate, project, splits
 
 EMB = "/root/testdata/sf0.01/embeddings.parquet"
 
@@ -87,8 +87,22 @@ def test_fit_centroids_checks_matrix_bytes(spark):
     assert classify.fit_centroids(df).centers.shape == (3, 100)
     with pytest.raises(ValueError, match="exceeds"):
         classify.fit_centroids(df, max_bytes=3 * 100 * 8 - 1)
-    with pytest.raises(ValueError, match="classes"):
-        classify.fit_centroids(df, max_classes=2)
+
+
+def test_bad_vectors_get_null_outputs(spark):
+    rows = [(i, i % 2, [float(i % 2) * 5 + (i % 7) * 0.1, float(i % 5)]) for i in range(60)]
+    bad = [(100, 0, None), (101, 1, [1.0]), (102, 1, [1.0, None]), (103, 0, [float("nan"), 1.0])]
+    df = spark.createDataFrame(rows + bad, "k int, label int, features array<double>")
+    out, _ = cluster.kmeans(df, 2)
+    checks = {"kmeans": out.select("k", F.col("cluster").alias("v")),
+              "project": project.project_2d(df).select("k", F.col("x").alias("v"))}
+    for name, model in (("forest", classify.train_forest(df, num_trees=3)), ("mlp", classify.train_mlp(df, hidden=(4,), max_iter=5))):
+        checks[name] = classify.predict(model, df).select("k", F.col("prediction").alias("v"))
+    checks["centroid"] = classify.fit_centroids(df).transform(df).select("k", F.col("prediction").alias("v"))
+    for name, got in checks.items():
+        missing = {r.k for r in got.collect() if r.v is None}
+        assert missing == {100, 101, 102, 103}, name
+    assert {r.k for r in columns.with_vector_status(df).filter("status = 'bad_vector'").collect()} == {100, 101, 102, 103}
 
 
 def test_rows_matrix_reads_arrow_lists():

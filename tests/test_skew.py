@@ -81,3 +81,32 @@ def test_attach_names_hot_repeated_key_raises(spark):
         joins.attach_names(pts, names).collect()
     ok = spark.range(0, n).select(F.col("id").alias("sample_id"), F.col("id").cast("string").alias("name"))
     assert joins.attach_names(pts, ok).filter(F.col("name") != F.col("sample_id").cast("string")).count() == 0
+
+
+@pytest.fixture()
+def skewed_files(spark, tmp, skewed):
+    left, right = skewed
+    hot = right.unionByName(left.filter("k = 0").select("k", F.col("row").alias("v")))
+    for name, df in (("left", left.repartition(4)), ("right", right.repartition(4)), ("hot", hot.repartition(4))):
+        df.write.parquet(f"{tmp}/{name}")
+    return {n: spark.read.parquet(f"{tmp}/{n}") for n in ("left", "right", "hot")}
+
+
+@pytest.mark.parametrize("right", ["right", "hot"])
+def test_hot_keys_are_split(spark, skewed_files, force_skew, right):
+    left, right = skewed_files["left"], skewed_files[right]
+
+    def final_plan(df):
+        df.collect()
+        return df._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+
+    assert "skew=true" in final_plan(joins.present_only(left, right, "k"))
+    assert "skew=true" in final_plan(joins.pending(left, right, "k"))
+    assert final_plan(joins.with_presence(left, right, "k")).count("skew=true") == 2
+
+
+def test_hot_points_are_split(spark, tmp, skewed_files, force_skew):
+    spark.range(0, 30000).select(F.col("id").alias("k"), F.col("id").cast("string").alias("name")).write.parquet(f"{tmp}/names")
+    out = joins.attach_names(skewed_files["left"], spark.read.parquet(f"{tmp}/names"), "k")
+    assert len(out.collect()) == 30000
+    assert "skew=true" in out._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]

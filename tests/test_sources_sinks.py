@@ -111,4 +111,6 @@ def test_models_persist(spark, tmp):
     hist = spark.createDataFrame([("r", 0, "train", "accuracy", 0.5)], "run_id string, step int, split string, metric string, value double")
     sinks.append_metrics(hist, os.path.join(tmp, "m"))
     sinks.append_metrics(hist, os.path.join(tmp, "m"))
-    assert spark.read.parquet(os.path.join(tmp, "m")).count() == 2
+    assert sinks.read_metrics(spark, os.path.join(tmp, "m")).collect() == hist.collect()  # a retry replaces its rows
+    sinks.append_metrics(hist.withColumn("step", F.lit(1)), os.path.join(tmp, "m"))
+    assert sorted(r.step for r in sinks.read_metrics(spark, os.path.join(tmp, "m")).collect()) == [0, 1]

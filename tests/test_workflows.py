@@ -72,11 +72,18 @@ def test_manifest_pictures_broadcast_and_shuffle_paths_agree(spark, layout):
         return sorted((r.person, r.image_id, r.status, r.bbox_coords and tuple(r.bbox_coords),
                        r.image and (r.image.height, r.image.width, bytes(r.image.data))) for r in df.collect())
 
-    small = workflows._manifest_pictures(spark, layout["manifest"], layout["images"])
-    big = workflows._manifest_pictures(spark, layout["manifest"], layout["images"], broadcast_max_rows=0)
-    assert rows(small) == rows(big)
-    assert len(rows(small)) == 37
-    assert "BroadcastHashJoin" in small._jdf.queryExecution().executedPlan().toString()
+    todo = workflows._todo(spark, layout["manifest"], "/nowhere/yet")
+    small = workflows._manifest_pictures(spark, todo, layout["images"])
+    plan = small._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan
+    assert not [x for x in plan.splitlines() if "Exchange hashpartitioning" in x and "image#" in x]
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        big = rows(workflows._manifest_pictures(spark, todo, layout["images"]))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert rows(small) == big
+    assert len(big) == 37
 
 
 def test_train_on_empty_raises(spark, layout):
