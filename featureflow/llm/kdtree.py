@@ -29,6 +29,7 @@ SHARD_ROWS = 4096
 QUERY_ROWS = 512
 LEAF = 64
 EXACT = 2.0 ** 53
+LONG = 2 ** 63 - 1
 
 
 class Tree:
@@ -73,6 +74,8 @@ class Tree:
                 continue
             a, b = self.span[node]
             score = self.x[a:b] @ q
+            if score.dtype == object:
+                score = np.array([max(-LONG - 1, min(LONG, s)) for s in score], dtype=object)
             for i in np.flatnonzero(score >= kth):
                 found = (score[i], -int(self.ids[a + i]))
                 if -found[1] == own or score[i] < kth:
@@ -99,7 +102,7 @@ class Shard:
     def add(self, ids: np.ndarray, v: np.ndarray) -> None:
         self.ids.append(ids), self.rows.append(np.floor(self.scale * v))
 
-    def search(self, ids: np.ndarray, v: np.ndarray, kth: np.ndarray, k: int) -> list[tuple[int, int, int]]:
+    def search(self, ids: np.ndarray, v: np.ndarray, kth: list[int | None], k: int) -> list[tuple[int, int, int]]:
         if not self.rows:
             return []
         if self.tree is None:
@@ -111,7 +114,7 @@ class Shard:
         for at in range(0, len(q), QUERY_ROWS):
             bounds = tree.bounds(q[at:at + QUERY_ROWS])
             for i, bound in enumerate(bounds, at):
-                start = -np.inf if np.isnan(kth[i]) else kth[i]
+                start = -np.inf if kth[i] is None else kth[i]
                 out += [(int(ids[i]), id_, int(score)) for score, id_ in tree.search(q[i], int(ids[i]), bound, k, start)]
         return out
 
@@ -119,8 +122,6 @@ class Shard:
 def search_shards(rows: DataFrame, k: int, scale: float) -> DataFrame:
     """``query_id, vec_id, score`` from rows ``shard, asked, id, v, kth``, which
     come sorted by shard and hold its vectors before its queries."""
-    top = 2 ** 63 - 1
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         at, shard = None, Shard(scale)
         for b in batches:
@@ -135,14 +136,14 @@ def search_shards(rows: DataFrame, k: int, scale: float) -> DataFrame:
                 part = b.slice(s, e - s)
                 ids, v = part.column("id").to_numpy(), matrix(part.column("v"))
                 if asked[s]:
-                    out += shard.search(ids, v, part.column("kth").to_numpy(zero_copy_only=False), k)
+                    out += shard.search(ids, v, part.column("kth").to_pylist(), k)
                 else:
                     shard.add(ids, v)
             if out:
                 query, found, score = zip(*out, strict=True)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(query, pa.int64()), pa.array(found, pa.int64()),
-                     pa.array([max(-top - 1, min(top, x)) for x in score], pa.int64())], names=["query_id", "vec_id", "score"])
+                     pa.array(score, pa.int64())], names=["query_id", "vec_id", "score"])
 
     return rows.repartition("shard").sortWithinPartitions("shard", "asked", "id").mapInArrow(
         run, "query_id long, vec_id long, score long")
@@ -157,7 +158,7 @@ def top_k(vectors: DataFrame, queries: DataFrame, cuts: Cuts, id_col: str = "vec
     Rows with a null id, or a vector that is null, empty or has null or
     non-finite components, take no part. A repeated id counts once, with its
     smallest vector. Vectors are compared with queries of their length only.
-    Scores beyond a long are cut to it. Other columns don't matter. Queries
+    Scores beyond a long count as its limit. Other columns don't matter. Queries
     without any candidate and empty tables give no rows.
     """
     def clean(df: DataFrame) -> DataFrame:
@@ -172,14 +173,14 @@ def top_k(vectors: DataFrame, queries: DataFrame, cuts: Cuts, id_col: str = "vec
         shards = -(-n // shard_rows)
         x = rows.filter(F.col("d") == d).select(
             F.pmod(F.xxhash64("id"), F.lit(shards)).cast("int").alias("shard"), F.lit(0).alias("asked"), "id", "v",
-            F.lit(None).cast("double").alias("kth"))
+            F.lit(None).cast("long").alias("kth"))
         q = asked.filter(F.col("d") == d).withColumn("home", F.pmod(F.xxhash64("id", F.lit("q")), F.lit(shards)).cast("int"))
         first = cuts.save(search_shards(x.unionByName(q.select(
-            F.col("home").alias("shard"), F.lit(1).alias("asked"), "id", "v", F.lit(None).cast("double").alias("kth"))),
+            F.col("home").alias("shard"), F.lit(1).alias("asked"), "id", "v", F.lit(None).cast("long").alias("kth"))),
             k, scale))
         parts.append(first)
         if shards > 1:
-            kth = cuts.save(first.groupBy("query_id").agg(F.count(F.lit(1)).alias("n"), F.min("score").cast("double").alias("kth"))
+            kth = cuts.save(first.groupBy("query_id").agg(F.count(F.lit(1)).alias("n"), F.min("score").alias("kth"))
                             .filter(F.col("n") >= k).select("query_id", "kth"))
             q = q.join(kth, q.id == kth.query_id, "left")
             others = F.array_remove(F.sequence(F.lit(0), F.lit(shards - 1)), F.col("home"))
