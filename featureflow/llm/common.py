@@ -5,6 +5,7 @@ components, distributed ranks."""
 from __future__ import annotations
 
 import gc
+import time
 import uuid
 from collections.abc import Iterator
 
@@ -52,8 +53,10 @@ class Cuts:
     def free(self) -> None:
         """Let the driver notice the shuffles that nothing refers to any more, so
         that executors delete their files."""
-        gc.collect()
-        self.spark._jvm.System.gc()
+        for _ in range(2):  # Python lets go of Java's objects a moment after its own
+            gc.collect()
+            self.spark._jvm.System.gc()
+            time.sleep(1)
 
     def __enter__(self) -> Cuts:
         return self

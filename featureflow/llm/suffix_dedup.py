@@ -147,8 +147,9 @@ def shared_keys(docs: DataFrame, length: int) -> np.ndarray:
 # ------------------------------------------------------------------ step 2: pieces of texts
 
 def piece_rows(docs: DataFrame, bloom, length: int, with_text: bool) -> DataFrame:
-    """``key, hash, id, text_key, start[, piece]`` of the pieces with a shared key."""
-    names = ["key", "hash", "id", "text_key", "start"] + ["piece"] * with_text
+    """The pieces with a shared key: ``key, id, piece``, or for the way back
+    ``key, id, text_key, start, hash`` (``hash``: Spark's xxhash64 of the piece)."""
+    names = ["key", "id", "piece"] if with_text else ["key", "id", "text_key", "start", "hash"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shared = bloom.value
@@ -161,13 +162,14 @@ def piece_rows(docs: DataFrame, bloom, length: int, with_text: bool) -> DataFram
                 ok = in_bloom(shared, keys)
                 start, n, keys = start[ok], n[ok], keys[ok]
                 cut = [data[s:e] for s, e in zip(start.tolist(), (start + n + (length - 1)).tolist(), strict=True)]
-                hashes = np.fromiter(map(xxhash.xxh64_intdigest, cut), np.uint64, len(cut))
-                values = [keys.view(np.int64), hashes.view(np.int64), np.full(len(cut), id_.as_py(), np.int64),
-                          np.full(len(cut), text_key.as_py(), np.int64), start.astype(np.int64)]
-                for c, v in zip(cols, values, strict=False):
-                    c.append(v)
+                cols[0].append(keys.view(np.int64))
+                cols[1].append(np.full(len(cut), id_.as_py(), np.int64))
                 if with_text:
-                    cols[5] += cut
+                    cols[2] += cut
+                else:
+                    cols[2].append(np.full(len(cut), text_key.as_py(), np.int64))
+                    cols[3].append(start.astype(np.int64))
+                    cols[4].append(hashes(cut))
                 held += len(cut)
                 if held > 100_000:
                     yield batch(cols)
@@ -176,13 +178,19 @@ def piece_rows(docs: DataFrame, bloom, length: int, with_text: bool) -> DataFram
                 yield batch(cols)
 
     def batch(cols):
-        arrays = [pa.array(np.concatenate(c)) for c in cols[:5]]
-        return pa.RecordBatch.from_arrays(arrays + [pa.array(c, pa.binary()) for c in cols[5:]], names=names)
+        numbers = 2 if with_text else 5
+        arrays = [pa.array(np.concatenate(c)) for c in cols[:numbers]]
+        return pa.RecordBatch.from_arrays(arrays + [pa.array(c, pa.binary()) for c in cols[numbers:]], names=names)
 
-    schema = "key long, hash long, id long, text_key long, start long" + ", piece binary" * with_text
+    schema = "key long, id long, piece binary" if with_text else "key long, id long, text_key long, start long, hash long"
     return docs.select("id", "text_key", "data").mapInArrow(run, schema)
 
 
+def hashes(pieces: list[bytes]) -> np.ndarray:
+    """Spark's ``xxhash64`` of each piece."""
+    return np.fromiter((xxhash.xxh64_intdigest(p, 42) for p in pieces), np.uint64, len(pieces)).view(np.int64)
+
+
 # ------------------------------------------------------------------ step 3: merging transforms
 
 def shard_transform(strings: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -287,8 +295,9 @@ def merged_holders(pieces: DataFrame, length: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for t in whole_groups(batches, ["key"]):
-            key, hash_, low, high = (t.column(c).to_numpy() for c in ("key", "hash", "low", "high"))
+            key, low, high = (t.column(c).to_numpy() for c in ("key", "low", "high"))
             text = t.column("piece").to_pylist()
+            hash_ = hashes(text)
             starts = group_starts([key])
             sizes = np.diff(np.append(starts, len(key)))
             alone = np.flatnonzero(np.repeat(sizes == 1, sizes) & (low < high))
@@ -337,6 +346,7 @@ def grouped_holders(pieces: DataFrame, length: int, cuts: Cuts) -> DataFrame:
                     [pa.array(c) for c in (two[:, 0].copy(), two[:, 1].copy(), *rest, offset)],
                     names=["s1", "s2", "low", "key", "hash", "high", "offset"])
 
+    pieces = pieces.withColumn("hash", F.xxhash64("piece"))
     rows = cuts.save(pieces.mapInArrow(run, "s1 long, s2 long, low long, key long, hash long, high long, offset long"), keep=False)
     least = cuts.save(rows.groupBy("s1", "s2").agg(F.min("low").alias("holder")), keep=False)
     return rows.join(least, ["s1", "s2"]).filter("holder < high").select(
@@ -365,11 +375,12 @@ def repeats(docs: DataFrame, cuts: Cuts, id_col: str = "doc_id", text_col: str =
     d = d.filter(F.col("id").isNotNull() & (F.octet_length("data") >= length))
     bloom = spark.sparkContext.broadcast(shared_keys(d, length))
     cuts.free()
-    pieces = piece_rows(d, bloom, length, True).groupBy("key", "hash", "piece").agg(
+    pieces = piece_rows(d, bloom, length, True).groupBy("key", "piece").agg(
         F.min("id").alias("low"), F.max("id").alias("high"))
     pieces = cuts.save(pieces, keep=False)
     cuts.free()
-    holders = cuts.save(first_holders(pieces, length, cuts), keep=False)
+    holders = cuts.save(first_holders(pieces, length, cuts))
+    cuts.drop()
     cuts.free()
     held = piece_rows(d, bloom, length, False).join(holders, ["key", "hash"]).filter("holder < id")
     runs = held.groupBy("id", "text_key").agg(
