@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from featureflow import sinks
-from featureflow.session import materialize
+from featureflow.session import materialize, size_for_input
 from featureflow.operators import aggregates, classify, columns, evaluate, images, inference, joins, splits
 from featureflow.sources.images import list_images, read_images
 from featureflow.sources.labels import read_labels
@@ -52,6 +52,8 @@ def pending_images(spark: SparkSession, manifest_paths, image_root: str, ext: st
 
 def _todo(spark, manifest_paths, out_path: str) -> DataFrame:
     """Manifest rows whose key is not in the table at ``out_path`` yet."""
+    paths = [manifest_paths] if isinstance(manifest_paths, str) else list(manifest_paths)
+    size_for_input(spark, [p for p in [*paths, out_path] if path_exists(spark, p)])
     rows = manifest_rows(spark, manifest_paths).select(*KEY, "bbox_coords", "status")
     if not path_exists(spark, out_path):
         return rows
@@ -159,6 +161,7 @@ def build_samples(
     folder of ``<person>/<id>.npy`` vector files (``npy``). ``labels_multiline``
     False reads JSON lines, which Spark splits by block; the array form is one
     task a file."""
+    size_for_input(spark, [labels_path, features_path])
     labs = columns.valid_labels(read_labels(spark, labels_path, labels_multiline))
     labs = columns.with_path_parts(labs, "image_path")
     labs = labs.select(F.col("parent").alias("person"), F.col("stem").try_cast("bigint").alias("image_id"),

@@ -1,8 +1,9 @@
 """Image folders ``<root>/<person>/<id>.<ext>``: listings and decoded pictures.
 
-Listing and decoding are Spark file sources, so the file walk is distributed
-(no driver ``os.walk``) and only the files a query needs are opened. Hidden
-files (leading ``.`` or ``_``) are skipped by Spark itself.
+Listing and decoding are Spark file sources. Large folders are walked by tasks,
+but the result, one file status per picture, is held by the driver: split a
+collection of more than some 10^8 files into folders and runs. Hidden files
+(leading ``.`` or ``_``) are skipped by Spark itself.
 """
 
 from __future__ import annotations

@@ -6,8 +6,6 @@ import pytest
 from conftest import SF01
 from pyspark.sql import functions as F
 
-import __spark_entry__ as entry
-from featureflow.plans import queries as plans
 from featureflow.operators import columns, joins, splits
 from featureflow.plans import queries as Q
 
@@ -20,9 +18,9 @@ def optimized(df) -> str:
     return df._jdf.queryExecution().optimizedPlan().toString()
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(Q.queries()))
 def test_no_cross_products(spark, name):
-    p = plan(entry.queries()[name](spark, SF01))
+    p = plan(Q.queries()[name](spark, SF01))
     assert "CartesianProduct" not in p and "BroadcastNestedLoopJoin" not in p
 
 
@@ -32,7 +30,7 @@ def test_no_cross_products(spark, name):
                                   "attach_names", "union_manifests", "read_samples", "num_classes", "batch_id",
                                   "hash_split", "split_counts"])
 def test_relational_queries_stay_in_the_jvm(spark, name):
-    p = plan(entry.queries()[name](spark, SF01))
+    p = plan(Q.queries()[name](spark, SF01))
     assert "Python" not in p and "ArrowEval" not in p and "MapInPandas" not in p
 
 

@@ -156,3 +156,53 @@ def test_train_from_vector_files(spark, tmp):
     rows = {(r.split, r.metric): r.value for r in hist.collect()}
     assert rows[("train", "accuracy")] == 1.0
     assert spark.read.parquet(os.path.join(tmp, "run", "samples")).count() == 40
+
+
+def test_stages_resume(spark, layout):
+    out = os.path.join(layout["tmp"], "resumable")
+    calls = os.path.join(layout["tmp"], "calls")
+    os.makedirs(calls)
+
+    def make():
+        def model(batch):
+            open(os.path.join(calls, os.urandom(8).hex()), "w").close()
+            return batch.reshape(len(batch), -1)[:, :4]
+        return model
+
+    first = {r.status: r.n for r in workflows.features(spark, layout["manifest"], layout["images"], out, size=4,
+                                                       make_predict_fn=make).collect()}
+    rows, n_calls = spark.read.parquet(out).count(), len(os.listdir(calls))
+    assert first["ok"] and n_calls
+    again = {r.status: r.n for r in workflows.features(spark, layout["manifest"], layout["images"], out, size=4,
+                                                       make_predict_fn=make).collect()}
+    assert again == first and spark.read.parquet(out).count() == rows and len(os.listdir(calls)) == n_calls
+
+
+def test_preprocess_writes_a_folder_per_person(spark, layout):
+    out = os.path.join(layout["tmp"], "crops")
+    before = workflows.preprocess(spark, layout["manifest"], layout["images"], out, size=8).collect()
+    assert any(d.startswith("person=") for d in os.listdir(out))
+    assert sorted(workflows.preprocess(spark, layout["manifest"], layout["images"], out, size=8).collect()) == sorted(before)
+
+
+def test_label_stage_and_pixel_pipeline(spark, layout):
+    records = os.path.join(layout["tmp"], "records")
+
+    def make():
+        return lambda arrays: ["happy" if a.mean() > 100 else "sad" for a in arrays]
+
+    summary = {r.status: r.n for r in workflows.label(spark, layout["images"], records, make).collect()}
+    assert summary["ok"] > 0
+    lines = spark.read.schema("image_path string, emotion string, error string").json(records).collect()
+    assert all((r.emotion is None) != (r.error is None) for r in lines)
+    px = os.path.join(layout["tmp"], "pixels")
+    workflows.pixels(spark, layout["manifest"], layout["images"], px, size=6, box="xyxy", channels=3)
+    good = spark.read.parquet(px).filter("status = 'ok'").first()
+    assert len(good.features) == 6 * 6 * 3 and good.features[0] == good.features[1] == good.features[2]
+    hist = workflows.train(spark, records, px, os.path.join(layout["tmp"], "pixelrun"), model="centroid",
+                           labels_multiline=False, run_id="px")
+    n = hist.count()
+    assert {r.metric for r in hist.collect()} == {"accuracy", "f1", "loss"}
+    again = workflows.train(spark, records, px, os.path.join(layout["tmp"], "pixelrun"), model="centroid",
+                            labels_multiline=False, run_id="px")
+    assert again.count() == n  # replaced, not added
