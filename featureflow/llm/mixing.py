@@ -29,11 +29,18 @@ def word_count(text: Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")
 
 
-def unit(*parts) -> Column:
-    """A number in [0, 1) from the md5 of the parts joined with ':' (null: '-')."""
+def draw(digits: int, *parts) -> Column:
+    """The first hex digits, as a long, of the md5 of the parts joined with ':' (null: '-')."""
     text = F.concat_ws(":", *[F.coalesce(p.cast("string"), F.lit("-")) if isinstance(p, Column) else F.lit(str(p))
                               for p in parts])
-    return F.conv(F.substring(F.md5(text), 1, 12), 16, 10).cast("double") / float(16 ** 12)
+    return F.conv(F.substring(F.md5(text), 1, digits), 16, 10).cast("long")
+
+
+def size_class(size: Column) -> Column:
+    """Sixteen classes an octave: the length of size + 1 in bits, then its next four bits."""
+    bits = F.length(F.bin(size + 1))
+    next_bits = F.call_function("shiftright", size + 1, F.greatest(bits - 5, F.lit(0))).bitwiseAND(15)
+    return (bits * 16 + next_bits).cast("int")
 
 
 def source_targets(sizes: DataFrame, cuts: Cuts, weights=WEIGHTS, max_repeat: float = MAX_REPEAT) -> DataFrame:
@@ -75,18 +82,18 @@ def mix(docs: DataFrame, cuts: Cuts, id_col: str = "doc_id", text_col: str = "te
     """
     rows = cuts.save(docs.select(F.col(id_col).alias("doc_id"), F.col(source_col).alias("source"),
                                  word_count(F.col(text_col)).alias("size"),
-                                 F.xxhash64(F.col(text_col)).alias("text_key")))
-    # 16 size classes an octave; the hash slices only bound how many rows one window holds
-    rows = rows.withColumn("size_class", F.floor(F.log2(F.col("size") + 1.0) * 16).cast("int"))
+                                 F.xxhash64(F.col(text_col)).alias("text_key"),
+                                 draw(15, seed, F.col(id_col), F.md5(F.col(text_col))).alias("draw")))
+    # the slices by draw only bound how many rows one window holds
+    rows = rows.withColumn("size_class", size_class(F.col("size")))
     cells = rows.groupBy("source", "size_class").agg(F.count(F.lit(1)).alias("n"), F.sum("size").alias("s"))
     cells = cuts.save(cells)
     largest = cells.agg(F.max("n")).first()[0] or 0
     slices = max(1, -(-largest // CELL_ROWS)) * 16
     targets = cuts.save(source_targets(
         cells.groupBy("source").agg(F.sum("s").alias("source_size")), cuts, weights, max_repeat))
-    draw = F.xxhash64(F.lit(seed), "doc_id", "text_key")
     cell = ["source", "size_class", "slice"]
-    rows = rows.withColumn("draw", draw).withColumn("slice", F.pmod("draw", F.lit(slices)))
+    rows = rows.withColumn("slice", F.pmod("draw", F.lit(slices)))
     per_cell = rows.groupBy(*cell).agg(F.count(F.lit(1)).alias("n"))
     # a source has a bounded number of cells: size classes x slices
     before = Window.partitionBy("source").orderBy("size_class", "slice").rowsBetween(Window.unboundedPreceding, -1)
@@ -101,7 +108,7 @@ def mix(docs: DataFrame, cuts: Cuts, id_col: str = "doc_id", text_col: str = "te
         "r.doc_id", "r.text_key", "r.source", "r.size", "source_size", "target",
         (F.col("place") + F.col("rows_before")).alias("place"))
     rate = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0)
-    offset = unit(seed, F.col("source"))
+    offset = draw(12, seed, F.col("source")).cast("double") / float(16 ** 12)
     upto = F.floor(F.col("place") * rate + offset)
     return r.select("doc_id", "text_key", "source", "size", "source_size", "target",
                     (upto - F.floor((F.col("place") - 1) * rate + offset)).cast("long").alias("copies"))

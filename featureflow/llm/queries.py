@@ -32,7 +32,44 @@ def oracle_sql() -> dict[str, str]:
     return dict(_SQL)
 
 
-@register("op2_mix_sources")
+@register("op2_mix_sources", r"""
+WITH base AS (
+  SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS size,
+         ('0x' || substr(md5('7:' || coalesce(CAST(doc_id AS VARCHAR), '-') || ':' || coalesce(md5(text), '-')), 1, 15))::BIGINT AS draw
+  FROM documents
+),
+c AS (
+  SELECT *, length(bin(size + 1)) * 16 + (((size + 1) >> greatest(length(bin(size + 1)) - 5, 0)) & 15) AS size_class FROM base
+),
+slices AS (
+  SELECT greatest(1, CAST(ceil(max(n) / 20000) AS BIGINT)) * 16 AS slices
+  FROM (SELECT count(*) AS n FROM c GROUP BY source, size_class) t
+),
+placed AS (
+  SELECT c.*, row_number() OVER (PARTITION BY source ORDER BY size_class, draw % slices, draw, doc_id, size) AS place
+  FROM c, slices
+),
+w AS (
+  SELECT source, s, CASE (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 WHEN 0 THEN 5.0::DOUBLE WHEN 1 THEN 2.0 ELSE 1.0 END AS w
+  FROM (SELECT source, CAST(sum(size) AS BIGINT) AS s FROM c GROUP BY source) t
+),
+filled AS (  -- sources reach three times their size in the order of size over weight
+  SELECT *, (sum(s) OVER () - coalesce(sum(3.0::DOUBLE * s) OVER (ORDER BY s / w, source ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))
+            / sum(w) OVER (ORDER BY s / w, source ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS level,
+         row_number() OVER (ORDER BY s / w, source) AS n
+  FROM w
+),
+lev AS (SELECT arg_min(level, n) AS level FROM filled WHERE 3.0::DOUBLE * s >= w * level),
+t AS (
+  SELECT source, s AS source_size, least(3.0::DOUBLE * s, w * lev.level) AS target,
+         ('0x' || substr(md5('7:' || coalesce(source, '-')), 1, 12))::BIGINT::DOUBLE / 281474976710656.0::DOUBLE AS off
+  FROM w, lev
+)
+SELECT doc_id, size, source_size, target, copies * size AS taken, source, copies FROM (
+  SELECT p.doc_id, p.source, p.size, t.source_size, t.target,
+         CASE WHEN source_size > 0 THEN CAST(floor(place * (target / source_size) + off)
+              - floor((place - 1) * (target / source_size) + off) AS BIGINT) ELSE 0 END AS copies
+  FROM placed p JOIN t ON p.source IS NOT DISTINCT FROM t.source) x""")
 def op2_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Copies per document so that sources weigh 5, 2, 1, ... in words."""
     from featureflow.llm.mixing import mix
@@ -80,7 +117,24 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return label_documents(table(spark, sf_dir, "documents"))
 
 
-@register("op4_embedding_near_dedup")
+@register("op4_embedding_near_dedup", """
+WITH RECURSIVE v AS (
+  SELECT vec_id, label, list_transform(embedding, lambda x: CAST(x AS DOUBLE)) AS e FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(embedding, lambda x: x <> 0)) > 0
+),
+links AS MATERIALIZED (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b ON a.label = b.label AND a.vec_id <> b.vec_id
+  WHERE list_cosine_similarity(a.e, b.e) >= 0.98
+),
+reach AS (SELECT vec_id AS a, vec_id AS b FROM v
+          UNION SELECT r.a, l.b FROM reach r JOIN links l ON r.b = l.a),
+low AS (SELECT a, min(b) AS component_id FROM reach GROUP BY a),
+n AS (SELECT a, count(*) AS n FROM links GROUP BY a)
+SELECT e.vec_id, coalesce(n.n, 0) AS n_links, coalesce(low.component_id, e.vec_id) AS component_id,
+       e.vec_id = coalesce(low.component_id, e.vec_id) AS kept
+FROM embeddings e LEFT JOIN low ON e.vec_id = low.a LEFT JOIN n ON e.vec_id = n.a""")
 def op4_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate vectors within a label, at cosine 0.98."""
     from featureflow.llm.embed_dedup import near_vectors
@@ -90,7 +144,18 @@ def op4_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(F.col("id").alias("vec_id"), "n_links", "component_id", "kept")
 
 
-@register("op6_exact_top_k")
+@register("op6_exact_top_k", """
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS e FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+),
+s AS (
+  SELECT q.vec_id AS query_id, v.vec_id, CAST(list_inner_product(q.e, v.e) AS BIGINT) AS score
+  FROM v q JOIN v ON q.vec_id <> v.vec_id WHERE q.vec_id % 50 = 0
+)
+SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM (
+  SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s) t
+WHERE rank <= 5""")
 def op6_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The five best inner products of every fiftieth vector."""
     from featureflow.llm.kdtree import top_k
@@ -120,7 +185,33 @@ def op9_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
 
 
-@register("op8_suffix_dedup")
+@register("op8_suffix_dedup", """
+WITH d AS (
+  SELECT doc_id, lower(hex(encode(coalesce(text, '')))) AS h FROM documents
+),
+w AS MATERIALIZED (
+  SELECT doc_id, p, md5(substr(h, CAST(2 * p + 1 AS BIGINT), 100)) AS s
+  FROM (SELECT doc_id, h, unnest(range(0, length(h) // 2 - 49)) AS p FROM d) t
+),
+f AS (SELECT s, min(doc_id) AS first FROM w GROUP BY s),
+hit AS (SELECT w.doc_id, w.p FROM w JOIN f ON w.s = f.s AND f.first < w.doc_id),
+runs AS (  -- starts no more than 50 apart make one removed run
+  SELECT doc_id, p, sum(new) OVER (PARTITION BY doc_id ORDER BY p) AS run FROM (
+    SELECT doc_id, p, CASE WHEN p - lag(p) OVER (PARTITION BY doc_id ORDER BY p) <= 50 THEN 0 ELSE 1 END AS new FROM hit) t
+),
+spans AS (SELECT doc_id, min(p) AS a, max(p) + 50 AS b FROM runs GROUP BY doc_id, run),
+edges AS (
+  SELECT doc_id, a, b, coalesce(lag(b) OVER (PARTITION BY doc_id ORDER BY a), 0) AS before FROM spans
+),
+parts AS (
+  SELECT e.doc_id, string_agg(substr(d.h, CAST(2 * before + 1 AS BIGINT), CAST(2 * (a - before) AS BIGINT)), '' ORDER BY a)
+           || substr(any_value(d.h), CAST(2 * max(b) + 1 AS BIGINT)) AS kept,
+         sum(b - a) AS gone, count(*) AS n
+  FROM edges e JOIN d ON e.doc_id = d.doc_id GROUP BY e.doc_id
+)
+SELECT d.doc_id, length(d.h) // 2 AS n_bytes, CAST(coalesce(gone, 0) AS BIGINT) AS n_removed, coalesce(n, 0) AS n_spans,
+       sha256(unhex(coalesce(kept, d.h))) AS kept_sha256
+FROM d LEFT JOIN parts ON d.doc_id = parts.doc_id""")
 def op8_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Bytes of every document that repeat 50 bytes of an earlier one, removed."""
     from featureflow.llm.suffix_dedup import cut_repeats
