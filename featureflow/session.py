@@ -7,7 +7,9 @@ does it fill in a local default.
 
 from __future__ import annotations
 
+import atexit
 import os
+import shutil
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -76,7 +78,9 @@ def checkpoint_dir(spark: SparkSession) -> str:
         sc.setCheckpointDir(configured)
         return sc.getCheckpointDir()
     if sc.master.startswith("local"):
-        sc.setCheckpointDir(tempfile.mkdtemp(prefix="featureflow-ckpt-"))
+        folder = tempfile.mkdtemp(prefix="featureflow-ckpt-")
+        atexit.register(shutil.rmtree, folder, ignore_errors=True)  # a local run's own folder
+        sc.setCheckpointDir(folder)
         return sc.getCheckpointDir()
     raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/ABFS) before running")
 
