@@ -40,7 +40,7 @@ from featureflow.llm.common import Cuts, group_starts, spare_name, whole_groups
 LENGTH, GRAM = 50, 16
 PIECE_STARTS = 64
 KEY_PIECES = 2048
-SHARDS, SHARD_BYTES = 4, 256 << 10
+SHARDS, SHARD_BYTES = 4, 32 << 10  # what fits a core's cache
 BLOCKS, BLOCK_BITS, BLOOM_HASHES = 1 << 18, 512, 4
 BUCKET_BYTES = 8 << 20
 MIX = np.uint64(0xD6E8FEB86659FD93)
@@ -139,7 +139,7 @@ def shared_keys(docs: DataFrame, length: int) -> np.ndarray:
     packed = docs.select("data").mapInArrow(pack, "bucket int, keys binary")
     parts = packed.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(repeated, "bucket int, part binary")
     bloom, size = np.zeros(BLOCKS * BLOCK_BITS // 8, np.uint8), BLOCKS * BLOCK_BITS // 8 >> bits
-    for r in parts.toLocalIterator():
+    for r in parts.collect():  # the filter's 16 MB
         bloom[r.bucket * size:(r.bucket + 1) * size] = np.frombuffer(bytes(r.part), np.uint8)
     return bloom
 
@@ -223,7 +223,7 @@ def shard_transform(strings: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.nd
             break
         ahead = np.minimum(np.arange(n) + w, n - 1)
         key, done, w = rank * n + rank[ahead], np.zeros(n, bool), 2 * w
-        order = np.argsort(key, kind="stable")
+        order = np.argsort(key)  # equal ones have one rank, so their order is of no consequence
     first = np.zeros(n, bool)
     first[marks - sizes + 1] = True
     before = np.where(first, 0, np.roll(text, 1))
@@ -235,53 +235,83 @@ def shard_transform(strings: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.nd
 def merge_transforms(shards: list[tuple[np.ndarray, np.ndarray, np.ndarray]], marks: list[int], depth: int):
     """Merged suffix order right to ``depth`` bytes and the number of each
     suffix's block (suffixes with ``depth`` bytes in common). ``marks``: strings
-    of each shard. The order is in places of the joined shards."""
+    of each shard, none of them empty. The order is in places of the joined
+    shards. A round goes two bytes back at once: it sorts by a pair of bytes."""
     at = np.cumsum([0, *[len(s[0]) for s in shards]])
     before = np.concatenate([s[1] for s in shards])
-    before = before.astype(np.uint8 if before.max() < 256 else np.uint16)
     longer = np.concatenate([s[2] + a for s, a in zip(shards, at, strict=False)]).astype(np.int32)
+    # bytes by their rank among those present, so that a pair fits 16 bits and sorts by radix
+    present = np.unique(before)
+    before = np.searchsorted(present, before).astype(np.uint16)
+    size = len(present)
     first = np.concatenate([np.arange(a, a + m) for a, m in zip(at, marks, strict=False)]).astype(np.int32)
-    n, m = len(before), len(first)
+    m, n = len(first), len(before)
     order, block = np.arange(n, dtype=np.int32), np.zeros(n, np.int32)
-    for _ in range(depth):
-        c = before[order]
-        turn = np.argsort(c, kind="stable")  # a radix sort: one pass over the bytes
-        c, block = c[turn], block[turn]
-        order = longer[order[turn]]
-        order[:m] = first  # the marks: by shard and string
+
+    def refine(key, longer, fixed):
+        """A round: stable sort by ``key``; ``fixed`` are (key test, places) of
+        suffixes whose order is known, each a block of its own."""
+        nonlocal order, block
+        key = key[order]
+        turn = np.argsort(key, kind="stable")
+        key, block, order = key[turn], block[turn], longer[order[turn]]
         new = np.empty(n, bool)
         new[0] = True
         np.not_equal(block[1:], block[:-1], out=new[1:])
-        new[1:] |= c[1:] != c[:-1]
-        new[:m + 1] = True
+        new[1:] |= key[1:] != key[:-1]
+        for a, b, places in fixed:
+            order[a:b] = places
+            new[a:min(b + 1, n)] = True
         block = np.cumsum(new, dtype=np.int32)
+
+    if depth % 2 or size * size > 1 << 16:
+        for _ in range(depth if size * size > 1 << 16 else 1):
+            refine(before, longer, [(0, m, first)])  # the marks: by shard and string
+        depth -= depth % 2
+    if size * size <= 1 << 16 and depth:
+        # the byte before the byte before; of a whole string the last byte, which stands before its mark
+        pair = before[longer] * np.uint16(size) + before
+        twice = longer[longer]
+        ends = longer[first]  # suffixes of one byte and the mark, in order of the string
+        last = before[first]
+        ends = ends[np.argsort(last, kind="stable")]
+        last, counts = np.unique(last, return_counts=True)
+        begin = np.searchsorted(np.sort(pair), last * np.uint16(size))
+        fixed, done = [(0, m, first)], 0
+        for a, c in zip(begin.tolist(), counts.tolist(), strict=True):
+            fixed.append((a, a + c, ends[done:done + c]))
+            done += c
+        for _ in range(depth // 2):
+            refine(pair, twice, fixed)
     return order, block
 
 
 def smallest_holders(strings: list[bytes], holder: np.ndarray, length: int = LENGTH) -> list[np.ndarray]:
     """For each string, for each of its starts: the smallest ``holder`` of a
     string in which the same ``length`` bytes stand."""
-    parts, part, size = [], [], 0
-    target = max(1, min(SHARD_BYTES, sum(map(len, strings)) // SHARDS))
-    for i, s in enumerate(strings):
-        part.append(i)
-        size += len(s) + 1
-        if size >= target:
-            parts.append(part)
-            part, size = [], 0
-    if part:
-        parts.append(part)
-    shards = [shard_transform([strings[i] for i in p]) for p in parts]
-    order, block = merge_transforms(shards, [len(p) for p in parts], length)
+    low, begin = holders_by_byte(strings, holder, length)
+    return [low[b:b + len(s) - length + 1] for b, s in zip(begin.tolist(), strings, strict=True)]
+
+
+def holders_by_byte(strings: list[bytes], holder: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
+    """The same as one array over the joined strings (each with its mark), and
+    where each string begins in it."""
+    sizes = np.fromiter(map(len, strings), np.int64, len(strings)) + 1
+    begin = np.cumsum(sizes) - sizes
+    target = max(1, min(SHARD_BYTES, int(sizes.sum()) // SHARDS))
+    cuts = np.flatnonzero(np.diff(begin // target)) + 1
+    edges = [0, *cuts.tolist(), len(strings)]
+    parts = [(a, b) for a, b in zip(edges[:-1], edges[1:], strict=True) if a < b]
+    shards = [shard_transform(strings[a:b]) for a, b in parts]
+    order, block = merge_transforms(shards, [b - a for a, b in parts], length)
     at = np.cumsum([0, *[len(s[0]) for s in shards]])
     place = np.concatenate([s[0] + a for s, a in zip(shards, at, strict=False)])  # place in the order -> text position
-    owner = np.repeat(holder, [len(s) + 1 for s in strings])  # shards hold the strings in turn
+    owner = np.repeat(holder, sizes)  # shards hold the strings in turn
     position = place[order]
     starts = group_starts([block])
     low = np.empty(len(owner), np.int64)
     low[position] = np.repeat(np.minimum.reduceat(owner[position], starts), np.diff(np.append(starts, len(block))))
-    begin = np.cumsum([0, *[len(s) + 1 for s in strings]])
-    return [low[b:b + len(s) - length + 1] for b, s in zip(begin, strings, strict=False)]
+    return low, begin
 
 
 RESULT = ["key", "hash", "offset", "count", "holder"]
@@ -307,12 +337,18 @@ def merged_holders(pieces: DataFrame, length: int) -> DataFrame:
             size = 0
 
             def merge(rows):
-                for i, found in zip(rows, smallest_holders([text[i] for i in rows], low[rows], length), strict=True):
-                    s = group_starts([found])
-                    n = np.diff(np.append(s, len(found)))
-                    ok = found[s] < high[i]
-                    s, n = s[ok], n[ok]
-                    out.append((np.full(len(s), key[i]), np.full(len(s), hash_[i]), s, n, found[s]))
+                rows = np.array(rows)
+                found, begin = holders_by_byte([text[i] for i in rows], low[rows], length)
+                count = np.diff(np.append(begin, len(found))) - length  # starts of each string
+                owner = np.repeat(np.arange(len(rows)), count)
+                offset = np.arange(len(owner)) - np.repeat(np.cumsum(count) - count, count)
+                found = found[begin[owner] + offset]
+                s = group_starts([owner, found])  # runs of starts of one string with one holder
+                n = np.diff(np.append(s, len(owner)))
+                ok = found[s] < high[rows[owner[s]]]
+                s, n = s[ok], n[ok]
+                row = rows[owner[s]]
+                out.append((key[row], hash_[row], offset[s], n, found[s]))
 
             for s, n in zip(starts[sizes > 1].tolist(), sizes[sizes > 1].tolist(), strict=True):
                 rows += range(s, s + n)
