@@ -8,7 +8,7 @@ whose symbols have changed. That is O(n log n) for a word of n symbols, also
 for a text of a megabyte without a blank.
 
 Words never span white space, so a text's count is the sum over its pieces
-between blanks; the counts of pieces seen before are kept in a bounded table.
+between blanks; the counts of pieces seen lately are kept in a bounded table.
 """
 
 from __future__ import annotations
@@ -24,7 +24,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-CACHE_PIECES = 400_000
+#: Pieces, and words, whose results a worker keeps (about 200 bytes each).
+CACHE_PIECES, CACHE_WORDS = 1_000_000, 500_000
+#: Longer ones are worked out anew each time.
+CACHE_CHARS = 64
 #: Control characters that str.split() takes for blanks and the tokenizer doesn't.
 SEPARATORS = regex.compile("[\x1c-\x1f]")
 BLANKS = regex.compile(r"\s+")
@@ -70,6 +73,28 @@ def byte_symbols() -> list[str]:
     return [chr(b if b in set(own) else next(rest)) for b in range(256)]
 
 
+class Recent(dict):
+    """Results of ``make(text)`` for the texts seen lately: a young table, and
+    the one before it, from which texts seen again move up. Frequent texts stay;
+    at most ``size`` are held."""
+
+    def __init__(self, make, size: int):
+        super().__init__()
+        self.make, self.half, self.old = make, size // 2, {}
+
+    def __missing__(self, text: str):
+        found = self.old.get(text)
+        if found is None:
+            found = self.make(text)
+            if len(text) > CACHE_CHARS:
+                return found
+        if len(self) >= self.half:
+            self.old = dict(self)
+            self.clear()
+        self[text] = found
+        return found
+
+
 class WordBpe:
     """Token counts for a tokenizer file with word ends (lower case, NFC)."""
 
@@ -85,20 +110,13 @@ class WordBpe:
         specials = [t["content"] for t in spec["added_tokens"]]
         self.specials = regex.compile("|".join(map(regex.escape, specials))) if specials else None
         self.symbols = byte_symbols()
-        self.word_counts: dict[str, int] = {}
-        self.pieces = _Pieces(self)
+        self.words_seen = Recent(self.word, CACHE_WORDS)
+        self.pieces_seen = Recent(self.piece, CACHE_PIECES)
 
     def word(self, word: str) -> int:
-        n = self.word_counts.get(word)
-        if n is None:
-            symbols = [self.symbols[b] for b in word.encode("utf-8")]
-            symbols[-1] += self.end
-            n = len(symbols) - merges_of(symbols, self.ranks)
-            if len(word) <= 64:
-                if len(self.word_counts) >= CACHE_PIECES:
-                    self.word_counts.clear()
-                self.word_counts[word] = n
-        return n
+        symbols = [self.symbols[b] for b in word.encode("utf-8")]
+        symbols[-1] += self.end
+        return len(symbols) - merges_of(symbols, self.ranks)
 
     def split_words(self, piece: str) -> list[str] | None:
         """The words of a text, normalised; None if it holds a special string."""
@@ -112,27 +130,13 @@ class WordBpe:
         words = self.split_words(piece)
         if words is None:
             return len(self.specials.findall(piece)) + sum(map(self.piece, self.specials.split(piece)))
-        return sum(map(self.word, words))
+        return sum(map(self.words_seen.__getitem__, words))
 
     def count(self, text: str | None) -> int:
         if not text:
             return 0
         split = BLANKS.split(text) if SEPARATORS.search(text) else text.split()
-        return sum(map(self.pieces.__getitem__, split))
-
-
-class _Pieces(dict):
-    def __init__(self, bpe: WordBpe):
-        super().__init__()
-        self.bpe = bpe
-
-    def __missing__(self, piece: str) -> int:
-        n = self.bpe.piece(piece)
-        if len(piece) <= 64:
-            if len(self) >= CACHE_PIECES:
-                self.clear()
-            self[piece] = n
-        return n
+        return sum(map(self.pieces_seen.__getitem__, split))
 
 
 _BPE: dict[str, WordBpe] = {}

@@ -120,54 +120,45 @@ class Packer:
                     at, room = 0, sizes.pop(0) if sizes else 0
 
 
-class PieceIds(dict):
-    """Ids of the pieces of text between blanks, as little-endian unsigned
-    32-bit bytes, from the tokenizers library. Ids of words are kept, as words
-    never span blanks and repeat often; bounded like the counts in ``bpe``."""
+class TextIds:
+    """Ids of texts from the tokenizers library, as little-endian unsigned
+    32-bit bytes. Words never span blanks and repeat often, so the ids of words
+    and of pieces between blanks seen lately are kept."""
 
     def __init__(self, path: str):
-        super().__init__()
         from tokenizers import Tokenizer
 
         self.tokenizer, self.plain = Tokenizer.from_file(path), bpe.load(path)
-        self.word_ids: dict[str, bytes] = {}
+        self.model, self.symbols = self.tokenizer.model, self.plain.symbols
+        self.words_seen = bpe.Recent(self.word, bpe.CACHE_WORDS)
+        self.pieces_seen = bpe.Recent(self.piece, bpe.CACHE_PIECES)
 
     def encode(self, text: str) -> bytes:
         return np.asarray(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
     def word(self, word: str) -> bytes:
-        ids = self.word_ids.get(word)
-        if ids is None:
-            ids = self.encode(word)
-            if len(word) <= 64:
-                if len(self.word_ids) >= bpe.CACHE_PIECES:
-                    self.word_ids.clear()
-                self.word_ids[word] = ids
-        return ids
-
-    def __missing__(self, piece: str) -> bytes:
+        """A normalised word goes to the library's merge model in byte symbols."""
+        symbols = "".join([self.symbols[b] for b in word.encode("utf-8")])
+        return np.asarray([t.id for t in self.model.tokenize(symbols)], "<u4").tobytes()
+
+    def piece(self, piece: str) -> bytes:
         words = self.plain.split_words(piece)
-        ids = self.encode(piece) if words is None else b"".join(map(self.word, words))
-        if len(piece) <= 64:
-            if len(self) >= bpe.CACHE_PIECES:
-                self.clear()
-            self[piece] = ids
-        return ids
+        return self.encode(piece) if words is None else b"".join(map(self.words_seen.__getitem__, words))
 
     def text(self, text: str | None) -> bytes:
         if not text:
             return b""
         if bpe.SEPARATORS.search(text):
             return self.encode(text)
-        return b"".join(map(self.__getitem__, text.split()))
+        return b"".join(map(self.pieces_seen.__getitem__, text.split()))
 
 
-_IDS: dict[str, PieceIds] = {}
+_IDS: dict[str, TextIds] = {}
 
 
-def load(path: str) -> PieceIds:
+def load(path: str) -> TextIds:
     if path not in _IDS:
-        _IDS[path] = PieceIds(path)
+        _IDS[path] = TextIds(path)
     return _IDS[path]
 
 
