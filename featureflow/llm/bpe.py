@@ -21,7 +21,6 @@ from collections.abc import Iterator
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 #: Pieces, and words, whose results a worker keeps (about 200 bytes each).

@@ -41,6 +41,7 @@ LENGTH, GRAM = 50, 16
 PIECE_STARTS = 64
 KEY_PIECES = 2048
 SHARDS, SHARD_BYTES = 4, 32 << 10  # what fits a core's cache
+GROUP_BYTES = 64 << 10
 BLOCKS, BLOCK_BITS, BLOOM_HASHES = 1 << 18, 512, 4
 BUCKET_BYTES = 8 << 20
 MIX = np.uint64(0xD6E8FEB86659FD93)
@@ -55,50 +56,79 @@ def mix(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(32))
 
 
-def string_keys(data: bytes, length: int = LENGTH, gram: int = GRAM) -> np.ndarray:
-    """The key of the string at each start: the smallest hash of its grams.
-    Grams and minima are built by doubling, so the cost is a few passes."""
-    if len(data) < length:
-        return np.empty(0, np.uint64)
+def gram_minima(data: bytes, length: int, gram: int = GRAM) -> np.ndarray:
+    """The smallest hash of the grams of the string at each start. Grams and
+    minima are built by doubling, so the cost is a few passes."""
     h, w, factor = BYTE_HASH[np.frombuffer(data, np.uint8)], 1, int(MIX)
     while w < gram:
         h, w = h[:-w] * np.uint64(factor) + h[w:], 2 * w
         factor = factor * int(MIX) % 2 ** 64
-    low, w, most = mix(h), 1, length - gram + 1
+    h ^= h >> np.uint64(32)
+    h *= MIX
+    h ^= h >> np.uint64(29)
+    w, most = 1, length - gram + 1
     while 2 * w <= most:
-        low, w = np.minimum(low[:-w], low[w:]), 2 * w
-    if w < most:
-        low = np.minimum(low[:w - most], low[most - w:])
-    return mix(low)  # minima are small numbers: spread them out again
+        h, w = np.minimum(h[:-w], h[w:]), 2 * w
+    return np.minimum(h[:w - most], h[most - w:]) if w < most else h
 
 
-def key_runs(data: bytes, length: int = LENGTH) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Runs of neighbouring starts with one key: (first start, starts, key). Long
+def key_runs(texts: list[bytes], length: int = LENGTH) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Runs of neighbouring starts with one key, of several texts in one pass:
+    (text number, first start, starts, key). No string spans two texts. Long
     runs, of periodic text, are cut; where doesn't matter."""
-    keys = string_keys(data, length)
-    if not len(keys):
-        return (np.empty(0, np.int64),) * 2 + (keys,)
-    new = np.concatenate([[0], np.flatnonzero(keys[1:] != keys[:-1]) + 1])
-    sizes = np.diff(np.append(new, len(keys)))
-    if sizes.max() > PIECE_STARTS:
-        cuts = [np.arange(a, a + n, PIECE_STARTS) for a, n in zip(new, sizes, strict=True)]
-        new = np.concatenate(cuts)
-        sizes = np.diff(np.append(new, len(keys)))
-    return new, sizes, keys[new]
+    sizes = np.fromiter(map(len, texts), np.int64, len(texts))
+    ends = np.cumsum(sizes)
+    begins, starts = ends - sizes, np.maximum(sizes - length + 1, 0)
+    if not starts.any():
+        return (np.empty(0, np.int64),) * 3 + (np.empty(0, np.uint64),)
+    low = gram_minima(b"".join(texts), length)
+    new = np.empty(len(low), bool)
+    new[0] = True
+    np.not_equal(low[1:], low[:-1], out=new[1:])
+    new[begins[starts > 0]] = True
+    stops = begins + starts
+    new[stops[stops < len(low)]] = True
+    at = np.flatnonzero(new)
+    count = np.diff(np.append(at, len(low)))
+    text = np.searchsorted(ends, at, side="right")
+    inside = at - begins[text] < starts[text]
+    at, count, text = at[inside], count[inside], text[inside]
+    if count.max() > PIECE_STARTS:
+        parts = -(-count // PIECE_STARTS)
+        nth = np.arange(parts.sum()) - np.repeat(np.cumsum(parts) - parts, parts)
+        at, text = np.repeat(at, parts) + nth * PIECE_STARTS, np.repeat(text, parts)
+        count = np.minimum(np.repeat(count, parts) - nth * PIECE_STARTS, PIECE_STARTS)
+    return text, at - begins[text], count, mix(low[at])  # minima are small numbers: spread them out again
+
+
+def in_groups(column, size: int = GROUP_BYTES) -> Iterator[tuple[int, list[bytes]]]:
+    """The texts of a binary column, some at a time: (number of the first, texts)."""
+    first, texts, held = 0, [], 0
+    for i, value in enumerate(column):
+        texts.append(value.as_py())
+        held += len(texts[-1])
+        if held >= size:
+            yield first, texts
+            first, texts, held = i + 1, [], 0
+    if texts:
+        yield first, texts
 
 
 # ------------------------------------------------------------------ step 1: keys of more than one document
 
-def bloom_bits(keys: np.ndarray) -> list[np.ndarray]:
-    """Bit numbers of each key: a block by its first bits, bits in it by its last."""
-    base = (keys >> np.uint64(64 - 18)) * np.uint64(BLOCK_BITS)
-    return [base + ((keys >> np.uint64(9 * j)) & np.uint64(BLOCK_BITS - 1)) for j in range(BLOOM_HASHES)]
+def bloom_bit(keys: np.ndarray, j: int) -> np.ndarray:
+    """Number of each key's j-th bit: a block by its first bits, a bit in it by its last."""
+    return (keys >> np.uint64(64 - 18)) * np.uint64(BLOCK_BITS) + ((keys >> np.uint64(9 * j)) & np.uint64(BLOCK_BITS - 1))
 
 
 def in_bloom(bloom: np.ndarray, keys: np.ndarray) -> np.ndarray:
-    found = np.ones(len(keys), bool)
-    for bit in bloom_bits(keys):
-        found &= (bloom[bit >> np.uint64(3)] >> (np.uint64(7) - (bit & np.uint64(7))).astype(np.uint8)) & 1 == 1
+    """Whether each key may be in the filter; most keys fail the first bit and are done."""
+    left = np.arange(len(keys))
+    for j in range(BLOOM_HASHES):
+        bit = bloom_bit(keys[left], j)
+        left = left[(bloom[bit >> np.uint64(3)] >> (np.uint64(7) - (bit & np.uint64(7))).astype(np.uint8)) & 1 == 1]
+    found = np.zeros(len(keys), bool)
+    found[left] = True
     return found
 
 
@@ -111,8 +141,13 @@ def shared_keys(docs: DataFrame, length: int) -> np.ndarray:
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            own = [np.unique(string_keys(d.as_py(), length)) for d in b.column("data")]
-            keys = np.sort(np.concatenate([np.empty(0, np.uint64), *own]))
+            own = [np.empty(0, np.uint64)]
+            for _, texts in in_groups(b.column("data")):
+                text, _, _, keys = key_runs(texts, length)
+                turn = np.lexsort((keys, text))  # each key of a text once
+                text, keys = text[turn], keys[turn]
+                own.append(keys[group_starts([text, keys])] if len(keys) else keys)
+            keys = np.sort(np.concatenate(own))
             bucket = (keys >> np.uint64(64 - bits)).astype(np.int32)
             starts = group_starts([bucket]) if len(keys) else []
             ends = [*starts[1:], len(keys)]
@@ -130,8 +165,8 @@ def shared_keys(docs: DataFrame, length: int) -> np.ndarray:
                 keys = keys[1:][keys[1:] == keys[:-1]]
                 if len(keys):
                     flags = np.zeros(size, bool)
-                    for bit in bloom_bits(keys):
-                        flags[bit - np.uint64(int(bucket[s]) * size)] = True
+                    for j in range(BLOOM_HASHES):
+                        flags[bloom_bit(keys, j) - np.uint64(int(bucket[s]) * size)] = True
                     yield pa.RecordBatch.from_arrays(
                         [pa.array([bucket[s]], pa.int32()), pa.array([np.packbits(flags).tobytes()], pa.binary())],
                         names=["bucket", "part"])
@@ -156,19 +191,19 @@ def piece_rows(docs: DataFrame, bloom, length: int, with_text: bool) -> DataFram
         for b in batches:
             cols: list[list] = [[] for _ in names]
             held = 0
-            for id_, text_key, data in zip(*[b.column(c) for c in ("id", "text_key", "data")], strict=True):
-                data = data.as_py()
-                start, n, keys = key_runs(data, length)
+            ids, text_keys = b.column("id").to_numpy(), b.column("text_key").to_numpy()
+            for first, texts in in_groups(b.column("data")):
+                text, start, n, keys = key_runs(texts, length)
                 ok = in_bloom(shared, keys)
-                start, n, keys = start[ok], n[ok], keys[ok]
-                cut = [data[s:e] for s, e in zip(start.tolist(), (start + n + (length - 1)).tolist(), strict=True)]
+                text, start, keys, end = text[ok], start[ok], keys[ok], (start + n)[ok] + (length - 1)
+                cut = [texts[t][s:e] for t, s, e in zip(text.tolist(), start.tolist(), end.tolist(), strict=True)]
                 cols[0].append(keys.view(np.int64))
-                cols[1].append(np.full(len(cut), id_.as_py(), np.int64))
+                cols[1].append(ids[first + text])
                 if with_text:
                     cols[2] += cut
                 else:
-                    cols[2].append(np.full(len(cut), text_key.as_py(), np.int64))
-                    cols[3].append(start.astype(np.int64))
+                    cols[2].append(text_keys[first + text])
+                    cols[3].append(start)
                     cols[4].append(hashes(cut))
                 held += len(cut)
                 if held > 100_000:
