@@ -9,7 +9,9 @@ page. Elements whose tag, role or class names them as page furniture have
 importance 0 on any host, so single pages lose those too.
 
 The tree is only counts by (host, path), built by grouped aggregation; no host's
-pages come together in a task. A page's text is then read in its own task.
+pages come together in a task. Copies of a page count as one page: its texts say
+the same because it is there again, not because the site repeats them. A page's
+text is then read in its own task.
 """
 
 from __future__ import annotations
@@ -37,6 +39,7 @@ BLOCKS = set(
     "address article aside blockquote body center dd details dialog div dl dt fieldset figcaption figure footer form "
     "h1 h2 h3 h4 h5 h6 header hr html legend li main menu nav ol p pre section summary table tbody td tfoot th thead "
     "tr ul caption".split())
+HOLDERS = set("article body center div main section table tbody td th tr".split())
 ENDS_P = BLOCKS - set("body html td th tr tbody thead tfoot caption".split())
 FURNITURE = set(
     "head title script style noscript template nav footer aside form button select option textarea input iframe "
@@ -63,10 +66,10 @@ NAME_PARTS = re.compile(r"[a-z]+|[0-9]+")
 
 
 class Node:
-    __slots__ = ("tag", "path", "depth", "furniture", "in_article", "in_main", "children")
+    __slots__ = ("tag", "path", "depth", "furniture", "in_article", "in_main", "in_link", "children")
 
-    def __init__(self, tag, path, depth, furniture, in_article, in_main):
-        self.tag, self.path, self.depth, self.furniture = tag, path, depth, furniture
+    def __init__(self, tag, path, depth, furniture, in_article, in_main, in_link=False):
+        self.tag, self.path, self.depth, self.furniture, self.in_link = tag, path, depth, furniture, in_link
         self.in_article, self.in_main, self.children = in_article, in_main, []
 
 
@@ -87,14 +90,16 @@ def is_furniture(tag: str, attrs: dict[str, str | None], inside: bool) -> bool:
 
 
 class Page(HTMLParser):
-    """One page as blocks of text ``(node, text)`` in page order, and the
-    children of every path for the style tree."""
+    """One page as blocks of text ``(node, text)`` in page order, the length of
+    each one's text outside links, and the children of every path for the style
+    tree."""
 
     def __init__(self, html: str):
         super().__init__(convert_charrefs=True)
         root = Node("", "", 0, False, False, False)
         self.stack, self.blocks, self.parts, self.at = [root], [], [], root
         self.styles: dict[str, list[Node]] = {}
+        self.unlinked, self.plain = [], 0
         if html.rfind("<!--") > html.rfind("-->"):
             html += "-->"  # a comment that never ends
         self.feed(UNFINISHED.sub("", html))
@@ -105,7 +110,8 @@ class Page(HTMLParser):
         text = SPACE.sub(" ", "".join(self.parts)).strip()
         if text:
             self.blocks.append((self.at, text))
-        self.parts = []
+            self.unlinked.append(self.plain)
+        self.parts, self.plain = [], 0
 
     def handle_starttag(self, tag, attrs):
         if tag == "br" and self.parts:
@@ -125,7 +131,7 @@ class Page(HTMLParser):
         deep = top.depth >= DEPTH  # deeper elements count as part of their ancestor there
         path = top.path if deep else f"{top.path}/{tag}.{names}" if names else f"{top.path}/{tag}"
         node = Node(tag, path, top.depth + 1, furniture, not furniture and (top.in_article or tag == "article"),
-                    not furniture and (top.in_main or tag == "main"))
+                    not furniture and (top.in_main or tag == "main"), top.in_link or tag == "a")
         if not deep:
             name = path[len(top.path):]
             if not top.children or top.children[-1] != name:  # runs count once
@@ -168,6 +174,8 @@ class Page(HTMLParser):
                 return
             self.at = node  # a block belongs to the element of its first words
         self.parts.append(data)
+        if not node.in_link:
+            self.plain += len(data.strip())
 
     def handle_comment(self, data):
         pass
@@ -180,31 +188,44 @@ class Page(HTMLParser):
 
 
 def site_counts(pages: DataFrame) -> DataFrame:
-    """``host, path, kind, value``, once a page each: that a page has the path
-    (kind 0), a sequence of children there (1), a text directly there (2)."""
+    """``host, path, kind, value, weight``, once a page each: that a page has the
+    path (kind 0), a sequence of children there (1), a text directly there (2).
+    ``weight`` is 1 over the page's copies (``pages`` holds ``copies``, null: 1)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             rows = []
-            for host, html in zip(b.column(0).to_pylist(), b.column(1), strict=True):
+            for host, html, copies in zip(b.column(0).to_pylist(), b.column(1), b.column(2).to_pylist(), strict=True):
                 page, seen = Page(html.as_py() or ""), set()
                 for path, nodes in page.styles.items():
                     seen.add((path, 0, 0))
                     seen.update((path, 1, xxhash.xxh64_intdigest(" ".join(n.children)) >> 1) for n in nodes)
                 seen.update((n.path, 2, xxhash.xxh64_intdigest(t) >> 1) for n, t in page.blocks)
-                rows += [(host, *s) for s in seen]
+                rows += [(host, *s, 1.0 / (copies or 1)) for s in seen]
             if rows:
-                host, path, kind, value = zip(*rows, strict=True)
+                host, path, kind, value, weight = zip(*rows, strict=True)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(host, pa.string()), pa.array(path, pa.string()), pa.array(kind, pa.int32()),
-                     pa.array(value, pa.int64())], names=["host", "path", "kind", "value"])
+                     pa.array(value, pa.int64()), pa.array(weight, pa.float64())],
+                    names=["host", "path", "kind", "value", "weight"])
 
-    return pages.mapInArrow(run, "host string, path string, kind int, value long")
+    return pages.select("host", "html", "copies").mapInArrow(
+        run, "host string, path string, kind int, value long, weight double")
+
+
+def with_copies(sites: DataFrame, cuts: Cuts) -> DataFrame:
+    """``host, html, copies``: how often a host has the page, null if once. Only
+    hashes are grouped; the pages themselves move if many different ones have copies."""
+    sites = sites.withColumn("hash", F.xxhash64("html")).withColumn("bytes", F.octet_length("html"))
+    key = ["host", "hash", "bytes"]
+    many = cuts.save(sites.groupBy(*key).agg(F.count(F.lit(1)).alias("copies")).filter("copies > 1"))
+    return sites.join(many, key, "left").select("host", "html", "copies")
 
 
 def importance(counts: DataFrame) -> DataFrame:
     """``host, path, pages, importance`` of the style tree's nodes."""
-    n = counts.groupBy("host", "path", "kind", "value").agg(F.count(F.lit(1)).alias("n"))
+    # the weights of a page's copies add up to one
+    n = counts.groupBy("host", "path", "kind", "value").agg(F.round(F.sum("weight")).cast("long").alias("n"))
     # each text also belongs to the nodes above it
     own = n.groupBy("host", "path").agg(
         F.sum(F.when(F.col("kind") == 0, F.col("n"))).alias("pages"),
@@ -237,10 +258,15 @@ def host_of(url: Column) -> Column:
 
 def main_text(html: str | None, low: set[str]) -> str:
     """The blocks left in a page: in its articles if it has any, else in its
-    main element, else in the page; without furniture and low branches."""
-    blocks = Page(html or "").blocks
+    main element, else in the page; without furniture and low branches. The
+    branch with most of the page's text isn't cut for being low, unless an
+    article or main element is left."""
+    page = Page(html or "")
+    blocks = page.blocks
     if low:
-        blocks = [(n, t) for n, t in blocks if not any(p in low for p in prefixes(n.path))]
+        blocks = [(n, t) for n, t in page.blocks if not any(p in low for p in prefixes(n.path))]
+        if len(blocks) < len(page.blocks) and not any(n.in_article or n.in_main for n, _ in blocks):
+            blocks = without_low(page, low, not blocks)
     for inside in ("in_article", "in_main"):
         if any(getattr(n, inside) for n, _ in blocks):
             blocks = [(n, t) for n, t in blocks if getattr(n, inside)]
@@ -248,6 +274,35 @@ def main_text(html: str | None, low: set[str]) -> str:
     return "\n\n".join(t for _, t in blocks)
 
 
+def without_low(page: Page, low: set[str], emptied: bool) -> list[tuple[Node, str]]:
+    """The blocks outside low branches, and those of the branch that holds most
+    of the page's text outside links (a menu's text is links). If that branch is
+    low itself, or nothing else is left, nothing is cut inside it."""
+    size: dict[str, int] = {}
+    for (n, _), chars in zip(page.blocks, page.unlinked, strict=True):
+        for p in prefixes(n.path):
+            size[p] = size.get(p, 0) + chars
+    most = [p for p, chars in size.items() if 2 * chars > sum(page.unlinked)]
+    if not most:
+        return [(n, t) for n, t in page.blocks if not any(p in low for p in prefixes(n.path))]
+    way = list(prefixes(max(most, key=len)))  # down to the deepest such branch
+    tags = [p.rsplit("/", 1)[1].split(".")[0] for p in way]
+    at = len(way) - 1  # paragraphs and lists belong to the element that holds them
+    while at > 0 and tags[at] not in HOLDERS:
+        at -= 1
+    if tags[at] not in HOLDERS or tags[at] == "body":
+        at = len(way) - 1
+    whole = way[at] + "/" if emptied or any(p in low for p in way[at:]) else None
+    spared = set(way)
+
+    def goes(path: str) -> bool:
+        if whole and (path + "/").startswith(whole):
+            return False
+        return any(p in low and p not in spared for p in prefixes(path))
+
+    return [(n, t) for n, t in page.blocks if not goes(n.path)]
+
+
 def prefixes(path: str) -> Iterator[str]:
     at = path.find("/", 1)
     while at > 0:
@@ -260,13 +315,14 @@ def extract(pages: DataFrame, cuts: Cuts, url_col: str = "url", html_col: str =
     """``pages`` with ``out`` (string): the main text of each page.
 
     Null and empty pages give ''. Pages without a host (null or odd URL) are cut
-    by names alone, as are hosts with under ``MIN_PAGES`` pages. Where most
-    articles of a host are copies, nothing is cut inside them. A column already
+    by names alone, as are hosts with under ``MIN_PAGES`` different pages. Where
+    most articles of a host are copies, nothing is cut inside them, and the
+    branch with most of a page's text stays whatever its tag. A column already
     called ``out`` is replaced, others pass through; one row per input row.
     """
     pages = pages.drop(out)
     sites = pages.select(host_of(F.col(url_col)).alias("host"), F.col(html_col).alias("html")).filter("host <> ''")
-    tree = cuts.save(importance(site_counts(sites)).filter(F.col("pages") >= MIN_PAGES))
+    tree = cuts.save(importance(site_counts(with_copies(sites, cuts))).filter(F.col("pages") >= MIN_PAGES))
     in_article = F.col("path").rlike(r"/(article|main)(\.[^/]*)?(/|$)")
     is_article = F.col("path").rlike(r"/(article|main)(\.[^/]*)?$")
     copied = tree.filter(is_article & (F.col("importance") < LOW)).select("host").distinct()
