@@ -33,13 +33,15 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def simhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The document with each group's smallest id. A row that is there twice
-    under its id stays once; null ids go if a document with an id is like them."""
+    under its id stays once; a row with a null id goes if a document with an id
+    is like it. Rows are told apart by id and text, as ids may repeat."""
     docs = docs.select(*COLUMNS)
     with Cuts(spark) as cuts:
-        found = cuts.save(near_duplicates(docs, cuts, shingle=4, max_bits=4).select(F.col("id").alias("i"), "component_id"))
-        gone = cuts.save(found.filter(~F.col("i").eqNullSafe(F.col("component_id"))).select("i").distinct())
-        again = cuts.save(found.groupBy("i").count().filter("count > 1").select("i"))
-    same = F.col("doc_id").eqNullSafe(F.col("i"))
+        found = near_duplicates(docs, cuts, shingle=4, max_bits=4, text_key=True)
+        found = cuts.save(found.select(F.col("id").alias("i"), F.col("text_key").alias("k"), "component_id"))
+        gone = cuts.save(found.filter(~F.col("i").eqNullSafe(F.col("component_id"))).select("i", "k").distinct())
+        again = cuts.save(found.groupBy("i", "k").count().filter("count > 1").select("i", "k"))
+    same = F.col("doc_id").eqNullSafe(F.col("i")) & (F.xxhash64("text") == F.col("k"))
     kept = docs.join(gone, same, "left_anti")
     if again.isEmpty():
         return kept

@@ -158,8 +158,9 @@ def links_in_cells(rows: DataFrame, max_bits: int) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame, cuts: Cuts, id_col: str = "doc_id", text_col: str = "text", shingle: int = 4,
-                    max_bits: int = 4, seed: int = 42) -> DataFrame:
-    """One row per input row: ``id, fp, component_id``.
+                    max_bits: int = 4, seed: int = 42, text_key: bool = False) -> DataFrame:
+    """One row per input row: ``id, fp, component_id``, and with ``text_key``
+    also the xxhash64 of the text by that name.
 
     Rows whose fingerprints differ in at most ``max_bits`` bits are linked;
     ``component_id`` is the smallest id reachable by links (ids that are null
@@ -167,7 +168,8 @@ def near_duplicates(docs: DataFrame, cuts: Cuts, id_col: str = "doc_id", text_co
     fingerprint 0 and link like any other. Equal rows are in one component.
     Other columns of ``docs`` don't matter. Empty input: empty table.
     """
-    ids = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text_"))
+    key = [F.xxhash64(text_col).alias("text_key")] if text_key else []
+    ids = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text_"), *key)
     prints = cuts.save(with_fingerprint(ids, "text_", shingle, seed))
     classes = cuts.save(prints.groupBy("fp").agg(F.min("id").alias("rep")))
     rows = cuts.save(grid_rows(classes, max_bits), keep=False)
@@ -177,4 +179,4 @@ def near_duplicates(docs: DataFrame, cuts: Cuts, id_col: str = "doc_id", text_co
                        .select("fp", "rep", F.coalesce("root", "fp").alias("root")))
     lowest = cuts.save(joined.groupBy("root").agg(F.min("rep").alias("component_id")))
     named = cuts.save(joined.join(lowest, "root").select("fp", "component_id"))
-    return prints.join(named, "fp").select("id", "fp", "component_id")
+    return prints.join(named, "fp").select("id", "fp", "component_id", *(["text_key"] if text_key else []))
