@@ -8,6 +8,7 @@ are the mean over all of its windows, weighted by their letters.
 
 Trained with Adam in numpy on the driver, on a bounded sample of labelled rows:
 about ``per_label`` documents a language and ``windows_per_text`` windows of each.
+Every label is learnt; with very many of them a label has fewer documents.
 """
 
 from __future__ import annotations
@@ -28,6 +29,8 @@ EMBED = 6
 OVERLAP = max(WIDTHS) - 1
 UNKNOWN = "und"
 BATCH = 2048
+#: Labels get this many rows in the mean at least, so that none is left without (one in e^20).
+LEAST_ROWS = 20
 LETTER = regex.compile(r"\p{L}")
 
 
@@ -168,25 +171,27 @@ def is_held_out(id_col: str) -> Column:
 
 
 def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "lang",
-          per_label: int = 400, windows_per_text: int = 8, max_labels: int = 200, epochs: int = 8,
+          per_label: int = 400, windows_per_text: int = 8, max_rows: int = 80_000, epochs: int = 8,
           steps: int = 800, seed: int = 5) -> ByteCnn:
     """Fit on about ``per_label`` rows of each label that aren't held out.
 
     The sample is drawn by a hash of the id at a rate from the label's count,
     and its windows are cut out evenly over the whole text in the tasks, so the
-    driver gets at most ``max_labels x per_label x windows_per_text`` windows of
-    ``LENGTH`` bytes (in the mean). The ``max_labels`` most frequent labels are
-    learnt. With no labelled row the model knows none and answers ``und``.
+    driver gets at most ``max_rows x windows_per_text`` windows of ``LENGTH``
+    bytes (in the mean). Every label is learnt: where ``per_label`` rows of each
+    would be over ``max_rows``, each label gets fewer, but ``LEAST_ROWS`` if it
+    has them. With no labelled row the model knows none and answers ``und``.
     """
     usable = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.col(label_col).cast("string").alias("lang"))
     usable = usable.filter(~is_held_out("id") & F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}"))
-    counts = {r.lang: r.n for r in usable.groupBy("lang").agg(F.count(F.lit(1)).alias("n"))
-              .orderBy(F.desc("n"), "lang").limit(max_labels).collect()}
+    counts = {r.lang: r.n for r in usable.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()}
     labels = sorted(counts)
     if not labels:
         return ByteCnn([])
-    rate = F.element_at(F.create_map(*[F.lit(v) for c in labels for v in (c, min(1.0, per_label / counts[c]))]), F.col("lang"))
-    drawn = usable.filter(F.pmod(F.xxhash64(F.lit(seed), "id"), F.lit(1 << 30)) < F.coalesce(rate, F.lit(0.0)) * (1 << 30))
+    rows = min(per_label, max(LEAST_ROWS, max_rows // len(labels)))
+    rates = docs.sparkSession.createDataFrame([(c, min(1.0, rows / counts[c])) for c in labels], "lang string, rate double")
+    usable = usable.join(F.broadcast(rates), "lang")  # a row a label, as the model itself has
+    drawn = usable.filter(F.pmod(F.xxhash64(F.lit(seed), "id"), F.lit(1 << 30)) < F.col("rate") * (1 << 30))
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
