@@ -222,3 +222,87 @@ def op8_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", F.coalesce(F.octet_length("text"), F.lit(0)).cast("long").alias("n_bytes"),
         F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["end"] - s["start"]).alias("n_removed"),
         F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+
+
+@register("op12_decontaminate", r"""
+WITH w AS (
+  SELECT 'd' AS t, doc_id AS id, row_number() OVER () AS r, CAST(NULL AS VARCHAR) AS item,
+         regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                            '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents
+),
+b AS (
+  SELECT CAST(item_id AS VARCHAR) AS item,
+         regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                            '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark
+),
+bw AS MATERIALIZED (
+  SELECT DISTINCT item, len(list_slice(w, s, s + 9)) AS n, list_slice(w, s, s + 9) AS win
+  FROM (SELECT item, w, unnest(range(1, greatest(len(w) - 9, 1) + 1)) AS s FROM b WHERE len(w) > 0) t
+),
+dw AS (
+  SELECT r, s, n, list_slice(w, s, s + n - 1) AS win
+  FROM (SELECT r, n, w, unnest(range(1, len(w) - n + 2)) AS s FROM w, (SELECT DISTINCT n FROM bw) k WHERE len(w) >= n) t
+),
+hit AS MATERIALIZED (SELECT r, s, dw.n, item FROM dw JOIN bw ON dw.win = bw.win),
+pos AS (SELECT r, count(DISTINCT p) AS n_hit FROM (SELECT r, unnest(range(s, s + n)) AS p FROM hit) t GROUP BY r),
+its AS (SELECT r, count(DISTINCT item) AS n_items, string_agg(DISTINCT item, ',' ORDER BY item) AS items FROM hit GROUP BY r)
+SELECT w.id AS doc_id, len(w.w) AS n_words, coalesce(pos.n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+       sha256(coalesce(items, '')) AS items_sha256, coalesce(pos.n_hit, 0) > 0 AS contaminated
+FROM w LEFT JOIN pos ON w.r = pos.r LEFT JOIN its ON w.r = its.r""")
+def op12_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of every document inside 10-word windows of benchmark items."""
+    from featureflow.llm.decontaminate import with_contamination
+
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    with Cuts(spark) as cuts:
+        found = with_contamination(docs, table(spark, sf_dir, "benchmark"), cuts)
+    return found.select(
+        "doc_id", "n_words", "n_hit", F.size("hit_items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("hit_items", ","), 256).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"))
+
+
+def periodic_texts(docs: DataFrame) -> DataFrame:
+    """``doc_id, text``: in every tenth text, drawn by h = crc32 of the id, the
+    words from a on repeat the p words that stand there, so that every size of
+    table has runs to find."""
+    h = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    d = docs.select("doc_id", "text", F.expr("floor(crc32(cast(cast(doc_id as string) as binary)) / 10)").cast("long").alias("g"),
+                    F.when(h % 10 == 0, F.array_remove(F.split("text", r"[\x20\x09-\x0D]+"), "")).alias("w"))
+    d = d.withColumn("n", F.size("w")).withColumn("a", F.when(F.col("n") > 0, F.col("g") % F.col("n")))
+    d = d.withColumn("p", F.when(F.col("n") > 0, F.floor((F.col("n") - F.col("a")) / (F.col("g") % 8 + 3)) + 1))
+    made = F.transform("w", lambda w, i: F.when(i < F.col("a"), w).otherwise(
+        F.get("w", (F.col("a") + (i - F.col("a")) % F.col("p")).cast("int"))))
+    return d.select("doc_id", F.when(F.col("n") > 0, F.array_join(made, " ")).otherwise(F.col("text")).alias("text"))
+
+
+@register("op13_periodic_runs")
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Periodic runs of words in every document, and the text without their repeats."""
+    from featureflow.llm.periodic import with_runs
+
+    found = with_runs(periodic_texts(table(spark, sf_dir, "documents"))).drop("text")
+    # the run with the greatest length / period, compared as whole numbers
+    best = F.get(F.array_sort("runs", lambda x, y: F.when(x["length"] * y["period"] > y["length"] * x["period"], -1)
+                              .when(x["length"] * y["period"] < y["length"] * x["period"], 1)
+                              .when(x["start"] != y["start"], F.when(x["start"] < y["start"], -1).otherwise(1))
+                              .when(x["period"] < y["period"], -1).when(x["period"] > y["period"], 1).otherwise(0)), F.lit(0))
+    lines = F.transform("runs", lambda r: F.concat(F.concat_ws(",", *[r[c].cast("string") for c in ("start", "length", "period")]),
+                                                   F.lit("\n")))
+    return found.withColumn("best", best).select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), "best.start", "best.length", "best.period",
+        F.expr("best.length * 1000 div best.period").alias("exponent_milli"),
+        F.sha2(F.array_join(lines, ""), 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"))
+
+
+@register("op11_whitening")
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Vectors on their first four principal components, with variance 1."""
+    from featureflow.llm.whitening import whiten
+
+    vectors = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    with Cuts(spark) as cuts:
+        found = whiten(vectors, cuts)
+    rows = found.select("vec_id", "fit_n", "deviation", "identity_error",
+                        F.posexplode(F.arrays_zip("whitened", "explained")).alias("at", "c"))
+    return rows.select("vec_id", (F.col("at") + 1).alias("component"), F.col("fit_n").alias("n"), "deviation",
+                       "c.whitened", "c.explained", "identity_error")
