@@ -124,7 +124,8 @@ def with_contamination(docs: DataFrame, items: DataFrame, cuts: Cuts, id_col: st
         there = F.transform(F.sequence(F.lit(0), h["n"] - 1), lambda k: F.get(w, h["pos"] + k))
         return F.array_join(there, " ") == h["window"]
 
-    df = df.select(*docs.columns, F.filter(hits, stands).alias(hits))
+    # named twice, the words are made before the lambda function and not for each hit in it
+    df = df.select(*docs.columns, F.when(F.size(w) > 0, F.filter(hits, stands)).alias(hits))
     hit = F.flatten(F.transform(hits, lambda h: F.sequence(h["pos"], h["pos"] + h["n"] - 1)))
     df = df.select(*docs.columns, hits, F.coalesce(F.array_sort(F.array_distinct(hit)), F.array().cast("array<int>")).alias(w))
     # a hit word begins a span if the one before it isn't hit, and ends it if the next isn't
@@ -161,4 +162,5 @@ def remove_spans(df: DataFrame, text_col: str = "text") -> DataFrame:
     out = df.withColumn(units, F.when(hit, made)).withColumn(cuts, F.when(hit, edges))
     kept = F.transform(F.sequence(F.lit(0), F.size(cuts) - 2, F.lit(2)), lambda k: F.array_join(F.slice(
         units, (F.get(cuts, k) + 1).cast("int"), (F.get(cuts, k + 1) - F.get(cuts, k)).cast("int")), ""))
-    return out.select(*[F.when(hit, F.array_join(kept, "")).otherwise(text).alias(c) if c == text_col else c for c in df.columns])
+    # the size names the units a second time, so that they aren't made for each gap in the lambda function
+    return out.select(*[F.when(hit & (F.size(units) > 0), F.array_join(kept, "")).otherwise(text).alias(c) if c == text_col else c for c in df.columns])
