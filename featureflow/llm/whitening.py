@@ -320,6 +320,12 @@ def fold(table: pa.Table) -> np.ndarray:
     return np.linalg.qr(np.vstack([np.frombuffer(r.as_py()).reshape(-1, d) for r in table.column("r")]), mode="r")
 
 
+def fold_some(table: pa.Table) -> pa.Table:
+    part = table.column("part")[0].as_py() // FOLD
+    return pa.table({"d": table.column("d").slice(0, 1), "part": pa.array([part], pa.int64()),
+                     "r": pa.array([fold(table).tobytes()], pa.binary())})
+
+
 def solve(folded: DataFrame, k: int) -> DataFrame:
     """``d, value, direction, total`` by falling value, from the last triangles of each length."""
     def last(table: pa.Table) -> pa.Table:
@@ -376,12 +382,8 @@ def fit(vectors: DataFrame, cuts: Cuts, col: str, components: int = COMPONENTS)
     folded = cuts.save(triangles(fit_list, col, means), keep=False)
     parts = folded.count()
     while parts > FOLD * len(sums):
-        def some(key, table: pa.Table) -> pa.Table:
-            return pa.table({"d": table.column("d").slice(0, 1), "part": pa.array([key[1].as_py()], pa.int64()),
-                             "r": pa.array([fold(table).tobytes()], pa.binary())})
-
-        folded = cuts.save(folded.groupBy("d", F.expr(f"part div {FOLD}").alias("g")).applyInArrow(
-            some, "d int, part long, r binary"), keep=False)
+        folded = cuts.save(folded.groupBy("d", F.expr(f"part div {FOLD}")).applyInArrow(
+            fold_some, "d int, part long, r binary"), keep=False)
         fewer = folded.count()
         if fewer >= parts:
             break

@@ -113,14 +113,16 @@ def test_empty_tables_and_wide_integers(spark):
 def test_many_partitions_fold_to_one_triangle(spark):
     rng = np.random.default_rng(2)
     rows = [(i, [float(c) for c in rng.normal(size=6)], "", 0, "") for i in range(600)]
-    old = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
-    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
-    spark.conf.set("spark.sql.files.maxPartitionBytes", "2000")
+    own = {"spark.sql.adaptive.coalescePartitions.enabled": "false", "spark.sql.files.maxPartitionBytes": "2000",
+           "spark.sql.shuffle.partitions": "90"}
+    old = {k: spark.conf.get(k) for k in own}
+    for k, v in own.items():
+        spark.conf.set(k, v)
     try:
         with Cuts(spark) as cuts:
             got = whiten(table(spark, rows).repartition(40), cuts).collect()
     finally:
-        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", old)
-        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        for k, v in old.items():
+            spark.conf.set(k, v)
     _, _, white, _ = expected([(r[0], r[1]) for r in rows])
     assert all(np.allclose(np.abs(r.whitened), np.abs(white[r.vec_id]), atol=1e-9) for r in got)
