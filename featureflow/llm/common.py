@@ -56,7 +56,7 @@ class Cuts:
         for _ in range(2):  # Python lets go of Java's objects a moment after its own
             gc.collect()
             self.spark._jvm.System.gc()
-            time.sleep(1)
+            time.sleep(0.3)
 
     def __enter__(self) -> Cuts:
         return self

@@ -14,19 +14,21 @@ The smallest hash of the 16-byte grams of a 50-byte string depends on that
 string alone: equal strings have equal keys. Neighbouring strings with one key
 form a piece of text, and pieces of one key are merged together:
 
-1. ``shared_keys``: keys that more than one document has, in a Bloom filter of
-   fixed size. It only spares later work; a full filter lets everything through.
+1. ``shared_keys``: keys that more than one document has, in a Bloom filter. It
+   only spares later work; a full filter lets everything through.
 2. ``pieces``: texts of these keys, equal pieces once, with the smallest and
    largest document.
 3. ``first_holders``: pieces by key; the merge gives each string's smallest
    document. Keys with over ``KEY_PIECES`` pieces don't go into one task: their
    strings are grouped by a 128-bit hash instead.
-4. ``repeats``: the results go back to all documents that hold the pieces.
+4. ``repeats``: the results go back to all documents that hold the pieces; only
+   pieces whose key has a result travel again.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -42,7 +44,9 @@ PIECE_STARTS = 64
 KEY_PIECES = 2048
 SHARDS, SHARD_BYTES = 4, 32 << 10  # what fits a core's cache
 GROUP_BYTES = 64 << 10
-BLOCKS, BLOCK_BITS, BLOOM_HASHES = 1 << 18, 512, 4
+BLOCK_BITS, BLOOM_HASHES = 512, 4
+LEAST_BLOCKS, MOST_BLOCKS = 18, 20  # bits of a block's number: filters of 16 to 64 MB, by the input
+BLOCKS_BYTES = 1 << 30  # text for which the smallest filter is meant
 BUCKET_BYTES = 8 << 20
 MIX = np.uint64(0xD6E8FEB86659FD93)
 BYTE_HASH = np.random.default_rng(20).integers(0, 2 ** 64, 256, dtype=np.uint64)
@@ -116,28 +120,77 @@ def in_groups(column, size: int = GROUP_BYTES) -> Iterator[tuple[int, list[bytes
 
 # ------------------------------------------------------------------ step 1: keys of more than one document
 
-def bloom_bit(keys: np.ndarray, j: int) -> np.ndarray:
+class Bloom(NamedTuple):
+    """A blocked Bloom filter of keys: 2^``blocks`` blocks of ``BLOCK_BITS`` bits."""
+
+    blocks: int
+    data: np.ndarray
+
+    def has(self, keys: np.ndarray) -> np.ndarray:
+        """Whether each key may be in the filter; most keys fail the first bit and are done."""
+        left = np.arange(len(keys))
+        for j in range(BLOOM_HASHES):
+            bit = bloom_bit(keys[left], j, self.blocks)
+            left = left[(self.data[bit >> np.uint64(3)] >> (np.uint64(7) - (bit & np.uint64(7))).astype(np.uint8)) & 1 == 1]
+        found = np.zeros(len(keys), bool)
+        found[left] = True
+        return found
+
+
+def bloom_bit(keys: np.ndarray, j: int, blocks: int) -> np.ndarray:
     """Number of each key's j-th bit: a block by its first bits, a bit in it by its last."""
-    return (keys >> np.uint64(64 - 18)) * np.uint64(BLOCK_BITS) + ((keys >> np.uint64(9 * j)) & np.uint64(BLOCK_BITS - 1))
+    return (keys >> np.uint64(64 - blocks)) * np.uint64(BLOCK_BITS) + ((keys >> np.uint64(9 * j)) & np.uint64(BLOCK_BITS - 1))
 
 
-def in_bloom(bloom: np.ndarray, keys: np.ndarray) -> np.ndarray:
-    """Whether each key may be in the filter; most keys fail the first bit and are done."""
-    left = np.arange(len(keys))
-    for j in range(BLOOM_HASHES):
-        bit = bloom_bit(keys[left], j)
-        left = left[(bloom[bit >> np.uint64(3)] >> (np.uint64(7) - (bit & np.uint64(7))).astype(np.uint8)) & 1 == 1]
-    found = np.zeros(len(keys), bool)
-    found[left] = True
-    return found
+def buckets_of(total: int) -> tuple[int, int]:
+    """For that many bytes of text: bits of a bucket's number and of a filter's blocks."""
+    blocks = min(MOST_BLOCKS, max(LEAST_BLOCKS, LEAST_BLOCKS + (total // BLOCKS_BYTES).bit_length()))
+    return min(LEAST_BLOCKS, max(6, (total // BUCKET_BYTES).bit_length())), blocks
+
+
+def filled(packed: DataFrame, bits: int, blocks: int, twice: bool) -> Bloom:
+    """The filter of the keys in ``packed(bucket, keys)``; ``twice``: of those that
+    are there more than once. Each bucket, a range of keys, fills its own part."""
+    size = BLOCK_BITS << blocks >> bits
+
+    def fill(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for t in whole_groups(batches, ["bucket"]):
+            bucket, column = t.column("bucket").to_numpy(), t.column("keys")
+            for s, e in zip(starts := group_starts([bucket]), [*starts[1:], len(bucket)], strict=True):
+                keys = np.frombuffer(b"".join(column.slice(s, e - s).to_pylist()), np.uint64)
+                if twice:
+                    keys = np.sort(keys)
+                    keys = keys[1:][keys[1:] == keys[:-1]]
+                if len(keys):
+                    flags = np.zeros(size, bool)
+                    for j in range(BLOOM_HASHES):
+                        flags[bloom_bit(keys, j, blocks) - np.uint64(int(bucket[s]) * size)] = True
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array([bucket[s]], pa.int32()), pa.array([np.packbits(flags).tobytes()], pa.binary())],
+                        names=["bucket", "part"])
+
+    parts = packed.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(fill, "bucket int, part binary")
+    data = np.zeros((BLOCK_BITS << blocks) // 8, np.uint8)
+    for r in parts.collect():  # the filter's 16 to 64 MB
+        data[r.bucket * size // 8:(r.bucket + 1) * size // 8] = np.frombuffer(bytes(r.part), np.uint8)
+    return Bloom(blocks, data)
 
 
-def shared_keys(docs: DataFrame, length: int) -> np.ndarray:
-    """Bloom filter (16 MB, whatever the input) of the keys that two or more of
-    ``docs(id, text_key, data)`` have. Keys travel packed, by range; each range
-    fills its own part of the filter."""
-    total = docs.agg(F.sum(F.octet_length("data"))).first()[0] or 0
-    bits = min(18, max(6, (total // BUCKET_BYTES).bit_length()))
+def pack_keys(keys: np.ndarray, bits: int) -> pa.RecordBatch:
+    """A row of packed keys for each bucket, for sorted keys."""
+    bucket = (keys >> np.uint64(64 - bits)).astype(np.int32)
+    starts = group_starts([bucket]) if len(keys) else []
+    ends = [*starts[1:], len(keys)]
+    return pa.RecordBatch.from_arrays(
+        [pa.array(bucket[starts] if len(keys) else bucket, pa.int32()),
+         pa.array([keys[s:e].tobytes() for s, e in zip(starts, ends, strict=False)], pa.binary())], names=["bucket", "keys"])
+
+
+def shared_keys(docs: DataFrame, length: int, total: int) -> Bloom:
+    """The filter of keys that two or more of ``docs(id, text_key, data)``, ``total``
+    bytes, have. Keys travel packed, by range, and from a batch each key twice at
+    most, so one that very many documents have is a few entries."""
+    bits, blocks = buckets_of(total)
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -148,35 +201,22 @@ def shared_keys(docs: DataFrame, length: int) -> np.ndarray:
                 text, keys = text[turn], keys[turn]
                 own.append(keys[group_starts([text, keys])] if len(keys) else keys)
             keys = np.sort(np.concatenate(own))
-            bucket = (keys >> np.uint64(64 - bits)).astype(np.int32)
-            starts = group_starts([bucket]) if len(keys) else []
-            ends = [*starts[1:], len(keys)]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(bucket[starts] if len(keys) else bucket, pa.int32()),
-                 pa.array([keys[s:e].tobytes() for s, e in zip(starts, ends, strict=False)], pa.binary())],
-                names=["bucket", "keys"])
+            keep = np.ones(len(keys), bool)
+            keep[2:] = keys[2:] != keys[:-2]
+            yield pack_keys(keys[keep], bits)
 
-    def repeated(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        size = BLOCKS * BLOCK_BITS >> bits
-        for t in whole_groups(batches, ["bucket"]):
-            bucket, packed = t.column("bucket").to_numpy(), t.column("keys")
-            for s, e in zip(starts := group_starts([bucket]), [*starts[1:], len(bucket)], strict=True):
-                keys = np.sort(np.frombuffer(b"".join(packed.slice(s, e - s).to_pylist()), np.uint64))
-                keys = keys[1:][keys[1:] == keys[:-1]]
-                if len(keys):
-                    flags = np.zeros(size, bool)
-                    for j in range(BLOOM_HASHES):
-                        flags[bloom_bit(keys, j) - np.uint64(int(bucket[s]) * size)] = True
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array([bucket[s]], pa.int32()), pa.array([np.packbits(flags).tobytes()], pa.binary())],
-                        names=["bucket", "part"])
+    return filled(docs.select("data").mapInArrow(pack, "bucket int, keys binary"), bits, blocks, True)
+
+
+def holder_keys(holders: DataFrame, total: int) -> Bloom:
+    """The filter of the keys that have a result."""
+    bits, blocks = buckets_of(total)
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            yield pack_keys(np.unique(b.column("key").to_numpy().view(np.uint64)), bits)
 
-    packed = docs.select("data").mapInArrow(pack, "bucket int, keys binary")
-    parts = packed.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(repeated, "bucket int, part binary")
-    bloom, size = np.zeros(BLOCKS * BLOCK_BITS // 8, np.uint8), BLOCKS * BLOCK_BITS // 8 >> bits
-    for r in parts.collect():  # the filter's 16 MB
-        bloom[r.bucket * size:(r.bucket + 1) * size] = np.frombuffer(bytes(r.part), np.uint8)
-    return bloom
+    return filled(holders.select("key").mapInArrow(pack, "bucket int, keys binary"), bits, blocks, False)
 
 
 # ------------------------------------------------------------------ step 2: pieces of texts
@@ -194,7 +234,7 @@ def piece_rows(docs: DataFrame, bloom, length: int, with_text: bool) -> DataFram
             ids, text_keys = b.column("id").to_numpy(), b.column("text_key").to_numpy()
             for first, texts in in_groups(b.column("data")):
                 text, start, n, keys = key_runs(texts, length)
-                ok = in_bloom(shared, keys)
+                ok = shared.has(keys)
                 text, start, keys, end = text[ok], start[ok], keys[ok], (start + n)[ok] + (length - 1)
                 cut = [texts[t][s:e] for t, s, e in zip(text.tolist(), start.tolist(), end.tolist(), strict=True)]
                 cols[0].append(keys.view(np.int64))
@@ -444,7 +484,8 @@ def repeats(docs: DataFrame, cuts: Cuts, id_col: str = "doc_id", text_col: str =
     data = F.coalesce(F.col(text_col), F.lit("")).cast("binary")
     d = docs.select(F.col(id_col).cast("long").alias("id"), F.xxhash64(text_col).alias("text_key"), data.alias("data"))
     d = d.filter(F.col("id").isNotNull() & (F.octet_length("data") >= length))
-    bloom = spark.sparkContext.broadcast(shared_keys(d, length))
+    total = d.agg(F.sum(F.octet_length("data"))).first()[0] or 0
+    bloom = spark.sparkContext.broadcast(shared_keys(d, length, total))
     cuts.free()
     pieces = piece_rows(d, bloom, length, True).groupBy("key", "piece").agg(
         F.min("id").alias("low"), F.max("id").alias("high"))
@@ -453,6 +494,8 @@ def repeats(docs: DataFrame, cuts: Cuts, id_col: str = "doc_id", text_col: str =
     holders = cuts.save(first_holders(pieces, length, cuts))
     cuts.drop()
     cuts.free()
+    bloom.destroy()
+    bloom = spark.sparkContext.broadcast(holder_keys(holders, total))
     held = piece_rows(d, bloom, length, False).join(holders, ["key", "hash"]).filter("holder < id")
     runs = held.groupBy("id", "text_key").agg(
         F.collect_set(F.struct((F.col("start") + F.col("offset")).alias("start"), "count")).alias("runs"))
