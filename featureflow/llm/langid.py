@@ -175,7 +175,8 @@ def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", label
           steps: int = 800, seed: int = 5) -> ByteCnn:
     """Fit on about ``per_label`` rows of each label that aren't held out.
 
-    The sample is drawn by a hash of the id at a rate from the label's count,
+    The sample is drawn by a hash of id and text at a rate from the label's
+    count of different ones, each of which counts once however often it is there,
     and its windows are cut out evenly over the whole text in the tasks, so the
     driver gets at most ``max_rows x windows_per_text`` windows of ``LENGTH``
     bytes (in the mean). Every label is learnt: where ``per_label`` rows of each
@@ -184,14 +185,16 @@ def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", label
     """
     usable = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.col(label_col).cast("string").alias("lang"))
     usable = usable.filter(~is_held_out("id") & F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}"))
-    counts = {r.lang: r.n for r in usable.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()}
+    usable = usable.withColumn("key", F.xxhash64(F.lit(seed), "id", "text"))
+    counts = {r.lang: r.n for r in usable.select("lang", "key").distinct().groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()}
     labels = sorted(counts)
     if not labels:
         return ByteCnn([])
     rows = min(per_label, max(LEAST_ROWS, max_rows // len(labels)))
     rates = docs.sparkSession.createDataFrame([(c, min(1.0, rows / counts[c])) for c in labels], "lang string, rate double")
     usable = usable.join(F.broadcast(rates), "lang")  # a row a label, as the model itself has
-    drawn = usable.filter(F.pmod(F.xxhash64(F.lit(seed), "id"), F.lit(1 << 30)) < F.col("rate") * (1 << 30))
+    drawn = usable.filter(F.pmod("key", F.lit(1 << 30)) < F.col("rate") * (1 << 30)).groupBy("lang", "key").agg(
+        F.min("text").alias("text"))
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:

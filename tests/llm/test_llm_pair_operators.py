@@ -352,7 +352,7 @@ def test_pipeline_stages_against_brute_force(spark, cuts):
 def test_pipeline_runs_and_takes_empty_tables(spark, cuts):
     from featureflow.llm.queries import queries as q
 
-    assert "pipeline" in corpus_pipeline.queries() and corpus_pipeline.ORACLE_SQL is None and len(q()) == 10
+    assert "pipeline" in corpus_pipeline.queries() and corpus_pipeline.ORACLE_SQL is None and len(q()) == 13
     empty = spark.createDataFrame([], DOC_SCHEMA)
     for _, stage in corpus_pipeline.STAGES:
         out = cuts.save(stage(spark, empty, SF001))
