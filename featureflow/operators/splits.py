@@ -59,34 +59,66 @@ def with_batch_id(
     num_partitions: int | None = None,
 ) -> DataFrame:
     """``batch_id = floor(position / size)`` where position is the 0-based rank
-    of the row in ``order_by`` order (which must be unique per row).
+    of the row in ``order_by`` order. Keys may repeat and be NULL (first); rows
+    of one key take its positions in no particular order.
 
-    Only the order keys are range-partitioned and numbered, and that narrow
-    table is written once to the shared checkpoint folder: range bounds come
-    from a random sample, so two reads of a range shuffle need not agree. The
-    position is the place inside a range plus the counts of the ranges before
-    it (one row per range). Full rows are joined to their key's position.
+    Rows are counted by key, so a hot key is a partial count per task. The
+    different keys are range-partitioned and written once to the shared
+    checkpoint folder (range bounds come from a random sample, so two reads of a
+    range shuffle need not agree); a key's first position is the rows before it
+    in its range plus those of the ranges before (one row per range). Rows are
+    joined to their key's first position. Those of repeated keys are written
+    once in slices of their input partitions, and each slice of a key is numbered
+    on its own after the slices before it, so no task gets a whole hot key.
     """
     if size <= 0:
         raise ValueError("batch size must be positive")
     order = [order_by] if isinstance(order_by, str) else list(order_by)
     n = num_partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    before = Window.partitionBy("__pid").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
     ranged = materialize(
-        df.select(*order).repartitionByRange(n, *order).sortWithinPartitions(*order)
+        df.groupBy(*order).agg(F.count(F.lit(1)).alias("__rows")).repartitionByRange(n, *order)
         .withColumn("__pid", F.spark_partition_id())
-        # monotonically_increasing_id = (partition id << 33) + row number in partition
-        .withColumn("__local", F.monotonically_increasing_id() - F.shiftleft(F.col("__pid").cast("bigint"), 33)))
-    counts = ranged.groupBy("__pid").agg(F.count(F.lit(1)).alias("__n"))
+        .withColumn("__local", F.coalesce(F.sum("__rows").over(before), F.lit(0))))
+    counts = ranged.groupBy("__pid").agg(F.sum("__rows").alias("__n"))
     offsets = counts.select(
         "__pid", F.sum("__n").over(Window.orderBy("__pid").rowsBetween(Window.unboundedPreceding, -1)).alias("__off"))
     # one row per range: the broadcast side is bounded by n
     places = ranged.join(F.broadcast(offsets), "__pid").select(
-        *[F.col(c).alias(f"__key_{c}") for c in order],
+        *[F.col(c).alias(f"__key_{c}") for c in order], "__rows",
         (F.coalesce(F.col("__off"), F.lit(0)) + F.col("__local")).alias("__pos"))
     same = None
     for c in order:
         hit = F.col(c).eqNullSafe(F.col(f"__key_{c}"))
         same = hit if same is None else same & hit
-    res = df.join(places, same).withColumn(out, F.expr(f"__pos div {int(size)}"))
+    keys = [f"__key_{c}" for c in order]
+    repeated = ranged.filter("__rows > 1")
+    if repeated.isEmpty():
+        res = df.join(places, same).drop("__rows")
+    else:
+        res = df.join(places.filter("__rows = 1"), same).drop("__rows").unionByName(
+            _slots(df.join(places.filter("__rows > 1"), same).drop("__rows"), keys))
+    res = res.withColumn(out, F.expr(f"__pos div {int(size)}"))
     res = res.withColumnRenamed("__pos", index_col) if index_col else res.drop("__pos")
-    return res.drop(*[f"__key_{c}" for c in order])
+    return res.drop(*keys)
+
+
+#: Rows of a partition that make a slice.
+SLICE_ROWS = 1 << 17
+
+
+def _slots(rows: DataFrame, keys: list[str]) -> DataFrame:
+    """Add to ``__pos``, the first position of a row's key, the row's place within
+    the key. Rows are written once, numbered as they come; the places of a slice
+    follow those of the key's earlier slices."""
+    rid = F.monotonically_increasing_id()
+    cut = materialize(rows.withColumn("__rid", rid).withColumn("__slice", F.expr(f"__rid div {SLICE_ROWS}")))
+    sizes = cut.groupBy("__pos", "__slice").agg(F.count(F.lit(1)).alias("__n"))
+    earlier = Window.partitionBy("__pos").orderBy("__slice").rowsBetween(Window.unboundedPreceding, -1)
+    sizes = sizes.select(F.col("__pos").alias("__first"), F.col("__slice").alias("__part"),
+                         F.coalesce(F.sum("__n").over(earlier), F.lit(0)).alias("__skip"))
+    place = F.row_number().over(Window.partitionBy("__pos", "__slice").orderBy("__rid")) - 1
+    numbered = cut.withColumn("__place", place)
+    return numbered.join(sizes, (F.col("__pos") == F.col("__first")) & (F.col("__slice") == F.col("__part"))).withColumn(
+        "__pos", F.col("__pos") + F.col("__skip") + F.col("__place")).drop(
+        "__rid", "__slice", "__first", "__part", "__skip", "__place")

@@ -253,3 +253,50 @@ def q_history_shape(spark, sf_dir):
     sinks.append_metrics(hist, path)
     share = (F.col("metric") == "loss") | (F.col("value") <= 1)
     return sinks.read_metrics(spark, path).select("run_id", "step", "split", "metric", ((F.col("value") >= 0) & share).alias("in_range"))
+
+
+# ============================================================ stages that go on, batches of repeated keys
+
+@register("resumed_stage", """
+SELECT o_orderpriority AS person, CASE WHEN o_orderkey % 11 = 0 THEN NULL ELSE o_orderkey END AS image_id, o_orderkey AS order_id,
+       CASE WHEN o_orderkey % 13 = 0 THEN 'bad_bbox' WHEN o_orderkey % 11 = 0 THEN 'missing_image'
+            WHEN o_orderkey % 3 <> 0 OR o_orderkey % 5 <> 0 THEN 'ok' ELSE 'missing_image' END AS status,
+       CASE WHEN o_orderkey % 13 <> 0 AND o_orderkey % 11 <> 0 AND o_orderkey % 3 = 0 AND o_orderkey % 5 <> 0 THEN 2 ELSE 1 END AS attempt
+FROM orders""")
+def q_resumed_stage(spark, sf_dir):
+    """Orders as a stage run three times: pictures of two thirds are there at
+    first, others have come (and some have gone) before the second run, and the
+    third has nothing to do. Some rows have no id, some a bad box."""
+    from featureflow.plans import ledger
+
+    key = F.when(F.col("o_orderkey") % 11 != 0, F.col("o_orderkey"))
+    rows = table(spark, sf_dir, "orders").select(
+        F.col("o_orderpriority").alias("person"), key.alias("image_id"), F.col("o_orderkey").alias("order_id"),
+        F.when(F.col("o_orderkey") % 13 == 0, "bad_bbox").otherwise("ok").alias("status"))
+    path, keys = folder(spark, "stage"), ["person", "image_id"]
+    for there in (F.col("order_id") % 3 != 0, F.col("order_id") % 5 != 0, F.col("order_id") % 5 != 0):
+        listed = rows.filter(there & F.col("image_id").isNotNull()).select(*keys)
+
+        def work(todo: DataFrame, listed: DataFrame = listed) -> DataFrame:
+            from featureflow.operators.joins import with_presence
+
+            j = with_presence(todo, listed, keys, "there")
+            return columns.with_status(j, ~F.col("there"), "missing_image").select("person", "image_id", "order_id", "status")
+
+        done = ledger.run_stage(spark, path, rows, keys, "person string, image_id bigint, order_id bigint, status string",
+                                work, available=listed)
+    return done.select("person", "image_id", "order_id", "status", "attempt")
+
+
+@register("batch_id_repeated_keys", f"""
+SELECT batch_id, o_custkey, count(*) AS n FROM (
+  SELECT CASE WHEN o_orderkey % 3 = 0 THEN 1 ELSE o_custkey END AS o_custkey,
+         CAST((row_number() OVER (ORDER BY CASE WHEN o_orderkey % 3 = 0 THEN 1 ELSE o_custkey END) - 1) // {q.BATCH_SIZE} AS BIGINT) AS batch_id
+  FROM orders) t GROUP BY ALL""")
+def q_batch_id_repeated_keys(spark, sf_dir):
+    """Batches by customer, with one customer in a third of the rows: how many
+    rows of each are in each batch (which ones is not determined)."""
+    orders = table(spark, sf_dir, "orders")
+    hot = orders.withColumn("o_custkey", F.when(F.col("o_orderkey") % 3 == 0, F.lit(1).cast("bigint")).otherwise(F.col("o_custkey")))
+    out = splits.with_batch_id(hot, "o_custkey", q.BATCH_SIZE)
+    return out.groupBy("batch_id", "o_custkey").agg(F.count(F.lit(1)).alias("n"))

@@ -24,6 +24,7 @@ from pyspark.sql import functions as F
 
 from featureflow import sinks
 from featureflow.session import materialize, size_for_input
+from featureflow.plans import ledger
 from featureflow.operators import aggregates, classify, columns, evaluate, images, inference, joins, splits
 from featureflow.sources.images import list_images, read_images
 from featureflow.sources.labels import read_labels
@@ -31,6 +32,8 @@ from featureflow.sources.manifest import path_exists, read_manifest
 from featureflow.sources.samples import read_samples
 
 KEY = ["person", "image_id"]
+FEATURES_SCHEMA = "person string, image_id bigint, features array<float>, status string"
+PICTURES_SCHEMA = f"person string, image_id bigint, image {images.IMAGE_TYPE.simpleString()}, status string"
 
 
 def manifest_rows(spark: SparkSession, manifest_paths: str | Sequence[str]) -> DataFrame:
@@ -50,14 +53,24 @@ def pending_images(spark: SparkSession, manifest_paths, image_root: str, ext: st
     return joins.pending(todo, done, KEY)
 
 
-def _todo(spark, manifest_paths, out_path: str) -> DataFrame:
-    """Manifest rows whose key is not in the table at ``out_path`` yet."""
+def _rows(spark, manifest_paths, out_path: str) -> DataFrame:
+    """Manifest rows with their key, box and status."""
     paths = [manifest_paths] if isinstance(manifest_paths, str) else list(manifest_paths)
     size_for_input(spark, [p for p in [*paths, out_path] if path_exists(spark, p)])
-    rows = manifest_rows(spark, manifest_paths).select(*KEY, "bbox_coords", "status")
-    if not path_exists(spark, out_path):
-        return rows
-    return joins.pending(rows, spark.read.parquet(out_path).select(*KEY), KEY)
+    return manifest_rows(spark, manifest_paths).select(*KEY, "bbox_coords", "status")
+
+
+def _stage(spark, manifest_paths, image_root: str, out_path: str, schema: str,
+           work: Callable[[DataFrame], DataFrame], partition_by: Sequence[str] = ()) -> DataFrame:
+    """Run ``work`` over the pictures of the rows still open in the table at
+    ``out_path`` and return the status summary of the whole table. Rows that
+    failed are tried again; those without a picture once it has come."""
+    rows = _rows(spark, manifest_paths, out_path)
+    listed = list_images(spark, image_root, require_any=False).select(*KEY)
+    done = ledger.run_stage(
+        spark, out_path, rows, KEY, schema, lambda todo: work(_manifest_pictures(spark, todo, image_root)),
+        partition_by, available=listed)
+    return aggregates.status_summary(done)
 
 
 def _manifest_pictures(spark, rows: DataFrame, image_root) -> DataFrame:
@@ -87,16 +100,14 @@ def preprocess(
     spark: SparkSession, manifest_paths, image_root: str, out_path: str,
     size: int = 128, box: str = "xyxy", method: str = "bilinear",
 ) -> DataFrame:
-    """Crop + resize every manifest picture that ``out_path`` doesn't hold yet
-    (one fused stage) and append ``image_id, image, status`` as Parquet, a folder
-    per person. Returns the status summary of the whole table. A second run finds
-    nothing to do and reads no picture."""
-    rows = _todo(spark, manifest_paths, out_path)
-    if not rows.isEmpty():
-        j = _manifest_pictures(spark, rows, image_root)
-        resized = images.crop_resize(j, "bbox_coords", box, size, method)
-        sinks.write_table(resized.select(*KEY, "image", "status"), out_path, mode="append", partition_by=["person"])
-    return aggregates.status_summary(spark.read.parquet(out_path))
+    """Crop + resize every manifest picture that ``out_path`` doesn't hold as ok
+    yet (one fused stage) and add ``image_id, image, status, attempt`` as Parquet,
+    a folder per person and attempt. Returns the status summary of each row's
+    latest attempt. A run with nothing new to do reads no picture."""
+    def work(j: DataFrame) -> DataFrame:
+        return images.crop_resize(j, "bbox_coords", box, size, method).select(*KEY, "image", "status")
+
+    return _stage(spark, manifest_paths, image_root, out_path, PICTURES_SCHEMA, work, ["person"])
 
 
 def features(
@@ -105,17 +116,15 @@ def features(
     extractor: Callable[[np.ndarray], np.ndarray] | None = None,
     make_predict_fn: Callable[[], Callable[[np.ndarray], np.ndarray]] | None = None,
 ) -> DataFrame:
-    """Feature vector per manifest picture that ``out_path`` doesn't hold yet
-    (crop, resize, extract or the caller's batch model, fused in one stage);
-    appends ``person, image_id, features, status``; returns the status summary
-    of the whole table."""
-    rows = _todo(spark, manifest_paths, out_path)
-    if not rows.isEmpty():
-        j = _manifest_pictures(spark, rows, image_root)
-        f = inference.image_features(j, "bbox_coords", box, size, method, extractor=extractor,
-                                     make_predict_fn=make_predict_fn)
-        sinks.write_table(f.select(*KEY, "features", "status"), out_path, mode="append")
-    return aggregates.status_summary(spark.read.parquet(out_path))
+    """Feature vector per manifest picture that ``out_path`` doesn't hold as ok
+    yet (crop, resize, extract or the caller's batch model, fused in one stage);
+    adds ``person, image_id, features, status, attempt``; returns the status
+    summary of each row's latest attempt."""
+    def work(j: DataFrame) -> DataFrame:
+        return inference.image_features(j, "bbox_coords", box, size, method, extractor=extractor,
+                                        make_predict_fn=make_predict_fn).select(*KEY, "features", "status")
+
+    return _stage(spark, manifest_paths, image_root, out_path, FEATURES_SCHEMA, work)
 
 
 def label(
@@ -137,13 +146,11 @@ def pixels(
     """Manifest pictures -> crop -> ``size`` -> grey in ``channels`` equal
     channels -> flat pixels as ``features``; what ``train`` reads for a
     classifier on pixels. Returns the status summary of the whole table."""
-    rows = _todo(spark, manifest_paths, out_path)
-    if not rows.isEmpty():
-        j = _manifest_pictures(spark, rows, image_root)
-        f = inference.image_features(j, "bbox_coords", box, size, method, gray_channels=channels,
-                                     extractor=lambda a: a.ravel())
-        sinks.write_table(f.select(*KEY, "features", "status"), out_path, mode="append")
-    return aggregates.status_summary(spark.read.parquet(out_path))
+    def work(j: DataFrame) -> DataFrame:
+        return inference.image_features(j, "bbox_coords", box, size, method, gray_channels=channels,
+                                        extractor=lambda a: a.ravel()).select(*KEY, "features", "status")
+
+    return _stage(spark, manifest_paths, image_root, out_path, FEATURES_SCHEMA, work)
 
 
 SAMPLE_SCHEMA = "person string, image_id bigint, label int, features array<float>, split string"

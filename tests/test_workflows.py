@@ -72,7 +72,7 @@ def test_manifest_pictures_broadcast_and_shuffle_paths_agree(spark, layout):
         return sorted((r.person, r.image_id, r.status, r.bbox_coords and tuple(r.bbox_coords),
                        r.image and (r.image.height, r.image.width, bytes(r.image.data))) for r in df.collect())
 
-    todo = workflows._todo(spark, layout["manifest"], "/nowhere/yet")
+    todo = workflows._rows(spark, layout["manifest"], "/nowhere/yet")
     small = workflows._manifest_pictures(spark, todo, layout["images"])
     plan = small._jdf.queryExecution().executedPlan().toString()
     assert "BroadcastHashJoin" in plan
