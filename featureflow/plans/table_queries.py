@@ -197,17 +197,37 @@ def q_kmeans_nearest(spark, sf_dir):
 @register("projection_moments", """
 SELECT count(*) AS n, true AS centred, true AS uncorrelated, true AS ordered FROM embeddings""")
 def q_projection_moments(spark, sf_dir):
-    """The two coordinates are uncorrelated, the first varies most, and both are
-    centred up to the shift that the model leaves in."""
-    from featureflow.operators.project import project_2d
+    """The two coordinates are uncorrelated, the first varies most, and their means
+    are those of the model's mean vector."""
+    from featureflow.operators.project import component_signs, fit_projection, project_2d
 
-    p = project_2d(table(spark, sf_dir, "embeddings"), "embedding")
+    emb = table(spark, sf_dir, "embeddings")
+    model = fit_projection(emb, "embedding")
+    shift = (model.mean @ (model.components * component_signs(model))).tolist()
+    p = project_2d(emb, "embedding", model=model)
     m = p.agg(F.count(F.lit(1)).alias("n"), F.var_samp("x").alias("vx"), F.var_samp("y").alias("vy"),
-              F.covar_samp("x", "y").alias("c"), F.avg("x").alias("ax"))
-    return m.select("n", F.col("ax").isNotNull().alias("centred"), (F.abs("c") < 1e-9 * F.col("vx")).alias("uncorrelated"),
+              F.covar_samp("x", "y").alias("c"), F.avg("x").alias("ax"), F.avg("y").alias("ay"))
+    near = (F.abs(F.col("ax") - shift[0]) < 1e-9) & (F.abs(F.col("ay") - shift[1]) < 1e-9)
+    return m.select("n", near.alias("centred"), (F.abs("c") < 1e-9 * F.col("vx")).alias("uncorrelated"),
                     (F.col("vx") >= F.col("vy")).alias("ordered"))
 
 
+@register("projection_variance", """
+WITH e AS (SELECT vec_id, unnest(range(0, len(embedding))) AS i, CAST(unnest(embedding) AS DOUBLE) AS v FROM embeddings)
+SELECT count(DISTINCT vec_id) AS n, round(sum(var) * 1.0, 9) AS total_variance, true AS holds FROM (
+  SELECT i, var_samp(v) AS var, max(vec_id) AS vec_id FROM e GROUP BY i) t""".replace(
+    "count(DISTINCT vec_id) AS n", "(SELECT count(*) FROM embeddings) AS n"))
+def q_projection_variance(spark, sf_dir):
+    """All directions fitted: their variances add up to those of the components,
+    and the covariance times each direction is its variance times the direction."""
+    from featureflow.operators.project import fit_projection
+
+    emb = table(spark, sf_dir, "embeddings")
+    model = fit_projection(emb, "embedding", k=len(emb.first()["embedding"]))
+    return emb.agg(F.count(F.lit(1)).alias("n"), F.round(F.lit(float(model.values.sum())), DIGITS).alias("total_variance"),
+                   F.lit(model.residual < 1e-9).alias("holds"))
+
+
 def _consistent(pred: DataFrame) -> DataFrame:
     p = F.col("probability")
     return pred.select("vec_id", "split", "label",
