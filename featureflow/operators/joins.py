@@ -2,8 +2,7 @@
 
 Joins are declared on explicit keys and left to Catalyst + AQE: sort-merge by
 default, turned into a broadcast at run time when a side turns out small, and
-skewed partitions split by AQE's skew-join rule. A side is only broadcast by
-hint after its row count and size were checked against a bound.
+skewed partitions split by AQE's skew-join rule. No side is broadcast by hint.
 """
 
 from __future__ import annotations
