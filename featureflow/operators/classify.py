@@ -219,6 +219,35 @@ def train_mlp(
     return mlp.fit(data)
 
 
+def forest_steps(model, df: DataFrame, features_col: str = "features", label_col: str = "label",
+                 step_col: str = "step") -> DataFrame:
+    """A row for every row of ``df`` and number of trees ``step`` = 1, 2, ...:
+    ``prediction`` and ``probability`` of the forest of the first ``step`` trees.
+    Each tree scores a row once; the running sum of its trees' class shares gives
+    all steps, so no forest is fitted or scored again. Rows without a usable
+    vector have NULLs. Rows multiply by the number of trees; a grouped aggregate
+    over them combines before any shuffle."""
+    from pyspark.ml.functions import vector_to_array
+
+    ok = usable_vector(features_col, model.numFeatures)
+    out, shares = with_vector(df, features_col, "__fv", model.numFeatures), []
+    for i, tree in enumerate(model.trees):
+        out = (tree.copy().setFeaturesCol("__fv").setPredictionCol("").setRawPredictionCol("").setProbabilityCol(f"__p{i}")
+               .transform(out))
+        shares.append(vector_to_array(F.col(f"__p{i}")))
+    sums = F.aggregate(F.array(*shares), F.array().cast("array<array<double>>"), lambda done, p: F.concat(done, F.array(
+        F.when(F.size(done) == 0, p).otherwise(F.zip_with(F.element_at(done, -1), p, lambda a, b: a + b)))))
+    taken = {c.lower() for c in df.columns}
+    if {step_col.lower(), "prediction", "probability"} & taken:
+        raise ValueError(f"input has a column {step_col!r}, 'prediction' or 'probability' already")
+    rows = out.select(*df.columns, ok.alias("__ok"), F.posexplode(sums).alias("__at", "__sum"))
+    p = F.when(F.col("__ok"), F.transform("__sum", lambda x: x / (F.col("__at") + 1)))
+    rows = rows.withColumn("probability", p)
+    prediction = F.array_position("probability", F.array_max("probability")) - 1
+    return rows.select(*df.columns, (F.col("__at") + 1).alias(step_col),
+                       prediction.cast(dict(df.dtypes).get(label_col, "int")).alias("prediction"), "probability")
+
+
 def predict(model, df: DataFrame, features_col: str = "features", label_col: str | None = "label",
             prediction_col: str = "prediction", probability_col: str = "probability") -> DataFrame:
     """Score with a fitted Spark ML classifier: adds ``prediction`` (as the

@@ -184,16 +184,18 @@ def evaluate_splits(
     pred: DataFrame, split_col: str = "split", label_col: str = "label",
     prediction_col: str = "prediction", probability_col: str | None = "probability",
     run_id: str = "run", step: int = 0, on_zero: str = "clip", classes: Sequence | None = None,
-    digits: int | None = None,
+    digits: int | None = None, step_col: str | None = None,
 ) -> DataFrame:
     """Metric history rows ``run_id, step, split, metric, value`` for every split
     at once: accuracy, weighted F1 and (with probabilities) log loss;
     ``classes`` is the model's class order for the probability vector.
 
+    ``step_col`` names a column with the step of each prediction, instead of ``step``.
+
     One pass over the predictions: a single grouped aggregate per (split,
     label, prediction) carries the row count and the log-loss sum, and every
     later step works on that table of at most splits x classes^2 rows."""
-    g = [split_col]
+    g = [split_col, step_col] if step_col else [split_col]
     sums = [F.count(F.lit(1)).alias("n")]
     if probability_col:
         pred = with_log_loss(pred, probability_col, label_col, "__ll", on_zero, classes)
@@ -211,8 +213,8 @@ def evaluate_splits(
     metrics = ["accuracy", "f1"] + (["loss"] if probability_col else [])
     kinds = F.array(*[F.struct(F.lit(m).alias("metric"), _round(F.col(m).cast("double"), digits).alias("value"))
                       for m in metrics])
-    out = by_split.select(split_col, F.explode(kinds).alias("k"))
+    out = by_split.select(*g, F.explode(kinds).alias("k"))
     return out.select(
-        F.lit(run_id).alias("run_id"), F.lit(int(step)).alias("step"),
+        F.lit(run_id).alias("run_id"), (F.col(step_col).cast("int") if step_col else F.lit(int(step))).alias("step"),
         F.col(split_col).alias("split"), F.col("k.metric").alias("metric"), F.col("k.value").alias("value"),
     )

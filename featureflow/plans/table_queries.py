@@ -253,6 +253,43 @@ def q_forest_beats_majority(spark, sf_dir):
     return by.groupBy("split").agg((F.sum("right") > F.max("n")).alias("beats_majority"))
 
 
+@register("forest_steps", "WITH " + q._SPLIT_SQL + """
+SELECT step, split, metric, true AS same FROM (SELECT DISTINCT split FROM s) a,
+(SELECT unnest([1, 20]) AS step) t, (VALUES ('accuracy'), ('f1'), ('loss')) m(metric)""")
+def q_forest_steps(spark, sf_dir):
+    """Metric history of a forest by number of trees, from one scoring pass. Its
+    first and last step are compared with the first tree and the whole forest as
+    Spark scores them."""
+    s = q.split_embeddings(spark, sf_dir)
+    model = classify.train_forest(s.filter(F.col("split") == "train"), "embedding", "label")
+    hist = evaluate.evaluate_splits(classify.forest_steps(model, s, "embedding"), step_col="step")
+    one = evaluate.evaluate_splits(classify.predict(model.trees[0], s, "embedding"), step=1)
+    whole = evaluate.evaluate_splits(classify.predict(model, s, "embedding"), step=20)
+    wanted = one.unionByName(whole).select("step", "split", "metric", F.col("value").alias("want"))
+    return hist.join(wanted, ["step", "split", "metric"]).select(
+        "step", "split", "metric", (F.abs(F.col("value") - F.col("want")) < 1e-9).alias("same"))
+
+
+@register("network_learns", "WITH " + q._SPLIT_SQL + """
+SELECT 'train' AS split, 12 AS epochs, count(*) AS n, true AS loss_falls, true AS beats_majority, true AS sums_to_one
+FROM s WHERE split = 'train'""")
+def q_network_learns(spark, sf_dir):
+    """The data-parallel network at its full width on the training rows: its loss
+    falls over the epochs, and it's right more often than the most frequent label."""
+    from featureflow.operators.network import train_network
+
+    tr = q.split_embeddings(spark, sf_dir).filter(F.col("split") == "train")
+    model = train_network(tr, "embedding", "label", epochs=12, key=["vec_id"])
+    pred = model.transform(tr, "embedding")
+    p = F.aggregate("probability", F.lit(0.0), lambda a, x: a + x)
+    conf = pred.groupBy("split", "label").agg(
+        F.count(F.lit(1)).alias("n"), F.sum((F.col("label") == F.col("prediction")).cast("long")).alias("right"),
+        F.max(F.abs(p - 1)).alias("off"))
+    return conf.groupBy("split").agg(
+        F.lit(12).alias("epochs"), F.sum("n").alias("n"), F.lit(bool(model.losses[-1] < model.losses[0])).alias("loss_falls"),
+        (F.sum("right") > F.max("n")).alias("beats_majority"), (F.max("off") < 1e-9).alias("sums_to_one"))
+
+
 @register("mlp_consistent", _CONSISTENT_SQL)
 def q_mlp_consistent(spark, sf_dir):
     """A small network: the full-width one is the query ``mlp``."""

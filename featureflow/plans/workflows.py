@@ -16,7 +16,9 @@ but those tables and the model reaches the driver.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Mapping, Sequence
+from functools import reduce
 
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession
@@ -25,7 +27,7 @@ from pyspark.sql import functions as F
 from featureflow import sinks
 from featureflow.session import materialize, size_for_input
 from featureflow.plans import ledger
-from featureflow.operators import aggregates, classify, columns, evaluate, images, inference, joins, splits
+from featureflow.operators import aggregates, classify, columns, evaluate, images, inference, joins, network, splits
 from featureflow.sources.images import list_images, read_images
 from featureflow.sources.labels import read_labels
 from featureflow.sources.manifest import path_exists, read_manifest
@@ -197,7 +199,9 @@ def train(
 ) -> DataFrame:
     """Build samples, fit on ``train``, score every split and append the metric
     history (``run_id, step, split, metric, value``). Raises on an empty
-    training set. ``model``: ``forest``, ``mlp`` or ``centroid``."""
+    training set. ``model``: ``forest``, ``mlp``, ``network`` or ``centroid``.
+    A forest's step is a number of trees, a network's an epoch; the others have
+    step 0 alone. A network keeps its epochs under ``out_dir/epochs``."""
     out_dir = out_dir.rstrip("/")
     s = build_samples(spark, labels_path, features_path, f"{out_dir}/samples", mapping, weights,
                       features_format=features_format, labels_multiline=labels_multiline)
@@ -205,7 +209,12 @@ def train(
     aggregates.require_rows(tr, "training split")
     if model == "forest":
         fitted = classify.train_forest(tr, **params)
-        pred = classify.predict(fitted, s)
+        pred = classify.forest_steps(fitted, s)
+    elif model == "network":
+        # the epochs of this training set; another one's aren't gone on with
+        epochs = f"{out_dir}/epochs/{uuid.uuid4().hex}"
+        fitted = network.train_network(tr, folder=epochs, key=KEY, **params)
+        pred = network_steps(fitted, s)
     elif model == "mlp":
         fitted = classify.train_mlp(tr, **params)
         pred = classify.predict(fitted, s)
@@ -215,12 +224,22 @@ def train(
     else:
         raise ValueError(f"unknown model {model!r}")
     classes = fitted.labels if model == "centroid" else None
-    hist = evaluate.evaluate_splits(pred, run_id=run_id, step=0, classes=classes)
-    sinks.save_model(fitted, f"{out_dir}/model")
+    hist = evaluate.evaluate_splits(pred, run_id=run_id, step=0, classes=classes,
+                                    step_col="step" if model in ("forest", "network") else None)
+    if model != "network":  # its epochs are the stored model
+        sinks.save_model(fitted, f"{out_dir}/model")
     sinks.append_metrics(hist, f"{out_dir}/metrics")
     return sinks.read_metrics(spark, f"{out_dir}/metrics").filter(F.col("run_id") == run_id)
 
 
+def network_steps(fitted: network.Network, df: DataFrame, features_col: str = "features") -> DataFrame:
+    """``df`` scored by the network after every epoch, as ``step`` 1, 2, ..."""
+    spark = df.sparkSession
+    return reduce(DataFrame.unionByName, [
+        fitted.at(spark, epoch).transform(df, features_col).withColumn("step", F.lit(epoch))
+        for epoch in range(1, len(fitted.losses) + 1)])
+
+
 def cluster_vectors(
     spark: SparkSession, features_dir: str, out_path: str, k: int = 5, seed: int = 42, fmt: str = "csv",
 ) -> DataFrame:
