@@ -39,6 +39,79 @@ def hash_split(
     return tagged.withColumn(out, split_label(F.col("__bucket"), weights, buckets)).drop("__bucket")
 
 
+#: A key's hash for exact splits: four digits of 15 bits.
+DIGIT_BITS, HASH_BITS = 15, 60
+
+
+def exact_split(
+    df: DataFrame,
+    key: str | list[str],
+    weights: dict[str, float] | None = None,
+    by: str | None = None,
+    seed: int = 0,
+    out: str = "split",
+) -> DataFrame:
+    """Tag every row with a split name, with exact split sizes, in every class of
+    ``by`` if given (NULL is a class).
+
+    Rows of a class are put in order of a hash of ``key``; the first
+    ``round(weight * rows)`` make the first split, and so on. Rows of one key
+    have one place, that of the first of them, and so stay together: with
+    repeated keys a split may end later by the rows of its last key. Membership
+    doesn't depend on the partitioning. A NULL key raises.
+
+    No sort: the hash at each border is found digit by digit from grouped counts,
+    2^15 a class at most, which combine on the map side, so a hot class or key
+    costs a row per task. Two narrow passes over the key and class columns, one
+    of them for the few rows that share a border's first digit.
+    """
+    weights = weights or SPLIT_75_15_10
+    names, total = list(weights), float(sum(weights.values()))
+    if total <= 0 or any(w < 0 for w in weights.values()):
+        raise ValueError(f"bad split weights {weights}")
+    shares, run = [], 0.0
+    for name in names[:-1]:
+        run += weights[name]
+        shares.append(run / total)
+    parts = [key] if isinstance(key, str) else list(key)
+    text = F.concat(*[p for c in parts for p in (F.lit("/"), F.col(c).cast("string"))][1:])
+    hashed = F.conv(F.substring(F.md5(F.concat(F.lit(f"{seed}:"), text) if seed else text), 1, HASH_BITS // 4), 16, 10)
+    place = F.when(text.isNull(), F.raise_error(F.lit("split key is NULL")).cast("bigint")).otherwise(hashed.cast("bigint"))
+    tagged = df.withColumn("__h", place).withColumn("__c", F.col(by) if by else F.lit(0))
+    if not shares:
+        return tagged.withColumn(out, F.when(F.col("__h").isNotNull(), F.lit(names[0]))).drop("__h", "__c")
+    rows, left = tagged.select("__c", "__h"), HASH_BITS - DIGIT_BITS
+    n, below = F.col("__n"), F.coalesce(F.sum("__n").over(
+        Window.partitionBy("__c", "__i").orderBy("__d").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    borders = F.array(*[F.struct(F.lit(i).alias("__i"), F.lit(s).alias("__share")) for i, s in enumerate(shares)])
+    # the row at a class's border: the digit that holds it, and the rows before that digit
+    counts = rows.groupBy("__c", F.shiftright("__h", left).alias("__d")).agg(F.count(F.lit(1)).alias("__n"))
+    counts = counts.withColumn("__all", F.sum("__n").over(Window.partitionBy("__c")))
+    counts = counts.select("*", F.inline(borders)).withColumn("__at", F.floor(F.col("__share") * F.col("__all") + 0.5))
+    found = counts.withColumn("__below", below).filter((F.col("__below") <= F.col("__at")) & (F.col("__at") < F.col("__below") + n))
+    found = materialize(found.select("__c", "__i", "__at", F.col("__d").alias("__prefix"), "__below"))
+    state = found.select(F.col("__c").alias("__k"), F.col("__i").alias("__j"), "__at", "__prefix", "__below")
+    near = rows.join(state, F.col("__c").eqNullSafe(F.col("__k")) & (F.shiftright("__h", left) == F.col("__prefix")))
+    near = materialize(near.groupBy("__c", F.col("__j").alias("__i"), "__h").agg(F.count(F.lit(1)).alias("__n")))
+    while left:
+        here = near.join(state, F.col("__c").eqNullSafe(F.col("__k")) & (F.col("__i") == F.col("__j"))
+                         & (F.shiftright("__h", left) == F.col("__prefix")))
+        left -= DIGIT_BITS
+        digit = F.shiftright("__h", left).alias("__d")
+        here = here.groupBy("__c", "__i", "__at", F.col("__below").alias("__before"), digit).agg(F.sum("__n").alias("__n"))
+        here = here.withColumn("__below", F.col("__before") + below).filter(
+            (F.col("__below") <= F.col("__at")) & (F.col("__at") < F.col("__below") + n))
+        state = here.select(F.col("__c").alias("__k"), F.col("__i").alias("__j"), "__at", F.col("__d").alias("__prefix"), "__below")
+    # rows of a key that began before the border stay before it
+    border = F.col("__prefix") + F.when(F.col("__below") < F.col("__at"), 1).otherwise(0)
+    borders = state.groupBy("__k").agg(*[F.max(F.when(F.col("__j") == i, border)).alias(f"__b{i}") for i in range(len(shares))])
+    joined = tagged.join(borders, F.col("__c").eqNullSafe(F.col("__k")), "left")
+    label = F.lit(names[-1])
+    for i in range(len(shares) - 1, -1, -1):  # no border: the class ends before it
+        label = F.when(F.col(f"__b{i}").isNull() | (F.col("__h") < F.col(f"__b{i}")), F.lit(names[i])).otherwise(label)
+    return joined.select(*df.columns, label.alias(out)) if out not in df.columns else joined.withColumn(out, label).select(*df.columns)
+
+
 def split_frames(df: DataFrame, split_col: str = "split", names: list[str] | None = None) -> dict[str, DataFrame]:
     """One filtered frame per split name (each a pushed-down filter, not a job)."""
     names = names or list(SPLIT_75_15_10)

@@ -253,6 +253,25 @@ def q_forest_beats_majority(spark, sf_dir):
     return by.groupBy("split").agg((F.sum("right") > F.max("n")).alias("beats_majority"))
 
 
+@register("exact_split", """
+SELECT vec_id, label, CASE WHEN before < floor(0.7 * n + 0.5) THEN 'train' WHEN before < floor(0.9 * n + 0.5) THEN 'eval' ELSE 'test' END AS split
+FROM (SELECT *, rank() OVER (PARTITION BY label ORDER BY h) - 1 AS before, count(*) OVER (PARTITION BY label) AS n
+      FROM (SELECT *, ('0x' || substr(md5(CAST(vec_id AS VARCHAR)), 1, 15))::BIGINT AS h FROM embeddings) t) u""")
+def q_exact_split(spark, sf_dir):
+    """70/20/10 in every class, exact to the row."""
+    return splits.exact_split(table(spark, sf_dir, "embeddings").select("vec_id", "label"), "vec_id", splits.SPLIT_70_20_10, by="label")
+
+
+@register("exact_split_repeated_keys", """
+SELECT l_orderkey, l_linenumber, l_returnflag, CASE WHEN before < floor(0.7 * n + 0.5) THEN 'train' WHEN before < floor(0.9 * n + 0.5) THEN 'eval' ELSE 'test' END AS split
+FROM (SELECT *, rank() OVER (PARTITION BY l_returnflag ORDER BY h) - 1 AS before, count(*) OVER (PARTITION BY l_returnflag) AS n
+      FROM (SELECT *, ('0x' || substr(md5(CAST(l_orderkey AS VARCHAR)), 1, 15))::BIGINT AS h FROM lineitem) t) u""")
+def q_exact_split_repeated_keys(spark, sf_dir):
+    """Line items of an order and return flag stay together; three large classes."""
+    items = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_returnflag")
+    return splits.exact_split(items, "l_orderkey", splits.SPLIT_70_20_10, by="l_returnflag")
+
+
 @register("forest_steps", "WITH " + q._SPLIT_SQL + """
 SELECT step, split, metric, true AS same FROM (SELECT DISTINCT split FROM s) a,
 (SELECT unnest([1, 20]) AS step) t, (VALUES ('accuracy'), ('f1'), ('loss')) m(metric)""")

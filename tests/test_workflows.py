@@ -206,3 +206,14 @@ def test_label_stage_and_pixel_pipeline(spark, layout):
     again = workflows.train(spark, records, px, os.path.join(layout["tmp"], "pixelrun"), model="centroid",
                             labels_multiline=False, run_id="px")
     assert again.count() == n  # replaced, not added
+
+
+@pytest.mark.parametrize("model,params,steps", [
+    ("forest", {"num_trees": 3}, {1, 2, 3}), ("network", {"hidden": (8,), "epochs": 2, "shards": 2}, {1, 2})])
+def test_history_of_every_step(spark, layout, model, params, steps):
+    feats_path = os.path.join(layout["tmp"], "features")
+    workflows.features(spark, layout["manifest"], layout["images"], feats_path, size=8, method="nearest")
+    hist = workflows.train(spark, layout["labels"], feats_path, os.path.join(layout["tmp"], "steps"), model=model, run_id=model, **params)
+    rows = hist.collect()
+    assert {r.step for r in rows} == steps and {r.metric for r in rows} == {"accuracy", "f1", "loss"}
+    assert len(rows) == len({(r.step, r.split, r.metric) for r in rows})
