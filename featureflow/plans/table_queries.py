@@ -68,6 +68,36 @@ def q_label_lines(spark, sf_dir):
     return read_labels(spark, path, multiline=False)
 
 
+@register("label_arrays", """
+SELECT 'x/' || source || '/' || doc_id || '.jpg' AS image_path, lang AS emotion, text AS error
+FROM documents""")
+def q_label_arrays(spark, sf_dir):
+    """Whole documents as records of JSON arrays, an array per task, read back
+    by many tasks a file."""
+    docs = table(spark, sf_dir, "documents")
+    recs = docs.select(F.to_json(F.struct(
+        F.concat(F.lit("x/"), F.col("source"), F.lit("/"), F.col("doc_id").cast("string"), F.lit(".jpg")).alias("image_path"),
+        F.col("lang").alias("emotion"), F.col("text").alias("error"))).alias("value"))
+    path = folder(spark, "label-arrays")
+    # every file is one array: its first line opens it, its last one closes it
+    recs.select("value").mapInArrow(_as_array, "value string").write.text(path)
+    return read_labels(spark, path, parallel=True)
+
+
+def _as_array(batches):
+    """The records of a task with the marks of one array around them."""
+    import pyarrow as pa
+    import pyarrow.compute as pc
+
+    first = True
+    for b in batches:
+        if b.num_rows:
+            lead = pa.array(["[" if first and i == 0 else "," for i in range(b.num_rows)])
+            first = False
+            yield pa.RecordBatch.from_arrays([pc.binary_join_element_wise(lead, b.column(0), "")], names=["value"])
+    yield pa.RecordBatch.from_arrays([pa.array(["[]" if first else "]"])], names=["value"])
+
+
 @register("table_csv", "SELECT c_custkey, c_name, c_mktsegment FROM customer")
 def q_table_csv(spark, sf_dir):
     path = folder(spark, "csv")
