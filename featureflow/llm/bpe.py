@@ -15,6 +15,7 @@ from __future__ import annotations
 
 import heapq
 import json
+import string
 import unicodedata
 from collections.abc import Iterator
 
@@ -32,6 +33,7 @@ SEPARATORS = regex.compile("[\x1c-\x1f]")
 BLANKS = regex.compile(r"\s+")
 #: Sigma without the final-sigma rule, and two letters newer than Python's tables.
 LOWER = {ord("Σ"): "σ", 0xA7CB: "\u0264", 0xA7DC: "\u019b"}
+ODD_LOWER = regex.compile("[" + "".join(map(chr, LOWER)) + "]")
 
 
 def merges_of(symbols: list[str], ranks: dict[tuple[str, str], int]) -> int:
@@ -109,6 +111,10 @@ class WordBpe:
         specials = [t["content"] for t in spec["added_tokens"]]
         self.specials = regex.compile("|".join(map(regex.escape, specials))) if specials else None
         self.symbols = byte_symbols()
+        letters = string.ascii_lowercase
+        #: Whether a run of ASCII letters is one word and no special string.
+        self.letters_are_words = self.words.findall(letters) == [letters] and not any(
+            t.isascii() and t.isalpha() for t in specials)
         self.words_seen = Recent(self.word, CACHE_WORDS)
         self.pieces_seen = Recent(self.piece, CACHE_PIECES)
 
@@ -121,11 +127,18 @@ class WordBpe:
         """The words of a text, normalised; None if it holds a special string."""
         if self.specials is not None and self.specials.search(piece):
             return None
+        if piece.isascii():
+            return self.words.findall(piece.lower())
         # NFC, then lower case letter by letter
-        return self.words.findall(unicodedata.normalize("NFC", piece).translate(LOWER).lower())
+        piece = unicodedata.normalize("NFC", piece)
+        if ODD_LOWER.search(piece):
+            piece = piece.translate(LOWER)
+        return self.words.findall(piece.lower())
 
     def piece(self, piece: str) -> int:
         """Tokens of a text without blanks: special strings count one each."""
+        if self.letters_are_words and piece.isascii() and piece.isalpha():
+            return self.words_seen[piece.lower()]
         words = self.split_words(piece)
         if words is None:
             return len(self.specials.findall(piece)) + sum(map(self.piece, self.specials.split(piece)))

@@ -14,6 +14,7 @@ at most ``WAITING`` examples of under a sequence's length in memory.
 
 from __future__ import annotations
 
+import struct
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -138,10 +139,13 @@ class TextIds:
 
     def word(self, word: str) -> bytes:
         """A normalised word goes to the library's merge model in byte symbols."""
-        symbols = "".join([self.symbols[b] for b in word.encode("utf-8")])
-        return np.asarray([t.id for t in self.model.tokenize(symbols)], "<u4").tobytes()
+        symbols = word if word.isascii() and word.isprintable() else "".join([self.symbols[b] for b in word.encode("utf-8")])
+        ids = [t.id for t in self.model.tokenize(symbols)]
+        return struct.pack(f"<{len(ids)}I", *ids)
 
     def piece(self, piece: str) -> bytes:
+        if self.plain.letters_are_words and piece.isascii() and piece.isalpha():
+            return self.words_seen[piece.lower()]
         words = self.plain.split_words(piece)
         return self.encode(piece) if words is None else b"".join(map(self.words_seen.__getitem__, words))
 
