@@ -15,6 +15,7 @@ image reader gives BGR.
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator, Sequence
+from functools import lru_cache, partial
 
 import numpy as np
 import pandas as pd
@@ -134,11 +135,65 @@ def resize_bilinear(arr: np.ndarray, size: tuple[int, int]) -> np.ndarray:
     return _to_dtype(out, arr.dtype)
 
 
-RESIZERS = {"nearest": resize_nearest, "bilinear": resize_bilinear}
+def triangle(x: np.ndarray) -> np.ndarray:
+    return np.maximum(1.0 - np.abs(x), 0.0)
+
+
+def cubic(x: np.ndarray) -> np.ndarray:
+    """Keys' cubic convolution with a = -0.5."""
+    x = np.abs(x)
+    return np.where(x < 1, (1.5 * x - 2.5) * x * x + 1, np.where(x < 2, (((x - 5) * x + 8) * x - 4) * -0.5, 0.0))
+
+
+#: Filter and its reach in pixels.
+FILTERS = {"triangle": (triangle, 1.0), "bicubic": (cubic, 2.0)}
+#: 8-bit pictures are weighted in whole numbers of 2**-WEIGHT_BITS.
+WEIGHT_BITS = 22
+
+
+@lru_cache(maxsize=16)
+def resample_weights(src: int, dst: int, method: str) -> np.ndarray:
+    """``dst`` x ``src`` weights, rows adding up to 1: the filter around each
+    target's centre, widened by ``src / dst`` when shrinking so that every
+    source pixel counts."""
+    kernel, reach = FILTERS[method]
+    wide = max(src / dst, 1.0)
+    centre = (np.arange(dst) + 0.5) * (src / dst)
+    first = np.maximum((centre - reach * wide + 0.5).astype(np.int64), 0)
+    end = np.minimum((centre + reach * wide + 0.5).astype(np.int64), src)
+    at = np.arange(src)
+    w = kernel((at[None, :] - centre[:, None] + 0.5) * (1.0 / wide))
+    w[(at < first[:, None]) | (at >= end[:, None])] = 0.0
+    return w * (1.0 / w.sum(axis=1, keepdims=True))
+
+
+def resample(arr: np.ndarray, size: tuple[int, int], method: str) -> np.ndarray:
+    """Separable resampling, rows first and then columns, with the filter
+    widened when shrinking. 8-bit pictures use whole-number weights and are
+    rounded and clipped after each pass, so results are exact; the products are
+    whole numbers under 2**53 and matrix products of doubles keep them so."""
+    out = arr
+    for axis, dst in ((1, size[1]), (0, size[0])):
+        if out.shape[axis] == dst:
+            continue
+        w = resample_weights(out.shape[axis], dst, method)
+        exact = arr.dtype == np.uint8
+        if exact:
+            scaled = w * (1 << WEIGHT_BITS)
+            w = np.trunc(np.where(scaled < 0, scaled - 0.5, scaled + 0.5))
+        out = np.moveaxis(np.tensordot(w, out.astype(np.float64), (1, axis)), 0, axis)
+        if exact:
+            out = np.clip(np.floor((out + (1 << WEIGHT_BITS - 1)) / (1 << WEIGHT_BITS)), 0, 255)
+        out = out.astype(arr.dtype)
+    return out
+
+
+RESIZERS = {"nearest": resize_nearest, "bilinear": resize_bilinear,
+            **{m: partial(resample, method=m) for m in FILTERS}}
 
 
-# Luma weights of the blue, green and red channels.
-LUMA_BGR = (0.114, 0.587, 0.299)
+# Luma weights of the blue, green and red channels, in thousandths.
+LUMA_BGR = (114, 587, 299)
 
 
 def gray(arr: np.ndarray, channels: int = 1) -> np.ndarray:
@@ -146,9 +201,10 @@ def gray(arr: np.ndarray, channels: int = 1) -> np.ndarray:
     repeated to ``channels``."""
     if arr.shape[2] == 1:
         g = arr
+    elif arr.dtype == np.uint8:  # in whole numbers, halves up
+        g = ((arr[..., :3].astype(np.int64) @ np.array(LUMA_BGR) + 500) // 1000).astype(np.uint8)[..., None]
     else:
-        a = arr[..., :3].astype(np.float64)
-        g = _to_dtype(a @ np.array(LUMA_BGR), arr.dtype)[..., None]
+        g = (arr[..., :3].astype(np.float64) @ (np.array(LUMA_BGR) / 1000)).astype(arr.dtype)[..., None]
     return np.repeat(g, channels, axis=2) if channels > 1 else g
 
 
@@ -363,7 +419,9 @@ def crop_resize(df: DataFrame, box_col: str | None = "bbox_coords", box: str = "
 
 def resize(df: DataFrame, size: int | tuple[int, int] = 128, method: str = "bilinear",
            image_col: str = "image", out: str | None = None, status_col: str = "status") -> DataFrame:
-    """Resize to ``size`` (``(height, width)`` or a square side)."""
+    """Resize to ``size`` (``(height, width)`` or a square side). ``nearest`` and
+    ``bilinear`` read the pixels around each target; ``triangle`` and ``bicubic``
+    weigh all pixels that a target covers."""
     hw = (size, size) if isinstance(size, int) else tuple(size)
     kernel = RESIZERS[method]
     return map_images(df, lambda arr, _: kernel(arr, hw), image_col, out, status_col=status_col)

@@ -29,6 +29,7 @@ from featureflow.sources.manifest import path_exists
 
 HIDDEN = (1024, 128, 64)
 BLOCK = 4096
+SHARDS, SHARE = 4, 16
 MODEL_MAX_BYTES = 512 << 20
 BETA1, BETA2, EPSILON = 0.9, 0.999, 1e-7
 STATE_SCHEMA = "epoch int, kind string, block int, total long, values array<double>"
@@ -227,7 +228,7 @@ def run_epoch(rows: DataFrame, state, dims: Sequence[int], epoch: int, shards: i
 
 def train_network(
     df: DataFrame, features_col: str = "features", label_col: str = "label", hidden: Sequence[int] = HIDDEN,
-    epochs: int = 10, batch_size: int = 32, rate: float = 0.001, shards: int = 4, seed: int = 42,
+    epochs: int = 10, batch_size: int = 32, rate: float = 0.001, shards: int | None = None, seed: int = 42,
     folder: str | None = None, key: Sequence[str] = (),
 ) -> Network:
     """Fit on the rows with a usable vector and a label (0, 1, ...); raises if
@@ -242,7 +243,7 @@ def train_network(
     rows = df.filter(usable_vector(features_col, dim) & F.col(label_col).isNotNull()).select(
         F.col(features_col).alias("features"), F.col(label_col).cast("int").alias("label"),
         (F.xxhash64(*key) if key else F.lit(0).cast("long")).alias("copy"))
-    low, high = rows.agg(F.min("label"), F.max("label")).first()
+    low, high, count = rows.agg(F.min("label"), F.max("label"), F.count(F.lit(1))).first()
     if high is None:
         raise ValueError("training input is empty")
     if low < 0:
@@ -251,12 +252,13 @@ def train_network(
     n = sizes_of(dims)
     if n * 24 > MODEL_MAX_BYTES:
         raise ValueError(f"network of {n} weights exceeds {MODEL_MAX_BYTES} bytes with its moments")
+    shards = shards or max(SHARDS, count * dim // (SHARE * n))
     folder = folder or f"{checkpoint_dir(spark).rstrip('/')}/network-{uuid.uuid4().hex}"
     state, losses = (first_weights(dims, seed), np.zeros(n), np.zeros(n), 0), []
     for epoch in range(1, epochs + 1):
         done = f"{folder}/epoch={epoch}"
         if not path_exists(spark, f"{done}/_SUCCESS"):
-            run_epoch(rows, state, dims, epoch, shards, batch_size, rate, seed).coalesce(1).write.mode("overwrite").parquet(done)
+            run_epoch(rows, state, dims, epoch, shards, batch_size, rate, seed).write.mode("overwrite").parquet(done)
         *state, loss = read_epoch(spark, folder, epoch, n)
         losses.append(loss)
     return Network(dims, state[0], folder, losses)

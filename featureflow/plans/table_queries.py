@@ -185,11 +185,13 @@ def q_models_on_bad_vectors(spark, sf_dir):
 LLOYD_ROUNDS = 3
 
 
-def _lloyd_sql() -> str:
+def _lloyd_sql(start: str | None = None) -> str:
     """Start, assignment and centres round by round, as SQL."""
+    start = start or f"""
+init AS (SELECT row_number() OVER (ORDER BY vec_id) - 1 AS cluster, embedding FROM embeddings
+         ORDER BY vec_id LIMIT {q.K})"""
     parts = [f"""
-WITH init AS (SELECT row_number() OVER (ORDER BY vec_id) - 1 AS cluster, embedding FROM embeddings
-              ORDER BY vec_id LIMIT {q.K}),
+WITH {start},
 e AS MATERIALIZED (SELECT vec_id, unnest(range(0, len(embedding))) AS i, CAST(unnest(embedding) AS DOUBLE) AS x FROM embeddings),
 c0 AS (SELECT cluster, unnest(range(0, len(embedding))) AS i, CAST(unnest(embedding) AS DOUBLE) AS m FROM init)"""]
     for r in range(LLOYD_ROUNDS + 1):
@@ -210,6 +212,51 @@ def q_kmeans_lloyd(spark, sf_dir):
     return out.select("vec_id", "cluster", "distance")
 
 
+def _parallel_start_sql(steps: int = 2, seed: int = 42) -> str:
+    """The candidates step by step, their weights, and the picks."""
+    def u(step):
+        return (f"CAST(('0x' || substr(md5(CAST(vec_id AS VARCHAR) || ':{step}:{seed}'), 1, 12))::BIGINT AS DOUBLE) / 281474976710656::DOUBLE")
+
+    def dist(a, b):
+        return f"round(list_sum(list_transform(list_zip({a}, {b}), lambda z: (z[1] - z[2]) * (z[1] - z[2]))), 9)"
+
+    parts = [f"""
+v AS MATERIALIZED (SELECT vec_id, embedding, list_transform(embedding, lambda x: CAST(x AS DOUBLE)) AS x FROM embeddings),
+k0 AS MATERIALIZED (SELECT 0::BIGINT AS c, embedding, x FROM v ORDER BY {u(0)}, vec_id LIMIT 1)"""]
+    for s in range(1, steps + 1):
+        parts.append(f"""
+n{s} AS MATERIALIZED (SELECT v.vec_id, any_value(v.embedding) AS embedding, any_value(v.x) AS x, min({dist("v.x", "k.x")}) AS d
+       FROM v, k{s - 1} k GROUP BY v.vec_id),
+t{s} AS MATERIALIZED (SELECT CAST(sum(CAST(d AS DECIMAL(38, 9))) AS DOUBLE) AS total FROM n{s}),
+k{s} AS MATERIALIZED (
+  SELECT c, embedding, x FROM k{s - 1}
+  UNION ALL SELECT (SELECT count(*) FROM k{s - 1}) + row_number() OVER (ORDER BY u, vec_id) - 1, embedding, x FROM (
+    SELECT any_value(embedding) AS embedding, x, min(u) AS u, arg_min(vec_id, u) AS vec_id
+    FROM (SELECT *, {u(s)} AS u FROM n{s}) n, t{s} WHERE u * total < {2 * q.K} * d GROUP BY x) g)""")
+    parts.append(f"""
+w AS MATERIALIZED (SELECT c, count(*) AS w FROM (
+  SELECT vec_id, c, row_number() OVER (PARTITION BY vec_id ORDER BY d, c) AS rn
+  FROM (SELECT v.vec_id, k.c, {dist("v.x", "k.x")} AS d FROM v, k{steps} k) a) b WHERE rn = 1 GROUP BY c),
+cand AS MATERIALIZED (SELECT k.c, embedding, x, coalesce(w, 0) AS w FROM k{steps} k LEFT JOIN w ON k.c = w.c),
+p0 AS MATERIALIZED (SELECT c, embedding, x, 0 AS cluster FROM cand ORDER BY w DESC, c LIMIT 1)""")
+    for i in range(1, q.K):
+        parts.append(f"""
+p{i} AS MATERIALIZED (SELECT * FROM p{i - 1} UNION ALL (
+  SELECT any_value(a.c), any_value(a.embedding), any_value(a.x), {i} FROM cand a, p{i - 1} p
+  GROUP BY a.c ORDER BY any_value(a.w) * min({dist("a.x", "p.x")}) DESC, a.c LIMIT 1))""")
+    parts.append(f"""
+init AS MATERIALIZED (SELECT cluster, embedding FROM p{q.K - 1})""")
+    return ",".join(parts)
+
+
+@register("kmeans_parallel_start", _lloyd_sql(_parallel_start_sql()))
+def q_kmeans_parallel_start(spark, sf_dir):
+    """k-means from a k-means|| start whose draws are hashes, so any engine gets the same clusters."""
+    emb = table(spark, sf_dir, "embeddings")
+    start = cluster.parallel_start(emb, q.K, "vec_id", "embedding")
+    return cluster.lloyd(emb, q.K, "vec_id", LLOYD_ROUNDS, "embedding", start=start).select("vec_id", "cluster", "distance")
+
+
 # ============================================================ Spark ML models: what SQL can state of them
 
 @register("kmeans_nearest", "SELECT vec_id, true AS nearest FROM embeddings")
@@ -406,3 +453,81 @@ def q_batch_id_repeated_keys(spark, sf_dir):
     hot = orders.withColumn("o_custkey", F.when(F.col("o_orderkey") % 3 == 0, F.lit(1).cast("bigint")).otherwise(F.col("o_custkey")))
     out = splits.with_batch_id(hot, "o_custkey", q.BATCH_SIZE)
     return out.groupBy("batch_id", "o_custkey").agg(F.count(F.lit(1)).alias("n"))
+
+
+# ============================================================ resampling, grey pictures of three channels
+
+def _byte_images(spark, sf_dir, channels: int = 1) -> DataFrame:
+    """``vec_id, image``: each embedding as an 8-bit picture, 8 wide and 8 / channels high."""
+    from featureflow.operators.images import mode_of
+    import numpy as np
+
+    level = F.transform("embedding", lambda v: F.greatest(F.lit(0), F.least(F.lit(255), F.floor(v * 300 + 128))))
+    data = F.unhex(F.array_join(F.transform(level, lambda v: F.lpad(F.hex(v.cast("long")), 2, "0")), ""))
+    image = F.struct(F.lit("").alias("origin"), F.lit(8 // channels).alias("height"), F.lit(8).alias("width"),
+                     F.lit(channels).alias("nChannels"), F.lit(mode_of(np.uint8, channels)).alias("mode"), data.alias("data"))
+    return table(spark, sf_dir, "embeddings").select("vec_id", image.alias("image"))
+
+
+_LEVELS_SQL = """
+px AS (SELECT vec_id, list_transform(embedding, lambda v: greatest(0, least(255, CAST(floor(v * 300 + 128) AS BIGINT)))) AS p FROM embeddings)"""
+
+
+def _resample_sql(kernel: str, reach: float, height: int, width: int) -> str:
+    """Weights of both axes from the filter's formula in ``x``, then rows, then columns."""
+    return f"""
+WITH {_LEVELS_SQL},
+axis AS (SELECT 'w' AS ax, {width} AS dst UNION ALL SELECT 'h', {height}),
+place AS (SELECT ax, i, greatest(8::DOUBLE / dst, 1.0::DOUBLE) AS wide, (i + 0.5::DOUBLE) * (8::DOUBLE / dst) AS centre
+       FROM (SELECT ax, dst, unnest(range(0, dst)) AS i FROM axis) t),
+raw AS (
+  SELECT ax, i, s, (SELECT {kernel} FROM (SELECT abs((s - centre + 0.5::DOUBLE) * (1.0::DOUBLE / wide)) AS x) f) AS k
+  FROM (SELECT *, unnest(range(greatest(CAST(trunc(centre - {reach}::DOUBLE * wide + 0.5::DOUBLE) AS BIGINT), 0),
+                               least(CAST(trunc(centre + {reach}::DOUBLE * wide + 0.5::DOUBLE) AS BIGINT), 8))) AS s FROM place) t
+),
+wt AS MATERIALIZED (
+  SELECT ax, i, s, CAST(trunc(k * (1.0::DOUBLE / t) * 4194304 + CASE WHEN k < 0 THEN -0.5::DOUBLE ELSE 0.5::DOUBLE END) AS BIGINT) AS k
+  FROM (SELECT *, sum(k) OVER (PARTITION BY ax, i) AS t FROM raw) r
+),
+e AS (SELECT vec_id, n // 8 AS y, n % 8 AS s, v FROM (SELECT vec_id, unnest(range(0, 64)) AS n, unnest(p) AS v FROM px) u),
+rows1 AS (
+  SELECT vec_id, y AS s, wt.i AS x, greatest(0, least(255, CAST((sum(v * k) + 2097152) >> 22 AS BIGINT))) AS v
+  FROM (SELECT vec_id, y, s, CAST(v AS BIGINT) AS v FROM e) e JOIN wt ON ax = 'w' AND e.s = wt.s GROUP BY vec_id, y, wt.i
+),
+resized AS (
+  SELECT vec_id, wt.i AS y, x, greatest(0, least(255, CAST((sum(v * k) + 2097152) >> 22 AS BIGINT))) AS v
+  FROM rows1 r JOIN wt ON ax = 'h' AND r.s = wt.s GROUP BY vec_id, wt.i, x
+)
+SELECT vec_id, 'ok' AS status, CAST({height} AS INTEGER) AS height, CAST({width} AS INTEGER) AS width,
+       CAST(list(v ORDER BY y, x) AS FLOAT[]) AS pixels FROM resized GROUP BY vec_id"""
+
+
+_CUBIC_SQL = ("CASE WHEN x < 1 THEN (1.5::DOUBLE * x - 2.5::DOUBLE) * x * x + 1 "
+              "WHEN x < 2 THEN (((x - 5) * x + 8) * x - 4) * -0.5::DOUBLE ELSE 0.0::DOUBLE END")
+
+
+@register("resize_bicubic", _resample_sql(_CUBIC_SQL, 2, 3, 12))
+def q_resize_bicubic(spark, sf_dir):
+    """8 x 8 bytes to 3 rows (the filter widens) of 12 columns."""
+    from featureflow.operators.images import resize
+
+    return q._pixels_out(resize(_byte_images(spark, sf_dir), (3, 12), "bicubic"))
+
+
+@register("resize_triangle", _resample_sql("greatest(1.0::DOUBLE - x, 0.0::DOUBLE)", 1, 11, 5))
+def q_resize_triangle(spark, sf_dir):
+    """8 x 8 bytes to 11 rows of 5 columns, linear weights over all covered pixels."""
+    from featureflow.operators.images import resize
+
+    return q._pixels_out(resize(_byte_images(spark, sf_dir), (11, 5), "triangle"))
+
+
+@register("gray_luma", "WITH " + _LEVELS_SQL + """
+SELECT vec_id, 'ok' AS status, CAST(2 AS INTEGER) AS height, CAST(8 AS INTEGER) AS width,
+       CAST(list_transform(range(16), lambda i: floor((p[4 * i + 1] * 114 + p[4 * i + 2] * 587 + p[4 * i + 3] * 299 + 500) / 1000)) AS FLOAT[]) AS pixels
+FROM px""")
+def q_gray_luma(spark, sf_dir):
+    """Four-channel byte pictures (blue, green, red, alpha) to luma."""
+    from featureflow.operators.images import to_gray
+
+    return q._pixels_out(to_gray(_byte_images(spark, sf_dir, channels=4)))

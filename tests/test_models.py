@@ -128,3 +128,33 @@ def test_centroid_scores_odd_rows_as_null(spark):
     assert rows[1].prediction is None and rows[1].probability is None and rows[1].distance is None
     assert rows[2].prediction is None
     assert rows[3].prediction == 1 and abs(sum(rows[3].probability) - 1) < 1e-12 and rows[3].distance == 1.25
+
+
+def _blobs(spark, n=240, parts=3):
+    rng = np.random.default_rng(5)
+    at = np.array([[0, 0], [30, 0], [0, 30], [30, 30]], float)
+    rows = [(i, [float(v) for v in at[i % 4] + rng.normal(0, 1, 2)]) for i in range(n)]
+    return spark.createDataFrame(rows, "vec_id long, features array<double>").repartition(parts)
+
+
+def test_parallel_start_same_on_any_partitioning(spark):
+    one = cluster.parallel_start(_blobs(spark, parts=1), 4, "vec_id").centers
+    many = cluster.parallel_start(_blobs(spark, parts=7), 4, "vec_id").centers
+    assert np.array_equal(one, many)
+    # a centre in each of the four clouds
+    assert sorted(tuple(c) for c in (one > 15).tolist()) == [(False, False), (False, True), (True, False), (True, True)]
+    other = cluster.parallel_start(_blobs(spark), 4, "vec_id", seed=7).centers
+    assert not np.array_equal(one, other)
+
+
+def test_parallel_start_copies_bad_rows_and_repeated_keys(spark):
+    rows = [(1, [0.0, 0.0])] * 80 + [(i, [0.0, 0.0]) for i in range(100, 160)] + [(200, [5.0, 5.0]), (201, [9.0, 0.0])]
+    rows += [(202, None), (203, [1.0]), (None, [7.0, 7.0]), (204, [float("nan"), 1.0])]
+    df = spark.createDataFrame(rows, "vec_id long, features array<double>")
+    got = cluster.parallel_start(df, 3, "vec_id").centers
+    assert sorted(map(tuple, got.tolist())) == [(0.0, 0.0), (5.0, 5.0), (9.0, 0.0)]
+    with pytest.raises(ValueError, match="different vectors"):
+        cluster.parallel_start(df, 4, "vec_id")
+    # one key with many vectors: its draws go together, what reaches the driver stays bounded
+    hot = spark.createDataFrame([(1, [float(i), 0.0]) for i in range(500)], "vec_id long, features array<double>")
+    assert cluster.parallel_start(hot, 3, "vec_id").centers.shape == (3, 2)
