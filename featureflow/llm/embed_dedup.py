@@ -20,6 +20,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from featureflow.llm.common import (
     Cuts,
@@ -145,6 +146,15 @@ def links_in_buckets(rows: DataFrame, min_cosine: float) -> DataFrame:
     return rows.mapInArrow(run, "a long, b long, links long")
 
 
+def with_label_numbers(rows: DataFrame) -> DataFrame:
+    """``rows(id, label, ...)``, ids unique, with labels as longs: whole numbers
+    as they are, other types by the smallest id under each label."""
+    if isinstance(rows.schema["label"].dataType, T.IntegralType):
+        return rows.withColumn("label", F.col("label").cast("long"))
+    numbers = rows.groupBy("label").agg(F.min("id").cast("long").alias("number"))
+    return rows.join(numbers, "label").drop("label").withColumnRenamed("number", "label").select("id", "label", "embedding")
+
+
 def near_vectors(vectors: DataFrame, cuts: Cuts, id_col: str = "vec_id", vector_col: str = "embedding",
                  label_col: str = "label", min_cosine: float = 0.98, tables: int = TABLES, hashes: int = HASHES,
                  width: float = WIDTH, seed: int = 11) -> DataFrame:
@@ -153,15 +163,17 @@ def near_vectors(vectors: DataFrame, cuts: Cuts, id_col: str = "vec_id", vector_
     ``n_links`` counts the other vectors linked directly, equal ones included;
     ``component_id`` is the smallest id reachable by links. Null labels and null,
     empty, zero or non-finite vectors link with nothing and are components of
-    their own; so are rows with a null id. A repeated id counts once, with its
+    their own; so are rows with a null id. Labels of any type that can be grouped are
+    compared as they are. A repeated id counts once, with its
     smallest (label, vector). Only vectors of one length are compared. Other
     columns don't matter. Empty input: empty table.
     """
-    ids = cuts.save(vectors.select(F.col(id_col).alias("id"), F.col(label_col).cast("long").alias("label"),
+    ids = cuts.save(vectors.select(F.col(id_col).alias("id"), F.col(label_col).alias("label"),
                                    F.col(vector_col).alias("embedding")))
     nonzero = F.exists("embedding", lambda x: x != 0)
     usable = ids.filter(F.col("id").isNotNull() & F.col("label").isNotNull() & is_finite_vector("embedding") & nonzero)
     usable = usable.groupBy("id").agg(F.min(F.struct("label", "embedding")).alias("v")).select("id", "v.*")
+    usable = with_label_numbers(usable)
     zero = F.lit(0).cast(ids.schema["embedding"].dataType.elementType)  # x + 0: -0.0 and 0.0 are one value
     usable = usable.withColumn("embedding", F.transform("embedding", lambda x: x + zero))
     classes = usable.groupBy("label", "embedding").agg(
