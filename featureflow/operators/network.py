@@ -159,7 +159,7 @@ def run_epoch(rows: DataFrame, state, dims: Sequence[int], epoch: int, shards: i
     bc = rows.sparkSession.sparkContext.broadcast(state)
     order = F.xxhash64(F.lit(seed), F.lit(epoch), "label", "features", "copy")
     dealt = rows.withColumn("order", order).withColumn("shard", F.pmod(F.shiftright("order", 8), F.lit(shards)).cast("int"))
-    dealt = dealt.repartition(shards, "shard").sortWithinPartitions("shard", "order", "label", "features", "copy")
+    dealt = dealt.repartitionById(shards, "shard").sortWithinPartitions("shard", "order", "label", "features", "copy")
     d, n = dims[0], sizes_of(dims)
 
     def result(shard: int, net: Adam, count: int, loss: float) -> Iterator[pa.RecordBatch]:
