@@ -164,7 +164,7 @@ def resample_weights(src: int, dst: int, method: str) -> np.ndarray:
     at = np.arange(src)
     w = kernel((at[None, :] - centre[:, None] + 0.5) * (1.0 / wide))
     w[(at < first[:, None]) | (at >= end[:, None])] = 0.0
-    return w * (1.0 / w.sum(axis=1, keepdims=True))
+    return w * (1.0 / np.cumsum(w, axis=1)[:, -1:])  # added up from left to right
 
 
 def resample(arr: np.ndarray, size: tuple[int, int], method: str) -> np.ndarray:

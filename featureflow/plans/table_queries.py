@@ -462,7 +462,7 @@ def _byte_images(spark, sf_dir, channels: int = 1) -> DataFrame:
     from featureflow.operators.images import mode_of
     import numpy as np
 
-    level = F.transform("embedding", lambda v: F.greatest(F.lit(0), F.least(F.lit(255), F.floor(v * 300 + 128))))
+    level = F.transform("embedding", lambda v: F.greatest(F.lit(0), F.least(F.lit(255), F.floor(v.cast("double") * 300 + 128))))
     data = F.unhex(F.array_join(F.transform(level, lambda v: F.lpad(F.hex(v.cast("long")), 2, "0")), ""))
     image = F.struct(F.lit("").alias("origin"), F.lit(8 // channels).alias("height"), F.lit(8).alias("width"),
                      F.lit(channels).alias("nChannels"), F.lit(mode_of(np.uint8, channels)).alias("mode"), data.alias("data"))
@@ -470,7 +470,7 @@ def _byte_images(spark, sf_dir, channels: int = 1) -> DataFrame:
 
 
 _LEVELS_SQL = """
-px AS (SELECT vec_id, list_transform(embedding, lambda v: greatest(0, least(255, CAST(floor(v * 300 + 128) AS BIGINT)))) AS p FROM embeddings)"""
+px AS (SELECT vec_id, list_transform(embedding, lambda v: greatest(0, least(255, CAST(floor(CAST(v AS DOUBLE) * 300 + 128) AS BIGINT)))) AS p FROM embeddings)"""
 
 
 def _resample_sql(kernel: str, reach: float, height: int, width: int) -> str:
@@ -487,7 +487,7 @@ raw AS (
 ),
 wt AS MATERIALIZED (
   SELECT ax, i, s, CAST(trunc(k * (1.0::DOUBLE / t) * 4194304 + CASE WHEN k < 0 THEN -0.5::DOUBLE ELSE 0.5::DOUBLE END) AS BIGINT) AS k
-  FROM (SELECT *, sum(k) OVER (PARTITION BY ax, i) AS t FROM raw) r
+  FROM raw JOIN (SELECT ax, i, list_reduce(list(k ORDER BY s), lambda a, b: a + b) AS t FROM raw GROUP BY ax, i) r USING (ax, i)
 ),
 e AS (SELECT vec_id, n // 8 AS y, n % 8 AS s, v FROM (SELECT vec_id, unnest(range(0, 64)) AS n, unnest(p) AS v FROM px) u),
 rows1 AS (
