@@ -390,7 +390,7 @@ def text_branch(sized: list[tuple[tuple[Node, str], int]]) -> tuple[list[str], i
     most = [p for p, chars in size.items() if 2 * chars > half]
     if not most:
         return [], 0
-    way = list(prefixes(max(most, key=len)))
+    way = list(prefixes(max(most, key=len) + "/"))
     tags = [p.rsplit("/", 1)[1].split(".")[0] for p in way]
     at = len(way) - 1
     while at > 0 and tags[at] not in HOLDERS:

@@ -85,3 +85,11 @@ def test_importance_by_brute_force(spark):
     got = {r.path: r.importance for r in html_text.importance(html_text.site_counts(df)).collect()}
     assert got.keys() == want.keys()
     assert all(abs(got[p] - want[p]) < 1e-3 for p in want), [(p, got[p], want[p]) for p in want if abs(got[p] - want[p]) >= 1e-3]
+
+
+def test_text_at_the_top_of_a_page():
+    from featureflow.llm import html_text
+
+    assert html_text.main_text("--><p>x", {"/p"}) is not None
+    way, at = html_text.text_branch([((n, t), len(t)) for n, t in html_text.Page("<body><div class=story><p>one two</p><p>three four</p></div></body>").blocks])
+    assert way[at].endswith("/div.story")
