@@ -48,9 +48,11 @@ def todo(rows: DataFrame, past: DataFrame, keys: Sequence[str], available: DataF
     those that are ok, nor those that failed before they came here (their own
     ``status`` isn't ok) and are known to; nor, if ``available`` names the keys
     that have come, those still ``waiting`` for theirs."""
-    known = past.select(*keys, F.col("status").alias("__past"))
-    open_ = rows.join(known, same_key(rows, known, keys) & (
-        (F.col("__past") == OK) | ((F.col("__past") == rows["status"]) & (rows["status"] != OK))), "left_anti")
+    # joins on equal columns alone: a condition beside them would compare each row of a
+    # repeated key (all those without an id) with every past row of that key
+    done, failed = past.filter(F.col("status") == OK), past.filter(F.col("status") != OK)
+    open_ = rows.join(done, same_key(rows, done, keys), "left_anti")
+    open_ = open_.join(failed, same_key(open_, failed, [*keys, "status"]), "left_anti")
     if available is None:
         return open_
     left = past.filter(F.col("status") == waiting).select(*keys)

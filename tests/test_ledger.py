@@ -1,6 +1,7 @@
 """Stages that go on: late pictures, null ids, repeated runs, failed first runs."""
 
 import os
+import time
 
 import numpy as np
 import pytest
@@ -84,6 +85,32 @@ def test_latest_and_compaction(spark, tmp):
     assert ledger.read_attempts(spark, f"{tmp}/none", schema).count() == 0
 
 
+def test_open_rows_of_keys_with_several_outcomes(spark):
+    past = [("a", 1, "ok"), ("a", 2, "bad"), ("a", 2, "missing_image"), ("a", None, "bad"), (None, 3, "ok"), ("b", 4, None)]
+    rows = [("a", 1, "ok"), ("a", 1, "bad"), ("a", 2, "ok"), ("a", 2, "bad"), ("a", 2, "worse"), ("a", None, "ok"), ("a", None, "bad"),
+            (None, 3, "ok"), (None, 4, "ok"), ("b", 4, "ok"), ("b", 4, None), ("a", 1, None)]
+    schema = "person string, image_id bigint, status string"
+    got = ledger.todo(spark.createDataFrame(rows, schema), spark.createDataFrame(past, schema), ["person", "image_id"])
+    want = [r for r in rows if not any(p[:2] == r[:2] and p[2] and (p[2] == "ok" or p[2] == r[2]) for p in past)]
+    assert sorted(map(tuple, got.collect()), key=str) == sorted(want, key=str)
+
+
+def test_rows_without_an_id_are_not_compared_pairwise(spark, tmp):
+    n = 60_000  # a sort-merge join that compares all pairs took 48 s
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        schema = "person string, image_id bigint, status string"
+        for name, status in (("past", "missing_image"), ("rows", "ok")):  # stored, so that no plan knows the values
+            spark.range(n).selectExpr("'a' AS person", "CAST(NULL AS BIGINT) AS image_id", f"'{status}' AS status").write.parquet(f"{tmp}/{name}")
+        rows, past = (spark.read.schema(schema).parquet(f"{tmp}/{name}") for name in ("rows", "past"))
+        begin = time.monotonic()
+        assert ledger.todo(rows, past, ["person", "image_id"]).count() == n
+        assert time.monotonic() - begin < 30
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+
+
 def test_batches_of_repeated_keys(spark, monkeypatch):
     keys = [0, 0, 0, 1, 1, 1, 2, 2, 2, 3]
     df = spark.createDataFrame([(k, i) for i, k in enumerate(keys)], "k int, i int").repartition(3)
