@@ -268,6 +268,17 @@ def hashes(pieces: list[bytes]) -> np.ndarray:
 
 # ------------------------------------------------------------------ step 3: merging transforms
 
+def by_key(key: np.ndarray, at: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
+    """``at`` (numbers of ``bits`` bits) by ``key`` and then by themselves, and their
+    keys. Both in one number, unless a shard is too long, sort several times faster."""
+    if 3 * bits > 63:
+        turn = np.lexsort((at, key))
+        return at[turn], key[turn]
+    both = (key << bits) | at
+    both.sort()
+    return both & ((1 << bits) - 1), both >> bits
+
+
 def shard_transform(strings: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Suffix order of a shard's strings (each ends with a mark smaller than all
     bytes; equal suffixes by string number): the positions in the joined text,
@@ -280,25 +291,31 @@ def shard_transform(strings: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.nd
     inside[marks] = False
     text[inside] = np.frombuffer(b"".join(strings), np.uint8).astype(np.uint16) + 1
     n = len(text)
-    # 7 characters of 9 bits to begin with, then twice as many a round
-    key, alive, padded = np.zeros(n, np.int64), np.ones(n, bool), np.append(text, np.zeros(7, np.uint16))
-    for j in range(7):
+    # as many characters as fit beside a position to begin with, then twice as many a round
+    # for the suffixes still equal to another; a rank is the first place of equal ones
+    present = np.bincount(text, minlength=257) > 0
+    letters = (np.cumsum(present) - 1)[text]
+    bits, width = n.bit_length(), max(1, int(present.sum() - 1).bit_length())
+    w = (63 - bits) // width
+    key, alive, padded = np.zeros(n, np.int64), np.ones(n, bool), np.append(letters, np.zeros(w, np.int64))
+    for j in range(w):
         c = padded[j:j + n] * alive
-        key = (key << 9) | c
+        key = (key << width) | c
         alive &= c > 0
-    order, w, done = np.argsort(key, kind="stable"), 7, ~alive
-    while True:
-        k, d = key[order], done[order]
-        new = np.ones(n, bool)
-        new[1:] = (k[1:] != k[:-1]) | d[1:]  # a suffix that has reached its mark is like no other
-        number = np.cumsum(new) - 1
-        rank = np.empty(n, np.int64)
-        rank[order] = number
-        if number[-1] == n - 1:
-            break
-        ahead = np.minimum(np.arange(n) + w, n - 1)
-        key, done, w = rank * n + rank[ahead], np.zeros(n, bool), 2 * w
-        order = np.argsort(key)  # equal ones have one rank, so their order is of no consequence
+    order, key = by_key(key, np.arange(n), bits)
+    new = np.ones(n, bool)
+    new[1:] = (key[1:] != key[:-1]) | ~alive[order[1:]]  # a suffix that has reached its mark is like no other
+    starts = np.flatnonzero(new)
+    rank = np.empty(n, np.int64)
+    rank[order] = np.repeat(starts, np.diff(starts, append=n))
+    while len(at := np.flatnonzero(~(new & np.append(new[1:], True)))):
+        some = order[at]
+        some, key = by_key(rank[some] * n + rank[some + w], some, bits)
+        first = np.ones(len(at), bool)
+        first[1:] = key[1:] != key[:-1]
+        starts = np.flatnonzero(first)
+        order[at], new[at], w = some, first, 2 * w
+        rank[some] = np.repeat(at[starts], np.diff(starts, append=len(at)))
     first = np.zeros(n, bool)
     first[marks - sizes + 1] = True
     before = np.where(first, 0, np.roll(text, 1))
@@ -307,57 +324,37 @@ def shard_transform(strings: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.nd
     return order, before[order], longer[order]
 
 
-def merge_transforms(shards: list[tuple[np.ndarray, np.ndarray, np.ndarray]], marks: list[int], depth: int):
-    """Merged suffix order right to ``depth`` bytes and the number of each
-    suffix's block (suffixes with ``depth`` bytes in common). ``marks``: strings
-    of each shard, none of them empty. The order is in places of the joined
-    shards. A round goes two bytes back at once: it sorts by a pair of bytes."""
+def merge_transforms(shards: list[tuple[np.ndarray, np.ndarray, np.ndarray]], places: np.ndarray, depth: int):
+    """The suffixes ``depth`` bytes longer than those at ``places`` of the joined
+    shards, in an order right to ``depth`` bytes, and the number of each one's
+    block (suffixes with ``depth`` bytes in common). Only suffixes that become
+    one of these are carried along, and those alone in their block are left out
+    as soon as they are: a round splits blocks and never joins any. A round goes
+    two bytes back at once: it sorts by a pair of bytes."""
     at = np.cumsum([0, *[len(s[0]) for s in shards]])
-    before = np.concatenate([s[1] for s in shards])
+    before = (np.concatenate([s[1] for s in shards]) - 1).astype(np.uint8)  # no suffix carried goes past its string
     longer = np.concatenate([s[2] + a for s, a in zip(shards, at, strict=False)]).astype(np.int32)
-    # bytes by their rank among those present, so that a pair fits 16 bits and sorts by radix
-    present = np.unique(before)
-    before = np.searchsorted(present, before).astype(np.uint16)
-    size = len(present)
-    first = np.concatenate([np.arange(a, a + m) for a, m in zip(at, marks, strict=False)]).astype(np.int32)
-    m, n = len(first), len(before)
-    order, block = np.arange(n, dtype=np.int32), np.zeros(n, np.int32)
-
-    def refine(key, longer, fixed):
-        """A round: stable sort by ``key``; ``fixed`` are (key test, places) of
-        suffixes whose order is known, each a block of its own."""
+    order, block = places.astype(np.int32), np.zeros(len(places), np.int32)
+
+    def refine(key, longer):
         nonlocal order, block
         key = key[order]
-        turn = np.argsort(key, kind="stable")
+        turn = np.argsort(key, kind="stable")  # by radix
         key, block, order = key[turn], block[turn], longer[order[turn]]
-        new = np.empty(n, bool)
-        new[0] = True
-        np.not_equal(block[1:], block[:-1], out=new[1:])
-        new[1:] |= key[1:] != key[:-1]
-        for a, b, places in fixed:
-            order[a:b] = places
-            new[a:min(b + 1, n)] = True
-        block = np.cumsum(new, dtype=np.int32)
-
-    if depth % 2 or size * size > 1 << 16:
-        for _ in range(depth if size * size > 1 << 16 else 1):
-            refine(before, longer, [(0, m, first)])  # the marks: by shard and string
-        depth -= depth % 2
-    if size * size <= 1 << 16 and depth:
-        # the byte before the byte before; of a whole string the last byte, which stands before its mark
-        pair = before[longer] * np.uint16(size) + before
-        twice = longer[longer]
-        ends = longer[first]  # suffixes of one byte and the mark, in order of the string
-        last = before[first]
-        ends = ends[np.argsort(last, kind="stable")]
-        last, counts = np.unique(last, return_counts=True)
-        begin = np.searchsorted(np.sort(pair), last * np.uint16(size))
-        fixed, done = [(0, m, first)], 0
-        for a, c in zip(begin.tolist(), counts.tolist(), strict=True):
-            fixed.append((a, a + c, ends[done:done + c]))
-            done += c
+        new = np.ones(len(order) + 1, bool)
+        new[1:-1] = (block[1:] != block[:-1]) | (key[1:] != key[:-1])
+        block = np.cumsum(new[:-1], dtype=np.int32)
+        alone = new[:-1] & new[1:]
+        if 8 * np.count_nonzero(alone) > len(alone):
+            order, block = order[~alone], block[~alone]
+
+    if depth % 2:
+        refine(before, longer)
+    if depth > 1:
+        # the byte before the byte before, and the byte before
+        pair, twice = before[longer].astype(np.uint16) << 8 | before, longer[longer]
         for _ in range(depth // 2):
-            refine(pair, twice, fixed)
+            refine(pair, twice)
     return order, block
 
 
@@ -369,8 +366,8 @@ def smallest_holders(strings: list[bytes], holder: np.ndarray, length: int = LEN
 
 
 def holders_by_byte(strings: list[bytes], holder: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
-    """The same as one array over the joined strings (each with its mark), and
-    where each string begins in it."""
+    """The same as one array over the joined strings (each with its mark; of use at
+    starts only), and where each string begins in it."""
     sizes = np.fromiter(map(len, strings), np.int64, len(strings)) + 1
     begin = np.cumsum(sizes) - sizes
     target = max(1, min(SHARD_BYTES, int(sizes.sum()) // SHARDS))
@@ -378,14 +375,14 @@ def holders_by_byte(strings: list[bytes], holder: np.ndarray, length: int) -> tu
     edges = [0, *cuts.tolist(), len(strings)]
     parts = [(a, b) for a, b in zip(edges[:-1], edges[1:], strict=True) if a < b]
     shards = [shard_transform(strings[a:b]) for a, b in parts]
-    order, block = merge_transforms(shards, [b - a for a, b in parts], length)
     at = np.cumsum([0, *[len(s[0]) for s in shards]])
     place = np.concatenate([s[0] + a for s, a in zip(shards, at, strict=False)])  # place in the order -> text position
-    owner = np.repeat(holder, sizes)  # shards hold the strings in turn
-    position = place[order]
-    starts = group_starts([block])
-    low = np.empty(len(owner), np.int64)
-    low[position] = np.repeat(np.minimum.reduceat(owner[position], starts), np.diff(np.append(starts, len(block))))
+    inside = np.arange(len(place)) - np.repeat(begin, sizes)
+    order, block = merge_transforms(shards, np.flatnonzero((inside >= length)[place]), length)
+    low = np.repeat(holder, sizes)  # shards hold the strings in turn; a string that stands nowhere else is its own
+    if len(order):
+        position, starts = place[order], group_starts([block])
+        low[position] = np.repeat(np.minimum.reduceat(low[position], starts), np.diff(np.append(starts, len(block))))
     return low, begin
 
 

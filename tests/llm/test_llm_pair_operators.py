@@ -1,6 +1,7 @@
 """Operators on pairs, and the pipeline: against brute force on small tables."""
 
 import math
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -259,6 +260,38 @@ def test_transform_is_the_suffix_order():
     assert sorted(longer.tolist()) == list(range(len(order)))
 
 
+@pytest.mark.parametrize("letters", [2, 256])
+@pytest.mark.parametrize("length", [1, 2, 5, 12])
+def test_merge_carries_only_starts_of_strings(monkeypatch, letters, length):
+    monkeypatch.setattr(suffix_dedup, "SHARD_BYTES", 50)  # many shards
+    rng = np.random.default_rng(letters + length)
+    texts = [bytes(rng.integers(0, letters, int(rng.integers(length, 40)), dtype=np.uint8)) for _ in range(60)]
+    texts += [texts[3][2:] + texts[4], texts[5], bytes([255]) * 40]
+    shards = [suffix_dedup.shard_transform(texts[i:i + 21]) for i in range(0, 63, 21)]
+    place = np.concatenate([s[0] + sum(len(x[0]) for x in shards[:i]) for i, s in enumerate(shards)])
+    begin = np.cumsum([0, *[len(t) + 1 for t in texts]])
+    tails = [b + i for b, t in zip(begin, texts) for i in range(length, len(t) + 1)]
+    order, block = suffix_dedup.merge_transforms(shards, np.flatnonzero(np.isin(place, tails)), length)
+    at = place[order]
+    number = np.searchsorted(begin, at, side="right") - 1
+    got = [(int(b), texts[k][p - begin[k]:p - begin[k] + length]) for b, k, p in zip(block, number, at)]
+    assert all(len(x) == length for _, x in got) and len({b for b, _ in got}) == len({x for _, x in got}) == len(set(got))
+    count = Counter(t[i:i + length] for t in texts for i in range(len(t) - length + 1))
+    seen = Counter(x for _, x in got)
+    assert all(seen[x] == n for x, n in count.items() if n > 1)  # all of a repeated string's starts; others may be left out
+    assert sum(seen.values()) <= len(tails) < len(place)
+    holder = rng.permutation(len(texts))
+    low = {x: min(int(h) for t, h in zip(texts, holder) if x in t) for x in count}
+    want = [[low[t[i:i + length]] for i in range(len(t) - length + 1)] for t in texts]
+    assert [g.tolist() for g in suffix_dedup.smallest_holders(texts, holder, length)] == want
+
+
+def test_long_shards_sort_alike(monkeypatch):
+    rng = np.random.default_rng(3)
+    key, at = rng.integers(0, 50, 1000), rng.permutation(1000)
+    assert [x.tolist() for x in suffix_dedup.by_key(key, at, 10)] == [x.tolist() for x in suffix_dedup.by_key(key, at, 22)]
+
+
 def passages():
     rng = np.random.default_rng(9)
     words = ["".join(chr(97 + c) for c in rng.integers(0, 26, 5)) for _ in range(300)]
