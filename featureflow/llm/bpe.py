@@ -15,6 +15,7 @@ from __future__ import annotations
 
 import heapq
 import json
+import re
 import string
 import unicodedata
 from collections.abc import Iterator
@@ -31,9 +32,21 @@ CACHE_CHARS = 64
 #: Control characters that str.split() takes for blanks and the tokenizer doesn't.
 SEPARATORS = regex.compile("[\x1c-\x1f]")
 BLANKS = regex.compile(r"\s+")
-#: Sigma without the final-sigma rule, and two letters newer than Python's tables.
+#: Sigma without the final-sigma rule, and letters newer than Python's tables.
 LOWER = {ord("Σ"): "σ", 0xA7CB: "\u0264", 0xA7DC: "\u019b"}
-ODD_LOWER = regex.compile("[" + "".join(map(chr, LOWER)) + "]")
+LOWER |= {c: chr(c + 1) for c in (0x1C89, 0xA7CC, 0xA7CE, 0xA7D2, 0xA7D4, 0xA7DA)}
+LOWER |= {c: chr(c + 0x20) for c in range(0x10D50, 0x10D66)} | {c: chr(c + 0x1B) for c in range(0x16EA0, 0x16EB9)}
+#: Letters and numbers that ``regex`` knows of later Unicode versions than the tokenizer's tables, to
+#: which they are symbols.
+LATER = """558 58b-58c 88f c5c cdc 208f 209d-209f a7ce-a7cf a7d2 a7d4 a7dd a7e2 a7f1 ab6c-ab6d 107bb-107bf 10940-10959
+10ec5-10ec7 10ed9-10eee 11b0a 11db0-11ddb 11de0-11de9 11df1 1246f 12475-1247f 12550-12686 16ea0-16eb8 16ebb-16ed3
+16ff2-16ff6 187f8-187ff 18cd6-18cda 18d09-18d20 18d80-18df2 18e00-19191 191a0-191d2 1b123-1b128 1b168 1d6a6
+1df1f-1df24 1df2b-1df81 1df90-1df96 1dfcd-1dfff 1e6c0-1e6de 1e6e0-1e6e2 1e6e4-1e6e5 1e6e7-1e6ed 1e6f0-1e6f4
+1e6fe-1e6ff 2b73a-2b73f 2b81e 2cea2-2cead 323b0-33479 3d000-3fc3f""".split()
+LATER = "".join("-".join(chr(int(c, 16)) for c in r.split("-")) for r in LATER)
+LATER, ODD, SYMBOL = regex.compile(f"[{LATER}]"), regex.compile(f"[{''.join(map(chr, LOWER))}{LATER}]"), "\uffff"
+#: Told at once of most pieces: whether they can hold one of them.
+PERHAPS_ODD = re.compile("[Σ\u0558-\U0010ffff]")
 
 
 def merges_of(symbols: list[str], ranks: dict[tuple[str, str], int]) -> int:
@@ -131,8 +144,9 @@ class WordBpe:
             return self.words.findall(piece.lower())
         # NFC, then lower case letter by letter
         piece = unicodedata.normalize("NFC", piece)
-        if ODD_LOWER.search(piece):
-            piece = piece.translate(LOWER)
+        if PERHAPS_ODD.search(piece) and ODD.search(piece):
+            piece = piece.translate(LOWER).lower()
+            return [piece[m.start():m.end()] for m in self.words.finditer(LATER.sub(SYMBOL, piece))]
         return self.words.findall(piece.lower())
 
     def piece(self, piece: str) -> int:

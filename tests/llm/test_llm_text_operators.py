@@ -47,6 +47,16 @@ def test_token_count_equals_the_library(text):
     assert packing.load(path).text(text) == np.asarray(ids, "<u4").tobytes()
 
 
+@pytest.mark.parametrize("text", [":\U0003d000", "a\ua7cf Σ\U000191a0x", "1\U00011de0\U000323b0,", "a\u0558b", "\u1c89\ua7ce \U00010d50\U00016ea0"])
+def test_letters_newer_than_the_tokenizer(text):
+    from tokenizers import Tokenizer
+
+    path = bpe.vocabulary("word_bpe_49k.json")
+    ids = ids_of(Tokenizer.from_file(path), text)
+    assert bpe.load(path).count(text) == len(ids)
+    assert packing.load(path).text(text) == np.asarray(ids, "<u4").tobytes()
+
+
 def test_merges_pop_lowest_rank_then_leftmost():
     ranks = {("a", "b"): 1, ("b", "c"): 0, ("a", "bc"): 2, ("aa", "a"): 4, ("a", "a"): 3}
     assert bpe.merges_of(list("abc"), ranks) == 2  # bc first, then a+bc
