@@ -14,20 +14,33 @@ The smallest hash of the 16-byte grams of a 50-byte string depends on that
 string alone: equal strings have equal keys. Neighbouring strings with one key
 form a piece of text, and pieces of one key are merged together:
 
-1. ``shared_keys``: keys that more than one document has, in a Bloom filter. It
-   only spares later work; a full filter lets everything through.
-2. ``pieces``: texts of these keys, equal pieces once, with the smallest and
-   largest document.
+1. ``shared_keys``: which strings more than one document may have, in a Bloom
+   filter. Its keys are the smallest hashes of 32-byte grams, made like the
+   others: in a large corpus nearly every 16-byte gram stands somewhere else too,
+   and a filter of those would let all text through, several times its size as
+   pieces. It only spares later work; a full filter lets everything through.
+2. ``pieces``: texts with such a string, equal pieces once, with the smallest
+   and largest document.
 3. ``first_holders``: pieces by key; the merge gives each string's smallest
    document. Keys with over ``KEY_PIECES`` pieces don't go into one task: their
    strings are grouped by a 128-bit hash instead.
 4. ``repeats``: the results go back to all documents that hold the pieces; only
    pieces whose key has a result travel again.
+
+Pieces overlap, so all of a corpus's pieces take about ``PIECES_BYTES`` times its
+text. Equal strings have equal keys, so ranges of keys are independent: each goes
+through the steps on its own (``part`` of ``parts``, by a hash of the key), and
+only its runs of starts stay. A filter tells the strings of ``FILTER_TEXT`` bytes
+apart; a larger corpus has a filter for each of several ranges. From the share of
+strings that a filter lets through follows in how many parts its range is cut, so
+that the pieces there at once take at most ``PIECES_AT_ONCE`` times the text.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
+from functools import reduce
 from typing import NamedTuple
 
 import numpy as np
@@ -39,7 +52,7 @@ from pyspark.sql import types as T
 
 from featureflow.llm.common import Cuts, group_starts, spare_name, whole_groups
 
-LENGTH, GRAM = 50, 16
+LENGTH, GRAM, LONG_GRAM = 50, 16, 32
 PIECE_STARTS = 64
 KEY_PIECES = 2048
 SHARDS, SHARD_BYTES = 4, 32 << 10  # what fits a core's cache
@@ -48,6 +61,10 @@ BLOCK_BITS, BLOOM_HASHES = 512, 4
 LEAST_BLOCKS, MOST_BLOCKS = 18, 20  # bits of a block's number: filters of 16 to 64 MB, by the input
 BLOCKS_BYTES = 1 << 30  # text for which the smallest filter is meant
 BUCKET_BYTES = 8 << 20
+FILTER_TEXT = 8 << 30  # bytes of text for one filter
+PIECES_BYTES = 4  # bytes of pieces, as shuffled, for a byte of text of which all is shared
+PIECES_AT_ONCE = 0.6  # bytes of pieces at once for a byte of text
+LEAST_PART = 32 << 20  # bytes of text from which on cutting into parts pays
 MIX = np.uint64(0xD6E8FEB86659FD93)
 BYTE_HASH = np.random.default_rng(20).integers(0, 2 ** 64, 256, dtype=np.uint64)
 
@@ -60,32 +77,60 @@ def mix(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(32))
 
 
-def gram_minima(data: bytes, length: int, gram: int = GRAM) -> np.ndarray:
-    """The smallest hash of the grams of the string at each start. Grams and
-    minima are built by doubling, so the cost is a few passes."""
-    h, w, factor = BYTE_HASH[np.frombuffer(data, np.uint8)], 1, int(MIX)
-    while w < gram:
-        h, w = h[:-w] * np.uint64(factor) + h[w:], 2 * w
-        factor = factor * int(MIX) % 2 ** 64
-    h ^= h >> np.uint64(32)
-    h *= MIX
-    h ^= h >> np.uint64(29)
-    w, most = 1, length - gram + 1
-    while 2 * w <= most:
-        h, w = np.minimum(h[:-w], h[w:]), 2 * w
-    return np.minimum(h[:w - most], h[most - w:]) if w < most else h
-
-
-def key_runs(texts: list[bytes], length: int = LENGTH) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Runs of neighbouring starts with one key, of several texts in one pass:
-    (text number, first start, starts, key). No string spans two texts. Long
-    runs, of periodic text, are cut; where doesn't matter."""
+def gram_minima(data: bytes, length: int, *grams: int) -> list[np.ndarray]:
+    """For each size of ``grams`` (rising powers of 2) the smallest hash of the
+    grams of the string at each start. Grams and minima are built by doubling, so
+    the cost is a few passes."""
+    h, w, factor, found = BYTE_HASH[np.frombuffer(data, np.uint8)], 1, int(MIX), []
+    for gram in grams:
+        while w < gram:
+            h, w = h[:-w] * np.uint64(factor) + h[w:], 2 * w
+            factor = factor * int(MIX) % 2 ** 64
+        low = h ^ (h >> np.uint64(32))
+        low *= MIX
+        low ^= low >> np.uint64(29)
+        v, most = 1, length - gram + 1
+        while 2 * v <= most:
+            low, v = np.minimum(low[:-v], low[v:]), 2 * v
+        found.append(np.minimum(low[:v - most], low[most - v:]) if v < most else low)
+    return found
+
+
+class Runs(NamedTuple):
+    """Runs of neighbouring starts with one key, in several joined texts."""
+
+    text: np.ndarray  # number of the text
+    begin: np.ndarray  # where that begins in the joined texts
+    at: np.ndarray  # the first start, in the joined texts
+    count: np.ndarray  # starts
+    key: np.ndarray
+
+    def of(self, some: np.ndarray) -> Runs:
+        return Runs(*(c[some] for c in self))
+
+    def meet(self, other: Runs) -> np.ndarray:
+        """Which have a start in common with one of ``other``."""
+        return np.searchsorted(other.at, self.at + self.count) > np.searchsorted(other.at + other.count, self.at, side="right")
+
+
+def key_runs(texts: list[bytes], length: int, *grams: int) -> list[Runs]:
+    """For each size of gram the runs of several texts in one pass. No string
+    spans two texts. Long runs, of periodic text, are cut; where doesn't matter."""
     sizes = np.fromiter(map(len, texts), np.int64, len(texts))
+    if not (sizes >= length).any():
+        return [Runs(*[np.empty(0, np.int64)] * 4, np.empty(0, np.uint64)) for _ in grams]
+    return [runs_of(low, sizes, length) for low in gram_minima(b"".join(texts), length, *grams)]
+
+
+def in_part(keys: np.ndarray, part: int, parts: int) -> np.ndarray:
+    """Whether a key is in a range; ``part`` of n is the parts k * ``part`` to
+    k * ``part`` + k - 1 of k * n."""
+    return (mix(keys) >> np.uint64(32)) * np.uint64(parts) >> np.uint64(32) == part
+
+
+def runs_of(low: np.ndarray, sizes: np.ndarray, length: int) -> Runs:
     ends = np.cumsum(sizes)
     begins, starts = ends - sizes, np.maximum(sizes - length + 1, 0)
-    if not starts.any():
-        return (np.empty(0, np.int64),) * 3 + (np.empty(0, np.uint64),)
-    low = gram_minima(b"".join(texts), length)
     new = np.empty(len(low), bool)
     new[0] = True
     np.not_equal(low[1:], low[:-1], out=new[1:])
@@ -102,7 +147,12 @@ def key_runs(texts: list[bytes], length: int = LENGTH) -> tuple[np.ndarray, np.n
         nth = np.arange(parts.sum()) - np.repeat(np.cumsum(parts) - parts, parts)
         at, text = np.repeat(at, parts) + nth * PIECE_STARTS, np.repeat(text, parts)
         count = np.minimum(np.repeat(count, parts) - nth * PIECE_STARTS, PIECE_STARTS)
-    return text, at - begins[text], count, mix(low[at])  # minima are small numbers: spread them out again
+    return Runs(text, begins[text], at, count, mix(low[at]))  # minima are small numbers: spread them out again
+
+
+def long_gram(length: int) -> int:
+    """Size of the filter's grams."""
+    return LONG_GRAM if length >= LONG_GRAM else GRAM
 
 
 def in_groups(column, size: int = GROUP_BYTES) -> Iterator[tuple[int, list[bytes]]]:
@@ -148,64 +198,85 @@ def buckets_of(total: int) -> tuple[int, int]:
     return min(LEAST_BLOCKS, max(6, (total // BUCKET_BYTES).bit_length())), blocks
 
 
-def filled(packed: DataFrame, bits: int, blocks: int, twice: bool) -> Bloom:
-    """The filter of the keys in ``packed(bucket, keys)``; ``twice``: of those that
-    are there more than once. Each bucket, a range of keys, fills its own part."""
+class Filled(NamedTuple):
+    bloom: Bloom
+    entries: int  # what went in
+    alone: int  # keys that were there once
+
+
+def filled(packed: DataFrame, bits: int, blocks: int, twice: bool) -> Filled:
+    """The filter of the keys in ``packed(bucket, keys, more)``; ``twice``: of those
+    that are there more than once. ``more``: entries left out, of keys that are.
+    Each bucket, a range of keys, fills its own part."""
     size = BLOCK_BITS << blocks >> bits
 
     def fill(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for t in whole_groups(batches, ["bucket"]):
-            bucket, column = t.column("bucket").to_numpy(), t.column("keys")
+            bucket, column, more = t.column("bucket").to_numpy(), t.column("keys"), t.column("more").to_numpy()
             for s, e in zip(starts := group_starts([bucket]), [*starts[1:], len(bucket)], strict=True):
                 keys = np.frombuffer(b"".join(column.slice(s, e - s).to_pylist()), np.uint64)
+                entries, alone = len(keys) + int(more[s:e].sum()), 0
                 if twice:
                     keys = np.sort(keys)
-                    keys = keys[1:][keys[1:] == keys[:-1]]
-                if len(keys):
-                    flags = np.zeros(size, bool)
-                    for j in range(BLOOM_HASHES):
-                        flags[bloom_bit(keys, j, blocks) - np.uint64(int(bucket[s]) * size)] = True
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array([bucket[s]], pa.int32()), pa.array([np.packbits(flags).tobytes()], pa.binary())],
-                        names=["bucket", "part"])
-
-    parts = packed.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(fill, "bucket int, part binary")
-    data = np.zeros((BLOCK_BITS << blocks) // 8, np.uint8)
+                    first = np.append(True, keys[1:] != keys[:-1])
+                    alone = np.count_nonzero(first & np.append(first[1:], True))
+                    keys = keys[~first]
+                flags = np.zeros(size, bool)
+                for j in range(BLOOM_HASHES):
+                    flags[bloom_bit(keys, j, blocks) - np.uint64(int(bucket[s]) * size)] = True
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([bucket[s]], pa.int32()), pa.array([np.packbits(flags).tobytes() if len(keys) else b""], pa.binary()),
+                     pa.array([entries]), pa.array([alone], pa.int64())], names=["bucket", "part", "entries", "alone"])
+
+    parts = packed.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(
+        fill, "bucket int, part binary, entries long, alone long")
+    data, entries, alone = np.zeros((BLOCK_BITS << blocks) // 8, np.uint8), 0, 0
     for r in parts.collect():  # the filter's 16 to 64 MB
-        data[r.bucket * size // 8:(r.bucket + 1) * size // 8] = np.frombuffer(bytes(r.part), np.uint8)
-    return Bloom(blocks, data)
+        entries, alone = entries + r.entries, alone + r.alone
+        if r.part:
+            data[r.bucket * size // 8:(r.bucket + 1) * size // 8] = np.frombuffer(bytes(r.part), np.uint8)
+    return Filled(Bloom(blocks, data), entries, alone)
+
+
+PACKED = "bucket int, keys binary, more long"
 
 
-def pack_keys(keys: np.ndarray, bits: int) -> pa.RecordBatch:
-    """A row of packed keys for each bucket, for sorted keys."""
+def pack_keys(keys: np.ndarray, bits: int, more: int = 0) -> pa.RecordBatch:
+    """A row of packed keys for each bucket, for sorted keys; ``more`` in the first."""
     bucket = (keys >> np.uint64(64 - bits)).astype(np.int32)
-    starts = group_starts([bucket]) if len(keys) else []
+    starts = group_starts([bucket]) if len(keys) else np.empty(0, np.int64)
     ends = [*starts[1:], len(keys)]
     return pa.RecordBatch.from_arrays(
-        [pa.array(bucket[starts] if len(keys) else bucket, pa.int32()),
-         pa.array([keys[s:e].tobytes() for s, e in zip(starts, ends, strict=False)], pa.binary())], names=["bucket", "keys"])
+        [pa.array(bucket[starts], pa.int32()),
+         pa.array([keys[s:e].tobytes() for s, e in zip(starts, ends, strict=False)], pa.binary()),
+         pa.array(np.where(np.arange(len(starts)) == 0, more, 0), pa.int64())], names=["bucket", "keys", "more"])
 
 
-def shared_keys(docs: DataFrame, length: int, total: int) -> Bloom:
-    """The filter of keys that two or more of ``docs(id, text_key, data)``, ``total``
-    bytes, have. Keys travel packed, by range, and from a batch each key twice at
-    most, so one that very many documents have is a few entries."""
-    bits, blocks = buckets_of(total)
+def shared_keys(docs: DataFrame, length: int, total: int, part: int = 0, parts: int = 1) -> Filled:
+    """The filter of long keys that two or more of ``docs(id, text_key, data)``, ``total``
+    bytes, have where their key is in the range. Keys travel packed, by range, and from
+    a batch each key twice at most, so one that very many documents have is a few entries."""
+    bits, blocks = buckets_of(total // parts)
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             own = [np.empty(0, np.uint64)]
             for _, texts in in_groups(b.column("data")):
-                text, _, _, keys = key_runs(texts, length)
+                if parts > 1:
+                    runs, long = key_runs(texts, length, GRAM, long_gram(length))
+                    long = long.of(long.meet(runs.of(in_part(runs.key, part, parts))))
+                else:
+                    long, = key_runs(texts, length, long_gram(length))
+                text, keys = long.text, long.key
                 turn = np.lexsort((keys, text))  # each key of a text once
                 text, keys = text[turn], keys[turn]
                 own.append(keys[group_starts([text, keys])] if len(keys) else keys)
             keys = np.sort(np.concatenate(own))
             keep = np.ones(len(keys), bool)
             keep[2:] = keys[2:] != keys[:-2]
-            yield pack_keys(keys[keep], bits)
+            yield pack_keys(keys[keep], bits, len(keys) - np.count_nonzero(keep))
 
-    return filled(docs.select("data").mapInArrow(pack, "bucket int, keys binary"), bits, blocks, True)
+    return filled(docs.select("data").mapInArrow(pack, PACKED), bits, blocks, True)
 
 
 def holder_keys(holders: DataFrame, total: int) -> Bloom:
@@ -216,14 +287,23 @@ def holder_keys(holders: DataFrame, total: int) -> Bloom:
         for b in batches:
             yield pack_keys(np.unique(b.column("key").to_numpy().view(np.uint64)), bits)
 
-    return filled(holders.select("key").mapInArrow(pack, "bucket int, keys binary"), bits, blocks, False)
+    return filled(holders.select("key").mapInArrow(pack, PACKED), bits, blocks, False).bloom
+
+
+def parts_of(shared: Filled, total: int, ranges: int) -> int:
+    """In how many parts a range goes: a piece is there if one of its long keys, about
+    three, is shared or taken for such a one."""
+    ones = sum(int(np.bitwise_count(x).sum(dtype=np.int64)) for x in np.array_split(shared.bloom.data, 64))
+    wrong = (ones / (BLOCK_BITS << shared.bloom.blocks)) ** BLOOM_HASHES
+    there = 1 - shared.alone / max(1, shared.entries) * (1 - wrong) ** 3
+    return max(1, min(math.ceil(PIECES_BYTES * there / PIECES_AT_ONCE / ranges), total // LEAST_PART))
 
 
 # ------------------------------------------------------------------ step 2: pieces of texts
 
-def piece_rows(docs: DataFrame, bloom, length: int, with_text: bool) -> DataFrame:
-    """The pieces with a shared key: ``key, id, piece``, or for the way back
-    ``key, id, text_key, start, hash`` (``hash``: Spark's xxhash64 of the piece)."""
+def piece_rows(docs: DataFrame, bloom, length: int, with_text: bool, part: int = 0, parts: int = 1) -> DataFrame:
+    """The pieces, of keys in the range, with a shared string: ``key, id, piece``, or for the way back those
+    with a result's key: ``key, id, text_key, start, hash`` (``hash``: Spark's xxhash64 of the piece)."""
     names = ["key", "id", "piece"] if with_text else ["key", "id", "text_key", "start", "hash"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -233,9 +313,15 @@ def piece_rows(docs: DataFrame, bloom, length: int, with_text: bool) -> DataFram
             held = 0
             ids, text_keys = b.column("id").to_numpy(), b.column("text_key").to_numpy()
             for first, texts in in_groups(b.column("data")):
-                text, start, n, keys = key_runs(texts, length)
-                ok = shared.has(keys)
-                text, start, keys, end = text[ok], start[ok], keys[ok], (start + n)[ok] + (length - 1)
+                if with_text:
+                    runs, long = key_runs(texts, length, GRAM, long_gram(length))
+                    runs = runs.of(in_part(runs.key, part, parts) & runs.meet(long.of(shared.has(long.key))))
+                else:
+                    runs, = key_runs(texts, length, GRAM)
+                    runs = runs.of(in_part(runs.key, part, parts))
+                    runs = runs.of(shared.has(runs.key))
+                text, start, keys = runs.text, runs.at - runs.begin, runs.key
+                end = start + runs.count + (length - 1)
                 cut = [texts[t][s:e] for t, s, e in zip(text.tolist(), start.tolist(), end.tolist(), strict=True)]
                 cols[0].append(keys.view(np.int64))
                 cols[1].append(ids[first + text])
@@ -462,7 +548,7 @@ def grouped_holders(pieces: DataFrame, length: int, cuts: Cuts) -> DataFrame:
 
 
 def first_holders(pieces: DataFrame, length: int, cuts: Cuts) -> DataFrame:
-    hot = cuts.save(pieces.groupBy("key").count().filter(F.col("count") > KEY_PIECES).select("key"))
+    hot = cuts.save(pieces.groupBy("key").count().filter(F.col("count") > KEY_PIECES).select("key"), keep=False)
     usual = pieces.join(hot, "key", "left_anti").repartition("key").sortWithinPartitions("key")
     found = merged_holders(usual, length)
     if not hot.isEmpty():
@@ -477,28 +563,46 @@ def repeats(docs: DataFrame, cuts: Cuts, id_col: str = "doc_id", text_col: str =
     string, the runs of starts of such strings. Rows with a null id neither
     lose bytes nor make others lose any; a null text is empty. Rows under one id
     don't count as repeats of each other."""
-    spark = docs.sparkSession
     data = F.coalesce(F.col(text_col), F.lit("")).cast("binary")
     d = docs.select(F.col(id_col).cast("long").alias("id"), F.xxhash64(text_col).alias("text_key"), data.alias("data"))
     d = d.filter(F.col("id").isNotNull() & (F.octet_length("data") >= length))
     total = d.agg(F.sum(F.octet_length("data"))).first()[0] or 0
-    bloom = spark.sparkContext.broadcast(shared_keys(d, length, total))
-    cuts.free()
-    pieces = piece_rows(d, bloom, length, True).groupBy("key", "piece").agg(
-        F.min("id").alias("low"), F.max("id").alias("high"))
-    pieces = cuts.save(pieces, keep=False)
-    cuts.free()
-    holders = cuts.save(first_holders(pieces, length, cuts))
-    cuts.drop()
-    cuts.free()
-    bloom.destroy()
-    bloom = spark.sparkContext.broadcast(holder_keys(holders, total))
-    held = piece_rows(d, bloom, length, False).join(holders, ["key", "hash"]).filter("holder < id")
-    runs = held.groupBy("id", "text_key").agg(
-        F.collect_set(F.struct((F.col("start") + F.col("offset")).alias("start"), "count")).alias("runs"))
-    found = cuts.save(runs.select("id", "text_key", F.col("runs.start").alias("starts"), F.col("runs.count").alias("counts")))
-    cuts.free()
-    return found
+    ranges = -(-total // FILTER_TEXT) or 1
+    with Cuts(docs.sparkSession) as done:
+        found = [runs for k in range(ranges) for runs in repeats_of_range(d, done, length, total, k, ranges)]
+        if len(found) == 1:
+            return cuts.save(found[0])
+        runs = reduce(DataFrame.unionByName, found).groupBy("id", "text_key").agg(F.collect_list(F.struct("starts", "counts")).alias("runs"))
+        return cuts.save(runs.select("id", "text_key", F.flatten("runs.starts").alias("starts"), F.flatten("runs.counts").alias("counts")))
+
+
+def repeats_of_range(d: DataFrame, done: Cuts, length: int, total: int, k: int, ranges: int) -> Iterator[DataFrame]:
+    """The result for the keys of a range, in parts; of each part nothing else stays."""
+    spark = d.sparkSession
+    shared = shared_keys(d, length, total, k, ranges)
+    n = parts_of(shared, total, ranges)
+    bloom = spark.sparkContext.broadcast(shared.bloom)
+    del shared
+    for part in range(k * n, k * n + n):
+        done.free()
+        with Cuts(spark) as cuts:
+            with Cuts(spark) as before:
+                pieces = piece_rows(d, bloom, length, True, part, ranges * n).groupBy("key", "piece").agg(
+                    F.min("id").alias("low"), F.max("id").alias("high"))
+                pieces = before.save(pieces, keep=False)
+                before.free()
+                holders = cuts.save(first_holders(pieces, length, before), keep=False)
+            cuts.free()
+            if part == k * n + n - 1:
+                bloom.destroy()
+            way_back = spark.sparkContext.broadcast(holder_keys(holders, total // (ranges * n)))
+            held = piece_rows(d, way_back, length, False, part, ranges * n).join(holders, ["key", "hash"]).filter("holder < id")
+            runs = held.groupBy("id", "text_key").agg(
+                F.collect_set(F.struct((F.col("start") + F.col("offset")).alias("start"), "count")).alias("runs"))
+            runs = done.save(runs.select("id", "text_key", F.col("runs.start").alias("starts"), F.col("runs.count").alias("counts")), keep=False)
+            way_back.destroy()
+        yield runs
+    done.free()
 
 
 def removed_spans(n: int, starts: list[int], counts: list[int], length: int) -> list[tuple[int, int]]:

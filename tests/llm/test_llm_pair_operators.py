@@ -327,6 +327,44 @@ def test_repeats_in_awkward_tables(spark, cuts):
     assert suffix_dedup.cut_repeats(awkward(spark).limit(0), cuts).count() == 0
 
 
+def test_pieces_share_more_than_a_short_gram(spark):
+    """Texts of the same 24-byte words in any order: many 16-byte grams stand in other texts, few 50-byte strings do."""
+    rng = np.random.default_rng(4)
+    words = ["".join(chr(97 + c) for c in rng.integers(0, 26, 23)) + " " for _ in range(400)]
+    rows = [(i, "".join(words[j] for j in rng.permutation(400)[:30])) for i in range(60)]
+    rows += [(100, rows[7][1][100:300]), (101, "x" * 30 + rows[9][1][200:260])]
+    d = spark.createDataFrame([(i, 0, t.encode()) for i, t in rows], "id long, text_key long, data binary")
+    bloom = suffix_dedup.shared_keys(d, 50, sum(len(t) for _, t in rows))
+    bloom = spark.sparkContext.broadcast(getattr(bloom, "bloom", bloom))
+    pieces = suffix_dedup.piece_rows(d, bloom, 50, True).collect()
+    firsts = {}
+    for i, t in rows:
+        for a in range(len(t) - 49):
+            firsts.setdefault(t[a:a + 50].encode(), set()).add(i)
+    shared = {s for s, ids in firsts.items() if len(ids) > 1}
+    held = [{bytes(r.piece[a:a + 50]) for a in range(len(r.piece) - 49)} for r in pieces]
+    assert shared <= set().union(*held)  # none is left out
+    assert len(held) < 100  # of 1700 in all
+
+
+def test_repeats_in_ranges_and_parts(spark, cuts, monkeypatch):
+    """Keys go through range by range and part by part: no part has many of the pieces, all together give the same."""
+    seen, first_holders = [], suffix_dedup.first_holders
+
+    def spy(pieces, *rest):
+        seen.append(pieces.count())
+        return first_holders(pieces, *rest)
+
+    monkeypatch.setattr(suffix_dedup, "first_holders", spy)
+    rows = passages()
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    check_cut(df, rows, cuts)
+    monkeypatch.setattr(suffix_dedup, "LEAST_PART", 1, raising=False)
+    monkeypatch.setattr(suffix_dedup, "FILTER_TEXT", 10_000, raising=False)
+    check_cut(df, rows, cuts)
+    assert len(seen) > 4 and 0.9 * seen[0] < sum(seen[1:]) < 1.1 * seen[0] and max(seen[1:]) < seen[0] / 2
+
+
 def test_repeats_of_tables(spark):
     got = sorted(tuple(r) for r in Q["op8_suffix_dedup"](spark, SF001).collect())
     assert got == sorted(cut_brute(documents(spark, SF001)))
